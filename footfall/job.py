@@ -226,7 +226,11 @@ class Job:
 
     @cached_property
     def rec_from_reviews(self) -> DataFrame:
-        return dr.user_recs_to_device(self.visits_active, self.cf_recommend)
+        """Like ``cf_recommend``, for the users of the active devices only: the others are left out
+        before the pairs are formed."""
+        similar = rt.user_similarity(self._ratings, self.p, users=self.visits_active)
+        recs = rt.recommend(similar, self._ratings, self.p)
+        return dr.user_recs_to_device(self.visits_active, recs)
 
     @cached_property
     def rec_agreement_boost(self) -> DataFrame:
@@ -498,7 +502,7 @@ class Job:
     @cached_property
     def dish_mentions_merged(self) -> DataFrame:
         """Two extracts, by date of the text, written as text files, loaded together and summed."""
-        split = F.col("hp_statdate") <= self.p.extract_split
+        split = F.col("hp_statdate") <= F.lit(self.p.extract_split).cast("date")
         bodies = self.wh.review_bodies()
         paths = []
         for half in (bodies.filter(split), bodies.filter(~split)):

@@ -8,13 +8,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def restrict(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is in keys_df; duplicates on the right do not multiply rows."""
-    return df.join(keys_df.select(*keys), list(keys), "left_semi")
+    """Rows whose key is in keys_df; duplicates on the right do not multiply rows.
+
+    The keys are made distinct before they are shuffled, here and in ``exclude``."""
+    return df.join(keys_df.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def exclude(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in keys_df."""
-    return df.join(keys_df.select(*keys), list(keys), "left_anti")
+    return df.join(keys_df.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def expand(

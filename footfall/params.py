@@ -81,6 +81,6 @@ class Params:
     hot_final_k: int = 15
 
     # pair counting: see operators/pairs.py
-    hot_pairs: int = 4_000_000
+    hot_pairs: int = 1_000_000
     tile: int = 1024
     heavy_rows: int = 100_000

@@ -27,7 +27,7 @@ def decayed_visits(traffic: DataFrame, p: Params) -> DataFrame:
     )
     order = [F.col("dt").desc(), F.col("cnt").desc(), F.col("userid"), F.col("shopid")]
     recent = first_k(counts, ["deviceid"], p.recent_visits, order)
-    age = F.datediff(F.lit(p.as_of).cast("date"), F.col("dt").cast("date"))
+    age = F.datediff(F.lit(p.as_of).cast("date"), "dt")
     return schemas.conform(
         recent.withColumn("cnt", F.col("cnt") / F.log(3 + age)), schemas.VISITS
     )

@@ -11,7 +11,7 @@ from footfall.plans.shops import eligible
 
 def reviews_with_text(heads: DataFrame, bodies: DataFrame, after: str) -> DataFrame:
     """Distinct reviews with their text. Joined and deduplicated on one shuffle by review."""
-    recent = bodies.filter(F.col("hp_statdate") > after)
+    recent = bodies.filter(F.col("hp_statdate") > F.lit(after).cast("date"))
     joined = heads.join(recent.select("reviewid", "reviewbody"), "reviewid")
     return joined.select("reviewid", "cityid", "shopid", "reviewbody").distinct()
 

@@ -53,7 +53,7 @@ def frequent(profile: DataFrame, p: Params) -> DataFrame:
 def tf_decay(profile: DataFrame, p: Params) -> DataFrame:
     """Share of the user's searches in the city, faded by age."""
     tf = share_of_total(profile, ["cityid", "userid"], "cnt", "weight", 1e-5)
-    age = F.datediff(F.lit(p.as_of).cast("date"), F.col("dt").cast("date"))
+    age = F.datediff(F.lit(p.as_of).cast("date"), "dt")
     return tf.select(
         "userid", "cityid", "keyword", (F.col("weight") / F.log(3 + age)).alias("weight"), "dt"
     )
@@ -64,7 +64,7 @@ def keyword_edges(profile: DataFrame, p: Params) -> DataFrame:
 
     The day condition becomes an equality: the later row is offered on its own day and the day
     before."""
-    day = F.col("dt").cast("date")
+    day = F.col("dt")
     left = profile.select(
         "cityid", "userid", day.alias("day"), F.col("keyword").alias("sid1"), F.lit(1.0).alias("w")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from footfall.functions.sampling import hash_uniform
 from footfall.operators.groups import divide_by_count, log_mean_ratio
-from footfall.operators.joins import exclude
+from footfall.operators.joins import exclude, restrict
 from footfall.operators.pairs import top_pairs
 from footfall.operators.ranking import top_k_per_group
 from footfall.params import Params
@@ -29,10 +29,14 @@ def centred(rated: DataFrame) -> DataFrame:
     return log_mean_ratio(rated, USER_CITY, "score", 0.001)
 
 
-def user_similarity(rated: DataFrame, p: Params) -> DataFrame:
-    """sum(s1 * s2) * ln(co-rated rows) per pair of users of a city; the best k per user."""
+def user_similarity(
+    rated: DataFrame, p: Params, users: DataFrame | None = None
+) -> DataFrame:
+    """sum(s1 * s2) * ln(co-rated rows) per pair of users of a city; the best k per user, for all
+    users or the given ones."""
     rows = rated.select("cityid", F.col("shopid").alias("item"), "userid", "score")
-    left = rows.select("cityid", "item", F.col("userid").alias("sid1"), F.col("score").alias("w"))
+    wanted = rows if users is None else restrict(rows, users, ["userid"])
+    left = wanted.select("cityid", "item", F.col("userid").alias("sid1"), F.col("score").alias("w"))
     right = rows.select("cityid", "item", F.col("userid").alias("sid2"), F.col("score").alias("w"))
     return top_pairs(
         left, right, part="cityid", group=["item"], a="sid1", b="sid2",

@@ -106,12 +106,12 @@ def sliced_distinct_visits(traffic: DataFrame, bounds: tuple[str, ...]) -> DataF
     day = F.col("hp_stat_time")
     slice_no = F.lit(0)
     for bound in bounds:
-        slice_no = slice_no + (day > bound).cast("int")
+        slice_no = slice_no + (day > F.lit(bound).cast("date")).cast("int")
     rows = traffic.filter(
         (F.col("hp_log_type") < 104)
         & F.col("shop_id").isNotNull()
         & (F.col("user_id") > 0)
-        & (day > bounds[0])
+        & (day > F.lit(bounds[0]).cast("date"))
     )
     return rows.select(
         F.col("user_id").alias("userid"), F.col("shop_id").alias("shopid"), slice_no.alias("_s")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from footfall import oracles
 from footfall.job import Job
@@ -140,9 +140,11 @@ OUTPUTS: dict[str, Output] = {
 
 
 def present(df: DataFrame, out: Output) -> DataFrame:
-    """The step's columns, doubles rounded for comparison and without negative zeros."""
+    """The step's columns, dates as text, doubles rounded and without negative zeros."""
+    dates = {f.name for f in df.schema if isinstance(f.dataType, T.DateType)}
+    keys = [F.col(c).cast("string") if c in dates else F.col(c) for c in out.keys.split()]
     doubles = [(F.round(c, out.digits) + 0.0).alias(c) for c in out.doubles.split()]
-    return df.select(*out.keys.split(), *doubles)
+    return df.select(*keys, *doubles)
 
 
 def run(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:

@@ -168,7 +168,7 @@ class Warehouse:
         return self.table("documents").select(
             F.col("doc_id").alias("reviewid"),
             F.col("text").alias("reviewbody"),
-            day.cast("string").alias("hp_statdate"),
+            day.alias("hp_statdate"),
         )
 
     def item_edges(self) -> DataFrame:
@@ -193,7 +193,7 @@ class Warehouse:
             F.col("user_id").cast("string").alias("deviceid"),
             ((F.col("user_id") * 31 + k) % self._n_shops).alias("shop_id"),
             (F.col("value") - 50).alias("score"),
-            F.col("ts").cast("date").cast("string").alias("updatetime"),
+            F.col("ts").cast("date").alias("updatetime"),
         )
         return rows.join(self._shop_city(), "shop_id").select(
             "deviceid", F.col("n_regionkey").alias("cityid"), F.col("shop_id").alias("shopid"),
@@ -251,7 +251,7 @@ def _traffic_columns() -> dict[str, Column]:
         "city_id": F.col("n_regionkey"),
         "page_id": F.when(part % 5 < 4, 12).otherwise(7),
         "hp_log_type": F.when(line <= 5, line + 99).otherwise(line - 6),
-        "hp_stat_time": F.col("o_orderdate").cast("date").cast("string"),
+        "hp_stat_time": F.col("o_orderdate").cast("date"),
         "path": F.when(
             F.col("l_orderkey") % 3 == 0, F.concat(F.lit("/Search/keyword/"), city, word)
         ).otherwise(F.concat(F.lit("/shop/"), F.col("shop_id").cast("string"), photos)),
