@@ -120,7 +120,6 @@ def _tiled(
     laid_out = rows.repartition(
         int(spark.conf.get("spark.sql.shuffle.partitions")), *tile_id
     ).sortWithinPartitions(*tile_id, *keys[1:], "side")
-    # runs of equal values: a new tile and a new group of the tile
     schema = T.StructType([
         T.StructField(part, lhs.schema[part].dataType),
         T.StructField("a", lhs.schema["a"].dataType),
@@ -132,36 +131,49 @@ def _tiled(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current: _Tile | None = None
-        for rows_of_group in _groups(batches, tile_id, group):
-            head = rows_of_group.iloc[0]
-            name = tuple(head[c] for c in tile_id)
+        for name, rows, group_no in _runs(batches, tile_id, group):
             if current is None or current.name != name:
                 if current is not None:
                     yield current.best(part, score, k)
                 current = _Tile(name)
-            current.add(rows_of_group)
+            current.add(rows, group_no)
         if current is not None:
             yield current.best(part, score, k)
 
     return laid_out.mapInPandas(run, schema)
 
 
-def _groups(
+def _runs(
     batches: Iterator[pd.DataFrame], tile_id: list[str], group: list[str]
-) -> Iterator[pd.DataFrame]:
-    """Rows of one group of one tile at a time; at most two blocks of members, so never large."""
+) -> Iterator[tuple[tuple, pd.DataFrame, np.ndarray]]:
+    """(tile, rows, group number of each row) with whole groups only; the last group of a batch waits
+    for the next one. A group has at most one row per member of the tile, so this is never large."""
     carry: pd.DataFrame | None = None
+
+    def split(rows: pd.DataFrame, starts: np.ndarray) -> Iterator:
+        ids = rows[tile_id].iloc[starts]
+        cuts = np.flatnonzero((ids != ids.shift()).any(axis=1).to_numpy())
+        for lo, hi in zip(cuts, [*cuts[1:], len(starts)]):
+            begin = starts[lo]
+            end = starts[hi] if hi < len(starts) else len(rows)
+            sizes = np.diff([*starts[lo:hi], end])
+            numbers = np.repeat(np.arange(hi - lo), sizes)
+            yield tuple(ids.iloc[lo]), rows.iloc[begin:end], numbers
+
     for batch in batches:
         if carry is not None:
             batch = pd.concat([carry, batch], ignore_index=True)
         ids = batch[[*tile_id, *group]]
-        changed = (ids != ids.shift()).any(axis=1).to_numpy()
-        starts = np.flatnonzero(changed)
-        for lo, hi in zip(starts[:-1], starts[1:]):
-            yield batch.iloc[lo:hi]
+        starts = np.flatnonzero((ids != ids.shift()).any(axis=1).to_numpy())
+        whole = batch.iloc[: starts[-1]]
         carry = batch.iloc[starts[-1]:]
+        if len(whole):
+            yield from split(whole, starts[:-1])
     if carry is not None and len(carry):
-        yield carry
+        yield from split(carry, np.array([0]))
+
+
+_GROUPS_AT_ONCE = 256
 
 
 class _Tile:
@@ -173,21 +185,36 @@ class _Tile:
         self.total = np.zeros((64, 64))
         self.rows = np.zeros((64, 64), dtype=np.int64)
 
-    def add(self, rows: pd.DataFrame) -> None:
+    def add(self, rows: pd.DataFrame, group_no: np.ndarray) -> None:
+        """Add whole groups: a (member, group) matrix per side, multiplied over the groups."""
         left = rows["side"].to_numpy() == 0
-        if left.all() or not left.any():
+        shared = np.intersect1d(group_no[left], group_no[~left])
+        if not len(shared):
             return
-        m, w, c = rows["m"].to_numpy(), rows["w"].to_numpy(), rows["c"].to_numpy()
-        ia = self._index(0, m[left])
-        ib = self._index(1, m[~left])
-        self._fit()
-        cell = np.ix_(ia, ib)
-        self.total[cell] += np.outer(w[left], w[~left])
-        self.rows[cell] += np.outer(c[left], c[~left])
-
-    def _index(self, side: int, members: np.ndarray) -> list[int]:
+        m, w, c = (rows[x].to_numpy() for x in ("m", "w", "c"))
+        for lo in range(0, len(shared), _GROUPS_AT_ONCE):
+            some = shared[lo : lo + _GROUPS_AT_ONCE]
+            column = np.minimum(np.searchsorted(some, group_no), len(some) - 1)
+            here = some[column] == group_no
+            sides = []
+            for side, mask in enumerate((left & here, ~left & here)):
+                index, used = self._index(side, m[mask])
+                weights = np.zeros((len(used), len(some)))
+                counts = np.zeros((len(used), len(some)))
+                weights[index, column[mask]] = w[mask]
+                counts[index, column[mask]] = c[mask]
+                sides.append((used, weights, counts))
+            (ia, wa, ca), (ib, wb, cb) = sides
+            self._fit()
+            cell = np.ix_(ia, ib)
+            self.total[cell] += wa @ wb.T
+            self.rows[cell] += (ca @ cb.T).astype(np.int64)
+
+    def _index(self, side: int, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row of each member among the members at hand, and their rows in the tile."""
+        code, distinct = pd.factorize(members)
         known = self.members[side]
-        return [known.setdefault(x, len(known)) for x in members]
+        return code, np.array([known.setdefault(x, len(known)) for x in distinct])
 
     def _fit(self) -> None:
         for axis in (0, 1):
