@@ -137,7 +137,8 @@ class Job:
 
     @cached_property
     def ratings_centred(self) -> DataFrame:
-        return rt.centred(self.ratings_normalised)
+        """Straight from the ratings: dividing by the user's count cancels in the ratio to the mean."""
+        return rt.centred(self.ratings_load)
 
     @cached_property
     def _ratings(self) -> DataFrame:

@@ -10,10 +10,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from footfall.operators.joins import join_per_key
+
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:
     totals = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-    return df.join(totals, list(keys))
+    return join_per_key(df, totals, keys)
 
 
 def share_of_total(
@@ -23,7 +25,7 @@ def share_of_total(
     """value / (total of the group + eps). ``min_value`` drops rows after the total is taken."""
     totals = df.groupBy(*keys).agg(F.sum(value).alias("_total"))
     kept = df if min_value is None else df.filter(F.col(value) >= min_value)
-    shared = kept.join(totals, list(keys))
+    shared = join_per_key(kept, totals, keys)
     return shared.withColumn(out, F.col(value) / (F.col("_total") + eps)).drop("_total")
 
 
@@ -62,5 +64,5 @@ def tf_idf(df: DataFrame, family: str, doc: str, term: str, weight: str) -> Data
     idf = rows.join(docs, family).select(
         family, term, F.log(F.col("_docs") / F.col("_rows")).alias("_idf")
     )
-    scored = df.join(idf, [family, term])
+    scored = join_per_key(df, idf, [family, term])
     return scored.withColumn(weight, F.col(weight) * F.col("_idf")).drop("_idf")

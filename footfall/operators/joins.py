@@ -7,16 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def join_per_key(
+    df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join detail rows, of which one key may hold a large part, to an aggregate on the keys.
+
+    Spark splits skewed partitions of a join at run time only if both inputs come straight from a
+    shuffle. An aggregate on the join keys does not: the join reuses its partitioning. Joining on a
+    hash of the keys as well makes Spark shuffle the aggregate again, after it has shrunk to one row
+    per key, and the large side can be split."""
+    h = F.xxhash64(*keys)
+    joined = df.withColumn("_h", h).join(per_key.withColumn("_h", h), [*keys, "_h"], how)
+    return joined.drop("_h")
+
+
 def restrict(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is in keys_df; duplicates on the right do not multiply rows.
 
     The keys are made distinct before they are shuffled, here and in ``exclude``."""
-    return df.join(keys_df.select(*keys).distinct(), list(keys), "left_semi")
+    return join_per_key(df, keys_df.select(*keys).distinct(), keys, "left_semi")
 
 
 def exclude(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in keys_df."""
-    return df.join(keys_df.select(*keys).distinct(), list(keys), "left_anti")
+    return join_per_key(df, keys_df.select(*keys).distinct(), keys, "left_anti")
 
 
 def expand(
@@ -44,7 +58,7 @@ def canonicalise(
 ) -> DataFrame:
     """Replace a word by the name it stands for, where there is one."""
     pairs = names.select(*keys, F.col(name).alias("_name"))
-    joined = df.join(pairs, list(keys), "left")
+    joined = join_per_key(df, pairs, keys, "left")
     return joined.withColumn(word, F.coalesce("_name", word)).drop("_name")
 
 

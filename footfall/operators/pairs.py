@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from footfall.operators.joins import join_per_key
 from footfall.operators.ranking import top_k_per_group
 from footfall.sources.storage import materialise
 
@@ -92,7 +93,8 @@ def _classed(
         F.when(F.col("_in_hot") == 0, _COLD).when(F.col("_n") > heavy_rows, _HEAVY)
         .otherwise(_TILED)
     )
-    return df.join(members.select(part, member, kind.alias("_class")), [part, member])
+    classes = members.select(part, member, kind.alias("_class"))
+    return join_per_key(df, classes, [part, member])
 
 
 def _tiled(

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from footfall import schemas
 from footfall.functions.sampling import hash_uniform, jitter
 from footfall.operators.groups import divide_by_count, share_of_total
-from footfall.operators.joins import exclude, expand, restrict
+from footfall.operators.joins import exclude, expand, join_per_key, restrict
 from footfall.operators.merging import merge_scores
 from footfall.operators.ranking import first_k, top_k_per_group
 from footfall.params import Params
@@ -151,7 +151,7 @@ def region_recs(
     rising = trend.filter(F.col("score") > 0).select(
         "cityid", "regionid", "shopid", F.col("score").alias("_t")
     )
-    joined = liked.join(rising, ["cityid", "regionid"])
+    joined = join_per_key(liked, rising, ["cityid", "regionid"])
     scored = joined.select(
         *REC, "regionid", (F.col("_t") * F.log2(2 + F.col("score"))).alias("score")
     )

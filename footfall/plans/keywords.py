@@ -10,12 +10,12 @@ from footfall.functions.text import (
     has_text, readable, url_match, url_number, url_part,
 )
 from footfall.operators.groups import divide_by_count, divide_by_sum, share_of_total
-from footfall.operators.joins import exclude, expand, restrict
+from footfall.operators.joins import exclude, expand, join_per_key, restrict
 from footfall.operators.merging import merge_scores
 from footfall.operators.pairs import top_pairs
 from footfall.operators.ranking import top_k_per_group
 from footfall.params import Params
-from footfall.plans.tags import path_visits
+from footfall.plans.tags import path_visits, resolve_users
 
 USER_CITY = ["userid", "cityid"]
 
@@ -27,7 +27,7 @@ def user_searches(traffic: DataFrame, main_user: DataFrame) -> DataFrame:
         F.col("guid_str").alias("guid"), F.col("city_id").alias("cityid"),
         url_part("path", SEARCH_WORD).alias("keyword"), F.col("hp_stat_time").alias("dt"),
     )
-    return rows.join(main_user, "guid").select(
+    return join_per_key(rows, main_user, ["guid"]).select(
         "userid", "cityid", "keyword", F.lit(1).cast("bigint").alias("cnt"), "dt"
     )
 
@@ -138,7 +138,7 @@ def readable_keywords(recs: DataFrame, p: Params) -> DataFrame:
 
 def recent_views(traffic: DataFrame, main_user: DataFrame) -> DataFrame:
     """Cookies of a user that viewed a shop."""
-    views = path_visits(traffic).join(main_user, "guid")
+    views = resolve_users(path_visits(traffic), main_user)
     return views.groupBy("userid", "shopid").agg(F.count("shopid").alias("cnt"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.functions.text import ZERO_DEVICE
 from footfall.operators.groups import group_entropy
+from footfall.operators.joins import join_per_key
 
 
 def app_events() -> Column:
@@ -43,7 +44,7 @@ def region_stats(affinity: DataFrame) -> DataFrame:
 
 def concentration(affinity: DataFrame, stats: DataFrame) -> DataFrame:
     """ln(1 + score) / (entropy + 1), the number of regions kept for the next step."""
-    joined = affinity.join(stats, ["deviceid", "cityid"])
+    joined = join_per_key(affinity, stats, ["deviceid", "cityid"])
     score = F.log(1 + F.col("score")) / (F.col("entropy") + 1)
     return joined.withColumn("score", score).drop("entropy")
 

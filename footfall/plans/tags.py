@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.functions.text import PHOTO_PATH, SHOP_ID, SHOP_PATH, url_match, url_number
 from footfall.operators.groups import share_of_total
+from footfall.operators.joins import join_per_key
 from footfall.operators.packed import explode_tags, with_tag_type
 from footfall.operators.ranking import first_k, rank_key, top_k_per_group
 
@@ -30,7 +31,7 @@ def path_visits(traffic: DataFrame) -> DataFrame:
 
 
 def resolve_users(visits: DataFrame, main_user: DataFrame) -> DataFrame:
-    return visits.join(main_user, "guid").select("userid", "shopid")
+    return join_per_key(visits, main_user, ["guid"]).select("userid", "shopid")
 
 
 def location_tags(
