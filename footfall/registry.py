@@ -140,8 +140,8 @@ OUTPUTS: dict[str, Output] = {
 
 
 def present(df: DataFrame, out: Output) -> DataFrame:
-    """The step's columns, dates as text, doubles rounded and without negative zeros."""
-    dates = {f.name for f in df.schema if isinstance(f.dataType, T.DateType)}
+    """The step's columns, dates and times as text, doubles rounded and without negative zeros."""
+    dates = {f.name for f in df.schema if isinstance(f.dataType, (T.DateType, T.TimestampNTZType))}
     keys = [F.col(c).cast("string") if c in dates else F.col(c) for c in out.keys.split()]
     doubles = [(F.round(c, out.digits) + 0.0).alias(c) for c in out.doubles.split()]
     return df.select(*keys, *doubles)

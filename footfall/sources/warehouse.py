@@ -9,20 +9,26 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+_TRAFFIC_SHOP = {"shop_id", "city_id", "path", "referer"}
 _TRAFFIC_CITY = {"city_id", "path", "referer"}
 _TRAFFIC_PART = {"path", "referer"}
+_SHOP_REGION = {"district_id", "district_name"}
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def _n_shops(self) -> Column:
-        return self.table("supplier").agg(F.count(F.lit(1))).scalar()
+        """One number, counted once per job: as a literal it keeps the plans small."""
+        return F.lit(self.table("supplier").count())
 
     def _orders(self, since: str | None, before: str | None) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -47,49 +53,29 @@ class Warehouse:
         )
         orders = self._orders(since, before)
         log = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        log = log.withColumn("shop_id", _visited_shop(self._n_shops))
+        if _TRAFFIC_SHOP & set(cols):
+            log = log.withColumn("shop_id", _visited_shop(self._n_shops))
         if _TRAFFIC_CITY & set(cols):
             log = log.join(self._shop_city(), "shop_id")
         if _TRAFFIC_PART & set(cols):
             part = self.table("part").select("p_partkey", "p_name")
             log = log.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        exprs = _traffic_columns()
-        return log.select(*[exprs[c].alias(c) for c in cols])
+        return log.select(*[_TRAFFIC[c]().alias(c) for c in cols])
 
-    def _supplier_geo(self) -> DataFrame:
+    def _supplier_geo(self, cols: tuple[str, ...]) -> DataFrame:
         nation = self.table("nation")
-        region = self.table("region")
-        return (
-            self.table("supplier")
-            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        )
+        geo = self.table("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        if _SHOP_REGION & set(cols):
+            region = self.table("region")
+            geo = geo.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        if "shop_tags" in cols:
+            tagged = F.col("s_suppkey") == F.col("tag_shop")
+            geo = geo.join(self._packed_tags(), tagged, "left")
+        return geo
 
     def shops(self, *cols: str) -> DataFrame:
-        """The shop dimension with history: the current version and one expired copy of each shop."""
-        key = F.col("s_suppkey")
-        geo = self._supplier_geo()
-        if "shop_tags" in cols:
-            geo = geo.join(self._packed_tags(), key == F.col("tag_shop"), "left")
-        dish_tags = (
-            F.when(key % 3 == 0, "the:3,and:2").when(key % 3 == 1, "of:1,is:4,none:1")
-            .otherwise("the:1,is:1")
-        )
-        exprs = {
-            "shop_id": key,
-            "shop_name": F.col("s_name"),
-            "region_id": F.col("n_nationkey"),
-            "region_name": F.col("n_name"),
-            "district_id": F.col("r_regionkey"),
-            "district_name": F.col("r_name"),
-            "cat0_id": F.lit(10),
-            "cat1_id": (key % 6).cast("int"),
-            "star": ((key % 5 + 1) * 10).cast("int"),
-            "power": ((key % 3) * 5).cast("int"),
-            "avg_price": (F.col("s_acctbal") / 25).cast("int"),
-            "shop_tags": F.coalesce(F.col("shop_tags"), F.lit("")),
-            "dish_tags": dish_tags,
-        }
+        """The shop dimension with history: the current version and one expired copy of each shop,
+        told apart by ``hp_valid_end_dt``; the expired copy was in another city."""
         versions = F.explode(F.array(
             F.struct(
                 F.col("n_regionkey").alias("city_id"),
@@ -100,14 +86,13 @@ class Warehouse:
                 F.lit("2000-01-01").alias("hp_valid_end_dt"),
             ),
         ))
-        wanted = [c for c in cols if c not in ("city_id", "hp_valid_end_dt")]
-        both = geo.select(*[exprs[c].alias(c) for c in wanted], versions.alias("_v"))
-        return both.select(*wanted, "_v.city_id", "_v.hp_valid_end_dt")
+        named = [_SHOP[c]().alias(c) for c in cols]
+        both = self._supplier_geo(cols).select(*named, versions.alias("_v"))
+        return both.select(*cols, "_v.city_id", "_v.hp_valid_end_dt")
 
     def current_shops(self, *cols: str) -> DataFrame:
         """The shop snapshot: current versions only."""
-        current = self.shops(*cols).filter(F.col("hp_valid_end_dt") == "3000-12-31")
-        return current.select(*cols)
+        return self._supplier_geo(cols).select(*[_SHOP[c]().alias(c) for c in cols])
 
     def _packed_tags(self) -> DataFrame:
         """Both words of the part names in a shop's large discounted lines, counted and packed. At
@@ -237,28 +222,67 @@ def _neighbour_shop(shop: Column, n_shops: Column) -> Column:
     return (shop + 1 + F.floor(F.col("l_quantity") / 4)) % n_shops
 
 
-def _traffic_columns() -> dict[str, Column]:
-    cust, line, part = F.col("o_custkey"), F.col("l_linenumber"), F.col("l_partkey")
-    city = F.col("n_regionkey").cast("string")
-    word = F.concat(F.lit("/0_"), F.replace(F.col("p_name"), F.lit(" "), F.lit("%20")))
-    other_city = ((F.col("n_regionkey") + 1) % 5).cast("string")
-    photos = F.when(part % 10 == 0, "/photos").otherwise("")
-    return {
-        "guid_str": F.concat(F.lit("g"), F.floor(cust / 3).cast("string")),
-        "user_id": F.when(cust % 7 == 0, F.lit(0)).otherwise(cust),
-        "deviceid": cust.cast("string"),
-        "shop_id": F.col("shop_id"),
-        "city_id": F.col("n_regionkey"),
-        "page_id": F.when(part % 5 < 4, 12).otherwise(7),
-        "hp_log_type": F.when(line <= 5, line + 99).otherwise(line - 6),
-        "hp_stat_time": F.col("o_orderdate").cast("date"),
-        "path": F.when(
-            F.col("l_orderkey") % 3 == 0, F.concat(F.lit("/Search/keyword/"), city, word)
-        ).otherwise(F.concat(F.lit("/shop/"), F.col("shop_id").cast("string"), photos)),
-        "referer": F.when(
-            part % 3 > 0,
-            F.concat(
-                F.lit("/search/keyword/"), F.when(part % 10 == 1, other_city).otherwise(city), word
-            ),
-        ).otherwise(""),
-    }
+def _search_url(city: Column, root: str = "/search") -> Column:
+    word = F.replace(F.col("p_name"), F.lit(" "), F.lit("%20"))
+    return F.concat(F.lit(f"{root}/keyword/"), city.cast("string"), F.lit("/0_"), word)
+
+
+def _path() -> Column:
+    photos = F.when(F.col("l_partkey") % 10 == 0, "/photos").otherwise("")
+    shop = F.concat(F.lit("/shop/"), F.col("shop_id").cast("string"), photos)
+    search = _search_url(F.col("n_regionkey"), "/Search")
+    return F.when(F.col("l_orderkey") % 3 == 0, search).otherwise(shop)
+
+
+def _referer() -> Column:
+    part, city = F.col("l_partkey"), F.col("n_regionkey")
+    searched = F.when(part % 10 == 1, (city + 1) % 5).otherwise(city)
+    return F.when(part % 3 > 0, _search_url(searched)).otherwise("")
+
+
+def _log_type() -> Column:
+    line = F.col("l_linenumber")
+    return F.when(line <= 5, line + 99).otherwise(line - 6)
+
+
+def _user() -> Column:
+    return F.when(F.col("o_custkey") % 7 == 0, F.lit(0)).otherwise(F.col("o_custkey"))
+
+
+def _dish_tags() -> Column:
+    kind = F.col("s_suppkey") % 3
+    return (
+        F.when(kind == 0, "the:3,and:2").when(kind == 1, "of:1,is:4,none:1")
+        .otherwise("the:1,is:1")
+    )
+
+
+_SHOP = {
+    "shop_id": lambda: F.col("s_suppkey"),
+    "shop_name": lambda: F.col("s_name"),
+    "city_id": lambda: F.col("n_regionkey"),
+    "region_id": lambda: F.col("n_nationkey"),
+    "region_name": lambda: F.col("n_name"),
+    "district_id": lambda: F.col("r_regionkey"),
+    "district_name": lambda: F.col("r_name"),
+    "cat0_id": lambda: F.lit(10),
+    "cat1_id": lambda: (F.col("s_suppkey") % 6).cast("int"),
+    "star": lambda: ((F.col("s_suppkey") % 5 + 1) * 10).cast("int"),
+    "power": lambda: ((F.col("s_suppkey") % 3) * 5).cast("int"),
+    "avg_price": lambda: (F.col("s_acctbal") / 25).cast("int"),
+    "shop_tags": lambda: F.coalesce("shop_tags", F.lit("")),
+    "dish_tags": _dish_tags,
+}
+
+_TRAFFIC = {
+    "guid_str": lambda: F.concat(F.lit("g"), F.floor(F.col("o_custkey") / 3).cast("string")),
+    "user_id": _user,
+    "deviceid": lambda: F.col("o_custkey").cast("string"),
+    "shop_id": lambda: F.col("shop_id"),
+    "city_id": lambda: F.col("n_regionkey"),
+    "page_id": lambda: F.when(F.col("l_partkey") % 5 < 4, 12).otherwise(7),
+    "hp_log_type": _log_type,
+    "hp_stat_time": lambda: F.col("o_orderdate").cast("date"),
+    "path": _path,
+    "referer": _referer,
+}
