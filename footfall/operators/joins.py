@@ -33,6 +33,15 @@ def exclude(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame
     return join_per_key(df, keys_df.select(*keys).distinct(), keys, "left_anti")
 
 
+def exclude_from_totals(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``exclude`` for the rows of an aggregate.
+
+    Spark plans an anti join on grouping columns below the aggregate, where it shuffles every input
+    row; as an outer join it stays above and shuffles the totals."""
+    gone = keys_df.select(*keys).distinct().withColumn("_gone", F.lit(True))
+    return join_per_key(df, gone, keys, "left").filter(F.col("_gone").isNull()).drop("_gone")
+
+
 def expand(
     df: DataFrame, edges: DataFrame, on: Sequence[str], keys: Sequence[str], score: Column, out: str,
     keep: Column | None = None,

@@ -41,7 +41,7 @@ def top_pairs(
     hot = (
         lhs.groupBy(*keys).agg(F.count(F.lit(1)).alias("nl"))
         .join(rhs.groupBy(*keys).agg(F.count(F.lit(1)).alias("nr")), keys)
-        .filter(F.col("nl") * F.col("nr") > hot_pairs).select(*keys)
+        .filter(F.col("nl").cast("double") * F.col("nr") > hot_pairs).select(*keys)
     )
     if hot.isEmpty():
         pairs = _joined(lhs, rhs, keys, part)

@@ -29,11 +29,13 @@ STEPS = {
       JOIN nation ON s_nationkey = n_nationkey""",
     "words": """
     SELECT l_suppkey, unnest(string_split(p_name, ' ')) AS word
-    FROM lineitem JOIN part ON l_partkey = p_partkey
-    WHERE l_quantity > 45 AND l_discount > 0.095""",
+    FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "packed": """
     SELECT l_suppkey AS tag_shop, string_agg(word || ':' || c, ',' ORDER BY word) AS shop_tags
-    FROM (SELECT l_suppkey, word, count(*) AS c FROM words GROUP BY ALL) GROUP BY ALL""",
+    FROM (
+      SELECT l_suppkey, word, count(*) AS c FROM words GROUP BY l_suppkey, word
+      QUALIFY count(*) > avg(count(*)) OVER (PARTITION BY l_suppkey)
+    ) GROUP BY ALL""",
     "snap_shop": """
     SELECT s_suppkey AS shop_id, s_name AS shop_name, n_regionkey AS city_id,
       n_nationkey AS region_id, n_name AS region_name,

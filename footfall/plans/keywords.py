@@ -10,7 +10,7 @@ from footfall.functions.text import (
     has_text, readable, url_match, url_number, url_part,
 )
 from footfall.operators.groups import divide_by_count, divide_by_sum, share_of_total
-from footfall.operators.joins import exclude, expand, join_per_key, restrict
+from footfall.operators.joins import exclude_from_totals, expand, join_per_key, restrict
 from footfall.operators.merging import merge_scores
 from footfall.operators.pairs import top_pairs
 from footfall.operators.ranking import top_k_per_group
@@ -167,7 +167,7 @@ def damped_names(recs: DataFrame) -> DataFrame:
 def unseen_names(recs: DataFrame, views: DataFrame, shops: DataFrame) -> DataFrame:
     names = shops.select(F.col("shop_id").alias("shopid"), F.col("shop_name").alias("keyword"))
     viewed = views.select("userid", "shopid").join(names, "shopid")
-    return exclude(recs, viewed, ["userid", "keyword"])
+    return exclude_from_totals(recs, viewed, ["userid", "keyword"])
 
 
 def top_names(recs: DataFrame, p: Params) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from footfall.functions.sampling import hash_uniform
 from footfall.operators.groups import divide_by_count, log_mean_ratio
-from footfall.operators.joins import exclude, restrict
+from footfall.operators.joins import exclude_from_totals, restrict
 from footfall.operators.pairs import top_pairs
 from footfall.operators.ranking import top_k_per_group
 from footfall.params import Params
@@ -47,8 +47,9 @@ def user_similarity(
 
 def recommend(similar: DataFrame, rated: DataFrame, p: Params) -> DataFrame:
     """What similar users rate well, without what the user has rated."""
-    liked = rated.filter(F.col("score") > p.rating_floor).select(
-        "cityid", "shopid", F.col("userid").alias("sid2"), F.col("score").alias("_r")
+    good = rated.filter(F.col("score") > p.rating_floor)
+    liked = good.groupBy("cityid", "shopid", F.col("userid").alias("sid2")).agg(
+        F.sum("score").alias("_r")
     )
     rows = similar.join(liked, ["cityid", "sid2"])
     if p.jitter:
@@ -57,5 +58,5 @@ def recommend(similar: DataFrame, rated: DataFrame, p: Params) -> DataFrame:
     scored = rows.groupBy(F.col("sid1").alias("userid"), "cityid", "shopid").agg(
         F.sum(F.col("score") * F.col("_r")).alias("score")
     )
-    new = exclude(scored, rated, ["userid", "shopid"])
+    new = exclude_from_totals(scored, rated, ["userid", "shopid"])
     return top_k_per_group(new, USER_CITY, p.cf_k, "score", ["shopid"])

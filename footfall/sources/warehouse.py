@@ -9,6 +9,8 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from footfall.operators.groups import with_group_stats
+
 _TRAFFIC_SHOP = {"shop_id", "city_id", "path", "referer"}
 _TRAFFIC_CITY = {"city_id", "path", "referer"}
 _TRAFFIC_PART = {"path", "referer"}
@@ -95,11 +97,10 @@ class Warehouse:
         return self._supplier_geo(cols).select(*[_SHOP[c]().alias(c) for c in cols])
 
     def _packed_tags(self) -> DataFrame:
-        """Both words of the part names in a shop's large discounted lines, counted and packed. At
-        most one entry per word of the part vocabulary, so the collected list is always short."""
-        lines = self.table("lineitem").filter(
-            (F.col("l_quantity") > 45) & (F.col("l_discount") > 0.095)
-        )
+        """The words of the part names a shop sells, counted and packed; words named more often than
+        the average word of the shop. At most one entry per word of the part vocabulary, so the
+        collected list is always short."""
+        lines = self.table("lineitem").select("l_suppkey", "l_partkey")
         part = self.table("part").select("p_partkey", "p_name")
         sold = (
             lines.groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
@@ -109,8 +110,9 @@ class Warehouse:
             sold.select("l_suppkey", "n", F.explode(F.split("p_name", " ")).alias("word"))
             .groupBy("l_suppkey", "word").agg(F.sum("n").alias("n"))
         )
+        marked = with_group_stats(words, ["l_suppkey"], mean=F.avg("n"))
         pair = F.concat("word", F.lit(":"), F.col("n").cast("string"))
-        return words.groupBy(F.col("l_suppkey").alias("tag_shop")).agg(
+        return marked.filter(F.col("n") > F.col("mean")).groupBy(F.col("l_suppkey").alias("tag_shop")).agg(
             F.array_join(F.array_sort(F.collect_list(pair)), ",").alias("shop_tags")
         )
 

@@ -263,3 +263,45 @@ def test_hash_uniform_does_not_depend_on_partitioning(spark):
     assert all(0 <= v < 1 for (v,) in one)
     other = rows(df.select(hash_uniform("a", "b", salt="t").alias("u")), "u")
     assert one != other
+
+
+def test_hop_without_jitter(spark):
+    visits = spark.createDataFrame([("d", 5, 1, 9), ("d", 5, 2, 99)], schemas.VISITS)
+    edges = spark.createDataFrame(
+        [(1, 3, 0.5), (2, 3, 1.0), (2, 4, 0.1), (2, 9, 5.0)], "sid1 long, sid2 long, rank double"
+    )
+    shops = spark.createDataFrame([(3, 7), (4, 8)], "shop_id long, city_id int")
+    hop = device_recs.expand_items(
+        visits, F.log10(1 + F.col("cnt")), ["deviceid", "userid", "shopid"],
+        device_recs.edges_to(edges, shops), 5, Params(jitter=False), "x",
+    )
+    assert rows(hop, "cityid", "shopid", "rank") == [
+        (7, 3, pytest.approx(0.5 * 1 + 1.0 * 2)), (8, 4, pytest.approx(0.2)),
+    ]
+
+
+def test_dislikes_and_boosts(spark):
+    feedback = spark.createDataFrame(
+        [("d", 1, 1, -5.0, "2024-01-02"), ("d", 1, 2, 3.0, "2024-01-01"), ("d", 1, 3, 60.0, "2024-01-01")],
+        "deviceid string, cityid int, shopid long, score double, updatetime string",
+    )
+    edges = spark.createDataFrame([(1, 7, 0.5), (2, 8, 0.5)], "sid1 long, sid2 long, rank double")
+    p = Params(jitter=False)
+    near = device_recs.expand_dislikes(feedback, edges, p)
+    assert rows(near, "shopid", "dt") == [(7, "2024-01-02")]
+    assert rows(device_recs.exclusions(near, feedback, p), "shopid") == [(1,), (2,), (7,)]
+    recs = spark.createDataFrame([("d", 1, 1, 2.0)], schemas.DEVICE_RECS)
+    promo = spark.createDataFrame([(1, math.e), (2, 5.0)], "shop_id long, score double")
+    boosted = device_recs.with_promo_boost(recs, promo)
+    other = spark.createDataFrame([("d", 1, 1, 0.5)], "deviceid string, cityid int, shopid long, score double")
+    agreed = device_recs.with_agreement_boost(boosted, other, 5.0)
+    assert rows(agreed, "rank") == [(2.0,), (2.0,), (15.0,), (15.0,)]
+
+
+def test_excluded_totals_stay_above_the_aggregate(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "a", 2.0), (2, "b", 5.0)], "u int, k string, s double")
+    total = df.groupBy("u", "k").agg(F.sum("s").alias("s"))
+    gone = spark.createDataFrame([(2, "b"), (2, "b"), (3, "a")], "u int, k string")
+    kept = joins.exclude_from_totals(total, gone, ["u", "k"])
+    assert rows(kept, "u", "k", "s") == [(1, "a", 3.0)]
+    assert "LeftAnti" not in kept._jdf.queryExecution().toString()
