@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,9 +18,6 @@ RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
 }
 
-_local_dir: tempfile.TemporaryDirectory | None = None
-
-
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
@@ -29,16 +25,11 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only for a local session that names none."""
-    global _local_dir
+    """The folder all executors share: ``spark.checkpoint.dir``, else one below the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_dir is None:
-        _local_dir = tempfile.TemporaryDirectory(prefix="footfall-")
-    return _local_dir.name
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
 
 
 def run_dir(spark: SparkSession) -> str:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from footfall import schemas, session
@@ -63,26 +62,22 @@ def test_conform_truncates(spark):
     assert schemas.conform(df, schemas.VISITS).first().cnt == 2
 
 
-def fake_session(master, settings):
+def fake_session(settings):
     class Fake:
         class conf:
-            get = staticmethod(lambda key, default: settings.get(key, default))
+            get = staticmethod(lambda key, default=None: settings.get(key, default))
 
-        class sparkContext:
-            pass
-
-    Fake.sparkContext.master = master
     return Fake()
 
 
 def test_shared_folder_comes_from_the_session():
-    named = fake_session("yarn", {"spark.checkpoint.dir": "hdfs:///shared/"})
+    named = fake_session({"spark.checkpoint.dir": "hdfs:///shared/"})
     assert session.shared_dir(named) == "hdfs:///shared"
 
 
-def test_no_fallback_folder_on_a_cluster():
-    with pytest.raises(RuntimeError):
-        session.shared_dir(fake_session("yarn", {}))
+def test_shared_folder_without_the_setting_is_below_the_warehouse():
+    plain = fake_session({"spark.sql.warehouse.dir": "hdfs:///warehouse"})
+    assert session.shared_dir(plain) == "hdfs:///warehouse/_shared"
 
 
 def test_release_deletes_the_run_folder(spark, tmp_path, monkeypatch):
