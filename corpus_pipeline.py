@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from footfall.llm import lines, quality, simhash
+from footfall.llm import decontaminate, lines, packing, quality, simhash
 from footfall.llm.common import read_table
+from footfall.llm.queries import tokenizer
 from footfall.sources.storage import materialise
 
 
@@ -25,10 +26,22 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.drop_near_duplicates(docs, shingle=3, max_bits=3)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def packing_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences of 1024 tokens."""
+    return packing.pack(docs, tokenizer())
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
     ("SimHash near-dedup", simhash_near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("packing", packing_sequences),
 ]
 
 #: SimHash components, Hamming search and tokens are beyond SQL; the tests compare with brute force.

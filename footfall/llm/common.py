@@ -37,6 +37,13 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def window_hashes(w: Column, width: int) -> Column:
+    """Hashes of all runs of ``width`` elements; no elements if the array is shorter."""
+    starts = F.when(F.size(w) >= width, F.sequence(F.lit(1), F.size(w) - (width - 1)))
+    starts = starts.otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, width)))
+
+
 def key128(value: Column) -> list[Column]:
     """Two independent 64-bit hashes: 10^11 different values have no collision to speak of."""
     return [F.xxhash64(value).alias("h1"), F.xxhash64(F.lit(1), value).alias("h2")]
