@@ -395,7 +395,7 @@ def record_id(page_id: Column) -> Column:
 
 
 def page_of(record: Column) -> Column:
-    return F.regexp_extract(record, "^<urn:page:(.+)>$", 1).cast("bigint")
+    return F.nullif(F.regexp_extract(record, "^<urn:page:(.*)>$", 1), F.lit("")).cast("bigint")
 
 
 def records(pages: DataFrame, least_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> DataFrame:

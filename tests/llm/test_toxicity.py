@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+from footfall.llm import toxicity
+
+
+def test_contexts_of_a_clause():
+    model = toxicity.seed_model()
+    def seen(text):
+        return [(e, c) for e, c, _ in toxicity.matches(text, model)]
+
+    assert seen("A pathetic attempt. All fine") == [("pathetic", "plain")]
+    assert seen("you are an Idiot") == seen("an idiot, you") == [("idiot", "aimed")]
+    assert seen("he is not stupid") == [("stupid", "negated")]
+    assert seen("not the first time that somebody was stupid") == [("stupid", "plain")]
+    assert seen("she said that they are morons") == [("morons", "reported")]
+    assert seen("kill the process") == [] and seen("I will kill you") == [("kill", "aimed")]
+    assert seen("loser scum. You trash!") == [("loser", "plain"), ("trash", "aimed")]
+    assert seen("") == [] and seen("idiosyncratic trashcan") == []
+    scores = [toxicity.score(toxicity.features(t, model)[1], model) for t in ("nice", "he is not stupid", "stupid", "you are stupid", "you are stupid. you scum")]
+    assert scores == sorted(scores) and 0 <= scores[0] < 0.3 <= scores[2]
+
+
+def corpus(rng, n):
+    vocabulary = [a + b for a in ("ba", "do", "ki", "lu", "me", "no") for b in ("ran", "sel", "tik", "vor", "wex")]
+    rows, labels = [], []
+    for k in range(n):
+        w = rng.choices(vocabulary, k=rng.randrange(5, 80))
+        toxic = k % 6 == 0
+        if toxic:
+            for _ in range(rng.randrange(1, 5)):
+                w.insert(rng.randrange(len(w)), rng.choice(["grumpfel", "idiot", "schnauz" + rng.choice(["a", "ol", "ik", "eru", "ums"])]))
+        rows.append((k, " ".join(w)))
+        labels.append((k, 1, int(toxic)))
+    return rows, labels
+
+
+def test_held_out_accuracy(spark):
+    rows, labels = corpus(random.Random(1), 1500)
+    docs = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id bigint, text string, lang string, source string")
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(docs, known)
+    assert model.words["grumpfel"][0] == "insult" and any(s.startswith("schn") for s in model.stems)
+    out = toxicity.score_documents(docs, model).collect()
+    toxic = {d: t for d, _, t in labels}
+    held = [r for r in out if r.held_out]
+    assert {r.doc_id for r in held} == {d for d, _ in rows if zlib.crc32(str(d).encode()) % 4 == 2}
+    assert sum(r.predicted == toxic[r.doc_id] for r in held) >= 0.98 * len(held)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in out)
+    # held-out labels, language and source play no part
+    turned = [(d, 1, 1 - t if zlib.crc32(str(d).encode()) % 4 == 2 else t) for d, _, t in labels]
+    again = toxicity.fit(docs.drop("lang", "source"), spark.createDataFrame(turned, "doc_id bigint, quality int, toxic int"))
+    assert again == model
+
+
+def test_edge_cases(spark):
+    rows = [(1, None), (2, ""), (3, "stupid " * 50_000), (3, "fine"), (None, "you scum"), (4, "\n.\n")]
+    docs = spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id bigint, text string, score double")
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(docs, none)
+    assert model == toxicity.seed_model()
+    out = toxicity.score_documents(docs, model).collect()
+    assert sorted(((r.doc_id, r.predicted) for r in out), key=str) == sorted([(1, 0), (2, 0), (3, 1), (3, 0), (None, 1), (4, 0)], key=str)
+    assert toxicity.score_documents(docs.limit(0), model).count() == 0
+    odd = spark.createDataFrame([(None, 1, 1), (1, 1, None), (3, 0, 1), (3, 0, 0), (77, 1, 0)], "doc_id bigint, quality int, toxic int")
+    assert toxicity.fit(docs, odd).factors
+
+
+def test_the_bound_on_labelled_documents(spark):
+    rows, labels = corpus(random.Random(2), 300)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    assert toxicity.training_rows(docs, known, 50).count() == 50
