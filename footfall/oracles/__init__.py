@@ -10,6 +10,7 @@ import re
 from functools import cache
 
 from footfall.oracles import inputs, keyword_steps, rec_steps, tag_steps
+from footfall.oracles.expr import SAMPLE
 
 STEPS: dict[str, str] = {
     **inputs.STEPS, **tag_steps.STEPS, **rec_steps.STEPS, **keyword_steps.STEPS,
@@ -31,8 +32,14 @@ def _ordered(step: str, seen: dict[str, None]) -> None:
     seen[step] = None
 
 
-def sql(step: str, columns: list[str]) -> str:
+def sql(
+    step: str, columns: list[str], sampled: bool = True, given: dict[str, str] | None = None
+) -> str:
+    """The statement for a step. ``sampled=False`` keeps every row where the step samples; ``given``
+    replaces steps by other SELECTs, as for state that an earlier day left."""
     steps: dict[str, None] = {}
     _ordered(step, steps)
-    ctes = ",\n".join(f"{s} AS MATERIALIZED (\n{STEPS[s].strip()}\n)" for s in steps)
-    return f"WITH {ctes}\nSELECT {', '.join(columns)} FROM {step}"
+    text = {s: (given or {}).get(s, STEPS[s]).strip() for s in steps}
+    ctes = ",\n".join(f"{s} AS MATERIALIZED (\n{text[s]}\n)" for s in steps)
+    whole = f"WITH {ctes}\nSELECT {', '.join(columns)} FROM {step}"
+    return whole if sampled else re.sub(r"> [0-9.]+ " + re.escape(SAMPLE), ">= 0", whole)

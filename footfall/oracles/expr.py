@@ -10,6 +10,14 @@ def jit(low: float, cols: str, salt: str) -> str:
     return f"({low}::double + {round(1 - low, 6)}::double * {u(cols, salt)})"
 
 
+#: Marks the condition of a row sample, so that ``sql`` can leave the sampling out.
+SAMPLE = "/* sample */"
+
+
+def sample(cols: str, salt: str, drop: float) -> str:
+    return f"{u(cols, salt)} > {drop} {SAMPLE}"
+
+
 def top(source: str, keys: str, k: int, order: str, cols: str) -> str:
     return f"""
     SELECT {cols} FROM (

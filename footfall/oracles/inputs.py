@@ -27,25 +27,27 @@ STEPS = {
     ) JOIN part ON l_partkey = p_partkey
       JOIN supplier ON shop_id = s_suppkey
       JOIN nation ON s_nationkey = n_nationkey""",
+    "sized": "SELECT *, lower(p_type) || '-' || p_size AS sized FROM part",
     "words": """
-    SELECT l_suppkey, unnest(string_split(p_name, ' ')) AS word
-    FROM lineitem JOIN part ON l_partkey = p_partkey""",
+    SELECT l_suppkey, unnest(list_append(string_split(p_name, ' '), sized)) AS word
+    FROM lineitem JOIN sized ON l_partkey = p_partkey""",
     "packed": """
-    SELECT l_suppkey AS tag_shop, string_agg(word || ':' || c, ',' ORDER BY word) AS shop_tags
-    FROM (
-      SELECT l_suppkey, word, count(*) AS c FROM words GROUP BY l_suppkey, word
-      QUALIFY count(*) > avg(count(*)) OVER (PARTITION BY l_suppkey)
-    ) GROUP BY ALL""",
+    SELECT l_suppkey AS tag_shop, string_agg(entry, ',' ORDER BY entry) AS shop_tags
+    FROM (SELECT l_suppkey, word || ':' || count(*) AS entry FROM words GROUP BY l_suppkey, word)
+    GROUP BY ALL""",
     "snap_shop": """
-    SELECT s_suppkey AS shop_id, s_name AS shop_name, n_regionkey AS city_id,
+    SELECT s_suppkey AS shop_id,
+      CASE s_suppkey % 3 WHEN 0 THEN 'Bar ' || s_suppkey WHEN 1 THEN 'Kitchen ' || s_suppkey
+        ELSE s_name END AS shop_name,
+      n_regionkey AS city_id,
       n_nationkey AS region_id, n_name AS region_name,
       r_regionkey AS district_id, r_name AS district_name,
       10 AS cat0_id, cast(s_suppkey % 6 AS integer) AS cat1_id,
       10 * (s_suppkey % 5 + 1) AS star, 5 * (s_suppkey % 3) AS power,
       cast(trunc(s_acctbal / 25) AS integer) AS avg_price,
       coalesce(shop_tags, '') AS shop_tags,
-      CASE s_suppkey % 3 WHEN 0 THEN 'the:3,and:2' WHEN 1 THEN 'of:1,is:4,none:1'
-        ELSE 'the:1,is:1' END AS dish_tags
+      CASE s_suppkey % 3 WHEN 0 THEN 'the:3,and:2,für:1,of the:2'
+        WHEN 1 THEN 'of:1,is:4,none:1,à:2,红烧肉:1' ELSE 'the:1,is:1,de la:2,ó:1' END AS dish_tags
     FROM supplier JOIN nation ON s_nationkey = n_nationkey
       JOIN region ON n_regionkey = r_regionkey
       LEFT JOIN packed ON tag_shop = s_suppkey""",
@@ -62,7 +64,9 @@ STEPS = {
     "vocabulary": """
     SELECT DISTINCT string_split(p_name, ' ')[1] AS tag, 'character' AS tagtype FROM part
     UNION
-    SELECT DISTINCT string_split(p_name, ' ')[2], 'atmosphere' FROM part""",
+    SELECT DISTINCT string_split(p_name, ' ')[2], 'atmosphere' FROM part
+    UNION
+    SELECT DISTINCT sized, 'cuisine' FROM sized""",
     "reviews": """
     SELECT o_custkey AS userid, n_regionkey AS cityid, l_partkey AS shopid,
       10 * floor(l_quantity / 10) AS star
