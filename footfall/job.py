@@ -1,7 +1,11 @@
-"""All steps over one warehouse, each built once and lazily.
+"""All steps over one warehouse, each built once.
 
-A step is a DataFrame. Steps that feed several others are written to the shared folder (``_cut``), so
-they run once per job and survive lost executors.
+A step is a DataFrame property. Steps that feed several others are written to the job's folder below
+the shared folder (``_cut``), so they run once per job and survive lost executors: reading such a
+property runs the steps before it.
+
+A job may have a state folder. Then what earlier days left there takes the place of what is otherwise
+derived from the older part of the log, and ``run`` publishes today's version of it.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from footfall import schemas
 from footfall.functions.sampling import hash_uniform
 from footfall.operators import joins, merging
 from footfall.operators.groups import tf_idf
-from footfall.operators.joins import exclude, restrict, trend_delta
+from footfall.operators.joins import exclude, in_periods, period_delta, restrict, trend_delta
 from footfall.operators.ranking import argmax_per_group, top_k_per_group
 from footfall.params import Params
 from footfall.plans import (
@@ -22,22 +26,63 @@ from footfall.plans import (
     region as rg, tags as tg, trending as tr,
 )
 from footfall.plans.shops import eligible, searchable
-from footfall.session import new_path, tune
+from footfall.session import new_path, release
 from footfall.sources import storage
 from footfall.sources.warehouse import Warehouse
 
-WEB = ("guid_str", "city_id", "page_id", "hp_log_type", "hp_stat_time", "path")
 APP = ("deviceid", "user_id", "shop_id", "hp_log_type", "hp_stat_time")
 
+#: What a day leaves for the next: step and schema by the name of the stored table.
+STATE = {
+    "identity-counts": ("identity_compact", schemas.PAIR_COUNTS),
+    "main-user": ("identity_main_user", schemas.MAIN_USER),
+    "region-scores": ("region_hot_smoothed", schemas.REGION_SCORES),
+    "keyword-shares": ("keyword_city_share", schemas.KEYWORD_SCORES),
+    "accumulated": ("state_replace_groups", schemas.DEVICE_RECS),
+    "recommendations": ("_top50", schemas.DEVICE_RECS),
+    "keyword-hot": ("keyword_hot_top15", schemas.KEYWORD_SCORES),
+}
+
 
 class Job:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params | None = None):
-        self.spark = tune(spark)
-        self.p = params or Params()
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, params: Params | None = None,
+        state_root: str | None = None,
+    ):
+        self.spark, self.p, self.state_root = spark, params or Params(), state_root
         self.wh = Warehouse(spark, sf_dir)
+        self.folder = new_path(spark, "job")
+
+    def __enter__(self) -> Job:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Delete the job's intermediate tables: frames read from them cannot be used any more."""
+        release(self.spark, self.folder)
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
-        return storage.materialise(df, name)
+        return storage.materialise(df, name, self.folder)
+
+    def _path(self, name: str) -> str:
+        return new_path(self.spark, name, self.folder)
+
+    # -- state between days -----------------------------------------------------------------------
+
+    def state(self, name: str) -> storage.VersionedState:
+        return storage.VersionedState(self.spark, f"{self.state_root}/{name}", STATE[name][1])
+
+    def _before(self, name: str) -> DataFrame | None:
+        """What the latest earlier day left, if there is a state folder and a finished version."""
+        return self.state(name).before(self.p.as_of) if self.state_root else None
+
+    def run(self) -> None:
+        """Publish today's version of every state table. Versions of today are never read, so a run
+        that failed half-way is repeated as a whole."""
+        for name, (step, _) in STATE.items():
+            self.state(name).write(getattr(self, step), self.p.as_of)
 
     # -- identity ---------------------------------------------------------------------------------
 
@@ -51,22 +96,32 @@ class Job:
 
     @cached_property
     def identity_state(self) -> DataFrame:
+        stored = self._before("identity-counts")
+        if stored is not None:
+            return stored
         earlier = self._pair_counts(before=self.p.identity_batch_since)
-        return earlier.filter(F.col("cnt") > 1)
+        return earlier.filter(F.col("cnt") > self.p.min_pair_count)
 
     @cached_property
     def identity_compact(self) -> DataFrame:
         keys = ["guid", "userid"]
         return merging.compact_counts(
-            self.identity_state, self.identity_pair_counts, keys, "cnt", 1
+            self.identity_state, self.identity_pair_counts, keys, "cnt", self.p.min_pair_count
         )
 
     @cached_property
     def identity_main_user(self) -> DataFrame:
         return argmax_per_group(self.identity_compact, "guid", "userid", "cnt")
 
+    @cached_property
+    def _main_user(self) -> DataFrame:
+        return self._cut(self.identity_main_user, "main-user")
+
     @cached_property
     def identity_old_main_user(self) -> DataFrame:
+        stored = self._before("main-user")
+        if stored is not None:
+            return stored
         return argmax_per_group(self.identity_state, "guid", "userid", "cnt")
 
     @cached_property
@@ -79,7 +134,7 @@ class Job:
     def state_rotation(self) -> DataFrame:
         """The delta feed again, through two stored versions of the table."""
         state = storage.VersionedState(
-            self.spark, new_path(self.spark, "main-user"), schemas.MAIN_USER
+            self.spark, self._path("main-user-versions"), schemas.MAIN_USER
         )
         state.write(self.identity_old_main_user, self.p.identity_batch_since)
         state.write(self.identity_main_user, self.p.as_of)
@@ -109,9 +164,13 @@ class Job:
         )
         return rg.region_affinity(self.device_visits, shops)
 
+    @cached_property
+    def _affinity(self) -> DataFrame:
+        return self._cut(self.device_region_affinity, "affinity")
+
     @cached_property
     def _region_stats(self) -> DataFrame:
-        return rg.region_stats(self.device_region_affinity)
+        return rg.region_stats(self._affinity)
 
     @cached_property
     def device_region_entropy(self) -> DataFrame:
@@ -119,7 +178,7 @@ class Job:
 
     @cached_property
     def device_region_weighted(self) -> DataFrame:
-        return rg.concentration(self.device_region_affinity, self._region_stats)
+        return rg.concentration(self._affinity, self._region_stats)
 
     @cached_property
     def device_region_breadth(self) -> DataFrame:
@@ -131,14 +190,18 @@ class Job:
     def ratings_load(self) -> DataFrame:
         return rt.ratings(self.wh.reviews(), self.p)
 
+    @cached_property
+    def _rated(self) -> DataFrame:
+        return self._cut(self.ratings_load, "rated")
+
     @cached_property
     def ratings_normalised(self) -> DataFrame:
-        return rt.normalised(self.ratings_load)
+        return rt.normalised(self._rated)
 
     @cached_property
     def ratings_centred(self) -> DataFrame:
         """Straight from the ratings: dividing by the user's count cancels in the ratio to the mean."""
-        return rt.centred(self.ratings_load)
+        return rt.centred(self._rated)
 
     @cached_property
     def _ratings(self) -> DataFrame:
@@ -165,17 +228,25 @@ class Job:
         )
         return dr.active_visits(log)
 
+    @cached_property
+    def _active(self) -> DataFrame:
+        return self._cut(self.visits_active, "active")
+
     @cached_property
     def visits_of_active(self) -> DataFrame:
-        return restrict(self.visits_decayed_topk, self.visits_active, ["deviceid"])
+        return restrict(self.visits_decayed_topk, self._active, ["deviceid"])
 
     @cached_property
     def _visits(self) -> DataFrame:
         return self._cut(self.visits_of_active, "visits")
 
+    @cached_property
+    def _item_edges(self) -> DataFrame:
+        return self._cut(self.wh.item_edges(), "item-edges")
+
     @cached_property
     def _edges(self) -> DataFrame:
-        return dr.edges_to(self.wh.item_edges(), self._eligible())
+        return self._cut(dr.edges_to(self._item_edges, self._eligible()), "edges")
 
     @cached_property
     def rec_hop1(self) -> DataFrame:
@@ -199,7 +270,7 @@ class Job:
 
     @cached_property
     def dislike_expand(self) -> DataFrame:
-        return dr.expand_dislikes(self.wh.feedback(), self.wh.item_edges(), self.p)
+        return dr.expand_dislikes(self.wh.feedback(), self._item_edges, self.p)
 
     @cached_property
     def dislike_union(self) -> DataFrame:
@@ -215,6 +286,9 @@ class Job:
 
     @cached_property
     def accumulated(self) -> DataFrame:
+        stored = self._before("accumulated")
+        if stored is not None:
+            return stored
         return self.wh.accumulated_recs(before=self.p.active_since)
 
     @cached_property
@@ -229,9 +303,9 @@ class Job:
     def rec_from_reviews(self) -> DataFrame:
         """Like ``cf_recommend``, for the users of the active devices only: the others are left out
         before the pairs are formed."""
-        similar = rt.user_similarity(self._ratings, self.p, users=self.visits_active)
+        similar = rt.user_similarity(self._ratings, self.p, users=self._active)
         recs = rt.recommend(similar, self._ratings, self.p)
-        return dr.user_recs_to_device(self.visits_active, recs)
+        return dr.user_recs_to_device(self._active, recs)
 
     @cached_property
     def rec_agreement_boost(self) -> DataFrame:
@@ -260,31 +334,36 @@ class Job:
     def _top200(self) -> DataFrame:
         return self._cut(self.rec_top200, "top200")
 
-    def _region_hot(self, active: DataFrame) -> DataFrame:
-        return dr.region_hot_shops(active, self._eligible("region_id"))
-
     @cached_property
     def region_hot_shops(self) -> DataFrame:
-        return self._region_hot(self.visits_active)
+        return dr.region_hot_shops(self._active, self._eligible("region_id"))
 
     @cached_property
     def region_hot_smoothed(self) -> DataFrame:
-        return dr.region_tf(self.region_hot_shops, self.p, "region")
-
-    @cached_property
-    def region_previous(self) -> DataFrame:
-        """The smoothed scores of an earlier period: the state the trend is measured against."""
-        log = self.wh.traffic(
-            "deviceid", "user_id", "shop_id", "hp_log_type", before=self.p.region_prev_before
+        return dr.region_tf(self.region_hot_shops, self.p, f"{self.p.seed}-region")
+
+    def _region_moved(self) -> DataFrame:
+        """Scores against those of the day before; without a stored day against those of an earlier
+        period, both periods from one scan of the log."""
+        stored = self._before("region-scores")
+        if stored is not None:
+            return trend_delta(self.region_hot_smoothed, stored, dr.REGION_SHOP, "score")
+        bounds = (self.p.active_since, self.p.region_prev_before)
+        log = in_periods(self.wh.traffic(*APP, periods=bounds), "hp_stat_time", *bounds)
+        hot = dr.region_hot_shops(
+            dr.active_visits(log, "period"), self._eligible("region_id"), "period"
+        )
+        salt = F.when(F.col("period") == 1, f"{self.p.seed}-region").otherwise(
+            f"{self.p.seed}-region-prev"
         )
-        return dr.region_tf(self._region_hot(dr.active_visits(log)), self.p, "region-prev")
+        scored = dr.region_tf(self._cut(hot, "region-hot"), self.p, salt, "period")
+        return period_delta(scored, dr.REGION_SHOP, "score")
 
     @cached_property
     def region_trend(self) -> DataFrame:
-        keys = ["cityid", "regionid", "shopid"]
-        trend = trend_delta(self.region_hot_smoothed, self.region_previous, keys, "score")
         return top_k_per_group(
-            trend, ["cityid", "regionid"], self.p.region_trend_k, "score", ["shopid"]
+            self._region_moved(), ["cityid", "regionid"], self.p.region_trend_k, "score",
+            ["shopid"],
         )
 
     @cached_property
@@ -330,15 +409,20 @@ class Job:
     def state_replace_groups(self) -> DataFrame:
         return joins.replace_groups(self.state_decay, self._top50, dr.DEVICE_CITY)
 
-    # -- KPIs -------------------------------------------------------------------------------------
+    # -- KPIs: of the recommendations that were on show, those of the version before today's --------
+
+    @cached_property
+    def _shown(self) -> DataFrame:
+        stored = self._before("recommendations")
+        return self._cut(self.accumulated, "shown") if stored is None else stored
 
     @cached_property
     def kpi_coverage(self) -> DataFrame:
-        return kpi.coverage(self._top50, self._eligible(), self.p.as_of)
+        return kpi.coverage(self._shown, self._eligible(), self.p.as_of)
 
     @cached_property
     def kpi_popularity(self) -> DataFrame:
-        return kpi.popularity(self._top50)
+        return kpi.popularity(self._shown)
 
     @cached_property
     def kpi_entropy(self) -> DataFrame:
@@ -346,7 +430,8 @@ class Job:
 
     @cached_property
     def kpi_hit_rate(self) -> DataFrame:
-        return kpi.hit_rate(self._top50, self.visits_active, self.p.as_of)
+        """How many of them today's visits took up."""
+        return kpi.hit_rate(self._shown, self.visits_active, self.p.as_of)
 
     # -- user tags --------------------------------------------------------------------------------
 
@@ -355,17 +440,21 @@ class Job:
         log = self.wh.traffic(
             "guid_str", "page_id", "hp_log_type", "path", since=self.p.visit_since
         )
-        return tg.path_visits(log)
+        return tg.path_visits(log, self.p.page_type)
 
     @cached_property
     def user_visits(self) -> DataFrame:
         return tg.resolve_users(self.url_entity_visits, self.identity_main_user)
 
+    @cached_property
+    def _user_visits(self) -> DataFrame:
+        return self._cut(self.user_visits, "user-visits")
+
     @cached_property
     def tag_region(self) -> DataFrame:
         shops = self.wh.current_shops("shop_id", "city_id", "region_id", "region_name")
         return tg.location_tags(
-            self.user_visits, shops, "region", self.p.region_k, ["userid", "cityid"], True
+            self._user_visits, shops, "region", self.p.region_k, ["userid", "cityid"], True
         )
 
     def _districts(self, visits: DataFrame) -> DataFrame:
@@ -374,21 +463,25 @@ class Job:
 
     @cached_property
     def tag_district(self) -> DataFrame:
-        return self._districts(self.user_visits)
+        return self._districts(self._user_visits)
 
     @cached_property
     def shop_attributes(self) -> DataFrame:
         shops = self.wh.current_shops("shop_id", "city_id", "cat0_id", "shop_tags", "avg_price")
         return tg.shop_attributes(shops, self.p.top_category)
 
+    @cached_property
+    def _shop_attributes(self) -> DataFrame:
+        return self._cut(self.shop_attributes, "shop-attributes")
+
     @cached_property
     def shop_tags_exploded(self) -> DataFrame:
-        return tg.shop_tags(self.shop_attributes, self.wh.tag_vocabulary())
+        return tg.shop_tags(self._shop_attributes, self.wh.tag_vocabulary())
 
     @cached_property
     def shop_tags_by_type(self) -> DataFrame:
         """Both families in one table, told apart by type: later steps handle them in one pass."""
-        return self.shop_tags_exploded.filter(F.col("tagtype").isin("character", "atmosphere"))
+        return self.shop_tags_exploded.filter(F.col("tagtype").isin(*self.p.tag_types))
 
     @cached_property
     def shop_tag_tf(self) -> DataFrame:
@@ -396,15 +489,15 @@ class Job:
 
     @cached_property
     def shop_tag_tfidf(self) -> DataFrame:
-        return tf_idf(self.shop_tag_tf, "tagtype", "shopid", "tag", "score")
+        return tf_idf(self.shop_tag_tf, "tagtype", "shopid", "tag", "score", self.p.idf_docs)
 
     @cached_property
     def tag_user_tfidf(self) -> DataFrame:
-        return tg.user_tags(self.shop_tag_tfidf, self.user_visits)
+        return tg.user_tags(self.shop_tag_tfidf, self._user_visits)
 
     @cached_property
     def tag_price_bucket(self) -> DataFrame:
-        return tg.price_tags(self.shop_attributes, self.user_visits, self.p.price_k)
+        return tg.price_tags(self._shop_attributes, self._user_visits, self.p.price_k)
 
     @cached_property
     def tag_union(self) -> DataFrame:
@@ -419,20 +512,24 @@ class Job:
         log = self.wh.traffic("user_id", "shop_id", "hp_log_type", "hp_stat_time", since=bounds[0])
         return tg.sliced_distinct_visits(log, bounds)
 
+    @cached_property
+    def _sliced(self) -> DataFrame:
+        return self._cut(self.visits_sliced_distinct, "sliced")
+
     @cached_property
     def tag_region_raw(self) -> DataFrame:
         shops = self.wh.current_shops("shop_id", "city_id", "region_id", "region_name")
         return tg.location_tags(
-            self.visits_sliced_distinct, shops, "region", self.p.region_k, ["userid"], False
+            self._sliced, shops, "region", self.p.region_k, ["userid"], False
         )
 
     @cached_property
     def tag_union_mobile(self) -> DataFrame:
-        visits = self.visits_sliced_distinct
+        visits = self._sliced
         return merging.union_weighted([
             (self.tag_region_raw, 1.0), (self._districts(visits), 1.0),
             (tg.user_tags(self.shop_tag_tfidf, visits), self.p.tfidf_weight),
-            (tg.price_tags(self.shop_attributes, visits, self.p.price_k), 1.0),
+            (tg.price_tags(self._shop_attributes, visits, self.p.price_k), 1.0),
         ], "score")
 
     @cached_property
@@ -441,7 +538,7 @@ class Job:
         top = top_k_per_group(
             self.tag_region, ["userid", "cityid"], self.p.export_k, "score", ["tag"]
         )
-        path = new_path(self.spark, "region-tags")
+        path = self._path("region-tags")
         storage.export_text(top.select(*schemas.USER_TAGS.names), path)
         return storage.import_text(self.spark, path, schemas.USER_TAGS)
 
@@ -452,7 +549,7 @@ class Job:
 
     @cached_property
     def clustered_output(self) -> DataFrame:
-        path = new_path(self.spark, "user-tags")
+        path = self._path("user-tags")
         order = [F.col("userid"), F.col("cityid"), F.col("score").desc()]
         storage.save_clustered(self.tag_user_tfidf, path, ["userid"], order)
         return self.spark.read.schema(schemas.USER_TAGS).parquet(path)
@@ -480,7 +577,8 @@ class Job:
 
     @cached_property
     def reviews_of_tagged_shops(self) -> DataFrame:
-        return restrict(self.reviews_with_text, di.with_dishes(self._dish_info), ["shopid"])
+        heads = restrict(self.wh.review_heads(), di.with_dishes(self._dish_info), ["shopid"])
+        return di.reviews_with_text(heads, self.wh.review_bodies(), self.p.review_text_after)
 
     @cached_property
     def shop_dishes(self) -> DataFrame:
@@ -492,29 +590,29 @@ class Job:
 
     @cached_property
     def dish_dictionary(self) -> DataFrame:
-        path = new_path(self.spark, "dish-dictionary")
+        path = self._path("dish-dictionary")
         storage.export_text(di.build_dictionary(self.shop_dishes_clean), path)
         return storage.import_text(self.spark, path, schemas.DICTIONARY)
 
+    def _reviews_with_dishes(self, *keep: str) -> DataFrame:
+        heads = di.heads_with_dishes(self.wh.review_heads(), self.shop_dishes_clean)
+        return di.reviews_with_text(
+            heads, self.wh.review_bodies(), self.p.review_text_after, "dishes", *keep
+        )
+
     @cached_property
     def dish_mentions(self) -> DataFrame:
-        return di.mention_counts(self.reviews_of_tagged_shops, self.shop_dishes_clean)
+        return di.mention_counts(self._reviews_with_dishes())
 
     @cached_property
     def dish_mentions_merged(self) -> DataFrame:
-        """Two extracts, by date of the text, written as text files, loaded together and summed."""
-        split = F.col("hp_statdate") <= F.lit(self.p.extract_split).cast("date")
-        bodies = self.wh.review_bodies()
-        paths = []
-        for half in (bodies.filter(split), bodies.filter(~split)):
-            reviews = restrict(
-                di.reviews_with_text(self.wh.review_heads(), half, self.p.review_text_after),
-                di.with_dishes(self._dish_info), ["shopid"],
-            )
-            path = new_path(self.spark, "dish-mentions")
-            storage.export_text(di.mention_counts(reviews, self.shop_dishes_clean), path)
-            paths.append(path)
-        return di.merge_extracts(storage.import_text(self.spark, paths, schemas.MENTIONS))
+        """Two extracts, by date of the text, written as text files in one pass, loaded together and
+        summed."""
+        late = F.col("hp_statdate") > F.lit(self.p.extract_split).cast("date")
+        reviews = self._reviews_with_dishes("hp_statdate").withColumn("late", late.cast("int"))
+        path = self._path("dish-mentions")
+        storage.export_text(di.mention_counts(reviews, "late"), path, by=["late"])
+        return di.merge_extracts(storage.import_text(self.spark, path, schemas.MENTIONS))
 
     # -- keyword recommendation -------------------------------------------------------------------
 
@@ -524,7 +622,7 @@ class Job:
             "guid_str", "city_id", "hp_log_type", "hp_stat_time", "path",
             since=self.p.visit_since,
         )
-        return kw.user_searches(log, self.identity_main_user)
+        return kw.user_searches(log, self._main_user)
 
     @cached_property
     def user_searches_clean(self) -> DataFrame:
@@ -579,11 +677,12 @@ class Job:
 
     @cached_property
     def keyword_shop_share(self) -> DataFrame:
-        return kw.keyword_shop_share(self.keyword_shop_counts)
+        return kw.keyword_shop_share(self._cut(self.keyword_shop_counts, "shop-counts"))
 
     @cached_property
     def _dominant(self) -> DataFrame:
-        return self.keyword_shop_share.filter(F.col("score") > self.p.dominant_share)
+        named = self.keyword_shop_share.filter(F.col("score") > self.p.dominant_share)
+        return self._cut(named, "dominant")
 
     @cached_property
     def keyword_rec_canonical(self) -> DataFrame:
@@ -604,7 +703,7 @@ class Job:
         log = self.wh.traffic(
             "guid_str", "page_id", "hp_log_type", "path", since=self.p.active_since
         )
-        return kw.recent_views(log, self.identity_main_user)
+        return kw.recent_views(log, self._main_user, self.p)
 
     @cached_property
     def _views(self) -> DataFrame:
@@ -616,7 +715,7 @@ class Job:
 
     @cached_property
     def shopname_rec(self) -> DataFrame:
-        return kw.shop_name_recs(self._views, self.wh.item_edges(), self._named_shops)
+        return kw.shop_name_recs(self._views, self._item_edges, self._named_shops)
 
     @cached_property
     def shopname_rec_damped(self) -> DataFrame:
@@ -636,7 +735,7 @@ class Job:
 
     # -- trending keywords ------------------------------------------------------------------------
 
-    def _search_clicks(self, **window: str) -> DataFrame:
+    def _search_clicks(self, **window) -> DataFrame:
         log = self.wh.traffic(
             "guid_str", "user_id", "city_id", "shop_id", "hp_log_type", "hp_stat_time", "path",
             "referer", **window,
@@ -657,41 +756,55 @@ class Job:
 
     @cached_property
     def keyword_city_share(self) -> DataFrame:
-        return tr.keyword_share(self.keyword_city_counts, self.p)
+        counts = self._cut(self.keyword_city_counts, "keyword-counts")
+        return tr.keyword_share(counts, self.p)
 
     @cached_property
-    def keyword_previous_share(self) -> DataFrame:
-        """The shares of an earlier period: the state the trend is measured against."""
-        earlier = tr.clean_clicks(self._search_clicks(before=self.p.trend_prev_before), self.p)
-        return tr.keyword_share(tr.keyword_counts(earlier), self.p)
+    def _period_shares(self) -> DataFrame:
+        """The shares of the current and of an earlier period, from one scan of the log."""
+        bounds = (self.p.visit_since, self.p.trend_prev_before)
+        clicks = tr.clean_clicks(self._search_clicks(periods=bounds), self.p)
+        counts = tr.keyword_counts(in_periods(clicks, "dt", *bounds), "period")
+        return tr.keyword_share(self._cut(counts, "period-counts"), self.p, "period")
 
     @cached_property
     def keyword_trend(self) -> DataFrame:
+        """Shares against those of the day before; without a stored day those of an earlier period."""
         keys = ["cityid", "keyword"]
-        return trend_delta(self.keyword_city_share, self.keyword_previous_share, keys, "score")
+        stored = self._before("keyword-shares")
+        if stored is not None:
+            return trend_delta(self.keyword_city_share, stored, keys, "score")
+        return period_delta(self._period_shares, keys, "score")
 
     @cached_property
     def keyword_trend_top25(self) -> DataFrame:
         return tr.rising(self.keyword_trend, self.p)
 
-    @cached_property
-    def keyword_canonical(self) -> DataFrame:
+    def _hot_names(self, rising: DataFrame) -> DataFrame:
         return joins.canonicalise(
-            self.keyword_trend_top25, self._dominant, ["cityid", "keyword"], "keyword", "shopname"
+            rising, self._dominant, ["cityid", "keyword"], "keyword", "shopname"
         )
 
+    @cached_property
+    def keyword_canonical(self) -> DataFrame:
+        return self._hot_names(self.keyword_trend_top25)
+
     @cached_property
     def keyword_hot_top15(self) -> DataFrame:
         return tr.finalise(self.keyword_canonical, self.p)
 
     @cached_property
     def keyword_hot_history(self) -> DataFrame:
-        """Two runs appended to one history table."""
-        path = new_path(self.spark, "hot-history")
-        today = self._cut(self.keyword_hot_top15, "hot")
-        storage.append_history(today, path, self.p.trend_prev_before)
-        storage.append_history(today, path, self.p.as_of)
-        return self.spark.read.schema(schemas.KEYWORD_HISTORY).parquet(path)
+        """The lists of two runs: of the earlier period, which has nothing before it, and of today."""
+        state = storage.VersionedState(
+            self.spark, self._path("hot-history"), schemas.KEYWORD_SCORES
+        )
+        first = self._period_shares.filter("period = 0").drop("period")
+        state.write(
+            tr.finalise(self._hot_names(tr.rising(first, self.p)), self.p), self.p.trend_prev_before
+        )
+        state.write(self.keyword_hot_top15, self.p.as_of)
+        return state.history()
 
     # -- sampling ---------------------------------------------------------------------------------
 
@@ -700,4 +813,5 @@ class Job:
         """The sampled ratings with their random number."""
         cols = ["userid", "cityid", "shopid"]
         u = hash_uniform(*cols, salt=f"{self.p.seed}-sample")
-        return self.ratings_load.withColumn("u", u).filter(F.col("u") > 0.3)
+        sampled = self.ratings_load.withColumn("u", u)
+        return sampled.filter(F.col("u") > self.p.sample_drop) if self.p.sample_drop else sampled

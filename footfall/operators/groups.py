@@ -57,12 +57,17 @@ def group_entropy(weight: str) -> Column:
     return F.log(F.sum(w)) - F.sum(w * F.log(w)) / F.sum(w)
 
 
-def tf_idf(df: DataFrame, family: str, doc: str, term: str, weight: str) -> DataFrame:
-    """weight * ln(documents of the family / rows of the term), in every family at once."""
-    docs = df.groupBy(family).agg(F.count_distinct(doc).alias("_docs"))
+def tf_idf(
+    df: DataFrame, family: str, doc: str, term: str, weight: str, n_docs: int | None = None
+) -> DataFrame:
+    """weight * ln(documents of the family / rows of the term), in every family at once.
+
+    ``n_docs`` is the number of documents of each family where it is known; else it is counted."""
     rows = df.groupBy(family, term).agg(F.count(F.lit(1)).alias("_rows"))
-    idf = rows.join(docs, family).select(
-        family, term, F.log(F.col("_docs") / F.col("_rows")).alias("_idf")
-    )
+    if n_docs is None:
+        rows = rows.join(df.groupBy(family).agg(F.count_distinct(doc).alias("_docs")), family)
+    else:
+        rows = rows.withColumn("_docs", F.lit(n_docs))
+    idf = rows.select(family, term, F.log(F.col("_docs") / F.col("_rows")).alias("_idf"))
     scored = join_per_key(df, idf, [family, term])
     return scored.withColumn(weight, F.col(weight) * F.col("_idf")).drop("_idf")

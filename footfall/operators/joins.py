@@ -62,6 +62,23 @@ def trend_delta(new: DataFrame, old: DataFrame, keys: Sequence[str], score: str)
     return new.join(before, list(keys), "left").withColumn(score, moved).drop("_old")
 
 
+def in_periods(df: DataFrame, day: str, since: str, before: str) -> DataFrame:
+    """Rows of the current period (on or after ``since``, period 1) and of an earlier one (before
+    ``before``, period 0), from one scan; a row may be in both."""
+    now = F.when(F.col(day) >= F.lit(since).cast("date"), 1)
+    then = F.when(F.col(day) < F.lit(before).cast("date"), 0)
+    both = df.withColumn("period", F.explode(F.array(now, then)))
+    return both.filter(F.col("period").isNotNull())
+
+
+def period_delta(scored: DataFrame, keys: Sequence[str], score: str) -> DataFrame:
+    """``trend_delta`` of period 1 against period 0 of one table, as one aggregate."""
+    new = F.max(F.when(F.col("period") == 1, F.col(score)))
+    old = F.max(F.when(F.col("period") == 0, F.col(score)))
+    moved = scored.groupBy(*keys).agg((new - F.coalesce(old, F.lit(0.0))).alias(score))
+    return moved.filter(F.col(score).isNotNull())
+
+
 def canonicalise(
     df: DataFrame, names: DataFrame, keys: Sequence[str], word: str, name: str
 ) -> DataFrame:

@@ -1,65 +1,35 @@
-"""Best partners by shared groups: users that rate the same items, words that one user searches.
-
-For left rows (part, group, a, w) and right rows (part, group, b, w) the pair (a, b) has
-``total`` = sum of w_a * w_b over shared groups and ``rows`` = number of shared row pairs; a score of
-both decides the k best b of each a.
-
-A plain join on the group gives every pair of a group as a row, which is quadratic in the group. It is
-used for groups of bounded size only. The result stays exact because pairs are split by member:
-
-* pairs where at least one member is in no oversized group share small groups only: plain join;
-* pairs of two members of oversized groups are counted in tiles of the pair matrix. A task adds up a
-  tile in memory, whole, and passes on k partners per member instead of all pairs;
-* a member with very many rows would make its tiles slow, so its pairs are joined instead. There are
-  few such members, and one costs at most one pass over the rows.
-"""
+"""Best partners by shared groups: users that rate the same items, words that one user searches."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from typing import Any
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.operators.joins import join_per_key
 from footfall.operators.ranking import top_k_per_group
-from footfall.sources.storage import materialise
-
-# (function module, total, rows) -> score; the module is pyspark.sql.functions or numpy
-Score = Callable[[Any, Any, Any], Any]
 
 
 def top_pairs(
     left: DataFrame, right: DataFrame, part: str, group: Sequence[str], a: str, b: str,
-    score: Score, k: int, hot_pairs: int, tile: int, heavy_rows: int,
+    score: Callable[[Column, Column], Column], k: int,
 ) -> DataFrame:
+    """For left rows (part, group, a, w) and right rows (part, group, b, w) the pair (a, b) has
+    ``total`` = sum of w_a * w_b over shared groups and ``rows`` = number of shared row pairs; the
+    score of both decides the k best b of each a.
+
+    One join on part and group, at every size. Rows of a member in a group are summed first, so both
+    inputs come straight from a shuffle on the join keys and Spark splits a group that holds a large
+    part of them; sums per pair are combined before they are shuffled. The pairs of a group are the
+    work: their number is what the score is defined on."""
     keys = [part, *group]
-    lhs = materialise(_compact(left, keys, a, "a"), "pairs-left")
-    rhs = materialise(_compact(right, keys, b, "b"), "pairs-right")
-    hot = (
-        lhs.groupBy(*keys).agg(F.count(F.lit(1)).alias("nl"))
-        .join(rhs.groupBy(*keys).agg(F.count(F.lit(1)).alias("nr")), keys)
-        .filter(F.col("nl").cast("double") * F.col("nr") > hot_pairs).select(*keys)
+    rows = _compact(left, keys, a, "a").join(_compact(right, keys, b, "b"), keys)
+    pairs = rows.filter(F.col("a") != F.col("b")).groupBy(part, "a", "b").agg(
+        F.sum(F.col("wa") * F.col("wb")).alias("total"),
+        F.sum(F.col("ca") * F.col("cb")).alias("rows"),
     )
-    if hot.isEmpty():
-        pairs = _joined(lhs, rhs, keys, part)
-    else:
-        hot = materialise(hot, "pairs-hot")
-        lhs = materialise(_classed(lhs, hot, keys, part, "a", heavy_rows), "pairs-left-classed")
-        rhs = materialise(_classed(rhs, hot, keys, part, "b", heavy_rows), "pairs-right-classed")
-        tiled = F.col("_class") == _TILED
-        pairs = (
-            _joined(lhs.filter(~tiled), rhs, keys, part)
-            .unionByName(_joined(lhs.filter(tiled), rhs.filter(~tiled), keys, part))
-            .unionByName(
-                _tiled(lhs.filter(tiled), rhs.filter(tiled), keys, part, score, k, tile)
-            )
-        )
     scored = pairs.select(
         part, F.col("a").alias(a), F.col("b").alias(b),
-        score(F, F.col("total"), F.col("rows")).alias("score"),
+        score(F.col("total"), F.col("rows")).alias("score"),
     )
     return top_k_per_group(scored, [part, a], k, "score", [b])
 
@@ -69,180 +39,3 @@ def _compact(df: DataFrame, keys: list[str], member: str, out: str) -> DataFrame
     return df.groupBy(*keys, F.col(member).alias(out)).agg(
         F.sum("w").alias(f"w{out}"), F.count(F.lit(1)).alias(f"c{out}")
     )
-
-
-def _joined(lhs: DataFrame, rhs: DataFrame, keys: list[str], part: str) -> DataFrame:
-    rows = lhs.drop("_class").join(rhs.drop("_class"), keys).filter(F.col("a") != F.col("b"))
-    return rows.groupBy(part, "a", "b").agg(
-        F.sum(F.col("wa") * F.col("wb")).alias("total"),
-        F.sum(F.col("ca") * F.col("cb")).alias("rows"),
-    )
-
-
-_COLD, _TILED, _HEAVY = 0, 1, 2
-
-
-def _classed(
-    df: DataFrame, hot: DataFrame, keys: list[str], part: str, member: str, heavy_rows: int
-) -> DataFrame:
-    flagged = df.join(hot.withColumn("_hot", F.lit(1)), keys, "left")
-    members = flagged.groupBy(part, member).agg(
-        F.count("_hot").alias("_in_hot"), F.count(F.lit(1)).alias("_n")
-    )
-    kind = (
-        F.when(F.col("_in_hot") == 0, _COLD).when(F.col("_n") > heavy_rows, _HEAVY)
-        .otherwise(_TILED)
-    )
-    classes = members.select(part, member, kind.alias("_class"))
-    return join_per_key(df, classes, [part, member])
-
-
-def _tiled(
-    lhs: DataFrame, rhs: DataFrame, keys: list[str], part: str, score: Score, k: int, tile: int
-) -> DataFrame:
-    def n_blocks(df: DataFrame, member: str, out: str) -> DataFrame:
-        n = F.count_distinct(member)
-        return df.groupBy(part).agg(F.ceil(n / F.lit(tile)).cast("int").alias(out))
-
-    blocks = n_blocks(lhs, "a", "_na").join(n_blocks(rhs, "b", "_nb"), part)
-
-    def side(df: DataFrame, member: str, own: str, other: str, n_own: str, n_other: str, no: int):
-        block = F.pmod(F.xxhash64(member), F.col(n_own)).cast("int")
-        return df.join(blocks, part).select(
-            part, *keys[1:], F.lit(no).alias("side"), F.col(member).alias("m"),
-            F.col(f"w{member}").alias("w"), F.col(f"c{member}").alias("c"),
-            block.alias(own), F.explode(F.sequence(F.lit(0), F.col(n_other) - 1)).alias(other),
-        )
-
-    rows = side(lhs, "a", "i", "j", "_na", "_nb", 0).unionByName(
-        side(rhs, "b", "j", "i", "_nb", "_na", 1)
-    )
-    spark = lhs.sparkSession
-    tile_id = [part, "i", "j"]
-    laid_out = rows.repartition(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), *tile_id
-    ).sortWithinPartitions(*tile_id, *keys[1:], "side")
-    schema = T.StructType([
-        T.StructField(part, lhs.schema[part].dataType),
-        T.StructField("a", lhs.schema["a"].dataType),
-        T.StructField("b", rhs.schema["b"].dataType),
-        T.StructField("total", T.DoubleType()),
-        T.StructField("rows", T.LongType()),
-    ])
-    group = keys[1:]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current: _Tile | None = None
-        for name, rows, group_no in _runs(batches, tile_id, group):
-            if current is None or current.name != name:
-                if current is not None:
-                    yield current.best(part, score, k)
-                current = _Tile(name)
-            current.add(rows, group_no)
-        if current is not None:
-            yield current.best(part, score, k)
-
-    return laid_out.mapInPandas(run, schema)
-
-
-def _runs(
-    batches: Iterator[pd.DataFrame], tile_id: list[str], group: list[str]
-) -> Iterator[tuple[tuple, pd.DataFrame, np.ndarray]]:
-    """(tile, rows, group number of each row) with whole groups only; the last group of a batch waits
-    for the next one. A group has at most one row per member of the tile, so this is never large."""
-    carry: pd.DataFrame | None = None
-
-    def split(rows: pd.DataFrame, starts: np.ndarray) -> Iterator:
-        ids = rows[tile_id].iloc[starts]
-        cuts = np.flatnonzero((ids != ids.shift()).any(axis=1).to_numpy())
-        for lo, hi in zip(cuts, [*cuts[1:], len(starts)]):
-            begin = starts[lo]
-            end = starts[hi] if hi < len(starts) else len(rows)
-            sizes = np.diff([*starts[lo:hi], end])
-            numbers = np.repeat(np.arange(hi - lo), sizes)
-            yield tuple(ids.iloc[lo]), rows.iloc[begin:end], numbers
-
-    for batch in batches:
-        if carry is not None:
-            batch = pd.concat([carry, batch], ignore_index=True)
-        ids = batch[[*tile_id, *group]]
-        starts = np.flatnonzero((ids != ids.shift()).any(axis=1).to_numpy())
-        whole = batch.iloc[: starts[-1]]
-        carry = batch.iloc[starts[-1]:]
-        if len(whole):
-            yield from split(whole, starts[:-1])
-    if carry is not None and len(carry):
-        yield from split(carry, np.array([0]))
-
-
-_GROUPS_AT_ONCE = 256
-
-
-class _Tile:
-    """Sums of one block of left members times one block of right members."""
-
-    def __init__(self, name: tuple):
-        self.name = name
-        self.members: tuple[dict, dict] = ({}, {})
-        self.total = np.zeros((64, 64))
-        self.rows = np.zeros((64, 64), dtype=np.int64)
-
-    def add(self, rows: pd.DataFrame, group_no: np.ndarray) -> None:
-        """Add whole groups: a (member, group) matrix per side, multiplied over the groups."""
-        left = rows["side"].to_numpy() == 0
-        shared = np.intersect1d(group_no[left], group_no[~left])
-        if not len(shared):
-            return
-        m, w, c = (rows[x].to_numpy() for x in ("m", "w", "c"))
-        for lo in range(0, len(shared), _GROUPS_AT_ONCE):
-            some = shared[lo : lo + _GROUPS_AT_ONCE]
-            column = np.minimum(np.searchsorted(some, group_no), len(some) - 1)
-            here = some[column] == group_no
-            sides = []
-            for side, mask in enumerate((left & here, ~left & here)):
-                index, used = self._index(side, m[mask])
-                weights = np.zeros((len(used), len(some)))
-                counts = np.zeros((len(used), len(some)))
-                weights[index, column[mask]] = w[mask]
-                counts[index, column[mask]] = c[mask]
-                sides.append((used, weights, counts))
-            (ia, wa, ca), (ib, wb, cb) = sides
-            self._fit()
-            cell = np.ix_(ia, ib)
-            self.total[cell] += wa @ wb.T
-            self.rows[cell] += (ca @ cb.T).astype(np.int64)
-
-    def _index(self, side: int, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row of each member among the members at hand, and their rows in the tile."""
-        code, distinct = pd.factorize(members)
-        known = self.members[side]
-        return code, np.array([known.setdefault(x, len(known)) for x in distinct])
-
-    def _fit(self) -> None:
-        for axis in (0, 1):
-            size, need = self.total.shape[axis], len(self.members[axis])
-            if need > size:
-                pad = [(0, 0), (0, 0)]
-                pad[axis] = (0, max(size, need - size))
-                self.total, self.rows = np.pad(self.total, pad), np.pad(self.rows, pad)
-
-    def best(self, part: str, score: Score, k: int) -> pd.DataFrame:
-        a = np.array(list(self.members[0]), dtype=object)
-        b = np.array(list(self.members[1]), dtype=object)
-        order = np.argsort(b, kind="stable")
-        b = b[order]
-        total = self.total[: len(a), : len(self.members[1])][:, order]
-        rows = self.rows[: len(a), : len(self.members[1])][:, order]
-        valid = (rows > 0) & (a[:, None] != b[None, :])
-        value = score(np, total, np.where(valid, rows, 1))
-        key = np.where(valid, -np.floor(value * 1e6 + 0.5), np.inf)
-        top = np.argsort(key, axis=1, kind="stable")[:, :k]
-        at_a = np.repeat(np.arange(len(a)), top.shape[1])
-        at_b = top.ravel()
-        keep = valid[at_a, at_b]
-        at_a, at_b = at_a[keep], at_b[keep]
-        return pd.DataFrame({
-            part: np.full(len(at_a), self.name[0], dtype=object),
-            "a": a[at_a], "b": b[at_b],
-            "total": total[at_a, at_b], "rows": rows[at_a, at_b],
-        })

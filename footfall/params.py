@@ -20,9 +20,23 @@ class Params:
         "2001-01-01", "2001-02-01", "2001-03-01", "2001-04-01", "2001-05-01",
     )
 
-    # random factors and row sampling; False means factor 1 and every row
-    jitter: bool = True
+    # random factors: the lowest factor, 1 means none
     seed: str = "footfall"
+    hop_jitter: float = 0.5
+    region_jitter: float = 0.6
+    backfill_jitter: float = 0.6
+    keyword_jitter: float = 0.2
+
+    # row sampling: the share of rows to drop, 0 means every row
+    hop_drop: float = 0.5
+    dislike_drop: float = 0.5
+    carry_drop: float = 0.5
+    cf_drop: float = 0.3
+    click_drop: float = 0.7
+    sample_drop: float = 0.3
+
+    # identity
+    min_pair_count: int = 1
 
     # shop eligibility
     current_version: str = "3000-12-31"
@@ -54,6 +68,9 @@ class Params:
     price_k: int = 20
     export_k: int = 3
     tfidf_weight: float = 10.0
+    page_type: int = 12
+    tag_types: tuple[str, ...] = ("character", "atmosphere")
+    idf_docs: int | None = None  # documents of a tag type; None counts them
 
     # ratings
     min_rating: int = 10
@@ -73,14 +90,9 @@ class Params:
     keyword_final_k: int = 25
     dominant_share: float = 0.5
     max_keyword_len: int = 9
-    max_shop_name_len: int = 18
+    max_shop_name_len: int = 12
     shop_name_k: int = 5
     hot_min_clicks: int = 5
     hot_max_trend: float = 0.5
     hot_k: int = 25
     hot_final_k: int = 15
-
-    # pair counting: see operators/pairs.py
-    hot_pairs: int = 1_000_000
-    tile: int = 1024
-    heavy_rows: int = 100_000

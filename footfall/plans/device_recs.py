@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall import schemas
-from footfall.functions.sampling import hash_uniform, jitter
+from footfall.functions.sampling import jitter, kept
 from footfall.operators.groups import divide_by_count, share_of_total
 from footfall.operators.joins import exclude, expand, join_per_key, restrict
 from footfall.operators.merging import merge_scores
@@ -15,6 +15,7 @@ from footfall.plans.region import app_events
 
 DEVICE_CITY = ["deviceid", "cityid"]
 REC = ["deviceid", "cityid", "shopid"]
+REGION_SHOP = ["cityid", "regionid", "shopid"]
 
 
 def decayed_visits(traffic: DataFrame, p: Params) -> DataFrame:
@@ -33,10 +34,10 @@ def decayed_visits(traffic: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def active_visits(traffic: DataFrame) -> DataFrame:
+def active_visits(traffic: DataFrame, *period: str) -> DataFrame:
     visits = traffic.filter(app_events())
     return visits.select(
-        "deviceid", F.col("user_id").alias("userid"), F.col("shop_id").alias("shopid")
+        *period, "deviceid", F.col("user_id").alias("userid"), F.col("shop_id").alias("shopid")
     ).distinct()
 
 
@@ -54,13 +55,12 @@ def expand_items(
 ) -> DataFrame:
     """One hop from (device, shop) to similar shops; the best k per device and city."""
     rows = scored.select(*row_key, weight.alias("_w"))
-    keep = hash_uniform(*row_key, "sid2", salt=f"{p.seed}-{salt}-row") > 0.5 if p.jitter else None
     hop = expand(
         rows, edges, ["shopid"], ["deviceid", "cityid", "sid2"], F.col("_w") * F.col("edge"),
-        "rank", keep,
+        "rank", kept(p.hop_drop, *row_key, "sid2", salt=f"{p.seed}-{salt}-row"),
     ).withColumnRenamed("sid2", "shopid")
-    if p.jitter:
-        hop = hop.withColumn("rank", F.col("rank") * jitter(0.5, *REC, salt=f"{p.seed}-{salt}"))
+    factor = jitter(p.hop_jitter, *REC, salt=f"{p.seed}-{salt}")
+    hop = hop.withColumn("rank", F.col("rank") * factor)
     return top_k_per_group(hop.select(*REC, "rank"), DEVICE_CITY, k, "rank", ["shopid"])
 
 
@@ -74,9 +74,9 @@ def expand_dislikes(feedback: DataFrame, edges: DataFrame, p: Params) -> DataFra
         "deviceid", "cityid", F.col("shopid").alias("sid1"), F.col("updatetime").alias("dt")
     )
     near = disliked.join(edges.select("sid1", F.col("sid2").alias("shopid")), "sid1")
-    if p.jitter:
-        u = hash_uniform("deviceid", "sid1", "shopid", "dt", salt=f"{p.seed}-dislike")
-        near = near.filter(u > 0.5)
+    near = near.filter(
+        kept(p.dislike_drop, "deviceid", "sid1", "shopid", "dt", salt=f"{p.seed}-dislike")
+    )
     order = [F.col("dt").desc(), F.col("cityid"), F.col("shopid"), F.col("sid1")]
     return first_k(near, ["deviceid"], p.dislike_k, order).select(*REC, "dt")
 
@@ -120,27 +120,26 @@ def mark_seen(recs: DataFrame, visits: DataFrame) -> DataFrame:
     return recs.join(seen, keys, "left").select(*REC, sign.alias("rank"))
 
 
-def region_hot_shops(active: DataFrame, shops: DataFrame) -> DataFrame:
-    """Active devices per eligible shop."""
-    devices = active.select("deviceid", "shopid").distinct()
-    per_shop = devices.groupBy("shopid").agg(F.count(F.lit(1)).alias("cnt"))
+def region_hot_shops(active: DataFrame, shops: DataFrame, *period: str) -> DataFrame:
+    """Active devices per eligible shop, per period if there are several."""
+    devices = active.select(*period, "deviceid", "shopid").distinct()
+    per_shop = devices.groupBy(*period, "shopid").agg(F.count(F.lit(1)).alias("cnt"))
     placed = shops.select(
         F.col("shop_id").alias("shopid"),
         F.col("city_id").alias("cityid"),
         F.col("region_id").alias("regionid"),
     )
-    return per_shop.join(placed, "shopid").select("cityid", "regionid", "shopid", "cnt")
+    return per_shop.join(placed, "shopid").select(*period, *REGION_SHOP, "cnt")
 
 
-def region_tf(hot: DataFrame, p: Params, salt: str) -> DataFrame:
+def region_tf(hot: DataFrame, p: Params, salt: str | Column, *period: str) -> DataFrame:
     """ln(c) * c / (region total), counts above a floor only; the total is over all counts."""
     shared = share_of_total(
-        hot, ["cityid", "regionid"], "cnt", "_tf", min_value=p.hot_min_count + 1
+        hot, [*period, "cityid", "regionid"], "cnt", "_tf", min_value=p.hot_min_count + 1
     )
-    score = F.log("cnt") * F.col("_tf")
-    if p.jitter:
-        score = score * jitter(0.6, "cityid", "regionid", "shopid", salt=f"{p.seed}-{salt}")
-    return shared.select("cityid", "regionid", "shopid", score.alias("score"))
+    factor = jitter(p.region_jitter, *REGION_SHOP, salt=salt)
+    score = F.log("cnt") * F.col("_tf") * factor
+    return shared.select(*period, *REGION_SHOP, score.alias("score"))
 
 
 def region_recs(
@@ -161,10 +160,8 @@ def region_recs(
 
 def carry_over(state: DataFrame, recs: DataFrame, p: Params) -> DataFrame:
     """Earlier recommendations of the devices and cities of today."""
-    kept = restrict(state, recs, DEVICE_CITY)
-    if p.jitter:
-        kept = kept.filter(hash_uniform(*REC, salt=f"{p.seed}-carry") > 0.5)
-    return kept.select(*REC, "rank")
+    todays = restrict(state, recs, DEVICE_CITY)
+    return todays.filter(kept(p.carry_drop, *REC, salt=f"{p.seed}-carry")).select(*REC, "rank")
 
 
 def backfill(
@@ -172,9 +169,7 @@ def backfill(
 ) -> DataFrame:
     """Today's rows, carried rows, and regional rows at the average rank of their device and city."""
     mean = recs.groupBy(*DEVICE_CITY).agg(F.avg("rank").alias("_m"))
-    rank = F.col("_m")
-    if p.jitter:
-        rank = rank * jitter(0.6, *REC, salt=f"{p.seed}-backfill")
+    rank = F.col("_m") * jitter(p.backfill_jitter, *REC, salt=f"{p.seed}-backfill")
     filled = regional.join(mean, DEVICE_CITY).select(*REC, rank.alias("rank"))
     return carried.unionByName(recs).unionByName(filled)
 

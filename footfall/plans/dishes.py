@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from footfall.operators.joins import join_per_key
 from footfall.operators.packed import explode_tags
 from footfall.params import Params
 from footfall.plans.shops import eligible
 
 
-def reviews_with_text(heads: DataFrame, bodies: DataFrame, after: str) -> DataFrame:
-    """Distinct reviews with their text. Joined and deduplicated on one shuffle by review."""
+#: Scripts whose words are not set apart by spaces.
+NO_SPACES = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+LETTER = r"[\p{L}\p{M}\p{N}]"
+
+
+def reviews_with_text(heads: DataFrame, bodies: DataFrame, after: str, *keep: str) -> DataFrame:
+    """Distinct reviews with their text, and the columns of the heads to keep. Joined and
+    deduplicated on one shuffle by review: the text is shuffled once."""
     recent = bodies.filter(F.col("hp_statdate") > F.lit(after).cast("date"))
-    joined = heads.join(recent.select("reviewid", "reviewbody"), "reviewid")
-    return joined.select("reviewid", "cityid", "shopid", "reviewbody").distinct()
+    joined = heads.distinct().join(recent.select("reviewid", "reviewbody", "hp_statdate"), "reviewid")
+    return joined.select("reviewid", "cityid", "shopid", "reviewbody", *keep).distinct()
+
+
+def heads_with_dishes(heads: DataFrame, dishes: DataFrame) -> DataFrame:
+    """Review heads of shops that list dishes, with the shop's list: a short tag list per shop."""
+    lists = dishes.groupBy("shopid").agg(F.array_sort(F.collect_set("tag")).alias("dishes"))
+    return join_per_key(heads.distinct(), lists, ["shopid"])
 
 
 def shop_info(shops: DataFrame, p: Params) -> DataFrame:
@@ -42,14 +55,23 @@ def build_dictionary(dishes: DataFrame) -> DataFrame:
     return counts.select(F.concat("tag", F.lit(" 1 n")).alias("entry"))
 
 
-def mention_counts(reviews: DataFrame, dishes: DataFrame) -> DataFrame:
-    """How often the reviews of a shop name each of its dishes. Whole texts are split into words and
-    counted per task first, so the shuffle carries (shop, word) counts and no text."""
-    word = F.explode(F.split(F.lower("reviewbody"), r"[^a-z]+"))
-    words = reviews.select("shopid", word.alias("dish")).filter(F.col("dish") != "")
-    counts = words.groupBy("shopid", "dish").agg(F.count(F.lit(1)).alias("c"))
-    wanted = dishes.select("shopid", F.col("tag").alias("dish")).distinct()
-    return counts.join(wanted, ["shopid", "dish"]).select("shopid", "dish", "c")
+def _pattern(dish: Column) -> Column:
+    """The dish's name as it stands, in lower case; set apart from other letters and digits where
+    the script has spaces."""
+    literal = F.concat(F.lit(r"\Q"), F.replace(F.lower(dish), F.lit(r"\E"), F.lit("")), F.lit(r"\E"))
+    apart = F.concat(F.lit(f"(?<!{LETTER})"), literal, F.lit(f"(?!{LETTER})"))
+    return F.when(dish.rlike(NO_SPACES), literal).otherwise(apart)
+
+
+def mention_counts(reviews: DataFrame, *by: str) -> DataFrame:
+    """How often the reviews of a shop name each of its dishes, in whole texts and any script. The
+    shop's dishes come with the review, so only (shop, dish) counts are shuffled."""
+    found = F.transform("dishes", lambda d: F.struct(
+        d.alias("dish"), F.regexp_count(F.lower("reviewbody"), _pattern(d)).alias("n")
+    ))
+    rows = reviews.select(*by, "shopid", F.explode(F.filter(found, lambda x: x.n > 0)).alias("f"))
+    counts = rows.groupBy(*by, "shopid", F.col("f.dish").alias("dish"))
+    return counts.agg(F.sum("f.n").cast("bigint").alias("c")).select(*by, "shopid", "dish", "c")
 
 
 def merge_extracts(extracts: DataFrame) -> DataFrame:

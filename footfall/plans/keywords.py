@@ -74,8 +74,7 @@ def keyword_edges(profile: DataFrame, p: Params) -> DataFrame:
     )
     return top_pairs(
         left, right, part="cityid", group=["userid", "day"], a="sid1", b="sid2",
-        score=lambda f, total, rows: f.log10(rows + 10), k=p.edge_k,
-        hot_pairs=p.hot_pairs, tile=p.tile, heavy_rows=p.heavy_rows,
+        score=lambda total, rows: F.log10(rows + 10), k=p.edge_k,
     )
 
 
@@ -93,9 +92,8 @@ def expand_keywords(
         source, edges, ["cityid", "sid1"], [*USER_CITY, "sid2"], F.col("score") * F.col("_w"),
         "_out",
     ).select(*USER_CITY, F.col("sid2").alias("keyword"), F.col("_out").alias("score"))
-    if p.jitter:
-        factor = jitter(0.2, "userid", "cityid", "keyword", salt=f"{p.seed}-{salt}")
-        hop = hop.withColumn("score", F.col("score") * factor)
+    factor = jitter(p.keyword_jitter, "userid", "cityid", "keyword", salt=f"{p.seed}-{salt}")
+    hop = hop.withColumn("score", F.col("score") * factor)
     return top_k_per_group(hop, USER_CITY, p.keyword_k, "score", ["keyword"])
 
 
@@ -136,9 +134,9 @@ def readable_keywords(recs: DataFrame, p: Params) -> DataFrame:
     return recs.filter(readable("keyword", p.max_keyword_len))
 
 
-def recent_views(traffic: DataFrame, main_user: DataFrame) -> DataFrame:
+def recent_views(traffic: DataFrame, main_user: DataFrame, p: Params) -> DataFrame:
     """Cookies of a user that viewed a shop."""
-    views = resolve_users(path_visits(traffic), main_user)
+    views = resolve_users(path_visits(traffic, p.page_type), main_user)
     return views.groupBy("userid", "shopid").agg(F.count("shopid").alias("cnt"))
 
 
@@ -171,7 +169,7 @@ def unseen_names(recs: DataFrame, views: DataFrame, shops: DataFrame) -> DataFra
 
 
 def top_names(recs: DataFrame, p: Params) -> DataFrame:
-    short = recs.filter(F.length("keyword") <= p.max_shop_name_len)
+    short = recs.filter(F.length("keyword") <= p.max_keyword_len)
     return top_k_per_group(short, USER_CITY, p.shop_name_k, "score", ["keyword"])
 
 

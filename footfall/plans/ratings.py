@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.functions.sampling import hash_uniform
+from footfall.functions.sampling import kept
 from footfall.operators.groups import divide_by_count, log_mean_ratio
 from footfall.operators.joins import exclude_from_totals, restrict
 from footfall.operators.pairs import top_pairs
@@ -40,8 +40,7 @@ def user_similarity(
     right = rows.select("cityid", "item", F.col("userid").alias("sid2"), F.col("score").alias("w"))
     return top_pairs(
         left, right, part="cityid", group=["item"], a="sid1", b="sid2",
-        score=lambda f, total, rows: total * f.log(rows), k=p.similar_k,
-        hot_pairs=p.hot_pairs, tile=p.tile, heavy_rows=p.heavy_rows,
+        score=lambda total, rows: total * F.log(rows), k=p.similar_k,
     )
 
 
@@ -51,10 +50,9 @@ def recommend(similar: DataFrame, rated: DataFrame, p: Params) -> DataFrame:
     liked = good.groupBy("cityid", "shopid", F.col("userid").alias("sid2")).agg(
         F.sum("score").alias("_r")
     )
-    rows = similar.join(liked, ["cityid", "sid2"])
-    if p.jitter:
-        u = hash_uniform("sid1", "sid2", "cityid", "shopid", salt=f"{p.seed}-cf")
-        rows = rows.filter(u > 0.3)
+    rows = similar.join(liked, ["cityid", "sid2"]).filter(
+        kept(p.cf_drop, "sid1", "sid2", "cityid", "shopid", salt=f"{p.seed}-cf")
+    )
     scored = rows.groupBy(F.col("sid1").alias("userid"), "cityid", "shopid").agg(
         F.sum(F.col("score") * F.col("_r")).alias("score")
     )

@@ -15,14 +15,13 @@ TAG = ["userid", "cityid", "tagtype", "tag", "score"]
 # Lower bounds (exclusive) of the price buckets, highest first.
 PRICE_BUCKETS = [(200, ">200"), (120, "121-200"), (80, "81-120"), (50, "51-80"), (20, "21-50")]
 PRICE_REST = "<=20"
-PAGE_TYPE = 12
 
 
-def path_visits(traffic: DataFrame) -> DataFrame:
+def path_visits(traffic: DataFrame, page_type: int) -> DataFrame:
     """Distinct (guid, shop) from shop page URLs, photo pages left out."""
     pages = traffic.filter(
         (F.col("hp_log_type") == 0)
-        & (F.col("page_id") == PAGE_TYPE)
+        & (F.col("page_id") == page_type)
         & url_match("path", SHOP_PATH, PHOTO_PATH)
     )
     return pages.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from footfall.functions.sampling import hash_uniform
+from footfall.functions.sampling import kept
 from footfall.functions.text import (
     PHOTO_PATH, SEARCH_CITY, SEARCH_DEEPER, SEARCH_PATH, SEARCH_WORD, SHOP_PATH, clean_keyword,
     has_text, url_match, url_number, url_part,
@@ -16,7 +16,7 @@ from footfall.params import Params
 
 
 def search_clicks(traffic: DataFrame, p: Params) -> DataFrame:
-    """Shop views that came from a search in the same city; signed-in rows and 30 % of the others."""
+    """Shop views that came from a search in the same city: signed-in rows and a sample of the others."""
     rows = traffic.filter(
         (F.col("hp_log_type") <= 1)
         & (F.col("city_id") > 0)
@@ -28,10 +28,10 @@ def search_clicks(traffic: DataFrame, p: Params) -> DataFrame:
         F.col("shop_id").alias("shopid"), url_part("referer", SEARCH_WORD).alias("keyword"),
         F.col("hp_stat_time").alias("dt"), "user_id",
     )
-    if p.jitter:
-        u = hash_uniform("guid", "cityid", "shopid", "keyword", "dt", salt=f"{p.seed}-clicks")
-        rows = rows.filter((F.col("user_id") > 0) | (u > 0.7))
-    return rows.drop("user_id")
+    sample = kept(
+        p.click_drop, "guid", "cityid", "shopid", "keyword", "dt", salt=f"{p.seed}-clicks"
+    )
+    return rows.filter((F.col("user_id") > 0) | sample).drop("user_id")
 
 
 def clean_clicks(clicks: DataFrame, p: Params) -> DataFrame:
@@ -40,13 +40,14 @@ def clean_clicks(clicks: DataFrame, p: Params) -> DataFrame:
     return kept.select("guid", "cityid", "shopid", "keyword", "dt").distinct()
 
 
-def keyword_counts(clicks: DataFrame) -> DataFrame:
-    return clicks.groupBy("cityid", "keyword").agg(F.count("guid").alias("cnt"))
+def keyword_counts(clicks: DataFrame, *period: str) -> DataFrame:
+    return clicks.groupBy(*period, "cityid", "keyword").agg(F.count("guid").alias("cnt"))
 
 
-def keyword_share(counts: DataFrame, p: Params) -> DataFrame:
-    shared = share_of_total(counts, ["cityid"], "cnt", "score", 1e-5, p.hot_min_clicks)
-    return shared.select("cityid", "keyword", "score")
+def keyword_share(counts: DataFrame, p: Params, *period: str) -> DataFrame:
+    keys = [*period, "cityid"]
+    shared = share_of_total(counts, keys, "cnt", "score", 1e-5, p.hot_min_clicks)
+    return shared.select(*keys, "keyword", "score")
 
 
 def rising(trend: DataFrame, p: Params) -> DataFrame:

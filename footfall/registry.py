@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from footfall import oracles
 from footfall.job import Job
+from footfall.session import tune
 
 
 @dataclass(frozen=True)
@@ -148,7 +149,7 @@ def present(df: DataFrame, out: Output) -> DataFrame:
 
 
 def run(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    return present(getattr(Job(spark, sf_dir), key), OUTPUTS[key])
+    return present(getattr(Job(tune(spark), sf_dir), key), OUTPUTS[key])
 
 
 def oracle(key: str) -> str:

@@ -18,7 +18,8 @@ DEVICE_RECS = _schema(deviceid=_str, cityid=_int, shopid=_long, rank=_dbl)
 USER_TAGS = _schema(userid=_long, cityid=_int, tagtype=_str, tag=_str, score=_dbl)
 DICTIONARY = _schema(entry=_str)
 MENTIONS = _schema(shopid=_long, dish=_str, c=_long)
-KEYWORD_HISTORY = _schema(cityid=_int, keyword=_str, score=_dbl, dt=_str)
+REGION_SCORES = _schema(cityid=_int, regionid=_int, shopid=_long, score=_dbl)
+KEYWORD_SCORES = _schema(cityid=_int, keyword=_str, score=_dbl)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime settings the plans rely on: joins back to group totals and hop joins may meet a key that
+# Settings for the session that runs the jobs: joins back to group totals and hop joins may meet a key that
 # holds a large part of the rows, so skewed join partitions are split even where that costs a shuffle.
 RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
@@ -36,11 +36,18 @@ def run_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/footfall/{spark.sparkContext.applicationId}"
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+def new_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    return f"{folder or run_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the intermediate tables of this application, once its results are saved."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def hadoop_path(spark: SparkSession, path: str):
+    """(path, file system) of any location Spark can write to. The one place that needs the JVM
+    gateway of a classic session; Spark Connect has none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def release(spark: SparkSession, folder: str | None = None) -> None:
+    """Delete intermediate tables once the results are saved: a folder's, or all of this application."""
+    at, fs = hadoop_path(spark, folder or run_dir(spark))
+    fs.delete(at, True)

@@ -9,8 +9,6 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from footfall.operators.groups import with_group_stats
-
 _TRAFFIC_SHOP = {"shop_id", "city_id", "path", "referer"}
 _TRAFFIC_CITY = {"city_id", "path", "referer"}
 _TRAFFIC_PART = {"path", "referer"}
@@ -32,8 +30,13 @@ class Warehouse:
         """One number, counted once per job: as a literal it keeps the plans small."""
         return F.lit(self.table("supplier").count())
 
-    def _orders(self, since: str | None, before: str | None) -> DataFrame:
+    def _orders(
+        self, since: str | None, before: str | None, periods: tuple[str, str] | None = None
+    ) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        if periods is not None:
+            day = F.col("o_orderdate")
+            orders = orders.filter((day >= _midnight(periods[0])) | (day < _midnight(periods[1])))
         if since is not None:
             orders = orders.filter(F.col("o_orderdate") >= _midnight(since))
         if before is not None:
@@ -47,13 +50,15 @@ class Warehouse:
         return joined.select(F.col("s_suppkey").alias("shop_id"), "n_regionkey")
 
     def traffic(
-        self, *cols: str, since: str | None = None, before: str | None = None
+        self, *cols: str, since: str | None = None, before: str | None = None,
+        periods: tuple[str, str] | None = None,
     ) -> DataFrame:
-        """The event log: one event per line item. The date window reaches the orders scan."""
+        """The event log: one event per line item. The date window reaches the orders scan;
+        ``periods`` are two windows: from its first day on, and before its second."""
         lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"
         )
-        orders = self._orders(since, before)
+        orders = self._orders(since, before, periods)
         log = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         if _TRAFFIC_SHOP & set(cols):
             log = log.withColumn("shop_id", _visited_shop(self._n_shops))
@@ -97,32 +102,29 @@ class Warehouse:
         return self._supplier_geo(cols).select(*[_SHOP[c]().alias(c) for c in cols])
 
     def _packed_tags(self) -> DataFrame:
-        """The words of the part names a shop sells, counted and packed; words named more often than
-        the average word of the shop. At most one entry per word of the part vocabulary, so the
-        collected list is always short."""
+        """The words of the part names and types a shop sells, counted and packed: at most one entry
+        per word of the part vocabulary, so the collected list is short."""
         lines = self.table("lineitem").select("l_suppkey", "l_partkey")
-        part = self.table("part").select("p_partkey", "p_name")
+        part = self.table("part").select("p_partkey", "p_name", "p_type", "p_size")
         sold = (
             lines.groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
             .join(part, F.col("l_partkey") == F.col("p_partkey"))
         )
-        words = (
-            sold.select("l_suppkey", "n", F.explode(F.split("p_name", " ")).alias("word"))
-            .groupBy("l_suppkey", "word").agg(F.sum("n").alias("n"))
-        )
-        marked = with_group_stats(words, ["l_suppkey"], mean=F.avg("n"))
+        names = sold.select("l_suppkey", "n", F.explode(_part_words()).alias("word"))
+        words = names.groupBy("l_suppkey", "word").agg(F.sum("n").alias("n"))
         pair = F.concat("word", F.lit(":"), F.col("n").cast("string"))
-        return marked.filter(F.col("n") > F.col("mean")).groupBy(F.col("l_suppkey").alias("tag_shop")).agg(
+        return words.groupBy(F.col("l_suppkey").alias("tag_shop")).agg(
             F.array_join(F.array_sort(F.collect_list(pair)), ",").alias("shop_tags")
         )
 
     def tag_vocabulary(self) -> DataFrame:
-        """(tag, tagtype): first words of part names are one type, second words the other."""
-        words = F.split("p_name", " ")
-        typed = F.array(
-            F.struct(F.get(words, F.lit(0)).alias("tag"), F.lit("character").alias("tagtype")),
-            F.struct(F.get(words, F.lit(1)).alias("tag"), F.lit("atmosphere").alias("tagtype")),
-        )
+        """(tag, tagtype): first words of part names, second words, and sized types are a type each."""
+        words = _part_words()
+        kinds = ("character", "atmosphere", "cuisine")
+        typed = F.array(*[
+            F.struct(F.get(words, F.lit(k)).alias("tag"), F.lit(kind).alias("tagtype"))
+            for k, kind in enumerate(kinds)
+        ])
         return self.table("part").select(F.inline(typed)).distinct()
 
     def reviews(self) -> DataFrame:
@@ -210,6 +212,12 @@ class Warehouse:
         )
 
 
+def _part_words() -> Column:
+    """The two words of a part's name, and its type with its size: some shops sell it, others not."""
+    sized = F.concat_ws("-", F.lower("p_type"), F.col("p_size").cast("string"))
+    return F.concat(F.split("p_name", " "), F.array(sized))
+
+
 def _midnight(day: str) -> Column:
     return F.lit(day).cast("timestamp_ntz")
 
@@ -254,14 +262,23 @@ def _user() -> Column:
 def _dish_tags() -> Column:
     kind = F.col("s_suppkey") % 3
     return (
-        F.when(kind == 0, "the:3,and:2").when(kind == 1, "of:1,is:4,none:1")
-        .otherwise("the:1,is:1")
+        F.when(kind == 0, "the:3,and:2,für:1,of the:2").when(kind == 1, "of:1,is:4,none:1,à:2,红烧肉:1")
+        .otherwise("the:1,is:1,de la:2,ó:1")
+    )
+
+
+def _shop_name() -> Column:
+    """Names of several lengths."""
+    key = F.col("s_suppkey").cast("string")
+    return (
+        F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("Bar "), key))
+        .when(F.col("s_suppkey") % 3 == 1, F.concat(F.lit("Kitchen "), key)).otherwise(F.col("s_name"))
     )
 
 
 _SHOP = {
     "shop_id": lambda: F.col("s_suppkey"),
-    "shop_name": lambda: F.col("s_name"),
+    "shop_name": _shop_name,
     "city_id": lambda: F.col("n_regionkey"),
     "region_id": lambda: F.col("n_nationkey"),
     "region_name": lambda: F.col("n_name"),

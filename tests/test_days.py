@@ -1,0 +1,112 @@
+"""Two days in a row through the stored state, against SQL over both days; sampling on and off."""
+
+from __future__ import annotations
+
+import dataclasses
+import os
+
+import pytest
+
+from compare import connect, differences
+from footfall import oracles, registry, session
+from footfall.job import STATE, Job
+from footfall.params import Params
+
+SF_DIR = "/root/testdata/sf0.001"
+TODAY, TOMORROW = "2001-08-02", "2001-08-03"
+
+#: Steps whose SQL reads the older state, and the stored table each comes from.
+STORED = {
+    "identity_state": ("identity-counts", "identity_compact"),
+    "identity_old_main_user": ("main-user", "identity_main_user"),
+    "region_previous": ("region-scores", "region_hot_smoothed"),
+    "keyword_previous_share": ("keyword-shares", "keyword_city_share"),
+    "accumulated": ("accumulated", "state_replace_groups"),
+    "shown": ("recommendations", "rec_top50"),
+}
+KEYS = [
+    "identity_compact", "identity_main_user", "identity_delta", "state_rotation", "region_trend",
+    "keyword_trend", "keyword_hot_top15", "state_exclude_feedback", "state_replace_groups",
+    "kpi_coverage", "kpi_popularity", "kpi_entropy", "kpi_hit_rate", "rec_top50",
+]
+
+
+@pytest.fixture(scope="module")
+def root(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("state"))
+    for day in (TODAY, TOMORROW):
+        with Job(spark, SF_DIR, dataclasses.replace(Params(), as_of=day), root) as job:
+            job.run()
+            folder = job.folder
+        assert not os.path.exists(folder)
+    return root
+
+
+@pytest.fixture(scope="module")
+def day_before():
+    """The first day in SQL: the tables that it leaves, by the step that reads them."""
+    con = connect(SF_DIR)
+    for name, (_, step) in STORED.items():
+        con.execute(f"CREATE TABLE first_{name} AS {oracles.sql(step, ['*'])}")
+    return con
+
+
+@pytest.fixture(scope="module")
+def second(spark, root):
+    return Job(spark, SF_DIR, dataclasses.replace(Params(), as_of=TOMORROW), root)
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_the_second_day(second, day_before, key):
+    given = {name: f"SELECT * FROM first_{name}" for name in STORED}
+    out = registry.OUTPUTS[key]
+    doubles = [f"round({c}, {out.digits}) + 0::double AS {c}" for c in out.doubles.split()]
+    sql = oracles.sql(key, [*out.keys.split(), *doubles], given=given).replace(TODAY, TOMORROW)
+    result = registry.present(getattr(second, key), out)
+    assert differences(result, day_before, sql) == []
+
+
+def test_every_table_has_both_days(second):
+    assert all(second.state(name).versions() == [TODAY, TOMORROW] for name in STATE)
+    assert {r.dt for r in second.state("keyword-hot").history().collect()} <= {TODAY, TOMORROW}
+
+
+def test_a_failed_day_leaves_no_folder_and_no_version(spark, tmp_path):
+    root = str(tmp_path / "state")
+    with pytest.raises(AttributeError):
+        with Job(spark, SF_DIR, Params(), root) as job:
+            assert not job._main_user.isEmpty() and os.path.exists(job.folder)
+            job.no_such_step
+    assert not os.path.exists(job.folder)
+    assert job.state("main-user").versions() == []
+    os.makedirs(f"{root}/main-user/as_of={TODAY}/_temporary")
+    later = Job(spark, SF_DIR, dataclasses.replace(Params(), as_of=TOMORROW), root)
+    assert later._before("main-user") is None
+
+
+@pytest.mark.parametrize("key", [
+    "rec_hop1", "rec_hop2", "dislike_expand", "state_carry_over", "cf_recommend", "rec_from_reviews",
+    "search_clicks", "hash_sample", "rec_top50", "keyword_hot_top15",
+])
+def test_without_sampling(spark, key):
+    every = dataclasses.replace(
+        Params(), hop_drop=0, dislike_drop=0, carry_drop=0, cf_drop=0, click_drop=0, sample_drop=0
+    )
+    out = registry.OUTPUTS[key]
+    doubles = [f"round({c}, {out.digits}) + 0::double AS {c}" for c in out.doubles.split()]
+    sql = oracles.sql(key, [*out.keys.split(), *doubles], sampled=False)
+    with Job(spark, SF_DIR, every) as job:
+        assert differences(registry.present(getattr(job, key), out), connect(SF_DIR), sql) == []
+
+
+def test_jitter_can_be_switched_off_alone(spark):
+    plain = dataclasses.replace(Params(), hop_jitter=1.0, keyword_jitter=1.0)
+    with Job(spark, SF_DIR, plain) as job, Job(spark, SF_DIR) as usual:
+        assert job.rec_hop1.count() == usual.rec_hop1.count()
+        assert job.rec_hop1.agg({"rank": "sum"}).first()[0] > usual.rec_hop1.agg({"rank": "sum"}).first()[0]
+
+
+def test_session_without_settings(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path / "below"))
+    with Job(spark, SF_DIR) as job:
+        assert job.folder.startswith(str(tmp_path)) and job.rec_popularity_damped.count() > 0

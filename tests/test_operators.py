@@ -273,7 +273,7 @@ def test_hop_without_jitter(spark):
     shops = spark.createDataFrame([(3, 7), (4, 8)], "shop_id long, city_id int")
     hop = device_recs.expand_items(
         visits, F.log10(1 + F.col("cnt")), ["deviceid", "userid", "shopid"],
-        device_recs.edges_to(edges, shops), 5, Params(jitter=False), "x",
+        device_recs.edges_to(edges, shops), 5, Params(hop_drop=0, hop_jitter=1.0), "x",
     )
     assert rows(hop, "cityid", "shopid", "rank") == [
         (7, 3, pytest.approx(0.5 * 1 + 1.0 * 2)), (8, 4, pytest.approx(0.2)),
@@ -286,7 +286,7 @@ def test_dislikes_and_boosts(spark):
         "deviceid string, cityid int, shopid long, score double, updatetime string",
     )
     edges = spark.createDataFrame([(1, 7, 0.5), (2, 8, 0.5)], "sid1 long, sid2 long, rank double")
-    p = Params(jitter=False)
+    p = Params(dislike_drop=0)
     near = device_recs.expand_dislikes(feedback, edges, p)
     assert rows(near, "shopid", "dt") == [(7, "2024-01-02")]
     assert rows(device_recs.exclusions(near, feedback, p), "shopid") == [(1,), (2,), (7,)]

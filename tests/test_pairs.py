@@ -1,13 +1,14 @@
-"""The pair operator gives the same rows whatever its thresholds, also for very uneven groups."""
+"""The pair operator against brute force, also for very uneven groups, and its plan."""
 
 from __future__ import annotations
 
 import math
 from collections import defaultdict
 
-import pytest
+from pyspark.sql import functions as F
 
 from footfall.operators.pairs import top_pairs
+from test_plans import executed, skew_settings  # noqa: F401
 
 K = 3
 
@@ -45,19 +46,17 @@ def brute(rows):
     }
 
 
-@pytest.mark.parametrize(
-    "hot_pairs, tile, heavy_rows",
-    [(10**9, 64, 10**9), (1000, 8, 10**9), (1000, 16, 20), (20, 7, 40), (0, 1000, 10**9), (0, 5, 3)],
-)
-def test_exact_for_every_threshold(spark, hot_pairs, tile, heavy_rows):
-    rows = skewed_rows()
-    df = spark.createDataFrame(rows, "cityid int, item long, u long, w double")
-    got = top_pairs(
+def similar(df, group="item"):
+    return top_pairs(
         df.withColumnRenamed("u", "sid1"), df.withColumnRenamed("u", "sid2"),
-        part="cityid", group=["item"], a="sid1", b="sid2",
-        score=lambda f, total, n: total * f.log(n), k=K,
-        hot_pairs=hot_pairs, tile=tile, heavy_rows=heavy_rows,
-    ).collect()
+        part="cityid", group=[group], a="sid1", b="sid2",
+        score=lambda total, n: total * F.log(n), k=K,
+    )
+
+
+def test_against_brute_force(spark):
+    rows = skewed_rows()
+    got = similar(spark.createDataFrame(rows, "cityid int, item long, u long, w double")).collect()
     result = {(r.cityid, r.sid1, r.sid2): round(r.score, 6) for r in got}
     assert len(result) == len(got)
     assert result == brute(rows)
@@ -66,25 +65,30 @@ def test_exact_for_every_threshold(spark, hot_pairs, tile, heavy_rows):
 def test_text_members_and_two_group_columns(spark):
     left = [("c", u, d, f"k{(u * d) % 9}", 1.0) for u in range(12) for d in range(6)]
     df = spark.createDataFrame(left, "part string, u long, d long, k string, w double")
-    frames = []
-    for hot in (10**9, 0):
-        out = top_pairs(
-            df.withColumnRenamed("k", "x"), df.withColumnRenamed("k", "y"),
-            part="part", group=["u", "d"], a="x", b="y",
-            score=lambda f, total, n: f.log10(n + 10), k=4,
-            hot_pairs=hot, tile=2, heavy_rows=10**9,
-        )
-        frames.append(sorted(map(tuple, out.collect())))
-    # one keyword per (user, day): no pair at all
-    assert frames == [[], []]
-    wide = df.withColumn("d", df.d % 2)
-    frames = []
-    for hot in (10**9, 0):
+
+    def pairs(frame):
         out = top_pairs(
-            wide.withColumnRenamed("k", "x"), wide.withColumnRenamed("k", "y"),
+            frame.withColumnRenamed("k", "x"), frame.withColumnRenamed("k", "y"),
             part="part", group=["u", "d"], a="x", b="y",
-            score=lambda f, total, n: f.log10(n + 10), k=4,
-            hot_pairs=hot, tile=2, heavy_rows=10**9,
+            score=lambda total, n: F.log10(n + 10), k=100,
         )
-        frames.append(sorted((r.x, r.y, round(r.score, 9)) for r in out.collect()))
-    assert frames[0] and frames[0] == frames[1]
+        return {(r.x, r.y): round(r.score, 9) for r in out.collect()}
+
+    assert pairs(df) == {}  # one keyword per (user, day): no pair at all
+    n = defaultdict(int)
+    for _, u1, d1, k1, _ in left:
+        for _, u2, d2, k2, _ in left:
+            if u1 == u2 and d1 % 2 == d2 % 2 and k1 != k2:
+                n[k1, k2] += 1
+    assert pairs(df.withColumn("d", df.d % 2)) == {p: round(math.log10(c + 10), 9) for p, c in n.items()}
+
+
+def test_an_item_with_a_third_of_all_rows_is_split(spark, skew_settings, tmp_path):  # noqa: F811
+    """Text item keys and unsorted weights, so that the hot partition stands out in bytes."""
+    hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("i"), (F.col("id") % 4000).cast("string")))
+    rows = spark.range(6000).select(F.lit(1).alias("cityid"), hot.alias("item"), F.col("id").alias("u"), F.rand(1).alias("w"))
+    rows.write.parquet(str(tmp_path / "r"))
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "10k")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10k")
+    plan = executed(similar(spark.read.parquet(str(tmp_path / "r"))))
+    assert "skew=true" in plan and "Python" not in plan

@@ -73,3 +73,45 @@ def test_no_cross_join_and_no_python(spark, step):
     plan = getattr(Job(spark, SF_DIR), step)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Python" not in plan and "MapInPandas" not in plan
+
+
+def scans(df, table: str) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count(f"/{table}.parquet")
+
+
+@pytest.mark.parametrize("step, table, most", [
+    ("ratings_normalised", "lineitem", 0), ("ratings_centred", "lineitem", 0),
+    ("visits_of_active", "lineitem", 1), ("rec_hop1", "lineitem", 0), ("rec_exclude_disliked", "lineitem", 0),
+    ("region_trend", "lineitem", 0), ("keyword_trend", "lineitem", 0), ("tag_union", "lineitem", 0),
+    ("keyword_hot_top15", "lineitem", 0), ("rec_top50", "lineitem", 1),
+])
+def test_the_log_is_read_once(spark, step, table, most):
+    """0: what the step reads of the log was written once, by one job before it."""
+    with Job(spark, SF_DIR) as job:
+        assert scans(getattr(job, step), table) <= most
+
+
+@pytest.mark.parametrize("step", ["dish_mentions", "reviews_of_tagged_shops"])
+def test_texts_are_shuffled_once(spark, step):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = getattr(Job(spark, SF_DIR), step)._jdf.queryExecution().executedPlan()
+        lines = plan.toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = [line.find("Exchange") for line in lines]
+    carriers = 0
+    for k, at in enumerate(depth):  # an exchange carries what the node below it puts out
+        if at >= 0 and "reviewbody" in " ".join(lines[k + 1:k + 2]):
+            carriers += 1
+    assert carriers == 1
+
+
+def test_a_job_leaves_the_session_settings_alone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        Job(spark, SF_DIR)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import dataclasses
-
 import duckdb
 import pytest
 
 from compare import TABLES, connect, rows_of
 from footfall import registry
 from footfall.job import Job
-from footfall.params import Params
 
 SOURCE = "/root/testdata/sf0.001"
 HOT = {
@@ -43,8 +40,7 @@ def skewed(tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def job(spark, skewed):
-    small = dataclasses.replace(Params(), hot_pairs=200, tile=16, heavy_rows=40)
-    return Job(spark, skewed, small)
+    return Job(spark, skewed)
 
 
 @pytest.mark.parametrize("key", KEYS)

@@ -48,13 +48,21 @@ def test_clustered_layout(spark, tmp_path):
         assert rows == sorted(rows, key=lambda r: (r[0], -r[1]))
 
 
-def test_history_appends(spark, tmp_path):
+def test_history_is_all_finished_versions(spark, tmp_path):
+    state = storage.VersionedState(spark, str(tmp_path / "h"), schemas.KEYWORD_SCORES)
+    assert state.history().isEmpty()
     df = spark.createDataFrame([(1, "tea", 0.5)], "cityid int, keyword string, score double")
-    path = str(tmp_path / "h")
-    storage.append_history(df, path, "2001-01-01")
-    storage.append_history(df, path, "2001-01-02")
-    days = [r.dt for r in spark.read.schema(schemas.KEYWORD_HISTORY).parquet(path).collect()]
-    assert sorted(days) == ["2001-01-01", "2001-01-02"]
+    for day in ("2001-01-01", "2001-01-02", "2001-01-02"):  # the second day ran twice
+        state.write(df, day)
+    assert sorted(r.dt for r in state.history().collect()) == ["2001-01-01", "2001-01-02"]
+
+
+def test_an_unfinished_version_does_not_count(spark, tmp_path):
+    state = storage.VersionedState(spark, str(tmp_path / "state"), schemas.MAIN_USER)
+    state.write(spark.createDataFrame([("g", 1)], schemas.MAIN_USER), "2001-01-01")
+    os.makedirs(tmp_path / "state" / "as_of=2001-01-02" / "_temporary")
+    assert state.versions() == ["2001-01-01"]
+    assert state.read_before("2001-01-03").first().userid == 1
 
 
 def test_conform_truncates(spark):
