@@ -31,7 +31,7 @@ WITH d AS (
     SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END)
         + (CASE WHEN n_repeat_words > 0.3 * n_words THEN 2 ELSE 0 END)
         + (CASE WHEN n_symbols > 0.1 * n_words THEN 4 ELSE 0 END)
-        + (CASE WHEN n_dup_lines > 0.3 * n_lines THEN 8 ELSE 0 END)
+        + (CASE WHEN n_dup_lines > 0.5 * n_lines THEN 8 ELSE 0 END)
         + (CASE WHEN word_chars < 2 * n_words OR word_chars > 15 * n_words THEN 16 ELSE 0 END)
         + (CASE WHEN n_upper > 0.5 * n_letters THEN 32 ELSE 0 END)
         + (CASE WHEN n_runs > 0.2 * n_words THEN 64 ELSE 0 END) AS failed

@@ -21,7 +21,7 @@ RULES: dict[str, str] = {
     "few_words": "n_words < 20",
     "repeated_windows": "100 * n_repeat_words > 30 * n_words",
     "symbols": "10 * n_symbols > n_words",
-    "duplicate_lines": "10 * n_dup_lines > 3 * n_lines",
+    "duplicate_lines": "2 * n_dup_lines > n_lines",
     "word_length": "word_chars < 2 * n_words OR word_chars > 15 * n_words",
     "shouting": "2 * n_upper > n_letters AND n_letters > 0",
     "word_runs": "5 * n_runs > n_words AND n_words > 0",

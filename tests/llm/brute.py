@@ -68,7 +68,7 @@ def failed(m: dict) -> list[str]:
     n = m["n_words"]
     rules = {
         "few_words": n < 20, "repeated_windows": 100 * m["n_repeat_words"] > 30 * n, "symbols": 10 * m["n_symbols"] > n,
-        "duplicate_lines": 10 * m["n_dup_lines"] > 3 * m["n_lines"],
+        "duplicate_lines": 2 * m["n_dup_lines"] > m["n_lines"],
         "word_length": not 2 * n <= m["word_chars"] <= 15 * n,
         "shouting": m["n_letters"] > 0 and 2 * m["n_upper"] > m["n_letters"], "word_runs": n > 0 and 5 * m["n_runs"] > n,
     }
