@@ -8,8 +8,8 @@ context; of a clause the heaviest match counts, and the weights of clauses add u
 over that sum, the number of matched clauses and the length of the document gives the score: one
 chance match in a long document means less than several in a short one.
 
-All is fitted on labelled documents: words and stems whose share of toxic documents is beyond chance
-join the given seed words; then the factors; then the curve.
+All is fitted on labelled documents: words and stems whose contexts are those of toxic documents
+beyond chance join the given seed words; then the factors; then the curve.
 """
 
 from __future__ import annotations
@@ -172,24 +172,34 @@ def _evidence(n: float, t: float, prior: float) -> float:
     return n * (share * math.log(share / prior) + rest)
 
 
-def _entry_counts(rows: DataFrame) -> DataFrame:
-    """(entry, stem, n, t, words): labelled documents with the word or stem, toxic ones among them."""
-    low = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))
-    found = rows.select("toxic", low.alias("words"))
-    words = found.select("toxic", F.explode("words").alias("entry"))
-    stems = F.array_distinct(F.flatten(F.transform("words", lambda w: F.filter(
-        F.array(*[F.when(F.length(w) > n, F.substring(w, 1, n)) for n in STEM_SIZES]), lambda s: s.isNotNull()))))
-    stems = found.select("toxic", F.explode(stems).alias("entry"))
+def _word_counts(rows: DataFrame) -> DataFrame:
+    """(entry, n, t): contexts of each word, and those of them that only toxic documents have.
 
-    def counted(x: DataFrame) -> DataFrame:
-        return x.groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t")).filter("t >= 3")
+    A context is the word before and the word after. Copies of a passage share their contexts, so they
+    count once, however many documents hold them and however each copy was edited elsewhere."""
+    w = F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1)
+    places = F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.struct(
+        F.get("w", i).alias("entry"), F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("context"),
+    ))
+    found = rows.select("toxic", w.alias("w")).filter(F.size("w") > 0).select("toxic", F.inline(places))
+    contexts = found.groupBy("entry", "context").agg(F.min("toxic").alias("toxic"))
+    return contexts.groupBy("entry").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t"))
 
-    by_word = counted(words)
-    sizes = F.array(*[F.when(F.length("entry") > n, F.substring("entry", 1, n)) for n in STEM_SIZES])
-    variety = words.filter("toxic = 1").distinct().select(F.explode(sizes).alias("entry")).groupBy("entry").agg(F.count(F.lit(1)).alias("words"))
-    by_stem = counted(stems).join(variety, "entry")
-    return by_word.select("entry", F.lit(False).alias("stem"), "n", "t", F.lit(1).cast("long").alias("words")).unionByName(
-        by_stem.select("entry", F.lit(True).alias("stem"), "n", "t", "words"))
+
+def _stem_counts(words: DataFrame) -> DataFrame:
+    """(entry, n, t, words): the same for stems, and how many of the stem's words toxic documents have.
+
+    The most frequent of these words is left out of n and t: a stem has to hold without it."""
+    stems = F.filter(
+        F.array(*[F.when(F.length("entry") > k, F.substring("entry", 1, k)) for k in STEM_SIZES]),
+        lambda stem: stem.isNotNull(),
+    )
+    each = words.select(F.explode(stems).alias("stem"), "n", "t").groupBy("stem")
+    top = F.max(F.struct("t", "n"))
+    return each.agg(
+        (F.sum("n") - top.n).alias("n"), (F.sum("t") - top.t).alias("t"),
+        F.count_if(F.col("t") > 0).alias("words"),
+    ).withColumnRenamed("stem", "entry")
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, most_entries: int = 5_000) -> Model:
@@ -199,15 +209,20 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, most_entries: in
     total, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not total or not toxic or toxic == total:
         return model
-    prior = toxic / total
-    counts = materialise(_entry_counts(rows), "entries")
-    needed = math.log(max(2, counts.count())) + 5  # about one chance entry in 150 fits
-    strong = counts.filter(F.col("t") > 2 * prior * F.col("n")).filter("2 * t >= n")
+    words = materialise(_word_counts(rows), "words")
+    entries, n, t = words.agg(F.count(F.lit(1)), F.sum("n"), F.sum("t")).first()
+    if not t:
+        return model
+    prior = t / n
+    needed = math.log((1 + len(STEM_SIZES)) * entries) + 5  # about one chance entry in 150 fits
+    counts = words.select("entry", F.lit(False).alias("stem"), "n", "t", F.lit(1).cast("bigint").alias("words"))
+    stemmed = _stem_counts(words).select("entry", F.lit(True).alias("stem"), "n", "t", "words")
+    strong = counts.unionByName(stemmed).filter((F.col("t") > 2 * prior * F.col("n")) & F.expr("2 * t >= n AND t >= 3"))
     found = strong.orderBy(F.desc("t"), "entry", "stem").limit(most_entries).collect()
     found = [r for r in found if _evidence(r.n, r.t, prior) > needed]
     stems = {r.entry: r for r in found if r.stem and r.words >= 3 and r.t >= 0.6 * r.n}
     for entry, r in sorted(stems.items(), key=lambda x: len(x[0])):
-        wider = [stems[entry[:n]] for n in STEM_SIZES if n < len(entry) and entry[:n] in stems and entry[:n] in model.stems]
+        wider = [stems[entry[:k]] for k in STEM_SIZES if k < len(entry) and entry[:k] in stems and entry[:k] in model.stems]
         # a longer stem joins a shorter one only if its share is clearly higher
         if not wider or r.t / r.n > wider[-1].t / wider[-1].n + 0.1:
             model.stems[entry] = ("insult", (r.t + 1) / (r.n + 2))
@@ -217,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, most_entries: in
             model.words[r.entry] = (kind, (r.t + 1) / (r.n + 2))
     # seed entries with data take their share from it
     seeds = [w for w, (k, _) in model.words.items() if k in ("insult", "threat")]
-    for r in counts.filter(~F.col("stem") & F.col("entry").isin(seeds)).collect():
+    for r in words.filter(F.col("entry").isin(seeds)).collect():
         kind = model.words[r.entry][0]
         model.words[r.entry] = (kind, (r.t + 1) / (r.n + 2))
     _fit_contexts(rows, model)
