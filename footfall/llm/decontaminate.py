@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from footfall.llm.common import let, window_hashes
 
 BITS = 64
-#: Shingles of one broadcast block: a hash and an item id each, some 40 MB as a hash table.
+#: Shingles and index rows of one broadcast block: a few dozen bytes each, some 40 MB as hash tables.
 BLOCK_SHINGLES = 1_000_000
 
 
@@ -96,13 +96,13 @@ def _find(rows: DataFrame, items: DataFrame, threshold: float, radius: int) -> D
     def keys(of: str) -> Column:
         return F.posexplode(F.transform(masks, lambda m: F.col(of).bitwiseAND(m))).alias("block", "key")
 
-    index = items.select("item_id", "n", "item", "item_print", keys("item_print"))
+    index = items.select("item_id", "n", "item_print", keys("item_print"))
     met = windows.select("*", keys("print")).join(F.broadcast(index), ["n", "block", "key"])
     apart = F.col("print").bitwiseXOR(F.col("item_print"))
     first = F.array_position(F.transform(masks, lambda m: apart.bitwiseAND(m)), F.lit(0).cast("long")) - 1
     near = met.withColumn("bits", F.bit_count(apart)).filter(F.col("bits") <= radius).filter(first == F.col("block"))
-    both = _common_weight(F.col("window"), F.col("item"))
-    near = near.withColumn("both", both)
+    near = near.join(F.broadcast(sets.drop("n")), "item_id")
+    near = near.withColumn("both", _common_weight(F.col("window"), F.col("item")))
     near = near.withColumn("similarity", F.col("both") / (F.size("window") + F.size("item") - F.col("both")))
     return near.filter(F.col("similarity") >= threshold).select("_doc", "_text", "item_id", "similarity", "start", "bits")
 
@@ -121,7 +121,8 @@ def contaminated(
     items = benchmark.select("item_id", shingles(F.col("text"), shingle).alias("item")).filter(F.size("item") > 0)
     items = items.withColumn("n", F.size("item")).withColumn("item_print", fingerprint("item")).distinct()
     rows = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"), shingles(F.col("text"), shingle).alias("hashes"))
-    total = items.agg(F.sum("n")).first()[0] or 0
+    # an item is its shingles and a row per bit block of the index
+    total = items.agg(F.sum(F.col("n") + radius + 1)).first()[0] or 0
     blocks = max(1, -(-total // block_shingles))
     block = F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks))
     found = [_find(rows, items.filter(block == b), threshold, radius) for b in range(blocks)]
