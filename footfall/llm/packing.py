@@ -34,6 +34,13 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], in
     packs otherwise. Of a pattern that is needed in part, the rest stays as it is."""
     open_packs: list[tuple[int, tuple[int, ...], int]] = []  # heap by total length
     closed: Counter = Counter()
+
+    def put(pattern: tuple[int, ...], count: int) -> None:
+        if count and sum(pattern) == size:
+            closed[pattern] += count
+        elif count:
+            heapq.heappush(open_packs, (sum(pattern), pattern, count))
+
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
         while left:
@@ -42,13 +49,13 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], in
                 used = min(left, count)
                 if used < count:
                     heapq.heappush(open_packs, (total, pattern, count - used))
-            else:
-                total, pattern, used = 0, (), left
-            left -= used
-            if total + length == size:
-                closed[(*pattern, length)] += used
-            else:
-                heapq.heappush(open_packs, (total + length, (*pattern, length), used))
+                left -= used
+                put((*pattern, length), used)
+            else:  # a new pack is the shortest until it is full of this length
+                full, left = divmod(left, size // length)
+                put((length,) * (size // length), full)
+                put((length,) * left, min(1, left))
+                left = 0
     for _, pattern, count in open_packs:
         closed[pattern] += count
     return sorted(closed.items(), reverse=True)

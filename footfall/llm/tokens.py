@@ -14,6 +14,7 @@ import os
 import re
 import sys
 import types
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -24,16 +25,18 @@ from footfall.llm.common import ship_by_value
 
 ship_by_value(__name__)
 
-#: Fixed value: the cut of byte-level BPE for letters, numbers and the rest, as Python's re writes it.
-PRE_TOKEN = r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
-#: Characters on which \w, \d and \s of Python's re agree with letter, number and white space classes:
-#: Latin up to U+024F without superscripts, fractions and separators, and common punctuation.
+#: The letters up to U+024F.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+#: Fixed value: the cut of byte-level BPE into contractions, letters, numbers, the rest and white space,
+#: for texts of the characters below only.
+PRE_TOKEN = rf" ?[{LETTERS}]+|'(?:[sdmt]|ll|ve|re)| ?[0-9]+| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+"
+#: All but Latin up to U+024F without superscripts, fractions and separators, and common punctuation.
 UNSURE = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧‰-⁞€]")
 
 #: Pre-tokens that a task reports to the frequency count, and that the table holds.
 TABLE_SIZE = 65_536
 #: A worker keeps at most twice as many pre-tokens.
-CACHE_SIZE = 250_000
+CACHE_SIZE = 500_000
 
 
 class _Cache(dict):
@@ -75,14 +78,16 @@ class Encoder:
             model.no_truncation()
             model.no_padding()
             self._ids = lambda text: model.encode(text, add_special_tokens=False).ids
+            bpe = model.model  # keeps the tokenizer's model at hand, without its cut and its offsets
             with open(path, encoding="utf-8") as f:
                 kind = json.load(f)
             cut = kind.get("pre_tokenizer") or {}
             self.special = tuple(t["content"] for t in kind.get("added_tokens") or ())
             if cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space") and not kind.get("normalizer"):
                 self.pattern = re.compile(PRE_TOKEN)
-        self.lengths = _Cache(lambda piece: len(self._ids(piece)), CACHE_SIZE)
-        self.ids = _Cache(lambda piece: _packed(self._ids(piece)), CACHE_SIZE)
+                self._tokens = lambda piece: bpe.tokenize(piece.encode().decode("latin-1").translate(BYTE_CHARACTERS))
+        self.lengths = _Cache(lambda piece: len(self._tokens(piece)), CACHE_SIZE)
+        self.ids = _Cache(lambda piece: _packed([t.id for t in self._tokens(piece)]), CACHE_SIZE)
 
     def pieces(self, text: str) -> list[str] | None:
         """The pre-tokens, or None if the text has to go to the library whole."""
@@ -100,7 +105,21 @@ class Encoder:
 
 
 def _packed(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
+def _byte_characters() -> dict[int, str]:
+    """Byte-level BPE spells a byte as a character: printable Latin-1 as itself, the others in order
+    from U+0100 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return {b: chr(b if b in shown else next(hidden)) for b in range(256)}
+
+
+BYTE_CHARACTERS = _byte_characters()
 
 
 def encoder(path: str) -> Encoder:
@@ -146,7 +165,7 @@ def token_counts(docs: DataFrame, path: str, table_size: int = TABLE_SIZE) -> Da
         made = encoder(path)
         for batch in batches:
             pieces = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(made._ids(p)) for p in pieces], pa.int32())], names=["piece", "size"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(made._tokens(p)) for p in pieces], pa.int32())], names=["piece", "size"])
 
     sizes = table.select("piece").mapInArrow(lengths, "piece string, size int")
     shared = spark.sparkContext.broadcast({r.piece: r.size for r in sizes.collect()})  # table_size rows

@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from footfall.llm import packing, tokens
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+ENCODER = tokens.Encoder(PATH)
+
+
+def library_ids(text):
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
+
+
+def texts(rng):
+    parts = ["the", " cat", "'s", "'ll", "  ", "\n\n", "\t", "é", "ñandú", "12", "½", "²", "日本", " ", "\x1c", "…", "don't", "_x_", "<|endoftext|>", "😀", "٣", " "]
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 40))) for _ in range(60)]
+
+
+def test_every_sure_character_is_cut_as_the_library_does():
+    for code in range(0x2600):
+        c = chr(code)
+        if not tokens.UNSURE.search(c):
+            for text in (f"a{c}1{c} {c}b{c}{c}!{c}", f" {c}'s{c} ", f"{c}\n {c}"):
+                assert ENCODER.encode(text) == tokens._packed(library_ids(text)), hex(code)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab 'sdmtlverA1\n\t.,!_é "), max_size=40))
+def test_ids_are_those_of_the_library(text):
+    assert ENCODER.encode(text) == tokens._packed(library_ids(text))
+    assert ENCODER.count(text) == len(library_ids(text))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_token_counts(spark, name):
+    path = public_tokenizers.path(name)
+    if name.endswith(".model"):
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        count = lambda t: len(model.encode(t))
+    else:
+        model = Tokenizer.from_file(path)
+        count = lambda t: len(model.encode(t, add_special_tokens=False).ids)
+    rows = list(enumerate(texts(random.Random(1)))) + [(500, None), (501, ""), (1, "again"), (None, "no id"), (502, "word " * 20_000)]
+    frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, n_tokens int").repartition(5)
+    got = [tuple(r) for r in tokens.token_counts(frame, path, table_size=20).collect()]
+    want = [(d, len((t or "").encode()), count(t or "")) for d, t in rows]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert tokens.token_counts(frame.limit(0), path).count() == 0
+
+
+def test_cache_is_bounded():
+    cache = tokens._Cache(len, 10)
+    assert [cache[str(k)] for k in range(1000)] == [len(str(k)) for k in range(1000)]
+    assert len(cache) <= 10 and len(cache.old) <= 10
+
+
+def test_frequent_pieces(spark):
+    frame = spark.createDataFrame([(" a a b",), (" a",), (None,)], "text string").repartition(3)
+    assert [tuple(r) for r in tokens.frequent_pieces(frame, PATH, 2).collect()] == [(" a", 3), (" b", 1)]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 50), st.integers(1, 40), max_size=30))
+def test_plan_places_every_length(histogram):
+    patterns = packing.plan(histogram, 50)
+    placed = Counter()
+    for lengths, count in patterns:
+        assert sum(lengths) <= 50 and count > 0
+        for x in lengths:
+            placed[x] += count
+    assert placed == Counter(histogram)
+
+
+def test_plan_is_the_plain_algorithm():
+    """Against single packs: always the shortest pack, if the length fits there."""
+    rng = random.Random(3)
+    histogram = {k: rng.randrange(1, 9) for k in rng.sample(range(1, 101), 40)}
+    packs: list[int] = []
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            k = min(range(len(packs)), key=packs.__getitem__, default=None)
+            if k is not None and packs[k] + length <= 100:
+                packs[k] += length
+            else:
+                packs.append(length)
+    got = sorted(sum(p) for p, c in packing.plan(histogram, 100) for _ in range(c))
+    assert got == sorted(packs)
+
+
+@pytest.mark.parametrize("size", [1024, 16])
+def test_pack(spark, size):
+    rng = random.Random(2)
+    rows = list(enumerate(texts(rng) + ["same text here"] * 200)) + [(900, None), (901, ""), (5, "again"), (None, "no id"), (902, "a long one " * 2000)]
+    frame = spark.createDataFrame([(*r, 0) for r in rows], "doc_id bigint, text string, length int").repartition(4)
+    out = packing.pack(frame, PATH, size).collect()
+    want = Counter()
+    for doc, text in rows:
+        ids = tokens._packed(library_ids(text)) + packing.END
+        n = len(ids) // 4
+        for a in range(0, n, size):
+            piece = ids[4 * a:4 * min(n, a + size)]
+            want[doc, a, len(piece) // 4, zlib.crc32(piece), n] += 1
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in out) == want
+    sequences = defaultdict(list)
+    for r in out:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    assert sorted(sequences) == list(range(len(sequences)))
+    for parts in sequences.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= size
+    assert packing.pack(frame.limit(0), PATH, size).count() == 0
+
+
+def test_little_padding(spark):
+    rng = random.Random(1)
+    patterns = packing.plan(Counter(rng.randrange(1, 1024) for _ in range(20_000)), 1024)
+    used = sum(sum(p) * c for p, c in patterns)
+    assert used > 0.98 * 1024 * sum(c for _, c in patterns)
