@@ -60,7 +60,10 @@ def sha1_base32(payload: bytes) -> str:
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith(("file:", "/")) else (pafs.LocalFileSystem(), path)
+    """File system and path in it. Hadoop writes local paths with one slash or three, and unescaped."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), path.removeprefix("file://").removeprefix("file:")
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
 
 # -- writing ---------------------------------------------------------------------------------------
