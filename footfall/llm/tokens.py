@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from footfall.llm.common import ship_by_value
+from footfall.sources.storage import materialise
 
 ship_by_value(__name__)
 
@@ -33,7 +34,7 @@ PRE_TOKEN = rf" ?[{LETTERS}]+|'(?:[sdmt]|ll|ve|re)| ?[0-9]+| ?[^\s0-9{LETTERS}]+
 #: All but Latin up to U+024F without superscripts, fractions and separators, and common punctuation.
 UNSURE = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧‰-⁞€]")
 
-#: Pre-tokens that a task reports to the frequency count, and that the table holds.
+#: Most pre-tokens that a task reports to the frequency count, and that the table holds.
 TABLE_SIZE = 65_536
 #: A worker keeps at most twice as many pre-tokens.
 CACHE_SIZE = 500_000
@@ -136,8 +137,9 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[str]:
 
 
 def frequent_pieces(docs: DataFrame, path: str, size: int = TABLE_SIZE) -> DataFrame:
-    """(piece, n): the most frequent pre-tokens over all texts. Each task counts all its pre-tokens and
-    reports the ``size`` most frequent; only these reports are shuffled, never the pre-tokens."""
+    """(piece, n): pre-tokens with a share of 1/size or more of what the tasks report, so ``size`` at
+    most. Each task counts all its pre-tokens and reports the ``size`` most frequent; only these reports
+    are shuffled, never the pre-tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, seen = encoder(path), Counter()
@@ -150,7 +152,9 @@ def frequent_pieces(docs: DataFrame, path: str, size: int = TABLE_SIZE) -> DataF
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["piece", "n"])
 
     counted = docs.select("text").mapInArrow(run, "piece string, n bigint")
-    return counted.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(size)
+    counted = materialise(counted.groupBy("piece").agg(F.sum("n").alias("n")), "pieces")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    return counted.filter(F.col("n") * size >= total)
 
 
 def token_counts(docs: DataFrame, path: str, table_size: int = TABLE_SIZE) -> DataFrame:
