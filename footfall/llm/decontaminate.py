@@ -76,7 +76,9 @@ def _find(rows: DataFrame, items: DataFrame, threshold: float, radius: int) -> D
     """Pairs of rows (_doc, _text, hashes) and items (item_id, item, n, item_print)."""
     seeds = items.select("item_id", F.explode(F.array_distinct("item")).alias("h"))
     sets = items.select("item_id", "n", "item")
-    at = rows.select("_doc", "_text", "hashes", F.size("hashes").alias("m"), F.posexplode("hashes").alias("pos", "h"))
+    # outer and never null: else Spark infers filters on the array's size, which compute it twice
+    m = F.coalesce(F.size("hashes"), F.lit(0)).alias("m")
+    at = rows.select("_doc", "_text", "hashes", m, F.posexplode_outer("hashes").alias("pos", "h"))
     hits = at.join(F.broadcast(seeds), "h").join(F.broadcast(sets), "item_id")
     width = F.least("n", "m")
     need = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("n") + width) - 1e-9).cast("int")
@@ -84,11 +86,16 @@ def _find(rows: DataFrame, items: DataFrame, threshold: float, radius: int) -> D
     # the part that all windows with this first hit have in common
     core = F.slice("hashes", F.col("pos") + 1, F.greatest(F.lit(1), F.col("w") - F.col("slack")))
     hits = hits.filter(F.size(F.array_except(core, "item")) <= F.col("slack"))
-    starts = hits.withColumn("back", F.explode(F.expr("sequence(0, least(slack, pos))")))
+    # only the shingles around the hit go on: the windows may start up to slack before it
+    hits = hits.withColumn("lead", F.least("slack", "pos"))
+    around = F.expr("slice(hashes, pos + 1 - lead, lead + w)")
+    hits = hits.select("_doc", "_text", "n", "m", "w", "slack", "pos", "lead", "item", around.alias("around"))
+    starts = hits.withColumn("back", F.explode(F.expr("sequence(0, lead)")))
     starts = starts.withColumn("start", F.expr("pos - back")).filter("start + w <= m")
-    before = F.slice("hashes", F.col("start") + 1, F.col("back"))
+    before = F.expr("slice(around, lead - back + 1, back)")
     starts = starts.filter(F.size(F.array_intersect(before, "item")) == 0)
-    windows = starts.select("_doc", "_text", "start", "n", F.expr("slice(hashes, start + 1, w)").alias("window"), "slack", "item")
+    window = F.expr("slice(around, lead - back + 1, w)")
+    windows = starts.select("_doc", "_text", "start", "n", window.alias("window"), "slack", "item")
     windows = windows.filter(F.size(F.array_except("window", "item")) <= F.col("slack")).drop("slack", "item")
     windows = windows.withColumn("print", fingerprint("window"))
 
