@@ -7,24 +7,26 @@ rule; a policy is a version of which bits reject. Changing a policy, or asking w
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.llm.common import SPACES, let, words
+from footfall.llm.common import SPACES, let, window_hashes, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
-#: name -> fails, over the measurements. The position is the bit; new rules go to the end.
-RULES: dict[str, str] = {
-    "few_words": "n_words < 20",
-    "repeated_windows": "100 * n_repeat_words > 30 * n_words",
-    "symbols": "10 * n_symbols > n_words",
-    "duplicate_lines": "2 * n_dup_lines > n_lines",
-    "word_length": "word_chars < 2 * n_words OR word_chars > 15 * n_words",
-    "shouting": "2 * n_upper > n_letters AND n_letters > 0",
-    "word_runs": "5 * n_runs > n_words AND n_words > 0",
+#: name -> fails, of a struct of measurements. The position is the bit; new rules go to the end.
+RULES: dict[str, Callable[[Column], Column]] = {
+    "few_words": lambda m: m["n_words"] < 20,
+    "repeated_windows": lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"],
+    "symbols": lambda m: 10 * m["n_symbols"] > m["n_words"],
+    "duplicate_lines": lambda m: 2 * m["n_dup_lines"] > m["n_lines"],
+    "word_length": lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 15 * m["n_words"]),
+    "shouting": lambda m: (2 * m["n_upper"] > m["n_letters"]) & (m["n_letters"] > 0),
+    "word_runs": lambda m: (5 * m["n_runs"] > m["n_words"]) & (m["n_words"] > 0),
 }
 BIT = {name: 1 << k for k, name in enumerate(RULES)}
 
@@ -62,41 +64,47 @@ def _covered(hashes: Column, width: int) -> Column:
 
 
 def _repeat_words(w: Column, width: int) -> Column:
-    starts = F.when(F.size(w) >= width, F.sequence(F.lit(1), F.size(w) - (width - 1))).otherwise(F.array().cast("array<int>"))
-    windows = F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, width)))
+    windows = window_hashes(w, width)
     return let(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(_covered(h, width)))
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """doc_id and the measurements. A null text has none of anything; no rows give no rows.
+def measurements(text: Column) -> Column:
+    """All measurements of a text as one struct, every part of the text cut once.
 
     Words are cut at ASCII white space; lines are cut at \\n and count if they hold a word; a run is
-    a word equal to the word before it. Repeated rows are measured each."""
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("t"), words(F.col("text")).alias("w"))
-    lines = F.filter(F.split("t", "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    rows = rows.select("doc_id", "t", "w", lines.alias("l"))
-    size = F.length("t")
-    return rows.select(
-        "doc_id",
-        F.size("w").cast("long").alias("n_words"),
-        F.length(F.translate("t", SPACES, "")).cast("long").alias("word_chars"),
-        (size - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.size("l").cast("long").alias("n_lines"),
-        (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
-        let(F.col("w"), lambda w: _repeat_words(w, WINDOW)).cast("long").alias("n_repeat_words"),
-        let(F.col("w"), lambda w: F.size(F.filter(w, lambda x, i: x == F.get(w, i - 1)))).cast("long").alias("n_runs"),
-        (size - F.length(F.regexp_replace("t", r"\p{Lu}+", ""))).cast("long").alias("n_upper"),
-        (size - F.length(F.regexp_replace("t", r"\p{L}+", ""))).cast("long").alias("n_letters"),
-    )
+    a word equal to the word before it. A null text has none of anything."""
+
+    def of(t: Column, w: Column, lines: Column) -> Column:
+        size = F.length(t)
+        found = {
+            "n_words": F.size(w),
+            "word_chars": F.length(F.translate(t, SPACES, "")),
+            "n_symbols": size - F.length(F.translate(t, SYMBOLS, "")),
+            "n_lines": F.size(lines),
+            "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+            "n_repeat_words": _repeat_words(w, WINDOW),
+            "n_runs": F.size(F.filter(w, lambda x, i: x == F.get(w, i - 1))),
+            "n_upper": size - F.length(F.regexp_replace(t, r"\p{Lu}+", "")),
+            "n_letters": size - F.length(F.regexp_replace(t, r"\p{L}+", "")),
+        }
+        return F.struct(*[c.cast("long").alias(name) for name, c in found.items()])
+
+    def lines(t: Column) -> Column:
+        return F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")
+
+    return let(F.coalesce(text, F.lit("")), lambda t: let(words(t), lambda w: let(lines(t), lambda x: of(t, w, x))))
+
+
+def failed_bits(m: Column) -> Column:
+    bits = [F.when(fails(m), BIT[name]).otherwise(0) for name, fails in RULES.items()]
+    return reduce(Column.bitwiseOR, bits)
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    """The measurements and ``failed``, the bits of the failed rules."""
-    failed = F.lit(0)
-    for name, fails in RULES.items():
-        failed = failed.bitwiseOR(F.when(F.expr(fails), BIT[name]).otherwise(0))
-    return measure(docs).withColumn("failed", failed)
+    """Per row doc_id, the measurements and ``failed``, the bits of the failed rules. Repeated rows are
+    measured each; no rows give no rows."""
+    rows = docs.select("doc_id", measurements(F.col("text")).alias("m"))
+    return rows.select("doc_id", "m.*", failed_bits(F.col("m")).alias("failed"))
 
 
 def rejected(policy: Policy) -> Column:
@@ -125,8 +133,6 @@ def ablation(ledger_rows: DataFrame, policy: Policy) -> DataFrame:
 def keep_good(docs: DataFrame, policy: Policy = CURRENT) -> DataFrame:
     """Rows of docs that the policy does not reject, with all their columns.
 
-    The verdict is computed on the row itself: no join, no shuffle."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    row = F.struct(*columns)
-    marked = docs.select(row.alias("doc_id"), F.col("text"))
-    return apply_policy(ledger(marked), policy).filter("kept").select("doc_id.*")
+    The verdict is one expression on the row itself: no join, no shuffle, each measurement once."""
+    failed = let(measurements(F.col("text")), failed_bits)
+    return docs.filter(failed.bitwiseAND(policy.mask) == 0)

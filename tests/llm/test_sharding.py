@@ -59,3 +59,15 @@ def test_written_shards_hold_all_rows_in_order(spark, tmp_path):
     placed = {(r.doc_id, r.text_hash): r.shard for r in sharding.curve_shards(frame, 5).collect()}
     for r in back.withColumn("h", F.xxhash64("text")).collect():
         assert r.doc_id == 3 or placed[r.doc_id, r.h] == r.shard
+
+
+def test_filters_on_any_dimension_meet_few_shards(spark):
+    rng = random.Random(4)
+    rows = [(k, f"s{rng.randrange(12)}", rng.choice(["en", "de", "fr", "es"]), "word " * (4 ** rng.randrange(1, 6))) for k in range(4000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, text string")
+    out = sharding.curve_shards(frame, 40).join(frame.drop("text"), "doc_id").collect()
+    for key in (lambda r: r.source, lambda r: r.lang, lambda r: r.size, lambda r: r.doc_id // 1000):
+        met = defaultdict(set)
+        for r in out:
+            met[key(r)].add(r.shard)
+        assert sum(map(len, met.values())) / len(met) < 26  # of 40; by chance nearly all
