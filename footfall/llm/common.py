@@ -38,10 +38,25 @@ def words(text: Column) -> Column:
 
 
 def window_hashes(w: Column, width: int) -> Column:
-    """Hashes of all runs of ``width`` elements; no elements if the array is shorter."""
-    starts = F.when(F.size(w) >= width, F.sequence(F.lit(1), F.size(w) - (width - 1)))
-    starts = starts.otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, width)))
+    """Hashes of all runs of ``width`` elements; no elements if the array is shorter.
+
+    Elements are hashed once. Hashes of two runs in a row make that of the joined run, so a width takes
+    about as many passes over numbers as it has binary digits."""
+
+    def joined(first: Column, second: Column, apart: int) -> Column:
+        n = F.size(second) - apart
+        both = F.zip_with(F.slice(first, 1, n), F.slice(second, apart + 1, n), lambda a, b: F.xxhash64(a, b))
+        return F.when(n > 0, both).otherwise(F.array().cast("array<bigint>"))
+
+    def runs(hashes: Column, single: Column, size: int, digits: str) -> Column:
+        if not digits:
+            return hashes
+        hashes = let(hashes, lambda h: joined(h, h, size))
+        if digits[0] == "1":
+            hashes = let(hashes, lambda h: joined(h, single, 2 * size))
+        return runs(hashes, single, 2 * size + int(digits[0]), digits[1:])
+
+    return let(F.transform(w, lambda x: F.xxhash64(x)), lambda single: runs(single, single, 1, f"{width:b}"[1:]))
 
 
 def key128(value: Column) -> list[Column]:

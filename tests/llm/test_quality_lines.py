@@ -6,7 +6,7 @@ import random
 import brute
 from pyspark.sql import functions as F
 
-from footfall.llm import lines, quality
+from footfall.llm import common, lines, quality
 
 
 def texts(rng):
@@ -90,3 +90,12 @@ def test_digest(spark):
     assert {r.doc_id: r.s for r in out} == {
         1: hashlib.sha256(b"a line that repeats\nx").hexdigest(), 2: hashlib.sha256(b"y").hexdigest(),
     }
+
+
+def test_window_hashes(spark):
+    rows = [(["a", "b"] * 20 + ["c", "a", "b"],), ([],), (["x"],), (["a", "b", "a"],)]
+    for width in (1, 2, 3, 5, 7, 8):
+        out = spark.createDataFrame(rows, "w array<string>").select("w", common.window_hashes(F.col("w"), width).alias("h")).collect()
+        runs = [(tuple(r.w[i:i + width]), h) for r in out for i, h in enumerate(r.h)]
+        assert [len(r.h) for r in out] == [max(0, len(r.w) - width + 1) for r in out]
+        assert len({x for x, _ in runs}) == len(set(runs)) == len({h for _, h in runs})
