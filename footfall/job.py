@@ -10,6 +10,7 @@ derived from the older part of the log, and ``run`` publishes today's version of
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -66,6 +67,11 @@ class Job:
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         return storage.materialise(df, name, self.folder)
 
+    def _together(self, *names: str) -> None:
+        """Run the jobs behind independent steps side by side: most are too small to fill a cluster."""
+        with ThreadPoolExecutor(len(names)) as pool:
+            list(pool.map(lambda name: getattr(self, name), names))
+
     def _path(self, name: str) -> str:
         return new_path(self.spark, name, self.folder)
 
@@ -250,6 +256,7 @@ class Job:
 
     @cached_property
     def rec_hop1(self) -> DataFrame:
+        self._together("_visits", "_edges")
         repeated = self._visits.filter(F.col("cnt") > 1)
         return dr.expand_items(
             repeated, F.log10(1 + F.col("cnt")), ["deviceid", "userid", "shopid"], self._edges,
@@ -315,6 +322,7 @@ class Job:
 
     @cached_property
     def rec_merge_sum(self) -> DataFrame:
+        self._together("_active", "_item_edges", "_ratings")
         return merging.merge_scores(self.rec_agreement_boost, dr.REC, "rank", "sum")
 
     @cached_property
@@ -348,16 +356,20 @@ class Job:
         stored = self._before("region-scores")
         if stored is not None:
             return trend_delta(self.region_hot_smoothed, stored, dr.REGION_SHOP, "score")
+        salt = F.when(F.col("period") == 1, f"{self.p.seed}-region").otherwise(
+            f"{self.p.seed}-region-prev"
+        )
+        scored = dr.region_tf(self._period_hot, self.p, salt, "period")
+        return period_delta(scored, dr.REGION_SHOP, "score")
+
+    @cached_property
+    def _period_hot(self) -> DataFrame:
         bounds = (self.p.active_since, self.p.region_prev_before)
         log = in_periods(self.wh.traffic(*APP, periods=bounds), "hp_stat_time", *bounds)
         hot = dr.region_hot_shops(
             dr.active_visits(log, "period"), self._eligible("region_id"), "period"
         )
-        salt = F.when(F.col("period") == 1, f"{self.p.seed}-region").otherwise(
-            f"{self.p.seed}-region-prev"
-        )
-        scored = dr.region_tf(self._cut(hot, "region-hot"), self.p, salt, "period")
-        return period_delta(scored, dr.REGION_SHOP, "score")
+        return self._cut(hot, "region-hot")
 
     @cached_property
     def region_trend(self) -> DataFrame:
@@ -384,6 +396,8 @@ class Job:
 
     @cached_property
     def rec_backfill(self) -> DataFrame:
+        first_day = self._before("region-scores") is None
+        self._together("_top200", "_affinity", *["_period_hot"] * first_day)
         return dr.backfill(self._top200, self.state_carry_over, self.rec_by_region, self.p)
 
     @cached_property
@@ -501,6 +515,7 @@ class Job:
 
     @cached_property
     def tag_union(self) -> DataFrame:
+        self._together("_user_visits", "_shop_attributes")
         return merging.union_weighted([
             (self.tag_region, 1.0), (self.tag_district, 1.0),
             (self.tag_user_tfidf, self.p.tfidf_weight), (self.tag_price_bucket, 1.0),
@@ -525,6 +540,7 @@ class Job:
 
     @cached_property
     def tag_union_mobile(self) -> DataFrame:
+        self._together("_sliced", "_shop_attributes")
         visits = self._sliced
         return merging.union_weighted([
             (self.tag_region_raw, 1.0), (self._districts(visits), 1.0),
@@ -686,6 +702,7 @@ class Job:
 
     @cached_property
     def keyword_rec_canonical(self) -> DataFrame:
+        self._together("_profile", "_dominant")
         return joins.canonicalise(
             self.keyword_rec_hop2, self._dominant, ["cityid", "keyword"], "keyword", "shopname"
         )
@@ -731,6 +748,8 @@ class Job:
 
     @cached_property
     def keyword_rec_final(self) -> DataFrame:
+        self._together("_main_user", "_item_edges")
+        self._together("keyword_rec_canonical", "_views")
         return kw.final_keywords(self.keyword_rec_readable, self.shopname_rec_top5, self.p)
 
     # -- trending keywords ------------------------------------------------------------------------
@@ -787,6 +806,8 @@ class Job:
 
     @cached_property
     def keyword_canonical(self) -> DataFrame:
+        if self._before("keyword-shares") is None:
+            self._together("_dominant", "_period_shares")
         return self._hot_names(self.keyword_trend_top25)
 
     @cached_property
