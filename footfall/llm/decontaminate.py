@@ -73,13 +73,13 @@ def _common_weight(left: Column, right: Column) -> Column:
 
 
 def _find(rows: DataFrame, items: DataFrame, threshold: float, radius: int) -> DataFrame:
-    """Pairs of rows (_doc, _text, hashes) and items (item_id, item, n, item_print)."""
-    seeds = items.select("item_id", F.explode(F.array_distinct("item")).alias("h"))
-    sets = items.select("item_id", "n", "item")
+    """Pairs of rows (_doc, _text, hashes) and items (_item, item_id, item, n, item_print)."""
+    seeds = items.select("_item", F.explode(F.array_distinct("item")).alias("h"))
+    sets = items.select("_item", "item_id", "n", "item")
     # outer and never null: else Spark infers filters on the array's size, which compute it twice
     m = F.coalesce(F.size("hashes"), F.lit(0)).alias("m")
     at = rows.select("_doc", "_text", "hashes", m, F.posexplode_outer("hashes").alias("pos", "h"))
-    hits = at.join(F.broadcast(seeds), "h").join(F.broadcast(sets), "item_id")
+    hits = at.join(F.broadcast(seeds), "h").join(F.broadcast(sets.drop("item_id")), "_item")
     width = F.least("n", "m")
     need = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("n") + width) - 1e-9).cast("int")
     hits = hits.withColumn("w", width).withColumn("slack", width - need).filter("slack >= 0")
@@ -103,15 +103,15 @@ def _find(rows: DataFrame, items: DataFrame, threshold: float, radius: int) -> D
     def keys(of: str) -> Column:
         return F.posexplode(F.transform(masks, lambda m: F.col(of).bitwiseAND(m))).alias("block", "key")
 
-    index = items.select("item_id", "n", "item_print", keys("item_print"))
+    index = items.select("_item", "n", "item_print", keys("item_print"))
     met = windows.select("*", keys("print")).join(F.broadcast(index), ["n", "block", "key"])
     apart = F.col("print").bitwiseXOR(F.col("item_print"))
     first = F.array_position(F.transform(masks, lambda m: apart.bitwiseAND(m)), F.lit(0).cast("long")) - 1
     near = met.withColumn("bits", F.bit_count(apart)).filter(F.col("bits") <= radius).filter(first == F.col("block"))
-    near = near.join(F.broadcast(sets.drop("n")), "item_id")
+    near = near.join(F.broadcast(sets.drop("n")), "_item")
     near = near.withColumn("both", _common_weight(F.col("window"), F.col("item")))
     near = near.withColumn("similarity", F.col("both") / (F.size("window") + F.size("item") - F.col("both")))
-    return near.filter(F.col("similarity") >= threshold).select("_doc", "_text", "item_id", "similarity", "start", "bits")
+    return near.filter(F.col("similarity") >= threshold).select("_doc", "_text", "_item", "item_id", "similarity", "start", "bits")
 
 
 def contaminated(
@@ -123,18 +123,19 @@ def contaminated(
 
     Null or empty texts and items hold and match nothing. An item of fewer words than a shingle matches
     documents that consist of just these words. Rows with equal doc_id and text give one row, items
-    with equal item_id one item each per text. radius 23: at similarity 0.8 a fingerprint bit differs
+    with equal item_id, or with none, are one item each per text; an item_id may be null. radius 23: at similarity 0.8 a fingerprint bit differs
     with probability 0.15, more than 23 of 64 with 10^-5."""
     items = benchmark.select("item_id", shingles(F.col("text"), shingle).alias("item")).filter(F.size("item") > 0)
     items = items.withColumn("n", F.size("item")).withColumn("item_print", fingerprint("item")).distinct()
+    items = items.withColumn("_item", F.xxhash64("item_id", "item"))  # never null, as item_id may be
     rows = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"), shingles(F.col("text"), shingle).alias("hashes"))
     # an item is its shingles and a row per bit block of the index
     total = items.agg(F.sum(F.col("n") + radius + 1)).first()[0] or 0
     blocks = max(1, -(-total // block_shingles))
-    block = F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks))
+    block = F.pmod("_item", F.lit(blocks))
     found = [_find(rows, items.filter(block == b), threshold, radius) for b in range(blocks)]
     best = F.max_by(F.struct("similarity", "start", "bits"), F.struct("similarity", -F.col("start"))).alias("best")
-    pairs = reduce(DataFrame.unionByName, found).groupBy("_doc", "_text", "item_id").agg(best)
+    pairs = reduce(DataFrame.unionByName, found).groupBy("_doc", "_text", "_item", "item_id").agg(best)
     return pairs.select(F.col("_doc").alias("doc_id"), "_text", "item_id", "best.*")
 
 

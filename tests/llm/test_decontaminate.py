@@ -51,6 +51,17 @@ def test_similarity_is_that_of_the_best_window(spark):
             assert r.similarity == pytest.approx(brute.best_window(brute.shingles(texts[r.doc_id]), brute.shingles(wanted[r.item_id])))
 
 
+def test_items_without_an_id(spark):
+    a, b = " ".join(f"a{k}" for k in range(20)), " ".join(f"b{k}" for k in range(20))
+    docs = [(1, f"x {a} y"), (2, f"{b} y"), (3, f"{a} x {b}"), (4, "clean " * 30)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(None, a), (None, b), (None, b), (None, None), (7, a), (8, "other " * 9)], "item_id bigint, text string")
+    for block_shingles in (decontaminate.BLOCK_SHINGLES, 20):
+        got = [(r.doc_id, r.item_id, r.start) for r in decontaminate.contaminated(frame, bench, block_shingles=block_shingles).collect()]
+        assert sorted(got, key=str) == sorted([(1, None, 1), (1, 7, 1), (2, None, 0), (3, None, 0), (3, 7, 0), (3, None, 21)], key=str)
+    assert [r.doc_id for r in decontaminate.drop_contaminated(frame, bench.filter("item_id IS NULL")).collect()] == [4]
+
+
 def test_blocks_cover_the_fingerprint():
     for radius in (0, 3, 10, 23, 40):
         masks = [m % (1 << 64) for m in decontaminate._masks(radius)]
