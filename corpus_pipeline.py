@@ -28,7 +28,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of the benchmark."""
-    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"), short_inside=True)
 
 
 def packing_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

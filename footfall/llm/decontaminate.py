@@ -20,7 +20,7 @@ broadcast against all documents.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -114,34 +114,51 @@ def _find(rows: DataFrame, items: DataFrame, threshold: float, radius: int) -> D
     return near.filter(F.col("similarity") >= threshold).select("_doc", "_text", "_item", "item_id", "similarity", "start", "bits")
 
 
+def _find_runs(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """The same for items of one shingle, which a document has as it is or not at all."""
+    seeds = items.select("_item", "item_id", F.col("item")[0].alias("h"))
+    at = rows.select("_doc", "_text", F.posexplode("hashes").alias("start", "h"))
+    hits = at.join(F.broadcast(seeds), "h")
+    return hits.select("_doc", "_text", "_item", "item_id", F.lit(1.0).alias("similarity"), "start", F.lit(0).alias("bits"))
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, shingle: int = 5, threshold: float = 0.8, radius: int = 23,
-    block_shingles: int = BLOCK_SHINGLES,
+    block_shingles: int = BLOCK_SHINGLES, short_inside: bool = False,
 ) -> DataFrame:
     """Per document and item found in it: doc_id, _text (hash of the text), item_id, similarity of the
     best window, its first word ``start`` (the smallest of equals) and the differing ``bits``.
 
     Null or empty texts and items hold and match nothing. An item of fewer words than a shingle matches
-    documents that consist of just these words. Rows with equal doc_id and text give one row, items
+    documents that consist of just these words, with ``short_inside`` documents that have these words in a
+    row: one more pass over the documents for each such number of words that occurs. Rows with equal doc_id and text give one row, items
     with equal item_id, or with none, are one item each per text; an item_id may be null. radius 23: at similarity 0.8 a fingerprint bit differs
     with probability 0.15, more than 23 of 64 with 10^-5."""
-    items = benchmark.select("item_id", shingles(F.col("text"), shingle).alias("item")).filter(F.size("item") > 0)
-    items = items.withColumn("n", F.size("item")).withColumn("item_print", fingerprint("item")).distinct()
-    items = items.withColumn("_item", F.xxhash64("item_id", "item"))  # never null, as item_id may be
-    rows = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"), shingles(F.col("text"), shingle).alias("hashes"))
-    # an item is its shingles and a row per bit block of the index
-    total = items.agg(F.sum(F.col("n") + radius + 1)).first()[0] or 0
-    blocks = max(1, -(-total // block_shingles))
-    block = F.pmod("_item", F.lit(blocks))
-    found = [_find(rows, items.filter(block == b), threshold, radius) for b in range(blocks)]
+    known = benchmark.select("item_id", "text", F.size(_words(F.col("text"))).alias("_words"))
+    passes = [(shingle, known, partial(_find, threshold=threshold, radius=radius))]
+    if short_inside:
+        lengths = known.select("_words").filter(F.col("_words").between(1, shingle - 1)).distinct().collect()
+        passes = [(shingle, known.filter(F.col("_words") >= shingle), passes[0][2])]
+        passes += [(r[0], known.filter(F.col("_words") == r[0]), _find_runs) for r in sorted(lengths)]
+    found = []
+    for size, some, find in passes:
+        items = some.select("item_id", shingles(F.col("text"), size).alias("item")).filter(F.size("item") > 0)
+        items = items.withColumn("n", F.size("item")).withColumn("item_print", fingerprint("item")).distinct()
+        items = items.withColumn("_item", F.xxhash64("item_id", "item"))  # never null, as item_id may be
+        rows = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"), shingles(F.col("text"), size).alias("hashes"))
+        # an item is its shingles and a row per bit block of the index
+        total = items.agg(F.sum(F.col("n") + radius + 1)).first()[0] or 0
+        blocks = max(1, -(-total // block_shingles))
+        block = F.pmod("_item", F.lit(blocks))
+        found += [find(rows, items.filter(block == b)) for b in range(blocks)]
     best = F.max_by(F.struct("similarity", "start", "bits"), F.struct("similarity", -F.col("start"))).alias("best")
     pairs = reduce(DataFrame.unionByName, found).groupBy("_doc", "_text", "_item", "item_id").agg(best)
     return pairs.select(F.col("_doc").alias("doc_id"), "_text", "item_id", "best.*")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, short_inside: bool = False) -> DataFrame:
     """docs without the documents that hold an item. All columns stay; repeated rows go together."""
-    found = contaminated(docs, benchmark)
+    found = contaminated(docs, benchmark, short_inside=short_inside)
     gone = found.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_footfall_id"), F.col("_text").alias("_footfall_text")).distinct()
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(*columns, F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_footfall_id"), F.xxhash64("text").alias("_footfall_text"))

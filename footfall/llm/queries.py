@@ -76,7 +76,8 @@ def toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row per document and item found in it."""
-    found = decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    found = decontaminate.contaminated(docs, benchmark, short_inside=True)
     return found.select("doc_id", "item_id", "similarity", "start", "bits")
 
 

@@ -62,6 +62,26 @@ def test_items_without_an_id(spark):
     assert [r.doc_id for r in decontaminate.drop_contaminated(frame, bench.filter("item_id IS NULL")).collect()] == [4]
 
 
+def test_short_items_inside_documents(spark):
+    items = [(1, "Yes"), (2, "two words"), (3, "we saw it"), (4, "to be or not"), (None, "or not"), (5, "one two three four five"), (6, ""), (7, "to be nowhere")]
+    docs = [(1, "yes"), (2, "x two, WORDS y two words"), (3, "two other words"), (4, "it is to be or not to be"), (5, "zero one two three four five six"), (6, "we saw"), (7, None), (8, "words two yesterday")]
+    frame, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = [(1, 1, 0), (2, 2, 1), (4, 4, 2), (4, None, 4), (5, 5, 1)]
+    for block_shingles in (decontaminate.BLOCK_SHINGLES, 10):
+        got = decontaminate.contaminated(frame, bench, block_shingles=block_shingles, short_inside=True).collect()
+        assert sorted(((r.doc_id, r.item_id, r.start) for r in got), key=str) == sorted(want, key=str)
+        assert {(r.similarity, r.bits) for r in got} == {(1.0, 0)}
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(frame, bench, short_inside=True).collect()) == [3, 6, 7, 8]
+
+
+def test_query_finds_short_items(spark, tmp_path):
+    from footfall.llm import queries
+
+    spark.createDataFrame([(1, "x two words y"), (2, "clean")], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "two words")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [(r.doc_id, r.item_id) for r in queries.benchmark_decontamination(spark, str(tmp_path)).collect()] == [(1, 1)]
+
+
 def test_blocks_cover_the_fingerprint():
     for radius in (0, 3, 10, 23, 40):
         masks = [m % (1 << 64) for m in decontaminate._masks(radius)]
