@@ -47,7 +47,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, max_docs: int = 1) -> Data
     equal doc_id and other text are one document for the count. n_lines and n_dropped replace input
     columns of these names."""
     gone = dropped_lines(docs, min_chars, max_docs)
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], *_identity()).join(gone, [_ID, _TEXT], "left")
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns], *_identity())
+    rows = rows.join(gone.hint("shuffle_hash"), [_ID, _TEXT], "left")  # texts stream past the positions, unsorted
     n = F.size(_lines())
     rest = F.array_except(F.sequence(F.lit(0), n - 1), F.col(_GONE))
     text = let(_lines(), lambda all_: F.array_join(F.transform(rest, lambda i: F.get(all_, i)), "\n"))
