@@ -62,3 +62,36 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), cut AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), runs AS (
+    SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+    FROM cut, range(1, 6) AS s(size)
+), f AS (
+    SELECT lang, size, phrase, count(*) AS n FROM runs GROUP BY ALL HAVING count(*) >= 100
+), total AS (
+    SELECT lang, sum(len(w))::hugeint AS n FROM cut GROUP BY lang
+), cuts AS (
+    SELECT f.lang, f.phrase, f.n AS a, l.n AS l, r.n AS r, total.n AS n, k,
+           1000::hugeint * f.n * total.n // (l.n::hugeint * r.n) AS score
+    FROM f JOIN range(1, 5) AS c(k) ON k < size JOIN total ON total.lang = f.lang
+    JOIN f AS l ON l.lang = f.lang AND l.phrase = array_to_string(string_split(f.phrase, ' ')[:k], ' ')
+    JOIN f AS r ON r.lang = f.lang AND r.phrase = array_to_string(string_split(f.phrase, ' ')[k + 1:], ' ')
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), free AS (
+    SELECT * FROM lowest AS p WHERE NOT EXISTS (
+        SELECT 1 FROM f WHERE f.lang = p.lang AND f.n >= p.a AND f.phrase <> p.phrase
+        AND contains(' ' || f.phrase || ' ', ' ' || p.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n::bigint AS n, score::bigint AS score
+FROM free QUALIFY rank <= 2000
+"""
