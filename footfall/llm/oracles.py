@@ -63,6 +63,49 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+AUDIT = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), failed AS (
+    SELECT doc_id, part, [
+        CASE WHEN len(w) < 100 THEN 'A' END,
+        CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' END,
+        CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 'C' END,
+        CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+        CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END] AS fails
+    FROM d
+), cells AS (
+    SELECT part, list_filter(fails, lambda x: x IS NOT NULL) AS fails, count(*) AS n,
+           count(*) FILTER (labels.quality = 1) AS good, count(*) FILTER (labels.toxic = 1) AS toxic
+    FROM failed LEFT JOIN labels USING (doc_id) GROUP BY ALL
+), letters AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+    SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+    SELECT o, s::int AS step, o[s] AS f, o[:s - 1] AS earlier FROM orders, range(1, 6) AS r(s)
+), rows AS (
+    SELECT part, array_to_string(o, '') AS filter_order, step, f, n, good, toxic, fails,
+           list_contains(fails, f) AS here, len(list_intersect(fails, earlier)) > 0 AS gone
+    FROM cells, steps
+), counted AS (
+    SELECT part, filter_order, step, f,
+           coalesce(sum(n) FILTER (NOT gone AND NOT here), 0)::bigint AS kept,
+           coalesce(sum(n) FILTER (NOT gone AND here), 0)::bigint AS removed,
+           coalesce(sum(n) FILTER (gone AND here), 0)::bigint AS redundant,
+           coalesce(sum(n) FILTER (here AND len(fails) = 1), 0)::bigint AS unique_fails,
+           coalesce(sum(good) FILTER (NOT gone AND here), 0)::bigint AS good_lost,
+           coalesce(sum(toxic) FILTER (NOT gone AND here), 0)::bigint AS toxic_lost
+    FROM rows GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, f))::bigint AS shapley
+FROM counted
+"""
+
 COLLOCATIONS = r"""
 WITH pieces AS (
     SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex(

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from footfall.llm import (
-    decontaminate, lines, oracles, packing, phrases, quality, sharding, simhash, tokens, toxicity, warc, wrappers,
+    audit, decontaminate, lines, oracles, packing, phrases, quality, sharding, simhash, tokens, toxicity, warc, wrappers,
 )
 from footfall.llm.common import read_table
 
@@ -81,6 +81,10 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "similarity", "start", "bits")
 
 
+def filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read_table(spark, sf_dir, "documents"))
 
@@ -96,11 +100,13 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": html_extraction,
     "op9_toxicity_grammar": toxicity_grammar,
     "op10_benchmark_decontamination": benchmark_decontamination,
+    "op12_filter_interaction_audit": filter_interaction_audit,
     "op13_phrase_collocations": phrase_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": oracles.QUALITY,
     "op7_line_dedup": oracles.LINES,
+    "op12_filter_interaction_audit": oracles.AUDIT,
     "op13_phrase_collocations": oracles.COLLOCATIONS,
 }
