@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from footfall.llm import (
-    audit, decontaminate, lines, oracles, packing, phrases, quality, sharding, simhash, tokens, toxicity, warc, wrappers,
+    audit, binary, decontaminate, lines, oracles, packing, phrases, quality, sharding, simhash, tokens, toxicity, warc, wrappers,
 )
 from footfall.llm.common import read_table
+from footfall.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +82,12 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "similarity", "start", "bits")
 
 
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "token-files")
+    binary.write(read_table(spark, sf_dir, "documents"), tokenizer(), folder)
+    return binary.read_documents(spark, folder)
+
+
 def filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -100,6 +107,7 @@ QUERIES: dict[str, Query] = {
     "op8_html_extraction": html_extraction,
     "op9_toxicity_grammar": toxicity_grammar,
     "op10_benchmark_decontamination": benchmark_decontamination,
+    "op11_token_files": token_files,
     "op12_filter_interaction_audit": filter_interaction_audit,
     "op13_phrase_collocations": phrase_collocations,
 }
