@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 
 @dataclass(frozen=True)
@@ -11,7 +12,7 @@ class Params:
     as_of: str = "2001-08-02"
     visit_since: str = "1995-01-01"
     active_since: str = "2001-05-01"
-    identity_batch_since: str = "2000-01-01"
+    identity_batch_since: str = "2000-01-01"  # where no earlier day is stored
     trend_prev_before: str = "1996-07-01"
     region_prev_before: str = "1995-04-01"
     review_text_after: str = "2024-01-03"
@@ -96,3 +97,20 @@ class Params:
     hot_max_trend: float = 0.5
     hot_k: int = 25
     hot_final_k: int = 15
+
+    @classmethod
+    def daily(cls, as_of: str, visit_days: int = 5, active_days: int = 1, **others) -> Params:
+        """Windows that end with as_of: visits and searches of the last ``visit_days``, active devices of
+        the last ``active_days``, a slice per visit day. A first day, before which nothing is stored,
+        compares with what came before these windows."""
+
+        def back(days: int) -> str:
+            return (date.fromisoformat(as_of) - timedelta(days)).isoformat()
+
+        visit, active = back(visit_days - 1), back(active_days - 1)
+        windows = {
+            "visit_since": visit, "active_since": active, "identity_batch_since": active,
+            "trend_prev_before": visit, "region_prev_before": active,
+            "slice_bounds": tuple(back(d) for d in range(visit_days, 0, -1)),
+        }
+        return cls(as_of=as_of, **windows | others)

@@ -11,19 +11,17 @@ from footfall.operators.joins import exclude, expand, join_per_key, restrict
 from footfall.operators.merging import merge_scores
 from footfall.operators.ranking import first_k, top_k_per_group
 from footfall.params import Params
-from footfall.plans.region import app_events
 
 DEVICE_CITY = ["deviceid", "cityid"]
 REC = ["deviceid", "cityid", "shopid"]
 REGION_SHOP = ["cityid", "regionid", "shopid"]
 
 
-def decayed_visits(traffic: DataFrame, p: Params) -> DataFrame:
+def decayed_visits(visits: DataFrame, p: Params) -> DataFrame:
     """Repeated visits, the most recent ones per device, faded by their age to a whole number."""
     counts = (
-        traffic.filter(app_events())
-        .groupBy("deviceid", F.col("user_id").alias("userid"), F.col("shop_id").alias("shopid"))
-        .agg(F.count(F.lit(1)).alias("cnt"), F.max("hp_stat_time").alias("dt"))
+        visits.groupBy("deviceid", "userid", "shopid")
+        .agg(F.sum("n").alias("cnt"), F.max("dt").alias("dt"))
         .filter(F.col("cnt") > p.min_visits)
     )
     order = [F.col("dt").desc(), F.col("cnt").desc(), F.col("userid"), F.col("shopid")]
@@ -34,11 +32,8 @@ def decayed_visits(traffic: DataFrame, p: Params) -> DataFrame:
     )
 
 
-def active_visits(traffic: DataFrame, *period: str) -> DataFrame:
-    visits = traffic.filter(app_events())
-    return visits.select(
-        *period, "deviceid", F.col("user_id").alias("userid"), F.col("shop_id").alias("shopid")
-    ).distinct()
+def active_visits(visits: DataFrame, *period: str) -> DataFrame:
+    return visits.select(*period, "deviceid", "userid", "shopid").distinct()
 
 
 def edges_to(edges: DataFrame, targets: DataFrame) -> DataFrame:

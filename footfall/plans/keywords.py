@@ -20,15 +20,19 @@ from footfall.plans.tags import path_visits, resolve_users
 USER_CITY = ["userid", "cityid"]
 
 
-def user_searches(traffic: DataFrame, main_user: DataFrame) -> DataFrame:
-    rows = traffic.filter(
+def searches(traffic: DataFrame) -> DataFrame:
+    return traffic.filter(
         (F.col("hp_log_type") == 0) & url_match("path", SEARCH_PATH, SEARCH_DEEPER)
     ).select(
         F.col("guid_str").alias("guid"), F.col("city_id").alias("cityid"),
         url_part("path", SEARCH_WORD).alias("keyword"), F.col("hp_stat_time").alias("dt"),
+        F.lit(1).cast("bigint").alias("n"),
     )
+
+
+def user_searches(rows: DataFrame, main_user: DataFrame) -> DataFrame:
     return join_per_key(rows, main_user, ["guid"]).select(
-        "userid", "cityid", "keyword", F.lit(1).cast("bigint").alias("cnt"), "dt"
+        "userid", "cityid", "keyword", F.col("n").alias("cnt"), "dt"
     )
 
 
@@ -97,8 +101,8 @@ def expand_keywords(
     return top_k_per_group(hop, USER_CITY, p.keyword_k, "score", ["keyword"])
 
 
-def keyword_shop_counts(traffic: DataFrame, shops: DataFrame) -> DataFrame:
-    """Clicks from a searched keyword to a shop name, per city."""
+def shop_clicks(traffic: DataFrame) -> DataFrame:
+    """Clicks from a searched keyword to a shop."""
     rows = traffic.filter(
         (F.col("hp_log_type") == 0)
         & (F.col("city_id") > 0)
@@ -106,12 +110,16 @@ def keyword_shop_counts(traffic: DataFrame, shops: DataFrame) -> DataFrame:
         & url_match("referer", SEARCH_PATH, SEARCH_DEEPER)
     ).select(
         F.col("city_id").alias("cityid"), url_number("path", SHOP_ID).alias("shopid"),
-        url_part("referer", SEARCH_WORD).alias("keyword"),
+        url_part("referer", SEARCH_WORD).alias("keyword"), F.col("hp_stat_time").alias("dt"),
+        F.lit(1).cast("bigint").alias("n"),
     )
     cleaned = rows.filter(has_text("keyword")).withColumn("keyword", clean_keyword("keyword"))
-    clicks = cleaned.filter(has_text("keyword")).groupBy("cityid", "shopid", "keyword").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    return cleaned.filter(has_text("keyword"))
+
+
+def keyword_shop_counts(clicks: DataFrame, shops: DataFrame) -> DataFrame:
+    """Clicks per keyword and shop name of a city."""
+    clicks = clicks.groupBy("cityid", "shopid", "keyword").agg(F.sum("n").alias("n"))
     names = shops.select(
         F.col("city_id").alias("cityid"), F.col("shop_id").alias("shopid"),
         F.col("shop_name").alias("shopname"),
@@ -134,9 +142,9 @@ def readable_keywords(recs: DataFrame, p: Params) -> DataFrame:
     return recs.filter(readable("keyword", p.max_keyword_len))
 
 
-def recent_views(traffic: DataFrame, main_user: DataFrame, p: Params) -> DataFrame:
+def recent_views(pages: DataFrame, main_user: DataFrame) -> DataFrame:
     """Cookies of a user that viewed a shop."""
-    views = resolve_users(path_visits(traffic, p.page_type), main_user)
+    views = resolve_users(path_visits(pages), main_user)
     return views.groupBy("userid", "shopid").agg(F.count("shopid").alias("cnt"))
 
 

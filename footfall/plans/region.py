@@ -19,9 +19,15 @@ def app_events() -> Column:
     )
 
 
-def device_visits(traffic: DataFrame) -> DataFrame:
-    visits = traffic.filter(app_events())
-    return visits.select("deviceid", F.col("shop_id").alias("shopid")).distinct()
+def app_visits(traffic: DataFrame) -> DataFrame:
+    return traffic.filter(app_events()).select(
+        "deviceid", F.col("user_id").alias("userid"), F.col("shop_id").alias("shopid"),
+        F.col("hp_stat_time").alias("dt"), F.lit(1).cast("bigint").alias("n"),
+    )
+
+
+def device_visits(visits: DataFrame) -> DataFrame:
+    return visits.select("deviceid", "shopid").distinct()
 
 
 def region_affinity(visits: DataFrame, shops: DataFrame) -> DataFrame:

@@ -17,16 +17,22 @@ PRICE_BUCKETS = [(200, ">200"), (120, "121-200"), (80, "81-120"), (50, "51-80"),
 PRICE_REST = "<=20"
 
 
-def path_visits(traffic: DataFrame, page_type: int) -> DataFrame:
-    """Distinct (guid, shop) from shop page URLs, photo pages left out."""
+def shop_pages(traffic: DataFrame, page_type: int) -> DataFrame:
+    """Views of shop pages by their URLs, photo pages left out."""
     pages = traffic.filter(
         (F.col("hp_log_type") == 0)
         & (F.col("page_id") == page_type)
         & url_match("path", SHOP_PATH, PHOTO_PATH)
     )
     return pages.select(
-        F.col("guid_str").alias("guid"), url_number("path", SHOP_ID).alias("shopid")
-    ).distinct()
+        F.col("guid_str").alias("guid"), url_number("path", SHOP_ID).alias("shopid"),
+        F.col("hp_stat_time").alias("dt"), F.lit(1).cast("bigint").alias("n"),
+    )
+
+
+def path_visits(pages: DataFrame) -> DataFrame:
+    """Distinct (guid, shop)."""
+    return pages.select("guid", "shopid").distinct()
 
 
 def resolve_users(visits: DataFrame, main_user: DataFrame) -> DataFrame:

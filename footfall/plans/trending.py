@@ -40,8 +40,12 @@ def clean_clicks(clicks: DataFrame, p: Params) -> DataFrame:
     return kept.select("guid", "cityid", "shopid", "keyword", "dt").distinct()
 
 
+def keyword_clicks(clicks: DataFrame, *period: str) -> DataFrame:
+    return clicks.select(*period, "cityid", "keyword", "dt", F.when(F.col("guid").isNotNull(), 1).otherwise(0).cast("bigint").alias("n"))
+
+
 def keyword_counts(clicks: DataFrame, *period: str) -> DataFrame:
-    return clicks.groupBy(*period, "cityid", "keyword").agg(F.count("guid").alias("cnt"))
+    return clicks.groupBy(*period, "cityid", "keyword").agg(F.sum("n").alias("cnt"))
 
 
 def keyword_share(counts: DataFrame, p: Params, *period: str) -> DataFrame:

@@ -1,18 +1,12 @@
-"""Stored tables, versioned state and delimited text."""
+"""Stored tables and delimited text."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from footfall.schemas import conform
-from footfall.session import hadoop_path, new_path
-
-
-def save(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+from footfall.session import new_path
 
 
 def save_clustered(df: DataFrame, path: str, keys: Sequence[str], order: Sequence) -> None:
@@ -32,46 +26,6 @@ def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
-class VersionedState:
-    """Snapshots of one table under ``root/as_of=<date>``. Refreshing writes a new version, so a job
-    can read the previous one while it writes. Only finished versions count: those with the
-    marker that Spark's writer leaves last. A version that is written again replaces its old self."""
-
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
-        self.spark, self.root, self.schema = spark, root, schema
-
-    def write(self, df: DataFrame, as_of: str) -> None:
-        save(conform(df, self.schema), f"{self.root}/as_of={as_of}")
-
-    def read(self, as_of: str) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/as_of={as_of}")
-
-    def before(self, as_of: str) -> DataFrame | None:
-        """The latest version older than as_of, if there is one."""
-        older = [v for v in self.versions() if v < as_of]
-        return self.read(older[-1]) if older else None
-
-    def read_before(self, as_of: str) -> DataFrame:
-        """The latest version older than as_of; empty if there is none."""
-        older = self.before(as_of)
-        return self.spark.createDataFrame([], self.schema) if older is None else older
-
-    def history(self) -> DataFrame:
-        """The rows of all versions, with their date as ``dt``."""
-        dated = [self.read(v).withColumn("dt", F.lit(v)) for v in self.versions()]
-        if not dated:
-            return self.spark.createDataFrame([], self.schema).withColumn("dt", F.lit(""))
-        return reduce(DataFrame.unionByName, dated)
-
-    def versions(self) -> list[str]:
-        at, fs = hadoop_path(self.spark, self.root)
-        if not fs.exists(at):
-            return []
-        found = [s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("as_of=")]
-        done = [p for p in found if fs.exists(hadoop_path(self.spark, f"{p.toString()}/_SUCCESS")[0])]
-        return sorted(p.getName().removeprefix("as_of=") for p in done)
-
-
 def export_text(df: DataFrame, path: str, sep: str = "\t", by: Sequence[str] = ()) -> None:
     """Delimited text files; a folder per value of the columns in ``by``, which the files leave out."""
     df.write.mode("overwrite").partitionBy(*by).csv(path, sep=sep)

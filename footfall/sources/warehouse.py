@@ -9,6 +9,8 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from footfall.sources.state import shifted
+
 _TRAFFIC_SHOP = {"shop_id", "city_id", "path", "referer"}
 _TRAFFIC_CITY = {"city_id", "path", "referer"}
 _TRAFFIC_PART = {"path", "referer"}
@@ -16,8 +18,8 @@ _SHOP_REGION = {"district_id", "district_name"}
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str):
+        self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -31,7 +33,8 @@ class Warehouse:
         return F.lit(self.table("supplier").count())
 
     def _orders(
-        self, since: str | None, before: str | None, periods: tuple[str, str] | None = None
+        self, since: str | None, before: str | None, periods: tuple[str, str] | None = None,
+        until: str | None = None,
     ) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         if periods is not None:
@@ -41,7 +44,8 @@ class Warehouse:
             orders = orders.filter(F.col("o_orderdate") >= _midnight(since))
         if before is not None:
             orders = orders.filter(F.col("o_orderdate") < _midnight(before))
-        return orders
+        end = min(until or self.as_of, self.as_of)
+        return orders.filter(F.col("o_orderdate") < _midnight(shifted(end, 1)))
 
     def _shop_city(self) -> DataFrame:
         supplier = self.table("supplier").select("s_suppkey", "s_nationkey")
@@ -51,14 +55,15 @@ class Warehouse:
 
     def traffic(
         self, *cols: str, since: str | None = None, before: str | None = None,
-        periods: tuple[str, str] | None = None,
+        periods: tuple[str, str] | None = None, until: str | None = None,
     ) -> DataFrame:
-        """The event log: one event per line item. The date window reaches the orders scan;
-        ``periods`` are two windows: from its first day on, and before its second."""
+        """The event log: one event per line item. The date window, from ``since`` on, before ``before``
+        or up to ``until``, never beyond as_of, reaches the orders scan; ``periods`` are two windows:
+        from its first day on, and before its second."""
         lines = self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"
         )
-        orders = self._orders(since, before, periods)
+        orders = self._orders(since, before, periods, until)
         log = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         if _TRAFFIC_SHOP & set(cols):
             log = log.withColumn("shop_id", _visited_shop(self._n_shops))
