@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from footfall.llm.common import UPPER, ship_by_value
+from footfall.llm.common import UPPER, arrow_batches, ship_by_value, sliced
 from footfall.sources.storage import materialise
 
 ship_by_value(__name__)
@@ -32,7 +32,9 @@ SYMBOLS = b"#$%&*|"
 #: The doc_id that stands for null: it comes after all others.
 LAST = 2**63 - 1
 #: Code points of texts that a task holds to merge equal ones.
-MERGED = 16 << 20
+MERGED = 4 << 20
+#: Rows that go to a Python worker and back at a time.
+ROWS = 512
 #: Code points of the first prefix, doubled where many texts share it.
 FIRST_PREFIX = 2
 #: Code points of texts under one prefix.
@@ -117,9 +119,9 @@ def measured(docs: DataFrame, merged: int = MERGED) -> DataFrame:
             columns = map(pa.array, (parts, masks, docs_, hashes, texts), kinds)
             return pa.RecordBatch.from_arrays(list(columns), names=["part", "mask", "doc", "hash", "text"])
 
-        def owners() -> pa.RecordBatch:
+        def owners() -> Iterator[pa.RecordBatch]:
             none = [None] * len(held)
-            return rows(none, none, [d for d, _ in held.values()], [h for _, h in held.values()], list(held))
+            return sliced(rows(none, none, [d for d, _ in held.values()], [h for _, h in held.values()], list(held)), ROWS)
 
         for batch in batches:
             ids, texts, parts = (c.to_pylist() for c in batch.columns)
@@ -135,9 +137,9 @@ def measured(docs: DataFrame, merged: int = MERGED) -> DataFrame:
                     held[text] = doc, hashes[-1]
             yield rows(parts, masks, ids, hashes, [None] * len(ids))
             if size >= merged:
-                yield owners()
+                yield from owners()
                 held, size = {}, 0
-        yield owners()
+        yield from owners()
 
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
     texts = docs.select(doc, F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("part"))
@@ -193,8 +195,9 @@ def masks(docs: DataFrame, most: int = GROUP, merged: int = MERGED) -> DataFrame
 
     Rows with the doc_id that is the smallest of their text do not fail E, several of them neither; a null
     doc_id comes after all others. Texts are stored once per task and shuffled once."""
-    stored = materialise(measured(docs, merged), "audit")
-    first = materialise(first_holders(stored.filter("mask is null").select("doc", "hash", "text"), most), "audit-first")
+    with arrow_batches(docs.sparkSession, ROWS):
+        stored = materialise(measured(docs, merged), "audit")
+        first = materialise(first_holders(stored.filter("mask is null").select("doc", "hash", "text"), most), "audit-first")
     first = first.distinct().withColumn("first", F.lit(True))
     rows = stored.filter("mask is not null").select("part", "mask", "doc", "hash").join(first, ["doc", "hash"], "left")
     repeated = F.when(F.col("first"), 0).otherwise(BIT["E"])

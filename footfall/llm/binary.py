@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
-from footfall.llm.common import ship_by_value
+from footfall.llm.common import arrow_batches, ship_by_value
 from footfall.llm.tokens import encoder
 
 ship_by_value(__name__)
@@ -146,8 +146,10 @@ def write(docs: DataFrame, tokenizer: str, folder: str, size: int = 1024, rows:
     ordered = docs.select("doc_id", "text", F.xxhash64("text").alias("_text_hash"), F.monotonically_increasing_id().alias("_row"))
     ordered = ordered.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     files = ordered.mapInArrow(run, "part int, file string, tokens bigint, sequences bigint, batches bigint, docs bigint")
+    with arrow_batches(spark, 512):
+        found = sorted(files.collect())  # a row per task
     rows_, start = [], 0
-    for f in sorted(files.collect()):  # a row per task
+    for f in found:
         rows_.append((f.file, f.tokens, f.sequences, f.batches, f.docs, start))
         start += f.tokens
     path = posixpath.join(folder, FILES)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -18,6 +21,24 @@ def ship_by_value(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside send Python workers at most so many rows at a time: whole texts are large, and a batch
+    is held several times over, in the JVM's native memory and in the worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def sliced(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

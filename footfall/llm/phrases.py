@@ -27,7 +27,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from footfall.llm.common import UPPER, ship_by_value
+from footfall.llm.common import UPPER, arrow_batches, ship_by_value
 from footfall.operators.joins import join_per_key
 from footfall.operators.ranking import first_k
 from footfall.session import new_path
@@ -214,9 +214,9 @@ def scan(shard: DataFrame, now: np.ndarray | None, old: np.ndarray | None, first
             codes, hashes, parts, _ = open_.pop(lang)
             words = list(codes)
             for phrases, n in _count(lang, words, np.concatenate(hashes), np.concatenate(parts), now, old, first_cycle):
-                for a in range(0, len(n), 100_000):
-                    part = phrases.slice(a, 100_000)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), part, pa.array(n[a:a + 100_000], pa.int64())], names=["lang", "phrase", "n"])
+                for a in range(0, len(n), 20_000):
+                    part = phrases.slice(a, 20_000)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), part, pa.array(n[a:a + 20_000], pa.int64())], names=["lang", "phrase", "n"])
 
         for batch in batches:
             for row in range(batch.num_rows):
@@ -240,7 +240,8 @@ def scan(shard: DataFrame, now: np.ndarray | None, old: np.ndarray | None, first
 def store_shards(docs: DataFrame, shards: int, chunk: int = CHUNK) -> DataFrame:
     path = new_path(docs.sparkSession, "phrase-shards")
     coded = encode_shards(docs, shards, chunk)
-    coded.write.partitionBy("shard").parquet(path)
+    with arrow_batches(docs.sparkSession, 512):
+        coded.write.partitionBy("shard").parquet(path)
     return docs.sparkSession.read.schema(coded.schema).parquet(path)
 
 
@@ -264,7 +265,8 @@ def frequent_phrases(
         if live is not None:
             counts = counts.unionByName(live)
         counts = counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("since").alias("since"))
-        state = materialise(counts, f"phrase-counts-{t}")
+        with arrow_batches(stored.sparkSession, 2):  # chunks
+            state = materialise(counts, f"phrase-counts-{t}")
         reached = state.filter(F.col("n") >= min_count)
         now = filter_of(reached, filter_bits, now)
         # a phrase seen in scan s was active in s or before
