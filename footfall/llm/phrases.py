@@ -16,6 +16,7 @@ exactly one cycle. All counts are exact; what the filter costs is counting of ph
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 from itertools import count
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.llm.common import UPPER, arrow_batches, ship_by_value
@@ -201,13 +202,16 @@ def _windows(names: pa.Array, codes: np.ndarray, at: np.ndarray, size: int) -> t
     return pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())), n
 
 
-def scan(shard: DataFrame, now: np.ndarray | None, old: np.ndarray | None, first_cycle: bool, at_once: int = AT_ONCE) -> DataFrame:
+def _unpacked(bitmap: bytes | None) -> np.ndarray | None:
+    return None if bitmap is None else np.frombuffer(zlib.decompress(bitmap), np.uint8)
+
+
+def scan(shard: DataFrame, filters: Broadcast, first_cycle: bool, at_once: int = AT_ONCE) -> DataFrame:
     """(lang, phrase, n): counts of the active phrases in the shard, combined within tasks. A task holds
-    ``at_once`` words and one chunk at most."""
-    shared = shard.sparkSession.sparkContext.broadcast((now, old))  # filter_bits / 8 bytes each
+    ``at_once`` words and one chunk at most. filters: that of this scan and of the one a cycle ago."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, old = shared.value
+        now, old = map(_unpacked, filters.value)
         open_: dict[str, list] = {}
 
         def flush(lang: str) -> Iterator[pa.RecordBatch]:
@@ -260,13 +264,16 @@ def frequent_phrases(
         old = filters[t - shards] if t >= shards else None
         if old is not None and np.array_equal(now, old):
             break  # nothing is active, now or later
-        counts = scan(stored.filter(F.col("shard") == t % shards), now, old, t < shards, at_once)
+        packed = [None if x is None else zlib.compress(x, 1) for x in (now, old)]
+        shared = stored.sparkSession.sparkContext.broadcast(packed)  # filter_bits / 8 bytes each at most
+        counts = scan(stored.filter(F.col("shard") == t % shards), shared, t < shards, at_once)
         counts = counts.withColumn("since", F.lit(t))
         if live is not None:
             counts = counts.unionByName(live)
         counts = counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("since").alias("since"))
         with arrow_batches(stored.sparkSession, 2):  # chunks
             state = materialise(counts, f"phrase-counts-{t}")
+        shared.destroy()
         reached = state.filter(F.col("n") >= min_count)
         now = filter_of(reached, filter_bits, now)
         # a phrase seen in scan s was active in s or before
