@@ -2,14 +2,15 @@
 
     write(docs, tokenizer_path, folder)          # ids of all documents in ascending doc_id order
     with TokenFile(path) as f:
-        ids, mask = f[k]                         # views into the mapped file
+        ids, mask = f[k]                         # ids: a view into the mapped file
 
 A file is an Arrow stream file (IPC file format, uncompressed) with record batches of ``rows`` sequences:
-``ids`` and ``mask`` are fixed-size lists of ``size`` numbers, so sequence k lies at a known place of batch
-k // rows. A document is its ids and a closing id 0; documents follow each other without gaps, and only a
-file's last sequence is padded. The mask has a bit for a token (padding: 0) and one for the last token of
-a document; ``doc_ids`` lists the documents that end in the sequence, so a file tells its documents without
-any other table.
+``ids`` (16 bits where the vocabulary allows it, else 32) and the bit lists ``mask`` and ``ends`` are
+fixed-size lists of length ``size``, so sequence k lies at a known place of batch k // rows. A document is
+its ids and a closing id 0; documents follow each other without gaps, and only a file's last sequence is
+padded. The mask has a bit for every token (padding: 0), ``ends`` for the last token of a document;
+``doc_ids`` lists the documents that end in the sequence, so a file tells its documents without any other
+table.
 
 A task writes one file, of a range of doc_ids. The table ``_files`` beside them names the files of tasks that
 ended, with the number of tokens before each; files of lost attempts are not in it and are never read.
@@ -36,7 +37,6 @@ from footfall.llm.tokens import encoder
 ship_by_value(__name__)
 
 END = (0).to_bytes(4, "little")
-TOKEN, LAST = 1, 2
 FILES = "_files"
 FILE_ROWS = "file string, tokens bigint, sequences bigint, batches bigint, docs bigint, start bigint"
 
@@ -48,18 +48,27 @@ def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
 
+def vocabulary(tokenizer: str) -> int:
+    """Number of ids, added ones included."""
+    if tokenizer.endswith(".model"):
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_file=tokenizer).get_piece_size()
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values()) + 1
+
+
 # -- writing ---------------------------------------------------------------------------------------
 
 class _Sequences:
     """Cuts documents that follow each other into batches of full sequences."""
 
-    def __init__(self, size: int, rows: int, id_type: pa.DataType):
+    def __init__(self, size: int, rows: int, token: pa.DataType, doc_id: pa.DataType):
         self.size, self.rows = size, rows
-        self.schema = pa.schema([
-            ("ids", pa.list_(pa.field("item", pa.uint32(), False), size)),
-            ("mask", pa.list_(pa.field("item", pa.uint8(), False), size)),
-            ("doc_ids", pa.list_(id_type)),
-        ])
+        kinds = {"ids": token, "mask": pa.bool_(), "ends": pa.bool_()}
+        lists = [(name, pa.list_(pa.field("item", kind, False), size)) for name, kind in kinds.items()]
+        self.schema = pa.schema([*lists, ("doc_ids", pa.list_(doc_id))])
         self.parts: list[np.ndarray] = []
         self.ends: list[int] = []
         self.docs: list = []
@@ -76,12 +85,12 @@ class _Sequences:
     def batches(self, n: int) -> Iterator[pa.RecordBatch]:
         """The first n sequences, padded where the tokens end, in batches of ``rows``."""
         ids, used = np.concatenate(self.parts), n * self.size
-        mask = np.full(len(ids), TOKEN, np.uint8)
-        mask[self.ends] |= LAST
+        ends = np.zeros(len(ids), bool)
+        ends[self.ends] = True
         fits = np.searchsorted(self.ends, used)  # documents that end before
         at = np.searchsorted(self.ends[:fits], np.arange(n + 1) * self.size).astype(np.int32)
         docs = pa.ListArray.from_arrays(pa.array(at), pa.array(self.docs[:fits], self.schema.field("doc_ids").type.value_type))
-        full = [np.pad(x[:used], (0, max(0, used - len(x)))) for x in (ids, mask)]
+        full = [np.pad(x[:used], (0, max(0, used - len(x)))) for x in (ids, np.ones(len(ids), bool), ends)]
         for a in range(0, n, self.rows):
             b = min(n, a + self.rows)
             columns = [
@@ -106,6 +115,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, size: int = 1024, rows:
     first, a null text is the closing id alone. No rows give no files. Texts are shuffled once; a doc_id of
     any number of rows is spread over several files."""
     spark = docs.sparkSession
+    token = np.dtype("<u2" if vocabulary(tokenizer) <= 1 << 16 else "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, context, out, cut = encoder(tokenizer), TaskContext.get(), None, None
@@ -122,11 +132,11 @@ def write(docs: DataFrame, tokenizer: str, folder: str, size: int = 1024, rows:
             for batch in batches:
                 if out is None and batch.num_rows:
                     fs.create_dir(root, recursive=True)
-                    cut = _Sequences(size, rows, batch.column(0).type)
+                    cut = _Sequences(size, rows, pa.from_numpy_dtype(token), batch.column(0).type)
                     sink = fs.open_output_stream(posixpath.join(root, name), compression=None)
                     out = pa.ipc.new_file(sink, cut.schema)
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    ids = np.frombuffer(made.encode(text or "") + END, "<u4")
+                    ids = np.frombuffer(made.encode(text or "") + END, "<u4").astype(token)
                     tokens, n_docs = tokens + len(ids), n_docs + 1
                     for full in cut.add(doc, ids):
                         put(full)
@@ -160,7 +170,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, size: int = 1024, rows:
 # -- reading ---------------------------------------------------------------------------------------
 
 class TokenFile:
-    """Random access to one file. On a local or mounted folder the arrays are views into the mapped file."""
+    """Random access to one file. On a local or mounted folder ids are views into the mapped file."""
 
     def __init__(self, path: str):
         fs, at = _open(path)
@@ -173,37 +183,39 @@ class TokenFile:
     def __len__(self) -> int:
         return (self.batches - 1) * self.rows + self.file.get_batch(self.batches - 1).num_rows if self.batches else 0
 
-    def batch(self, k: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-        """Ids and mask of all sequences of a batch one after the other, and the documents that end there."""
+    def batch(self, k: int) -> tuple[np.ndarray, pa.Array, pa.Array, pa.Array]:
+        """Ids, mask and ends of all sequences of a batch one after the other, and the documents that end
+        there."""
         found = self.file.get_batch(k)
-        ids, mask = (found.column(i).flatten().to_numpy(zero_copy_only=True) for i in (0, 1))
-        return ids, mask, found.column(2).flatten()
+        ids, mask, ends, docs = (found.column(i).flatten() for i in range(4))
+        return ids.to_numpy(zero_copy_only=True), mask, ends, docs
 
     def __getitem__(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         if not 0 <= k < len(self):
             raise IndexError(k)
-        ids, mask, _ = self.batch(k // self.rows)
+        ids, mask, *_ = self.batch(k // self.rows)
         at = k % self.rows * self.size
-        return ids[at:at + self.size], mask[at:at + self.size]
+        return ids[at:at + self.size], mask.slice(at, self.size).to_numpy(zero_copy_only=False)
 
     def documents(self, first: int, end: int) -> Iterator[tuple]:
         """(doc_id, start, tokens, crc32 of the ids) of the documents that start in batches [first, end)."""
         per_batch = self.rows * self.size
-        skipping = first > 0 and not self.batch(first - 1)[1][-1] & LAST  # the open one started earlier
+        skipping = first > 0 and not self.batch(first - 1)[2][-1].as_py()  # the open one started earlier
         start, n, crc = first * per_batch, 0, 0
         for k in range(first, self.batches):
             if k >= end and (skipping or not n):
                 return
-            ids, mask, docs = self.batch(k)
+            ids, mask, ends, docs = self.batch(k)
+            ids = ids.astype("<u4")
             at = 0
-            for stop, doc in zip((np.flatnonzero(mask & LAST) + 1).tolist(), docs.to_pylist()):
+            for stop, doc in zip((np.flatnonzero(ends) + 1).tolist(), docs.to_pylist()):
                 if not skipping:
                     yield doc, start, n + stop - at, zlib.crc32(ids[at:stop], crc)
                 skipping, at, n, crc = False, stop, 0, 0
                 start = k * per_batch + at
                 if k >= end:
                     return
-            tail = ids[at:np.count_nonzero(mask)]  # only a file's last sequence is padded, at its end
+            tail = ids[at:mask.true_count]  # only a file's last sequence is padded, at its end
             if not skipping:
                 n, crc = n + len(tail), zlib.crc32(tail, crc)
 
