@@ -5,12 +5,16 @@ letters and digits; a window or item is the multiset of its 5-word shingles, a s
 as it occurs (a text of fewer words is one shingle). A window holds an item if the weighted Jaccard
 similarity of the two is at least ``threshold``.
 
-1. A window that similar holds, of its w shingles, at least t/(1+t) * (w + n) of the item's n. So it
-   starts at most ``slack = w - need`` shingles before a shingle of the item: only such windows are
-   made, none that can pass is left out.
-2. Each window gets a 64-bit SimHash. The items' fingerprints are indexed by radius + 1 blocks of bits:
-   two fingerprints within the radius agree in a block, so the lookup finds every item in the radius.
-   A pair that meets in several blocks is taken at the first.
+1. A window that similar holds, of its w shingles, at least ``need`` = t/(1+t) * (w + n) of the item's n, so
+   it lacks at most n - t*n of them. One more than that are the item's seeds, those that the fewest items
+   have: every window that can pass holds a seed. Windows are made around seeds only, each at its first
+   one; a shingle that many items share is a seed of the few that have no rarer ones.
+2. Each window gets a 64-bit SimHash. The items' fingerprints are indexed by item and radius + 1 blocks of
+   bits: two fingerprints within the radius agree in a block, so the lookup finds the window's item if it
+   is in the radius. A window meets at most radius + 1 index rows, whatever the number of items, and is
+   not compared with other items: those that can pass have seeds of their own in it. A pair that meets in
+   several blocks is taken at the first. What the index saves is the exact comparison of windows beyond the
+   radius; it cannot tell unrelated fingerprints apart, as blocks of 2 or 3 bits often agree by chance.
 3. The exact similarity decides.
 
 Everything runs inside the scan of the documents; what is shuffled is one row per found pair and task.
@@ -22,9 +26,10 @@ from __future__ import annotations
 
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.llm.common import let, window_hashes
+from footfall.sources.storage import materialise
 
 BITS = 64
 #: Shingles and index rows of one broadcast block: a few dozen bytes each, some 40 MB as hash tables.
@@ -72,43 +77,62 @@ def _common_weight(left: Column, right: Column) -> Column:
     return F.when(F.size(F.array_distinct(left)) == F.size(left), plain).otherwise(counted)
 
 
-def _find(rows: DataFrame, items: DataFrame, threshold: float, radius: int) -> DataFrame:
-    """Pairs of rows (_doc, _text, hashes) and items (_item, item_id, item, n, item_print)."""
-    seeds = items.select("_item", F.explode(F.array_distinct("item")).alias("h"))
-    sets = items.select("_item", "item_id", "n", "item")
+def _seeds(items: DataFrame, threshold: float) -> DataFrame:
+    """items with ``seeds``: the shingles that the fewest items have, one occurrence more than a window can
+    lack."""
+    each = items.select("_item", "n", F.explode("item").alias("h")).groupBy("_item", "n", "h").agg(F.count(F.lit(1)).alias("times"))
+    holders = each.groupBy("h").agg(F.count(F.lit(1)).alias("holders"))
+    order = Window.partitionBy("_item").orderBy("holders", "h").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("times").over(order), F.lit(0))  # of an item's own shingles
+    lacking = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9)
+    chosen = each.join(holders, "h").withColumn("before", before).filter(F.col("before") <= lacking)
+    return items.join(chosen.groupBy("_item").agg(F.collect_list("h").alias("seeds")), "_item")
+
+
+def _windows(rows: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """Windows of rows (_doc, _text, hashes) around the seeds of items that they may hold."""
+    seeds = items.select("_item", F.explode("seeds").alias("h"))
     # outer and never null: else Spark infers filters on the array's size, which compute it twice
     m = F.coalesce(F.size("hashes"), F.lit(0)).alias("m")
     at = rows.select("_doc", "_text", "hashes", m, F.posexplode_outer("hashes").alias("pos", "h"))
-    hits = at.join(F.broadcast(seeds), "h").join(F.broadcast(sets.drop("item_id")), "_item")
+    hits = at.join(F.broadcast(seeds), "h").join(F.broadcast(items.select("_item", "n", "item", "seeds")), "_item")
     width = F.least("n", "m")
     need = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("n") + width) - 1e-9).cast("int")
-    hits = hits.withColumn("w", width).withColumn("slack", width - need).filter("slack >= 0")
-    # the part that all windows with this first hit have in common
-    core = F.slice("hashes", F.col("pos") + 1, F.greatest(F.lit(1), F.col("w") - F.col("slack")))
-    hits = hits.filter(F.size(F.array_except(core, "item")) <= F.col("slack"))
-    # only the shingles around the hit go on: the windows may start up to slack before it
-    hits = hits.withColumn("lead", F.least("slack", "pos"))
+    hits = hits.withColumn("w", width).withColumn("need", need).filter("need <= w")
+    # only the shingles around the seed go on
+    hits = hits.withColumn("lead", F.least(F.col("w") - 1, F.col("pos")))
     around = F.expr("slice(hashes, pos + 1 - lead, lead + w)")
-    hits = hits.select("_doc", "_text", "n", "m", "w", "slack", "pos", "lead", "item", around.alias("around"))
+    hits = hits.select("_doc", "_text", "_item", "n", "m", "w", "need", "pos", "lead", "item", "seeds", around.alias("around"))
+    hits = hits.filter(F.size(F.array_except("item", "around")) <= F.col("n") - F.col("need"))
     starts = hits.withColumn("back", F.explode(F.expr("sequence(0, lead)")))
     starts = starts.withColumn("start", F.expr("pos - back")).filter("start + w <= m")
     before = F.expr("slice(around, lead - back + 1, back)")
-    starts = starts.filter(F.size(F.array_intersect(before, "item")) == 0)
+    starts = starts.filter(F.size(F.array_intersect(before, "seeds")) == 0)
     window = F.expr("slice(around, lead - back + 1, w)")
-    windows = starts.select("_doc", "_text", "start", "n", window.alias("window"), "slack", "item")
-    windows = windows.filter(F.size(F.array_except("window", "item")) <= F.col("slack")).drop("slack", "item")
-    windows = windows.withColumn("print", fingerprint("window"))
+    windows = starts.select("_doc", "_text", "_item", "start", "n", "w", "need", window.alias("window"), "item")
+    strange, lacking = F.size(F.array_except("window", "item")), F.size(F.array_except("item", "window"))
+    windows = windows.filter((strange <= F.col("w") - F.col("need")) & (lacking <= F.col("n") - F.col("need")))
+    return windows.select("_doc", "_text", "_item", "start", "window", fingerprint("window").alias("print"))
+
 
+def _met(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
+    """Windows with the index rows that they meet: those of their item with an equal block."""
     masks = F.array(*[F.lit(m).cast("long") for m in _masks(radius)])
+
     def keys(of: str) -> Column:
         return F.posexplode(F.transform(masks, lambda m: F.col(of).bitwiseAND(m))).alias("block", "key")
 
-    index = items.select("_item", "n", "item_print", keys("item_print"))
-    met = windows.select("*", keys("print")).join(F.broadcast(index), ["n", "block", "key"])
+    index = items.select("_item", "item_print", keys("item_print"))
+    met = windows.select("*", keys("print")).join(F.broadcast(index), ["_item", "block", "key"])
     apart = F.col("print").bitwiseXOR(F.col("item_print"))
     first = F.array_position(F.transform(masks, lambda m: apart.bitwiseAND(m)), F.lit(0).cast("long")) - 1
-    near = met.withColumn("bits", F.bit_count(apart)).filter(F.col("bits") <= radius).filter(first == F.col("block"))
-    near = near.join(F.broadcast(sets.drop("n")), "_item")
+    return met.withColumn("bits", F.bit_count(apart)).withColumn("first", first == F.col("block"))
+
+
+def _find(rows: DataFrame, items: DataFrame, threshold: float, radius: int) -> DataFrame:
+    """Pairs of rows (_doc, _text, hashes) and items (_item, item_id, item, seeds, n, item_print)."""
+    near = _met(_windows(rows, items, threshold), items, radius).filter((F.col("bits") <= radius) & F.col("first"))
+    near = near.join(F.broadcast(items.select("_item", "item_id", "item")), "_item")
     near = near.withColumn("both", _common_weight(F.col("window"), F.col("item")))
     near = near.withColumn("similarity", F.col("both") / (F.size("window") + F.size("item") - F.col("both")))
     return near.filter(F.col("similarity") >= threshold).select("_doc", "_text", "_item", "item_id", "similarity", "start", "bits")
@@ -133,7 +157,8 @@ def contaminated(
     documents that consist of just these words, with ``short_inside`` documents that have these words in a
     row: one more pass over the documents for each such number of words that occurs. Rows with equal doc_id and text give one row, items
     with equal item_id, or with none, are one item each per text; an item_id may be null. radius 23: at similarity 0.8 a fingerprint bit differs
-    with probability 0.15, more than 23 of 64 with 10^-5."""
+    with probability 0.15, more than 23 of 64 with 10^-5. Items of more than ``block_shingles`` together are
+    taken in blocks; then the shingles of the documents are stored once for all blocks."""
     known = benchmark.select("item_id", "text", F.size(_words(F.col("text"))).alias("_words"))
     passes = [(shingle, known, partial(_find, threshold=threshold, radius=radius))]
     if short_inside:
@@ -145,10 +170,13 @@ def contaminated(
         items = some.select("item_id", shingles(F.col("text"), size).alias("item")).filter(F.size("item") > 0)
         items = items.withColumn("n", F.size("item")).withColumn("item_print", fingerprint("item")).distinct()
         items = items.withColumn("_item", F.xxhash64("item_id", "item"))  # never null, as item_id may be
+        items = materialise(_seeds(items, threshold), "benchmark-items")
         rows = docs.select(F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"), shingles(F.col("text"), size).alias("hashes"))
         # an item is its shingles and a row per bit block of the index
         total = items.agg(F.sum(F.col("n") + radius + 1)).first()[0] or 0
         blocks = max(1, -(-total // block_shingles))
+        if blocks > 1:
+            rows = materialise(rows, "shingles")
         block = F.pmod("_item", F.lit(blocks))
         found += [find(rows, items.filter(block == b)) for b in range(blocks)]
     best = F.max_by(F.struct("similarity", "start", "bits"), F.struct("similarity", -F.col("start"))).alias("best")

@@ -82,6 +82,41 @@ def test_query_finds_short_items(spark, tmp_path):
     assert [(r.doc_id, r.item_id) for r in queries.benchmark_decontamination(spark, str(tmp_path)).collect()] == [(1, 1)]
 
 
+def indexed(spark, bench, threshold=0.8):
+    items = bench.select("item_id", decontaminate.shingles(F.col("text")).alias("item"))
+    items = items.withColumn("n", F.size("item")).withColumn("item_print", decontaminate.fingerprint("item"))
+    return decontaminate._seeds(items.withColumn("_item", F.xxhash64("item_id", "item")), threshold)
+
+
+def test_the_index_selects(spark):
+    """With 1,000 unrelated items of one size a window meets rows of its own item only, and only documents
+    that hold an item have windows."""
+    rng = random.Random(8)
+    items = [(k, " ".join(f"w{rng.randrange(5000)}" for _ in range(30))) for k in range(1000)]
+    docs = [(k, " ".join(f"w{rng.randrange(5000)}" for _ in range(200)) + (f" {items[k][1]} " if k % 10 == 0 else " ") + "tail") for k in range(300)]
+    frame, bench = spark.createDataFrame(docs, "_doc bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    rows = frame.select("_doc", F.lit(0).alias("_text"), decontaminate.shingles(F.col("text")).alias("hashes"))
+    index = indexed(spark, bench).cache()
+    windows = decontaminate._windows(rows, index, 0.8).cache()
+    assert {r._doc for r in windows.select("_doc").distinct().collect()} == set(range(0, 300, 10))
+    assert windows.count() < 30 * 15
+    met = decontaminate._met(windows, index, 23)
+    per_window = met.groupBy("_doc", "_item", "start").count().agg(F.max("count")).first()[0]
+    assert per_window <= 24 and met.count() <= 24 * windows.count()
+    assert met.filter("first AND bits <= 23").select("_doc").distinct().count() == 30
+
+
+def test_a_shingle_of_all_items_is_no_seed(spark):
+    shared = "answer the question below in one word or two"
+    items = [(k, f"{shared} " + " ".join(f"q{k}x{j}" for j in range(40))) for k in range(200)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    seeds = indexed(spark, bench).select("item_id", F.explode("seeds").alias("h"))
+    assert seeds.groupBy("h").count().agg(F.max("count")).first()[0] == 1
+    docs = [(k, f"intro {text} outro") for k, text in items[:20]] + [(500, f"{shared} " * 30)]
+    found = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"), bench)
+    assert sorted((r.doc_id, r.item_id, r.start) for r in found.collect()) == [(k, k, 1) for k in range(20)]
+
+
 def test_blocks_cover_the_fingerprint():
     for radius in (0, 3, 10, 23, 40):
         masks = [m % (1 << 64) for m in decontaminate._masks(radius)]
