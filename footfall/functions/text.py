@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # URL patterns of the event log.
@@ -41,3 +43,8 @@ def has_text(word: str) -> Column:
 
 def readable(word: str, max_len: int) -> Column:
     return (F.length(word) <= max_len) | F.col(word).rlike(ASCII_WORDS)
+
+
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row, also where lambdas inside use it."""
+    return F.transform(F.array(value), body)[0]

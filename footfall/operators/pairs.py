@@ -11,7 +11,7 @@ from footfall.operators.ranking import top_k_per_group
 
 def top_pairs(
     left: DataFrame, right: DataFrame, part: str, group: Sequence[str], a: str, b: str,
-    score: Callable[[Column, Column], Column], k: int,
+    score: Callable[[Column, Column], Column], k: int, day: str | None = None, within: int = 0,
 ) -> DataFrame:
     """For left rows (part, group, a, w) and right rows (part, group, b, w) the pair (a, b) has
     ``total`` = sum of w_a * w_b over shared groups and ``rows`` = number of shared row pairs; the
@@ -20,9 +20,25 @@ def top_pairs(
     One join on part and group, at every size. Rows of a member in a group are summed first, so both
     inputs come straight from a shuffle on the join keys and Spark splits a group that holds a large
     part of them; sums per pair are combined before they are shuffled. The pairs of a group are the
-    work: their number is what the score is defined on."""
+    work: their number is what the score is defined on.
+
+    With ``day`` a pair of rows counts if the right row is ``within`` so many days after the left one, on the
+    same day included. The interval becomes an equality on bins of its width: a left row is in the bin of
+    its day, a right row in that of its day and in the one before, so they meet once if they are near
+    enough; what else shares a bin is filtered out. Two copies of a row at every width."""
     keys = [part, *group]
-    rows = _compact(left, keys, a, "a").join(_compact(right, keys, b, "b"), keys)
+    if day is None:
+        rows = _compact(left, keys, a, "a").join(_compact(right, keys, b, "b"), keys)
+    else:
+        width = max(within, 1)
+        number = F.unix_date(day)
+        own = F.floor(number / width)
+        left = left.withColumn("bin", own).withColumn("day_a", number)
+        bins = F.array(own, own - 1) if within else F.array(own)
+        right = right.withColumn("bin", F.explode(bins)).withColumn("day_b", number)
+        keys.append("bin")
+        rows = _compact(left, [*keys, "day_a"], a, "a").join(_compact(right, [*keys, "day_b"], b, "b"), keys)
+        rows = rows.filter((F.col("day_b") - F.col("day_a")).between(0, within))
     pairs = rows.filter(F.col("a") != F.col("b")).groupBy(part, "a", "b").agg(
         F.sum(F.col("wa") * F.col("wb")).alias("total"),
         F.sum(F.col("ca") * F.col("cb")).alias("rows"),

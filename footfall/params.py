@@ -85,6 +85,7 @@ class Params:
     # keywords
     blocked: tuple[str, ...] = ("hot rod",)
     min_users: int = 3
+    edge_days: int = 1
     edge_k: int = 100
     edge_keep: int = 20
     keyword_k: int = 80

@@ -64,21 +64,13 @@ def tf_decay(profile: DataFrame, p: Params) -> DataFrame:
 
 
 def keyword_edges(profile: DataFrame, p: Params) -> DataFrame:
-    """Keyword to keyword: the same user and city, another keyword on the same or the next day.
-
-    The day condition becomes an equality: the later row is offered on its own day and the day
-    before."""
-    day = F.col("dt")
-    left = profile.select(
-        "cityid", "userid", day.alias("day"), F.col("keyword").alias("sid1"), F.lit(1.0).alias("w")
-    )
-    right = profile.select(
-        "cityid", "userid", F.explode(F.array(day, F.date_sub(day, 1))).alias("day"),
-        F.col("keyword").alias("sid2"), F.lit(1.0).alias("w"),
-    )
+    """Keyword to keyword: the same user and city, another keyword on the same day or within
+    ``edge_days`` after it."""
+    rows = profile.select("cityid", "userid", "dt", "keyword", F.lit(1.0).alias("w"))
     return top_pairs(
-        left, right, part="cityid", group=["userid", "day"], a="sid1", b="sid2",
-        score=lambda total, rows: F.log10(rows + 10), k=p.edge_k,
+        rows.withColumnRenamed("keyword", "sid1"), rows.withColumnRenamed("keyword", "sid2"),
+        part="cityid", group=["userid"], a="sid1", b="sid2",
+        score=lambda total, rows: F.log10(rows + 10), k=p.edge_k, day="dt", within=p.edge_days,
     )
 
 

@@ -1,9 +1,10 @@
-"""Two days in a row through the stored state, against SQL over both days; sampling on and off."""
+"""Three days in a row through the stored state, against SQL over the whole log; sampling on and off."""
 
 from __future__ import annotations
 
 import dataclasses
 import os
+from collections import Counter
 
 import pytest
 
@@ -11,9 +12,12 @@ from compare import connect, differences
 from footfall import oracles, registry, session
 from footfall.job import STATE, Job
 from footfall.params import Params
+from footfall.sources.warehouse import Warehouse
 
 SF_DIR = "/root/testdata/sf0.001"
-TODAY, TOMORROW = "2001-08-02", "2001-08-03"
+#: Events end on the second day: the first sees a part of them, the third no new one.
+DAYS = ("2001-07-10", "2001-08-02", "2001-08-03")
+AS_OF = Params().as_of
 
 #: Steps whose SQL reads the older state, and the stored table each comes from.
 STORED = {
@@ -28,60 +32,135 @@ KEYS = [
     "identity_compact", "identity_main_user", "identity_delta", "state_rotation", "region_trend",
     "keyword_trend", "keyword_hot_top15", "state_exclude_feedback", "state_replace_groups",
     "kpi_coverage", "kpi_popularity", "kpi_entropy", "kpi_hit_rate", "rec_top50",
+    # from counts per day
+    "identity_pair_counts", "device_visits", "visits_decayed_topk", "visits_active", "search_profile",
+    "keyword_city_counts", "keyword_shop_counts", "url_entity_visits", "recent_views",
 ]
 
 
+def on(day):
+    return dataclasses.replace(Params(), as_of=day)
+
+
 @pytest.fixture(scope="module")
-def root(spark, tmp_path_factory):
-    root = str(tmp_path_factory.mktemp("state"))
-    for day in (TODAY, TOMORROW):
-        with Job(spark, SF_DIR, dataclasses.replace(Params(), as_of=day), root) as job:
-            job.run()
-            folder = job.folder
-        assert not os.path.exists(folder)
+def read_days():
+    """(as_of, first day, last day) of every read of the log."""
+    return []
+
+
+@pytest.fixture(scope="module")
+def root(spark, tmp_path_factory, read_days):
+    root, plain = str(tmp_path_factory.mktemp("state")), Warehouse.traffic
+
+    def traffic(self, *cols, since=None, until=None, **window):
+        read_days.append((self.as_of, since, until, window))
+        return plain(self, *cols, since=since, until=until, **window)
+
+    Warehouse.traffic = traffic
+    try:
+        for day in DAYS:
+            with Job(spark, SF_DIR, on(day), root) as job:
+                job.run()
+                folder = job.folder
+            assert not os.path.exists(folder)
+    finally:
+        Warehouse.traffic = plain
     return root
 
 
+def sql_on(k, step, columns):
+    """A step in SQL on day k: over the log up to then, and what day k - 1 left."""
+    day, log = DAYS[k], oracles.STEPS["traffic"]
+    given = {"traffic": f"SELECT * FROM ({log}) WHERE hp_stat_time <= '{day}'"}
+    if k:
+        batch = oracles.STEPS["identity_pair_counts"].replace("2000-01-01", f"{DAYS[k - 1]}+")
+        given |= {name: f"SELECT * FROM day{k - 1}_{name}" for name in STORED}
+        given["identity_pair_counts"] = batch.replace(f">= '{DAYS[k - 1]}+'", f"> '{DAYS[k - 1]}'")
+        assert f"> '{DAYS[k - 1]}'" in given["identity_pair_counts"]
+    return oracles.sql(step, columns, given=given).replace(AS_OF, day)
+
+
 @pytest.fixture(scope="module")
-def day_before():
-    """The first day in SQL: the tables that it leaves, by the step that reads them."""
+def con():
+    """In SQL the tables that each day leaves, by the step that reads them."""
     con = connect(SF_DIR)
-    for name, (_, step) in STORED.items():
-        con.execute(f"CREATE TABLE first_{name} AS {oracles.sql(step, ['*'])}")
+    for k in range(len(DAYS) - 1):
+        for name, (_, step) in STORED.items():
+            con.execute(f"CREATE TABLE day{k}_{name} AS {sql_on(k, step, ['*'])}")
     return con
 
 
 @pytest.fixture(scope="module")
-def second(spark, root):
-    return Job(spark, SF_DIR, dataclasses.replace(Params(), as_of=TOMORROW), root)
+def jobs(spark, root):
+    return [Job(spark, SF_DIR, on(day), root) for day in DAYS]
 
 
 @pytest.mark.parametrize("key", KEYS)
-def test_the_second_day(second, day_before, key):
-    given = {name: f"SELECT * FROM first_{name}" for name in STORED}
+@pytest.mark.parametrize("k", [0, 1, 2])
+def test_a_day(jobs, con, key, k):
     out = registry.OUTPUTS[key]
     doubles = [f"round({c}, {out.digits}) + 0::double AS {c}" for c in out.doubles.split()]
-    sql = oracles.sql(key, [*out.keys.split(), *doubles], given=given).replace(TODAY, TOMORROW)
-    result = registry.present(getattr(second, key), out)
-    assert differences(result, day_before, sql) == []
+    sql = sql_on(k, key, [*out.keys.split(), *doubles])
+    assert differences(registry.present(getattr(jobs[k], key), out), con, sql) == []
+
+
+def test_a_day_without_events_changes_nothing(jobs):
+    counts = [{tuple(r) for r in job.identity_compact.collect()} for job in jobs]
+    users = [{tuple(r) for r in job.identity_main_user.collect()} for job in jobs]
+    assert counts[0] != counts[1] == counts[2] and users[1] == users[2]
+    assert jobs[1].identity_delta.count() > 0 and jobs[2].identity_delta.isEmpty()
 
 
-def test_every_table_has_both_days(second):
-    assert all(second.state(name).versions() == [TODAY, TOMORROW] for name in STATE)
-    assert {r.dt for r in second.state("keyword-hot").history().collect()} <= {TODAY, TOMORROW}
+def test_the_same_day_again_gives_the_same(spark, root, jobs):
+    with Job(spark, SF_DIR, on(DAYS[2]), root) as again:
+        again.run()
+        runs = [d for d in again.store.days() if d.dt == DAYS[2]]
+        assert len(runs) == 1 and again._day_before.dt == DAYS[1]
+        for name in STATE:
+            assert Counter(runs[0].read(name).collect()) == Counter(jobs[2].store.days()[-1].read(name).collect())
+        total = runs[0].read("identity-counts").agg({"cnt": "sum"}).first()[0]
+        assert total == jobs[1].identity_compact.agg({"cnt": "sum"}).first()[0]
 
 
-def test_a_failed_day_leaves_no_folder_and_no_version(spark, tmp_path):
+def test_a_later_day_reads_only_its_own_days_of_the_log(root, read_days):
+    """All kinds of events are counted from one scan of the days since the stored one."""
+    for before, day in zip(DAYS, DAYS[1:]):
+        reads = [r for r in read_days if r[0] == day]
+        assert len(reads) == 1
+        _, since, until, window = reads[0]
+        assert before < since <= until == day and not window
+
+
+def test_the_days_reach_the_scan(spark):
+    log = Warehouse(spark, SF_DIR, DAYS[2]).traffic("guid_str", since=DAYS[1], until=DAYS[1])
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate,2001-08-02" in plan and "LessThan(o_orderdate,2001-08-03" in plan
+
+
+def test_every_table_has_all_days(jobs):
+    store = jobs[2].store
+    assert [d.dt for d in store.days()] == list(DAYS)
+    assert {r.dt for r in store.history("keyword-hot").collect()} <= set(DAYS)
+
+
+def test_a_failed_day_leaves_no_folder_and_no_version(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "state")
+    monkeypatch.setitem(STATE, "region-scores", ("no_such_step", STATE["region-scores"][1]))
     with pytest.raises(AttributeError):
-        with Job(spark, SF_DIR, Params(), root) as job:
-            assert not job._main_user.isEmpty() and os.path.exists(job.folder)
-            job.no_such_step
+        with Job(spark, SF_DIR, on(DAYS[0]), root) as job:
+            job.run()
     assert not os.path.exists(job.folder)
-    assert job.state("main-user").versions() == []
-    os.makedirs(f"{root}/main-user/as_of={TODAY}/_temporary")
-    later = Job(spark, SF_DIR, dataclasses.replace(Params(), as_of=TOMORROW), root)
-    assert later._before("main-user") is None
+    assert os.path.exists(f"{root}/main-user/dt={DAYS[0]}")  # written, not committed
+    later = Job(spark, SF_DIR, on(DAYS[1]), root)
+    assert later.store.days() == [] and later._before("main-user") is None
+
+
+def test_windows_of_a_daily_run(spark):
+    p = Params.daily("2001-08-02", click_drop=0.5)
+    assert (p.visit_since, p.active_since, p.click_drop) == ("2001-07-29", "2001-08-02", 0.5)
+    assert p.slice_bounds == ("2001-07-28", "2001-07-29", "2001-07-30", "2001-07-31", "2001-08-01")
+    with Job(spark, SF_DIR, dataclasses.replace(p, as_of="2001-07-30")) as job:
+        assert job.wh.traffic("hp_stat_time").agg({"hp_stat_time": "max"}).first()[0].isoformat() <= "2001-07-30"
 
 
 @pytest.mark.parametrize("key", [

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
+import regex
 from pyspark.sql import functions as F
 
 from footfall.operators.groups import tf_idf
@@ -29,6 +33,30 @@ def test_scripts_and_several_words(spark):
     }
 
 
+def brute(texts, names):
+    """A pattern per text and name."""
+    letter, spaceless = r"[\p{L}\p{M}\p{N}]", r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+    found = Counter()
+    for text in texts:
+        for name in set(names) - {""}:
+            pattern = regex.escape(name.lower())
+            if not regex.search(spaceless, name):
+                pattern = f"(?<!{letter}){pattern}(?!{letter})"
+            found[name] += len(regex.findall(pattern, (text or "").lower()))
+    return {k: n for k, n in found.items() if n}
+
+
+def test_against_a_pattern_per_name(spark):
+    rng = random.Random(5)
+    parts = ["de", " ", "la", "-", "  ", "é", "肉", "红", "7", "#", ".", "\n", "_", "DE", "\x01", "\\E", "ภ"]
+    names = [
+        "de", "de la", "de la de", "la", "é", "红肉", "肉", "7", "de-la", "#7", "7.", "##", "la_de", "de  la", "肉 de",
+        "de7", "\\E", "", " ", "DE la", "de.la", "ภ", "la de la",
+    ]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(60))) for _ in range(600)] + [None, "", "de la " * 5_000]
+    assert mentions(spark, texts, names) == brute(texts, names)
+
+
 def test_a_review_counts_once_however_often_its_rows_come(spark):
     assert mentions(spark, ["soup"], ["soup", "soup"]) == {"soup": 1}
     heads = spark.createDataFrame([(1, 1, 7)] * 3, "reviewid long, cityid int, shopid long")

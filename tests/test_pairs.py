@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import defaultdict
+from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from footfall.operators.pairs import top_pairs
@@ -83,6 +86,24 @@ def test_text_members_and_two_group_columns(spark):
     assert pairs(df.withColumn("d", df.d % 2)) == {p: round(math.log10(c + 10), 9) for p, c in n.items()}
 
 
+@pytest.mark.parametrize("within", [0, 1, 7, 30])
+def test_days_within_an_interval(spark, within):
+    rng = random.Random(within)
+    rows = [("c", rng.randrange(4), date(2001, 1, 1) + timedelta(rng.randrange(-60, 60)), f"k{rng.randrange(8)}", 1.0) for _ in range(150)]
+    df = spark.createDataFrame(rows, "part string, u long, dt date, k string, w double")
+    copies = df.withColumnRenamed("k", "x"), df.withColumnRenamed("k", "y")
+    out = top_pairs(*copies, part="part", group=["u"], a="x", b="y", score=lambda total, n: 1.0 * n, k=100, day="dt", within=within)
+    n = defaultdict(int)
+    for _, u1, d1, k1, _ in rows:
+        for _, u2, d2, k2, _ in rows:
+            if u1 == u2 and k1 != k2 and 0 <= (d2 - d1).days <= within:
+                n[k1, k2] += 1
+    assert {(r.x, r.y): int(r.score) for r in out.collect()} == n
+    if within:  # two copies of a row at every width
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("explode(array(") == 1 and "explode(sequence" not in plan
+
+
 def test_an_item_with_a_third_of_all_rows_is_split(spark, skew_settings, tmp_path):  # noqa: F811
     """Text item keys and unsorted weights, so that the hot partition stands out in bytes."""
     hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("i"), (F.col("id") % 4000).cast("string")))

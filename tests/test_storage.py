@@ -1,4 +1,4 @@
-"""Stored tables, versions, text files and session handling."""
+"""Stored tables, text files and session handling."""
 
 from __future__ import annotations
 
@@ -10,19 +10,6 @@ from footfall import schemas, session
 from footfall.sources import storage
 
 
-def test_versions(spark, tmp_path):
-    state = storage.VersionedState(spark, str(tmp_path / "state"), schemas.MAIN_USER)
-    assert state.versions() == []
-    assert state.read_before("2001-01-01").isEmpty()
-    for day, user in (("2001-01-01", 1), ("2001-01-02", 2)):
-        state.write(spark.createDataFrame([("g", user)], schemas.MAIN_USER), day)
-    # a refresh may read the version it replaces
-    state.write(state.read_before("2001-01-03"), "2001-01-03")
-    assert state.versions() == ["2001-01-01", "2001-01-02", "2001-01-03"]
-    assert state.read_before("2001-01-02").first().userid == 1
-    assert state.read("2001-01-03").first().userid == 2
-
-
 def test_text_round_trip_of_several_files(spark, tmp_path):
     paths = []
     for n in (1, 2):
@@ -48,23 +35,6 @@ def test_clustered_layout(spark, tmp_path):
         assert rows == sorted(rows, key=lambda r: (r[0], -r[1]))
 
 
-def test_history_is_all_finished_versions(spark, tmp_path):
-    state = storage.VersionedState(spark, str(tmp_path / "h"), schemas.KEYWORD_SCORES)
-    assert state.history().isEmpty()
-    df = spark.createDataFrame([(1, "tea", 0.5)], "cityid int, keyword string, score double")
-    for day in ("2001-01-01", "2001-01-02", "2001-01-02"):  # the second day ran twice
-        state.write(df, day)
-    assert sorted(r.dt for r in state.history().collect()) == ["2001-01-01", "2001-01-02"]
-
-
-def test_an_unfinished_version_does_not_count(spark, tmp_path):
-    state = storage.VersionedState(spark, str(tmp_path / "state"), schemas.MAIN_USER)
-    state.write(spark.createDataFrame([("g", 1)], schemas.MAIN_USER), "2001-01-01")
-    os.makedirs(tmp_path / "state" / "as_of=2001-01-02" / "_temporary")
-    assert state.versions() == ["2001-01-01"]
-    assert state.read_before("2001-01-03").first().userid == 1
-
-
 def test_conform_truncates(spark):
     df = spark.createDataFrame([(2.9, 1, "d", 3)], "cnt double, userid int, deviceid string, shopid int")
     assert schemas.conform(df, schemas.VISITS).first().cnt == 2
