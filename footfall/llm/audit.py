@@ -19,6 +19,7 @@ from itertools import permutations
 
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from footfall.llm.common import UPPER, arrow_batches, ship_by_value, sliced
@@ -37,8 +38,12 @@ MERGED = 4 << 20
 ROWS = 512
 #: Code points of the first prefix, doubled where many texts share it.
 FIRST_PREFIX = 2
-#: Code points of texts under one prefix.
-GROUP = 8 << 20
+#: Code points of a text that are counted at first, and the least that a group is split for.
+HEAD = 64
+LEAST_GROUP = 1 << 14
+#: A prefix group holds 1/GROUPS of all code points at most, or texts that are the same. A group's trie has to
+#: fit a task: for 10 TB some 100,000 groups.
+GROUPS = 1024
 
 
 def text_mask(raw: bytes, chars: int) -> int:
@@ -106,26 +111,67 @@ def _common(run: str, text: str, at: int) -> int:
     return low
 
 
-def measured(docs: DataFrame, merged: int = MERGED) -> DataFrame:
+def shared_prefixes(docs: DataFrame, groups: int = GROUPS) -> set[str]:
+    """Prefixes of 2, 4, 8, ... code points under which different texts have more than 1/groups of all code
+    points: fewer than ``groups`` of each length. Texts are counted once each, by their hashes, and by their
+    first code points; only where these do not tell large groups apart, by longer ones."""
+    spark = docs.sparkSession
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("chars", F.length("text"))
+
+    def heads(rows: DataFrame, length: int) -> DataFrame:
+        once = rows.select(F.xxhash64("text").alias("h"), F.left("text", F.lit(length)).alias("head"), "chars")
+        once = once.groupBy("h").agg(F.first("head").alias("head"), F.max("chars").alias("chars"))
+        counted = once.groupBy("head").agg(F.sum("chars").alias("chars"), F.max("chars").alias("longest"))
+        return materialise(counted, f"heads-{length}")
+
+    found: set[str] = set()
+    size, length, rows = FIRST_PREFIX, HEAD, heads(texts, HEAD)
+    most = max((rows.agg(F.sum("chars")).first()[0] or 0) // groups, LEAST_GROUP)
+    while True:
+        shares = rows.groupBy(F.left("head", F.lit(size)).alias("prefix")).agg(F.sum("chars").alias("chars"), F.max("longest").alias("longest"))
+        large = shares.filter((F.col("chars") > most) & (F.col("longest") > size)).select("prefix").collect()
+        if not large:
+            return found
+        found |= {x.prefix for x in large}
+        large = F.broadcast(spark.createDataFrame(large, "prefix string"))
+        if 2 * size > length:
+            length *= 4
+            texts = texts.join(large, F.left("text", F.lit(size)) == F.col("prefix"), "left_semi")
+            rows = heads(texts, length)
+        else:
+            rows = rows.join(large, F.left("head", F.lit(size)) == F.col("prefix"), "left_semi")
+        size *= 2
+
+
+def own_prefix(text: str, shared: set[str]) -> str:
+    size = FIRST_PREFIX
+    while text[:size] in shared and len(text) > size:
+        size *= 2
+    return text[:size]
+
+
+def measured(docs: DataFrame, shared: Broadcast, merged: int = MERGED) -> DataFrame:
     """Two kinds of rows: per document part, mask (A to D), doc and the hash of its text; per text, as often
-    as tasks (or a task, beyond ``merged`` code points) hold it, its smallest doc, hash and the text."""
+    as tasks (or a task, beyond ``merged`` code points) hold it, its prefix, smallest doc, hash and the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prefixes: set[str] = shared.value
         held: dict[str, tuple[int, int]] = {}
         size = 0
 
-        def rows(parts, masks, docs_, hashes, texts) -> pa.RecordBatch:
-            kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
-            columns = map(pa.array, (parts, masks, docs_, hashes, texts), kinds)
-            return pa.RecordBatch.from_arrays(list(columns), names=["part", "mask", "doc", "hash", "text"])
+        def rows(parts, masks, docs_, hashes, prefixes_, texts) -> pa.RecordBatch:
+            kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            columns = map(pa.array, (parts, masks, docs_, hashes, prefixes_, texts), kinds)
+            return pa.RecordBatch.from_arrays(list(columns), names=["part", "mask", "doc", "hash", "prefix", "text"])
 
         def owners() -> Iterator[pa.RecordBatch]:
-            none = [None] * len(held)
-            return sliced(rows(none, none, [d for d, _ in held.values()], [h for _, h in held.values()], list(held)), ROWS)
+            none, texts = [None] * len(held), list(held)
+            own = [own_prefix(t, prefixes) for t in texts]
+            return sliced(rows(none, none, [d for d, _ in held.values()], [h for _, h in held.values()], own, texts), ROWS)
 
         for batch in batches:
             ids, texts, parts = (c.to_pylist() for c in batch.columns)
-            masks, hashes = [], []
+            masks, hashes, none = [], [], [None] * len(ids)
             for doc, text in zip(ids, texts):
                 raw = text.encode()
                 masks.append(text_mask(raw, len(text)))
@@ -135,7 +181,7 @@ def measured(docs: DataFrame, merged: int = MERGED) -> DataFrame:
                     size += len(text) + 64
                 if known is None or doc < known[0]:
                     held[text] = doc, hashes[-1]
-            yield rows(parts, masks, ids, hashes, [None] * len(ids))
+            yield rows(parts, masks, ids, hashes, none, none)
             if size >= merged:
                 yield from owners()
                 held, size = {}, 0
@@ -143,28 +189,10 @@ def measured(docs: DataFrame, merged: int = MERGED) -> DataFrame:
 
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
     texts = docs.select(doc, F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("part"))
-    return texts.mapInArrow(run, "part string, mask int, doc bigint, hash bigint, text string")
-
-
-def with_prefix(texts: DataFrame, most: int = GROUP) -> DataFrame:
-    """texts with ``prefix``: two code points, doubled as long as the texts that share it have more than
-    ``most`` code points (or 1/65,536 of all, so that no more than 65,536 prefixes are doubled at a time)."""
-    spark = texts.sparkSession
-    most = max(most, (texts.agg(F.sum(F.length("text"))).first()[0] or 0) >> 16)
-    rows, size = texts.withColumn("prefix", F.left("text", F.lit(FIRST_PREFIX))), FIRST_PREFIX
-    while True:
-        groups = rows.filter(F.length("prefix") == size).groupBy("prefix")
-        groups = groups.agg(F.sum(F.length("text")).alias("chars"), F.max(F.length("text")).alias("longest"))
-        large = groups.filter((F.col("chars") > most) & (F.col("longest") > size)).select("prefix").collect()
-        if not large:
-            return rows
-        size *= 2
-        large = spark.createDataFrame(large, "prefix string").withColumn("large", F.lit(True))
-        longer = F.when(F.col("large"), F.left("text", F.lit(size))).otherwise(F.col("prefix"))
-        rows = rows.join(F.broadcast(large), "prefix", "left").withColumn("prefix", longer).drop("large")
+    return texts.mapInArrow(run, "part string, mask int, doc bigint, hash bigint, prefix string, text string")
 
 
-def first_holders(texts: DataFrame, most: int = GROUP) -> DataFrame:
+def first_holders(texts: DataFrame) -> DataFrame:
     """(doc, hash) of the smallest doc of every text, by radix tries.
 
     A task gets a range of prefixes in order and has the trie of one prefix at a time."""
@@ -185,19 +213,20 @@ def first_holders(texts: DataFrame, most: int = GROUP) -> DataFrame:
                 trie.insert(text, (doc, hash_))
         yield walk()
 
-    rows = with_prefix(texts, most).select("prefix", "doc", "hash", "text")
-    rows = rows.repartitionByRange("prefix").sortWithinPartitions("prefix")
+    rows = texts.select("prefix", "doc", "hash", "text").repartitionByRange("prefix").sortWithinPartitions("prefix")
     return rows.mapInArrow(run, "doc bigint, hash bigint")
 
 
-def masks(docs: DataFrame, most: int = GROUP, merged: int = MERGED) -> DataFrame:
+def masks(docs: DataFrame, groups: int = GROUPS, merged: int = MERGED) -> DataFrame:
     """Per row of docs part, doc (a null doc_id: 2^63 - 1) and mask, the bits of the filters it fails.
 
     Rows with the doc_id that is the smallest of their text do not fail E, several of them neither; a null
     doc_id comes after all others. Texts are stored once per task and shuffled once."""
-    with arrow_batches(docs.sparkSession, ROWS):
-        stored = materialise(measured(docs, merged), "audit")
-        first = materialise(first_holders(stored.filter("mask is null").select("doc", "hash", "text"), most), "audit-first")
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(shared_prefixes(docs, groups))  # fewer than groups of each length
+    with arrow_batches(spark, ROWS):
+        stored = materialise(measured(docs, shared, merged), "audit")
+        first = materialise(first_holders(stored.filter("mask is null")), "audit-first")
     first = first.distinct().withColumn("first", F.lit(True))
     rows = stored.filter("mask is not null").select("part", "mask", "doc", "hash").join(first, ["doc", "hash"], "left")
     repeated = F.when(F.col("first"), 0).otherwise(BIT["E"])
@@ -206,7 +235,7 @@ def masks(docs: DataFrame, most: int = GROUP, merged: int = MERGED) -> DataFrame
 
 # -- all orders ------------------------------------------------------------------------------------
 
-def audit(docs: DataFrame, labels: DataFrame, most: int = GROUP, merged: int = MERGED) -> DataFrame:
+def audit(docs: DataFrame, labels: DataFrame, groups: int = GROUPS, merged: int = MERGED) -> DataFrame:
     """Per part (lang; null: empty string), order of the five filters and step, counts of documents.
 
     kept and removed after and at the step; redundant fail its filter but were removed before;
@@ -216,7 +245,7 @@ def audit(docs: DataFrame, labels: DataFrame, most: int = GROUP, merged: int = M
     docs and labels are not read."""
     marks = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc"))
     marks = marks.agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
-    cells = masks(docs, most, merged).join(marks, "doc", "left").groupBy("part", "mask").agg(
+    cells = masks(docs, groups, merged).join(marks, "doc", "left").groupBy("part", "mask").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("good").alias("good"), F.count_if("toxic").alias("toxic"))
 
     orders = F.array(*[F.lit("".join(p)) for p in permutations(FILTERS)])
