@@ -7,7 +7,9 @@
 Files are ``.warc.gz`` with one gzip member per record, or plain ``.warc``. The writer states each
 member's length in its gzip header (extra field ``sl``), so a reader that needs the headers only
 inflates the head of a member and seeks to the next. Predicates on header columns are tested before
-anything of a payload is inflated. Foreign files without the field are inflated to the member's end.
+anything of a payload is inflated. Foreign files without the field are inflated to the member's end, and
+may have many records in a member, as where a whole file is one stream. Bytes that are no record, and
+archives that end inside one, raise an error: no record is lost in silence.
 
 Files are reached through ``pyarrow.fs``: a local or shared folder, HDFS or an object store. Large
 compressed files are read in ranges, as a member's start can be recognised.
@@ -39,7 +41,7 @@ from footfall.session import new_path
 
 ship_by_value(__name__)
 
-MANIFEST = "_manifest.json"
+MANIFEST = "_manifest"
 VERSION = b"WARC/1.0\r\n"
 #: Fixed value of the format: the profile of a revisit to an identical payload.
 SAME_PAYLOAD = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
@@ -126,16 +128,16 @@ class WarcWriter(DataSourceArrowWriter):
         return _Written(names)
 
     def commit(self, messages: list) -> None:
-        """Earlier commits to the folder stay: the manifest grows by the new files."""
+        """A manifest of its own per commit, moved to its name when it is whole: earlier and simultaneous
+        commits to the folder stay as they are."""
         fs, root = _open(self.path)
         fs.create_dir(root, recursive=True)
         names = [n for m in messages if m is not None for n in m.names]
-        at = posixpath.join(root, MANIFEST)
-        if fs.get_file_info(at).type == pafs.FileType.File:
-            with fs.open_input_stream(at) as f:
-                names = json.loads(f.read()) + names
-        with fs.open_output_stream(at, compression=None) as f:
+        key = uuid.uuid4().hex
+        draft = posixpath.join(root, f"_draft-{key}")
+        with fs.open_output_stream(draft, compression=None) as f:
             f.write(json.dumps(sorted(names)).encode())
+        fs.move(draft, posixpath.join(root, f"{MANIFEST}-{key}.json"))
 
     def abort(self, messages: list) -> None:
         fs, root = _open(self.path)
@@ -177,17 +179,20 @@ class WarcReader(DataSourceReader):
                 self.tests.append(test)
 
     def partitions(self) -> list[InputPartition]:
-        """Ranges of the files in the manifest, or of all archives in the folder if it has none."""
+        """Ranges of the files in the manifests, or of all archives in the folder if it has none."""
         fs, root = _open(self.path)
         info = fs.get_file_info(root)
         if info.type == pafs.FileType.File:
             found = [info]
         else:
-            found = [x for x in fs.get_file_info(pafs.FileSelector(root)) if x.base_name.endswith((".warc", ".warc.gz"))]
-            at = posixpath.join(root, MANIFEST)
-            if fs.get_file_info(at).type == pafs.FileType.File:
+            inside = fs.get_file_info(pafs.FileSelector(root))
+            found = [x for x in inside if x.base_name.endswith((".warc", ".warc.gz"))]
+            manifests = [x.path for x in inside if x.base_name.startswith(MANIFEST)]
+            named: set[str] = set()
+            for at in manifests:
                 with fs.open_input_stream(at) as f:
-                    named = set(json.loads(f.read()))
+                    named |= set(json.loads(f.read()))
+            if manifests:
                 found = [x for x in found if x.base_name in named]
         out: list[InputPartition] = []
         for x in sorted(found, key=lambda x: x.path):
@@ -282,37 +287,79 @@ def _fill(row: dict, fields: dict, block: bytes, mode: str) -> dict:
     return row | {"payload_bytes": len(body), "payload_digest": sha1_base32(body), "payload": body if mode == "keep" else None}
 
 
-def _gzip_records(f, start: int, end: int, wanted, mode: str, step: int = 1 << 16) -> Iterator[dict]:
-    at = start if start == 0 else _next_member(f, start, end)
-    while at is not None and at < end:
+class _Member:
+    """The text of one gzip member, inflated as far as it is needed; what was used is let go."""
+
+    def __init__(self, f, at: int, step: int = 1 << 16):
         f.seek(at)
-        raw = f.read(4096)
+        self.f, self.step, self.inflate, self.text = f, step, zlib.decompressobj(31), b""
+
+    def more(self) -> bool:
+        """Another piece of text; False at the member's end."""
+        if self.inflate.eof:
+            return False
+        raw = self.inflate.unconsumed_tail or self.f.read(self.step)
         if not raw:
-            return
-        length = _stated_length(raw)
-        inflate = zlib.decompressobj(31)
-        text = inflate.decompress(raw, step)
-        while (head := _head(text)) is None and not inflate.eof and (more := inflate.unconsumed_tail or f.read(step)):
-            text += inflate.decompress(more, step)
-        if head is None:
-            raise ValueError(f"no WARC header at byte {at}")
-        row, need = _row(head[0]), 0
-        take = wanted(row)
-        if take and mode != "skip" or take and row["record_type"] == "revisit":
-            need = head[1] + int(head[0].get("content-length", "0"))
-        parts, size = [text], len(text)
-        # without a stated length the member's end is found by inflating, the text is not kept
-        while not inflate.eof and (size < need or length is None):
-            more = inflate.unconsumed_tail or f.read(step)
-            if not more:
+            raise ValueError("the archive ends inside a gzip member")
+        self.text += self.inflate.decompress(raw, self.step)
+        return True
+
+    def head(self) -> tuple[dict, int] | None:
+        """The next record's header; None if only line ends are left."""
+        while True:
+            self.text = self.text.lstrip(b"\r\n")
+            head = _head(self.text)
+            if head is not None or not self.more():
                 break
-            piece = inflate.decompress(more, step)
-            size += len(piece)
-            if need:
-                parts.append(piece)
-        if take:
-            yield _fill(row, head[0], b"".join(parts)[head[1]:need], mode) if need else row
-        at = at + length if length is not None else f.tell() - len(inflate.unused_data)
+        if head is None and self.text or head is not None and not self.text.startswith(b"WARC/"):
+            raise ValueError("no WARC header in a gzip member")
+        return head
+
+    def take(self, n: int, keep: bool) -> bytes:
+        """The next n bytes, or nothing of them if they are not to be kept."""
+        parts = []
+        while len(self.text) < n:
+            parts += [self.text] * keep
+            n, self.text = n - len(self.text), b""
+            if not self.more():
+                raise ValueError("a record is longer than its gzip member")
+        parts += [self.text[:n]] * keep
+        self.text = self.text[n:]
+        return b"".join(parts)
+
+    def end(self) -> int:
+        """Where the file goes on after the member."""
+        while self.more():
+            self.text = b""
+        return self.f.tell() - len(self.inflate.unused_data)
+
+
+def _gzip_records(f, start: int, end: int, wanted, mode: str) -> Iterator[dict]:
+    """Records of the members that start in [start, end): one of each member that states its length, all of
+    the others. What is no record, or not complete, is an error."""
+    at, size = start if start == 0 else _next_member(f, start, end), f.size()
+    while at is not None and at < min(end, size):
+        f.seek(at)
+        length = _stated_length(f.read(4096))
+        if length is not None and at + length > size:
+            raise ValueError("the archive ends inside a gzip member")
+        member = _Member(f, at)
+        try:
+            while (head := member.head()) is not None:
+                fields, block = head
+                row, n = _row(fields), int(fields.get("content-length", "0"))
+                take = wanted(row)
+                need = take and (mode != "skip" or row["record_type"] == "revisit")
+                if need or length is None:
+                    member.take(block, False)
+                    text = member.take(n, need)
+                if take:
+                    yield _fill(row, fields, text, mode) if need else row
+                if length is not None:
+                    break  # what follows is skipped unread
+            at = at + length if length is not None else member.end()
+        except zlib.error as e:
+            raise ValueError(f"damaged gzip member at byte {at}: {e}") from e
 
 
 def _stated_length(raw: bytes) -> int | None:
@@ -347,23 +394,33 @@ def _next_member(f, start: int, end: int) -> int | None:
 
 
 def _plain_records(f, start: int, end: int, wanted, mode: str) -> Iterator[dict]:
-    at = start
+    """All records of an archive that is not compressed; anything else in it is an error."""
+    at, total = start, f.size()
     while at < end:
         f.seek(at)
-        text = b""
+        text, blank = b"", 0
         while (head := _head(text)) is None and (more := f.read(8192)):
             text += more
-        if head is None:
+            if not text.strip(b"\r\n"):
+                blank, text = blank + len(text), b""
+            kept = text.lstrip(b"\r\n")
+            blank, text = blank + len(text) - len(kept), kept
+        if not text:
             return
+        if head is None or not text.startswith(b"WARC/"):
+            raise ValueError(f"no WARC header at byte {at + blank}")
+        at += blank + head[1]
         size = int(head[0].get("content-length", "0"))
+        if at + size > total:
+            raise ValueError("the archive ends inside a record")
         row = _row(head[0])
         if wanted(row):
             if mode == "skip" and row["record_type"] != "revisit":
                 yield row
             else:
-                f.seek(at + head[1])
+                f.seek(at)
                 yield _fill(row, head[0], f.read(size), mode)
-        at += head[1] + size + 4
+        at += size
 
 
 class WarcSource(DataSource):

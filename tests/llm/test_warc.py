@@ -113,3 +113,55 @@ def test_only_committed_files_are_read(spark, archive):
     with open(f"{archive}/left-over.warc.gz", "wb") as f:
         f.write(warc.gzip_member(b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 0\r\n\r\n\r\n\r\n", 1))
     assert spark.read.format("warc").load(archive).count() == n
+
+
+def raw_records(n):
+    rows = [{"record_type": "response", "record_id": f"<r{k}>", "target_uri": f"u{k}", "warc_date": None, "payload_digest": "x", "refers_to": None, "payload_bytes": 5000 * (k % 3), "payload": bytes([65 + k]) * (5000 * (k % 3))} for k in range(n)]
+    return [warc.record_bytes(r) for r in rows], rows
+
+
+@pytest.mark.parametrize("how", ["one stream", "two members", "a member each", "plain", "plain with blank lines"])
+@pytest.mark.parametrize("mode", ["keep", "check", "skip"])
+def test_foreign_archives_are_read_in_full(spark, tmp_path, how, mode):
+    raw, rows = raw_records(10)
+    data = {
+        "one stream": lambda: gzip.compress(b"".join(raw)),
+        "two members": lambda: gzip.compress(b"".join(raw[:7])) + gzip.compress(b"".join(raw[7:])),
+        "a member each": lambda: b"".join(map(gzip.compress, raw)),
+        "plain": lambda: b"".join(raw), "plain with blank lines": lambda: b"\r\n" + b"\r\n\r\n\r\n".join(raw) + b"\r\n" * 20,
+    }[how]()
+    path = tmp_path / ("x.warc" if "plain" in how else "x.warc.gz")
+    path.write_bytes(data)
+    warc.register(spark)
+    out = spark.read.format("warc").option("payload", mode).option("splitBytes", "300").load(str(path)).collect()
+    assert sorted(r.record_id for r in out) == [f"<r{k}>" for k in range(10)]
+    if mode == "keep":
+        assert {r.record_id: bytes(r.payload) for r in out} == {r["record_id"]: r["payload"] for r in rows}
+
+
+@pytest.mark.parametrize("damage", ["cut gzip", "cut own", "cut plain", "no head", "no head in gzip", "noise in gzip"])
+def test_damaged_archives_raise(spark, tmp_path, damage):
+    raw, _ = raw_records(4)
+    whole = gzip.compress(b"".join(raw))
+    data, name = {
+        "cut gzip": (whole[:len(whole) // 2], "x.warc.gz"),
+        "cut own": (b"".join(warc.gzip_member(x, 3) for x in raw)[:-30], "x.warc.gz"),
+        "cut plain": (b"".join(raw[:2])[:-100], "x.warc"), "no head": (raw[0] + b"garbage" * 9 + raw[1], "x.warc"),
+        "no head in gzip": (gzip.compress(raw[0] + b"garbage \r\n\r\n"), "x.warc.gz"),
+        "noise in gzip": (whole[:60] + bytes(50) + whole[110:], "x.warc.gz"),
+    }[damage]
+    (tmp_path / name).write_bytes(data)
+    warc.register(spark)
+    with pytest.raises(Exception, match="WARC header|ends inside|longer than|damaged"):
+        spark.read.format("warc").option("payload", "check").load(str(tmp_path / name)).collect()
+
+
+def test_commits_do_not_touch_each_other(spark, tmp_path):
+    warc.register(spark)
+    frame = spark.createDataFrame([(1, "u", "a"), (2, "u", "b")], "page_id bigint, url string, html string")
+    for k in (1, 2):
+        warc.records(frame.filter(F.col("page_id") == k)).write.format("warc").mode("append").save(str(tmp_path))
+    manifests = [p for p in tmp_path.iterdir() if p.name.startswith("_manifest")]
+    assert len(manifests) == 2 and not [p for p in tmp_path.iterdir() if p.name.startswith("_draft")]
+    (tmp_path / "_draft-left").write_bytes(b"[")  # of a driver that died
+    assert spark.read.format("warc").load(str(tmp_path)).count() == 2
