@@ -9,7 +9,9 @@ over that sum, the number of matched clauses and the length of the document give
 chance match in a long document means less than several in a short one.
 
 All is fitted on labelled documents: words and stems whose contexts are those of toxic documents
-beyond chance join the given seed words; then the factors; then the curve.
+beyond chance join the given seed words; then the words that take the offence out of the clauses they
+stand in, before the match, or put it there, join the negations and the targets; then the factors; then
+the curve.
 """
 
 from __future__ import annotations
@@ -202,8 +204,18 @@ def _stem_counts(words: DataFrame) -> DataFrame:
     ).withColumnRenamed("stem", "entry")
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, most_entries: int = 5_000) -> Model:
-    """The model from at most ``most`` labelled documents. Without labels, the seeds and the priors."""
+def _evidence_column(n: Column, t: Column, prior: float) -> Column:
+    """``_evidence`` of columns, for shares above the prior."""
+    share = t / n
+    rest = F.when(t < n, (1 - share) * F.log((1 - share) / (1 - prior))).otherwise(0.0)
+    return F.when(share > prior, n * (share * F.log(share / prior) + rest)).otherwise(0.0)
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Model:
+    """The model from at most ``most`` labelled documents. Without labels, the seeds and the priors.
+
+    Every entry with enough evidence counts: their number is bounded by that of the labelled documents'
+    words."""
     model = seed_model()
     rows = materialise(training_rows(docs, labels, most), "labelled")
     total, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
@@ -218,8 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, most_entries: in
     counts = words.select("entry", F.lit(False).alias("stem"), "n", "t", F.lit(1).cast("bigint").alias("words"))
     stemmed = _stem_counts(words).select("entry", F.lit(True).alias("stem"), "n", "t", "words")
     strong = counts.unionByName(stemmed).filter((F.col("t") > 2 * prior * F.col("n")) & F.expr("2 * t >= n AND t >= 3"))
-    found = strong.orderBy(F.desc("t"), "entry", "stem").limit(most_entries).collect()
-    found = [r for r in found if _evidence(r.n, r.t, prior) > needed]
+    found = strong.filter(_evidence_column(F.col("n"), F.col("t"), prior) > needed).orderBy(F.desc("t"), "entry", "stem").collect()
     stems = {r.entry: r for r in found if r.stem and r.words >= 3 and r.t >= 0.6 * r.n}
     for entry, r in sorted(stems.items(), key=lambda x: len(x[0])):
         wider = [stems[entry[:k]] for k in STEM_SIZES if k < len(entry) and entry[:k] in stems and entry[:k] in model.stems]
@@ -235,11 +246,54 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, most_entries: in
     for r in words.filter(F.col("entry").isin(seeds)).collect():
         kind = model.words[r.entry][0]
         model.words[r.entry] = (kind, (r.t + 1) / (r.n + 2))
+    _learn_surroundings(rows, model)
     _fit_contexts(rows, model)
     _fit_curve(rows, model)
     return model
 
 
+def surroundings(text: str, model: Model) -> list[tuple[str, str]]:
+    """(word, clause) of the words up to REACH before the first insult of a text's one plain or aimed clause.
+
+    Texts with several matched clauses tell nothing of one of them, clauses with a known negation or report
+    nothing of other words."""
+    low, found = text.lower(), matches(text, model)
+    if len(found) != 1 or found[0][1] not in ("plain", "aimed"):
+        return []
+    for clause in CLAUSE_END.split(low):
+        words = WORD.findall(clause)
+        kinds = [(model.symbol(w) or ("",))[0] for w in words]
+        if "insult" in kinds:
+            at = kinds.index("insult")
+            near = {w for w, k in zip(words[max(0, at - REACH):at], kinds[max(0, at - REACH):at]) if not k}
+            return [(w, " ".join(words)) for w in sorted(near)]
+    return []
+
+
+def _learn_surroundings(rows: DataFrame, model: Model) -> None:
+    """Words that stand before an insult and change the share of toxic documents: where it falls to half or
+    less, beyond chance, they negate; where it rises beyond chance, they aim. Equal clauses count once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = [(w, c, t) for text, t in zip(*(c.to_pylist() for c in batch.columns)) for w, c in surroundings(text, model)]
+            words, clauses, toxic = zip(*seen) if seen else ([], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(clauses, pa.string()), pa.array(toxic, pa.int64())], names=["word", "clause", "toxic"])
+
+    each = rows.select("text", F.col("toxic").cast("bigint")).mapInArrow(run, "word string, clause string, toxic bigint")
+    each = materialise(each.groupBy("word", F.xxhash64("clause").alias("clause")).agg(F.max("toxic").alias("toxic")), "surroundings")
+    clauses = each.groupBy("clause").agg(F.max("toxic").alias("toxic"))
+    n, t, words = clauses.agg(F.count(F.lit(1)), F.sum("toxic")).first() + (each.agg(F.count_distinct("word")).first()[0],)
+    if not t or t == n:
+        return
+    share, needed = t / n, math.log(2 * words) + 5  # about one chance word in 150 fits
+    counts = each.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("t"))
+    n_, t_ = F.col("n"), F.col("t")
+    harmless = (2 * t_ <= share * n_) & (_evidence_column(n_, n_ - t_, 1 - share) > needed)
+    worse = _evidence_column(n_, t_, share) > needed
+    for r in counts.select("word", harmless.alias("harmless"), worse.alias("worse")).filter("harmless OR worse").collect():
+        model.words[r.word] = ("negation" if r.harmless else "target", 0.0)
+
+
 def _fit_contexts(rows: DataFrame, model: Model) -> None:
     """Toxic share of documents by the one context of their matches, against that of plain matches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
+import re
 import zlib
+from collections import Counter, defaultdict
+
+import pytest
 
 from footfall.llm import toxicity
 
@@ -73,3 +78,110 @@ def test_the_bound_on_labelled_documents(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
     assert toxicity.training_rows(docs, known, 50).count() == 50
+
+
+def reported_corpus(rng, n):
+    """Insults that words unknown to the seeds negate or report, in documents that are not toxic, and the
+    same insults in toxic ones."""
+    vocabulary = [a + b for a in ("ba", "do", "ki", "lu", "me", "no") for b in ("ran", "sel", "tik", "vor", "wex")]
+    rows, labels = [], []
+    for k in range(n):
+        sentences = [" ".join(rng.choices(vocabulary, k=rng.randrange(4, 12))) for _ in range(rng.randrange(2, 6))]
+        kind = k % 4  # toxic, negated, reported, nothing
+        insult = rng.choice(["idiot", "loser", "trottel"])
+        tail = rng.choice(vocabulary)
+        clause = {0: f"{rng.choice(vocabulary)} {insult} {tail}", 1: f"zork {insult} {tail}", 2: f"plim {rng.choice(vocabulary)} {insult}", 3: tail}[kind]
+        sentences.insert(rng.randrange(len(sentences)), f"{rng.choice(vocabulary)} {clause}")
+        rows.append((k, ". ".join(sentences)))
+        labels.append((k, 1, int(kind == 0)))
+    return rows, labels
+
+
+def held_out_errors(spark, rows, labels):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    toxic = {d: t for d, _, t in labels}
+    held = [r for r in toxicity.score_documents(docs, model).collect() if r.held_out]
+    return model, sum(r.predicted != toxic[r.doc_id] for r in held) / len(held)
+
+
+def test_negated_and_reported_insults_need_the_grammar(spark, monkeypatch):
+    rows, labels = reported_corpus(random.Random(3), 1600)
+    model, errors = held_out_errors(spark, rows, labels)
+    assert model.words["zork"][0] == model.words["plim"][0] == "negation"
+    assert errors < 0.02
+    monkeypatch.setattr(toxicity, "GRAMMAR", {})
+    _, without = held_out_errors(spark, rows, labels)
+    assert without > 0.2
+
+
+def brute_words(rows):
+    contexts = defaultdict(list)
+    for text, toxic in rows:
+        w = re.findall(r"[^\W\d_]+", text.lower())
+        for i, x in enumerate(w):
+            contexts[x, w[i - 1] if i else None, w[i + 1] if i + 1 < len(w) else None].append(toxic)
+    n, t = Counter(), Counter()
+    for (x, _, _), seen in contexts.items():
+        n[x] += 1
+        t[x] += min(seen)
+    return {x: (n[x], t[x]) for x in n}
+
+
+def test_counts_factors_and_scores_against_plain_python(spark):
+    rows, labels = reported_corpus(random.Random(4), 400)
+    rows += [(1000 + k, "mixed idiot, you. Größe idiot") for k in range(3)]
+    labels += [(1000 + k, 1, 1) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    used = toxicity.training_rows(docs, known, 20_000)
+    plain = [(r.text, r.toxic) for r in used.collect()]
+    assert {r.entry: (r.n, r.t) for r in toxicity._word_counts(used).collect()} == brute_words(plain)
+    model = toxicity.fit(docs, known)
+    for context in toxicity.CONTEXTS:
+        seen = [(t, {c for _, c, _ in toxicity.matches(x, model)}) for x, t in plain]
+        of = [t for t, c in seen if c == {context}]
+        want = min(1.0, (sum(of) + toxicity.STRENGTH * toxicity.PRIOR[context]) / (len(of) + toxicity.STRENGTH))
+        assert model.factors[context] == pytest.approx(want)
+    for r in toxicity.score_documents(docs, model).collect():
+        text = dict(rows)[r.doc_id]
+        found = toxicity.matches(text, model)
+        total = -sum(math.log(1 - min(0.999, p * model.factors[c])) for _, c, p in found)
+        words = math.log(1 + text.count(" ") + text.count("\n"))
+        seen = [1.0, float(bool(found)), total, math.log(1 + total), math.log(1 + len(found)), words / 10, total / (1 + words)]
+        z = sum(a * b for a, b in zip(seen, model.curve))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+
+
+def test_evidence_in_columns_is_that_in_python(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(n, t) for n in (1, 3, 10, 400) for t in (0, 1, n // 2, n) if t <= n]
+    frame = spark.createDataFrame(rows, "n long, t long")
+    for prior in (0.02, 0.4):
+        got = frame.select("n", "t", toxicity._evidence_column(F.col("n"), F.col("t"), prior).alias("e")).collect()
+        assert all(r.e == pytest.approx(toxicity._evidence(r.n, r.t, prior)) for r in got)
+
+
+def test_rare_strong_entries_are_not_cut_and_ties_are_kept(spark):
+    """Many entries with the same counts: all of them join."""
+    words = [f"grr{chr(97 + a)}{chr(97 + b)}{chr(97 + c)}" for a in range(6) for b in range(6) for c in range(6)]
+    rows, labels = [], []
+    for k, word in enumerate(words * 8):
+        rows.append((k, f"aa{k % 97} {word} bb{k % 89} cc{k % 83}"))
+        labels.append((k, 1, 1))
+    for k in range(6000):
+        rows.append((10_000 + k, f"aa{k % 97} dd{k % 101} bb{k % 89} cc{k % 83}"))
+        labels.append((10_000 + k, 1, 0))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    found = [w for w in words if model.symbol(w)]
+    assert len(found) == len(words)
+
+
+def test_a_long_text_of_several_languages(spark):
+    text = ("das ist kein trottel. he said that they are morons; ella es estúpida " * 20_000) + "tu es un connard"
+    docs = spark.createDataFrame([(1, text), (2, text[:-20])], "doc_id bigint, text string")
+    out = {r.doc_id: r.matches for r in toxicity.score_documents(docs, toxicity.seed_model()).collect()}
+    assert len(out[1]) == 60_001 and len(out[2]) <= 60_000
+    assert Counter(m.context for m in out[1])["reported"] == 20_000
