@@ -15,7 +15,6 @@ exactly one cycle. All counts are exact; what the filter costs is counting of ph
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import reduce
@@ -36,11 +35,13 @@ from footfall.sources.storage import materialise
 
 ship_by_value(__name__)
 
-BREAKS = re.compile(rb"[.,;:!?\x0a-\x0d]+")
 #: Stands for a break between pieces; no word holds a dot.
 BREAK = b"."
-LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
+BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
+#: A-Z in lower case, breaks as dots.
+PLAIN = bytes.maketrans(UPPER.encode() + BREAKS, UPPER.lower().encode() + BREAK * len(BREAKS))
 MOST_WORDS = 5
+SHARDS = 3
 #: Words of a stored chunk, and those that a scan counts at a time.
 CHUNK = 1 << 20
 AT_ONCE = 1 << 22
@@ -59,15 +60,16 @@ class _Codes(dict):
 
 
 def cut(text: bytes) -> list[bytes]:
-    """Lower-cased words, with a break between two pieces and at the end."""
-    # white space that is left after the breaks is blank and tab
-    words = BREAKS.sub(b" . ", text.translate(LOWER)).split()
+    """Lower-cased words, with breaks between two pieces and at the end."""
+    # white space that is left besides the breaks is blank and tab
+    words = text.translate(PLAIN).replace(BREAK, b" . ").split()
     words.append(BREAK)
     return words
 
 
 def encode_shards(docs: DataFrame, shards: int, chunk: int = CHUNK) -> DataFrame:
-    """(lang, words, codes, n_words, shard): runs of texts of one language as numbers into their own word list.
+    """(lang, words, hashes, codes, n_words, shard): runs of texts of one language as numbers into their own
+    word list, which is joined by blanks.
 
     A null text is empty, a null language ``und``. A text of any length is one run of at most its own words."""
 
@@ -79,8 +81,9 @@ def encode_shards(docs: DataFrame, shards: int, chunk: int = CHUNK) -> DataFrame
             words, parts, _ = open_.pop(lang)
             codes = np.concatenate(parts)
             made += 1
+            own = list(words)[1:]
             return pa.RecordBatch.from_pydict({
-                "lang": [lang], "words": pa.array([list(words)[1:]], pa.list_(pa.binary())),
+                "lang": [lang], "words": [b" ".join(own)], "hashes": [word_hashes(lang, own).tobytes()],
                 "codes": pa.array([codes.tobytes()], pa.binary()), "n_words": [np.count_nonzero(codes)],
                 "shard": pa.array([(part + made) % shards], pa.int32()),
             })
@@ -100,7 +103,7 @@ def encode_shards(docs: DataFrame, shards: int, chunk: int = CHUNK) -> DataFrame
             yield flush(lang)
 
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(run, "lang string, words array<binary>, codes binary, n_words bigint, shard int")
+    return texts.mapInArrow(run, "lang string, words binary, hashes binary, codes binary, n_words bigint, shard int")
 
 
 # -- the filter ------------------------------------------------------------------------------------
@@ -226,19 +229,20 @@ def scan(shard: DataFrame, filters: Broadcast, first_cycle: bool, at_once: int =
             for row in range(batch.num_rows):
                 lang = batch.column(0)[row].as_py()
                 words = batch.column(1)[row].as_py()
-                codes = np.frombuffer(batch.column(2)[row].as_buffer(), "<i4")
-                kept = open_.setdefault(lang, [_Codes(), [word_hashes(lang, [BREAK])], [], 0])
+                words = words.split(b" ") if words else []
+                hashes, codes = (np.frombuffer(batch.column(k)[row].as_buffer(), t) for k, t in ((2, "<u8"), (3, "<i4")))
+                kept = open_.setdefault(lang, [_Codes(), [np.zeros(1, np.uint64)], [], 0])
                 before = len(kept[0])
-                own = np.fromiter(map(kept[0].__getitem__, [BREAK, *words]), "<i4", len(words) + 1)
-                kept[1].append(word_hashes(lang, list(kept[0])[before:]))
-                kept[2].append(own[codes])
+                own = np.fromiter(map(kept[0].__getitem__, words), "<i4", len(words))
+                kept[1].append(hashes[own >= before])  # new words, numbered in their order
+                kept[2].append(np.concatenate([np.zeros(1, "<i4"), own])[codes])
                 kept[3] += len(codes)
                 if kept[3] >= at_once:
                     yield from flush(lang)
         for lang in list(open_):
             yield from flush(lang)
 
-    return shard.select("lang", "words", "codes").mapInArrow(run, "lang string, phrase binary, n bigint")
+    return shard.select("lang", "words", "hashes", "codes").mapInArrow(run, "lang string, phrase binary, n bigint")
 
 
 def store_shards(docs: DataFrame, shards: int, chunk: int = CHUNK) -> DataFrame:
@@ -270,12 +274,16 @@ def frequent_phrases(
         counts = counts.withColumn("since", F.lit(t))
         if live is not None:
             counts = counts.unionByName(live)
-        counts = counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("since").alias("since"))
+        # tasks have combined what they counted: rows are added up after the shuffle only
+        counts = counts.repartition("lang", "phrase").groupBy("lang", "phrase")
+        counts = counts.agg(F.sum("n").alias("n"), F.min("since").alias("since"))
         with arrow_batches(stored.sparkSession, 2):  # chunks
             state = materialise(counts, f"phrase-counts-{t}")
         shared.destroy()
         reached = state.filter(F.col("n") >= min_count)
-        now = filter_of(reached, filter_bits, now)
+        text = F.col("phrase").cast("string")
+        words = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
+        now = filter_of(reached.filter(words < MOST_WORDS), filter_bits, now)  # of which longer ones are made
         # a phrase seen in scan s was active in s or before
         over = F.col("since") + shards <= t + 1
         found.append(reached.filter(over))
@@ -293,7 +301,7 @@ def _exact(column: str) -> Column:
 
 
 def collocations(
-    docs: DataFrame, top: int = 2000, min_count: int = 100, cover: int = 100, shards: int = 4,
+    docs: DataFrame, top: int = 2000, min_count: int = 100, cover: int = 100, shards: int = SHARDS,
     filter_bits: int = 1 << 26, chunk: int = CHUNK, at_once: int = AT_ONCE,
 ) -> DataFrame:
     """Per language the ``top`` phrases of 2 to 5 words by score: lang, rank, phrase, a, l, r, n, score.
