@@ -280,7 +280,7 @@ class Job:
 
     @step
     def user_similarity(self) -> DataFrame:
-        return rt.user_similarity(self._ratings, self.p)
+        return rt.user_similarity(self._ratings, self.p, self._cut)
 
     @step
     def cf_recommend(self) -> DataFrame:
@@ -372,7 +372,7 @@ class Job:
     def rec_from_reviews(self) -> DataFrame:
         """Like ``cf_recommend``, for the users of the active devices only: the others are left out
         before the pairs are formed."""
-        similar = rt.user_similarity(self._ratings, self.p, users=self._active)
+        similar = rt.user_similarity(self._ratings, self.p, self._cut, users=self._active)
         recs = rt.recommend(similar, self._ratings, self.p)
         return dr.user_recs_to_device(self._active, recs)
 

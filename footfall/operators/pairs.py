@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from itertools import count
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from footfall.operators.ranking import top_k_per_group
+from footfall.operators.joins import exclude, join_per_key, restrict
+from footfall.operators.ranking import rank_key, top_k_per_group
 
 
 def top_pairs(
@@ -55,3 +58,97 @@ def _compact(df: DataFrame, keys: list[str], member: str, out: str) -> DataFrame
     return df.groupBy(*keys, F.col(member).alias(out)).agg(
         F.sum("w").alias(f"w{out}"), F.count(F.lit(1)).alias(f"c{out}")
     )
+
+
+def best_pairs(
+    left: DataFrame, right: DataFrame, part: str, group: Sequence[str], a: str, b: str,
+    growth: Callable[[Column], Column], k: int, cut: Callable[[DataFrame, str], DataFrame],
+    crowd: int = 1000, depth: int = 4,
+) -> DataFrame:
+    """``top_pairs`` for the score total * growth(rows), growth rising and not negative, without the pairs of
+    crowded groups that cannot be among the k best.
+
+    Groups of at most ``crowd`` members are joined as they are. Of a crowded group only the members with the
+    largest weights meet a member of positive weight, those with the smallest one of negative weight, and
+    those with the smallest names everybody: ``depth * k`` of each, and all with several rows. A pair that is
+    found gets its exact score over all groups. A member whose weights bound what any other partner could
+    score below its k-th best is done; the others go on with lists eight times as long, in the end whole. On
+    ties, as where partners share one row and all score growth(1) = 0, the smallest names win, so that list
+    decides. ``cut`` stores what several steps read."""
+    keys, pair = [part, *group], [part, "a", "b"]
+    rows_a, rows_b = _compact(left, keys, a, "a"), _compact(right, keys, b, "b")
+    crowded = rows_b.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd)
+    crowded = cut(crowded, "crowded")
+    if crowded.isEmpty():
+        return top_pairs(left, right, part, group, a, b, lambda total, rows: total * growth(rows), k)
+    rows_a, rows_b = cut(rows_a, "members-a"), cut(rows_b, "members-b")
+    many_a, many_b = (cut(join_per_key(x, crowded, keys), name) for x, name in ((rows_a, "crowd-a"), (rows_b, "crowd-b")))
+    few_a, few_b = (exclude(x, crowded, keys) for x in (rows_a, rows_b))
+    few = cut(_totals(few_a.join(few_b, keys).filter(F.col("a") != F.col("b")), pair), "few-pairs")
+
+    def scored(totals: DataFrame) -> DataFrame:
+        return totals.withColumn("score", F.col("total") * growth(F.col("rows")))
+
+    open_ = many_a.select(part, "a").distinct()
+    done = [scored(exclude(few, open_, [part, "a"]))]
+    length = depth * k
+    for round_ in count():
+        mine = restrict(many_a, open_, [part, "a"])
+        heads = cut(_heads(many_b, keys, length), f"heads-{round_}")
+        suits = (F.col("side") == 0) | (F.col("side") == F.signum("wa").cast("int"))
+        met = mine.join(heads.select(*keys, "b", "side"), keys).filter(suits & (F.col("a") != F.col("b")))
+        own = restrict(few, open_, [part, "a"])
+        found = met.select(*pair).unionByName(own.select(*pair)).distinct()
+        shared = found.join(mine.select(*keys, "a", "wa", "ca"), [part, "a"]).join(many_b.select(*keys, "b", "wb", "cb"), [*keys, "b"])
+        totals = own.unionByName(_totals(shared, pair)).groupBy(*pair).agg(F.sum("total").alias("total"), F.sum("rows").alias("rows"))
+        round_scored = cut(scored(totals), f"scored-{round_}")
+        left_over = cut(_undecided(round_scored, mine, heads, keys, length, growth, k), f"undecided-{round_}")
+        done.append(exclude(round_scored, left_over, [part, "a"]))
+        if left_over.isEmpty():
+            break
+        open_, length = left_over, 8 * length
+    best = reduce(DataFrame.unionByName, done).select(part, F.col("a").alias(a), F.col("b").alias(b), "score")
+    return top_k_per_group(best, [part, a], k, "score", [b])
+
+
+def _totals(rows: DataFrame, pair: list[str]) -> DataFrame:
+    return rows.groupBy(*pair).agg(
+        F.sum(F.col("wa") * F.col("wb")).alias("total"), F.sum(F.col("ca") * F.col("cb")).alias("rows")
+    )
+
+
+def _heads(members: DataFrame, keys: list[str], length: int) -> DataFrame:
+    """The first members of each group by weight (side 1), by weight from below (-1) and by name (0), ``rn``
+    their place; side 0 without a place: those of several rows."""
+    orders = {1: [F.col("wb").desc(), F.col("b")], -1: [F.col("wb"), F.col("b")], 0: [F.col("b")]}
+    lists = [members.filter(F.col("cb") > 1).withColumn("rn", F.lit(None).cast("int")).withColumn("side", F.lit(0))]
+    for side, order in orders.items():
+        rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        lists.append(members.withColumn("rn", rn).filter(F.col("rn") <= length).withColumn("side", F.lit(side)))
+    return reduce(DataFrame.unionByName, lists)
+
+
+def _undecided(
+    scored: DataFrame, mine: DataFrame, heads: DataFrame, keys: list[str], length: int,
+    growth: Callable[[Column], Column], k: int,
+) -> DataFrame:
+    """(part, a) of members that a partner outside the lists could still be among the k best of."""
+    part = keys[0]
+    order = [rank_key("score").desc(), F.col("b")]
+    rn = F.row_number().over(Window.partitionBy(part, "a").orderBy(*order))
+    kth = scored.withColumn("rn", rn).filter(F.col("rn") <= k).filter(F.col("rn") == k)
+    kth = kth.select(part, "a", rank_key("score").alias("kth"), F.col("b").alias("kth_b"))
+    ends = heads.filter(F.col("rn") == length).groupBy(*keys).agg(*[
+        F.max(F.when(F.col("side") == side, F.col(c))).alias(name)
+        for name, side, c in (("high", 1, "wb"), ("low", -1, "wb"), ("last", 0, "b"))
+    ])
+    # who is in no list has weights between low and high, one row, and a name after last
+    most = F.greatest(F.lit(0.0), F.when(F.col("wa") >= 0, F.col("wa") * F.col("high")).otherwise(F.col("wa") * F.col("low")))
+    beyond = join_per_key(mine.filter(F.col("n") > length), ends, keys).groupBy(part, "a").agg(
+        F.sum(most).alias("total"), F.sum("ca").alias("rows"), F.min("last").alias("last")
+    )
+    bound = F.col("total") * growth(F.col("rows"))
+    above = F.col("kth") > rank_key(bound) + 1
+    tied = (bound <= 0) & ((F.col("kth") > 0) | ((F.col("kth") == 0) & (F.col("kth_b") <= F.col("last"))))
+    decided = F.col("kth").isNotNull() & (above | tied)
+    return beyond.join(kth, [part, "a"], "left").filter(~decided).select(part, "a")

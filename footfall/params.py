@@ -76,6 +76,7 @@ class Params:
     # ratings
     min_rating: int = 10
     similar_k: int = 25
+    crowded_item: int = 1000  # items of more raters: pairs by bounds
     rating_floor: float = 0.1
     cf_k: int = 500
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from footfall.functions.sampling import kept
 from footfall.operators.groups import divide_by_count, log_mean_ratio
 from footfall.operators.joins import exclude_from_totals, restrict
-from footfall.operators.pairs import top_pairs
+from footfall.operators.pairs import best_pairs
 from footfall.operators.ranking import top_k_per_group
 from footfall.params import Params
 
@@ -30,17 +32,17 @@ def centred(rated: DataFrame) -> DataFrame:
 
 
 def user_similarity(
-    rated: DataFrame, p: Params, users: DataFrame | None = None
+    rated: DataFrame, p: Params, cut: Callable[[DataFrame, str], DataFrame], users: DataFrame | None = None
 ) -> DataFrame:
     """sum(s1 * s2) * ln(co-rated rows) per pair of users of a city; the best k per user, for all
-    users or the given ones."""
+    users or the given ones. Of an item that very many rate only pairs that can be among them are made."""
     rows = rated.select("cityid", F.col("shopid").alias("item"), "userid", "score")
     wanted = rows if users is None else restrict(rows, users, ["userid"])
     left = wanted.select("cityid", "item", F.col("userid").alias("sid1"), F.col("score").alias("w"))
     right = rows.select("cityid", "item", F.col("userid").alias("sid2"), F.col("score").alias("w"))
-    return top_pairs(
-        left, right, part="cityid", group=["item"], a="sid1", b="sid2",
-        score=lambda total, rows: total * F.log(rows), k=p.similar_k,
+    return best_pairs(
+        left, right, part="cityid", group=["item"], a="sid1", b="sid2", growth=F.log, k=p.similar_k, cut=cut,
+        crowd=p.crowded_item,
     )
 
 

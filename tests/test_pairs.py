@@ -10,7 +10,9 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from footfall.operators.pairs import top_pairs
+from footfall.operators import pairs as pairs_module
+from footfall.operators.pairs import best_pairs, top_pairs
+from footfall.sources.storage import materialise
 from test_plans import executed, skew_settings  # noqa: F401
 
 K = 3
@@ -65,6 +67,57 @@ def test_against_brute_force(spark):
     assert result == brute(rows)
 
 
+def bounded(df, crowd, depth=4, k=K):
+    return best_pairs(
+        df.withColumnRenamed("u", "sid1"), df.withColumnRenamed("u", "sid2"), part="cityid", group=["item"],
+        a="sid1", b="sid2", growth=F.log, k=k, cut=materialise, crowd=crowd, depth=depth,
+    )
+
+
+def random_rows(rng, weight):
+    """Two crowded items per city, light ones, members of one row only, some rows twice."""
+    rows = []
+    for city in (1, 2):
+        for user in range(70):
+            for item in [i for i in (0, 1) if rng.random() < 0.8] + rng.sample(range(2, 40), rng.randrange(0, 3)):
+                rows += [(city, item, user, weight(rng))] * (2 if rng.random() < 0.03 else 1)
+    return rows
+
+
+@pytest.mark.parametrize("crowd, depth", [(20, 1), (20, 4), (5, 2), (1, 1)])
+@pytest.mark.parametrize("kind", ["signed", "few values", "zero", "same", "negative"])
+def test_bounds_lose_nothing(spark, kind, crowd, depth):
+    weight = {
+        "signed": lambda r: r.gauss(0, 1), "few values": lambda r: r.choice([-0.5, 0.25, 0.75]), "zero": lambda r: 0.0,
+        "same": lambda r: 0.5, "negative": lambda r: -r.random(),
+    }[kind]
+    rows = random_rows(random.Random(crowd + depth), weight)
+    got = bounded(spark.createDataFrame(rows, "cityid int, item long, u long, w double"), crowd, depth).collect()
+    result = {(r.cityid, r.sid1, r.sid2): round(r.score, 6) + 0.0 for r in got}
+    assert len(result) == len(got) and result == {p: s + 0.0 for p, s in brute(rows).items()}
+
+
+def test_few_pairs_of_crowded_items_are_made(spark, monkeypatch):
+    """Three items that nearly everybody rates: under a tenth of their pair rows."""
+    rng = random.Random(5)
+    rows = [(1, item, user, rng.gauss(0, 1)) for user in range(900) for item in (0, 1, 2) if rng.random() < 0.9]
+    rows += [(1, 10 + user % 300, user, rng.gauss(0, 1)) for user in range(900)]
+    frame = spark.createDataFrame(rows, "cityid int, item long, u long, w double")
+    made, plain = [], pairs_module._totals
+
+    def totals(joined, pair):
+        made.append(joined.count())
+        return plain(joined, pair)
+
+    monkeypatch.setattr(pairs_module, "_totals", totals)
+    got = {(r.cityid, r.sid1, r.sid2): round(r.score, 6) for r in bounded(frame, 100, depth=8).collect()}
+    per_item = defaultdict(int)
+    for _, item, _, _ in rows:
+        per_item[item] += 1
+    assert sum(made) < sum(n * (n - 1) for n in per_item.values()) / 10
+    assert got == brute(rows)
+
+
 def test_text_members_and_two_group_columns(spark):
     left = [("c", u, d, f"k{(u * d) % 9}", 1.0) for u in range(12) for d in range(6)]
     df = spark.createDataFrame(left, "part string, u long, d long, k string, w double")
