@@ -175,7 +175,8 @@ def _count(lang: str, words: list[bytes], hashes: np.ndarray, codes: np.ndarray,
         at = np.flatnonzero(known[:-1] & known[1:])  # windows by their first position
         if not at.size:
             return
-        live = at[~(rested[at] & rested[at + 1])]
+        over = rested[at] & rested[at + 1]
+        live = at[~over]
         if live.size:
             yield _windows(names, codes, live, size)
         if size == MOST_WORDS:
@@ -183,13 +184,11 @@ def _count(lang: str, words: list[bytes], hashes: np.ndarray, codes: np.ndarray,
         h_at = longer(h[at], hashes[codes[at + size - 1]])
         h = np.zeros_like(h)
         h[at] = h_at
-        flags = []
-        for bitmap in (now, old):
-            flag = np.zeros(len(codes), bool)
-            if bitmap is not None:
-                flag[at] = in_filter(bitmap, h_at)
-            flags.append(flag)
-        known, rested = flags
+        # a cycle ago a phrase was known by the same steps: through its subphrases
+        known, rested = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
+        known[at] = in_filter(now, h_at)
+        if old is not None:
+            rested[at[over]] = in_filter(old, h_at[over])
 
 
 def _windows(names: pa.Array, codes: np.ndarray, at: np.ndarray, size: int) -> tuple[pa.Array, np.ndarray]:
