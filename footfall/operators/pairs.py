@@ -72,7 +72,7 @@ def best_pairs(
     largest weights meet a member of positive weight, those with the smallest one of negative weight, and
     those with the smallest names everybody: ``depth * k`` of each, and all with several rows. A pair that is
     found gets its exact score over all groups. A member whose weights bound what any other partner could
-    score below its k-th best is done; the others go on with lists eight times as long, in the end whole. On
+    score below its k-th best is done; the others go on with lists four times as long, in the end whole. On
     ties, as where partners share one row and all score growth(1) = 0, the smallest names win, so that list
     decides. ``cut`` stores what several steps read."""
     keys, pair = [part, *group], [part, "a", "b"]
@@ -106,7 +106,7 @@ def best_pairs(
         done.append(exclude(round_scored, left_over, [part, "a"]))
         if left_over.isEmpty():
             break
-        open_, length = left_over, 8 * length
+        open_, length = left_over, 4 * length
     best = reduce(DataFrame.unionByName, done).select(part, F.col("a").alias(a), F.col("b").alias(b), "score")
     return top_k_per_group(best, [part, a], k, "score", [b])
 

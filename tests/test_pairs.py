@@ -7,6 +7,7 @@ import random
 from collections import defaultdict
 from datetime import date, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,11 +99,11 @@ def test_bounds_lose_nothing(spark, kind, crowd, depth):
 
 
 def test_few_pairs_of_crowded_items_are_made(spark, monkeypatch):
-    """Three items that nearly everybody rates: under a tenth of their pair rows."""
-    rng = random.Random(5)
-    rows = [(1, item, user, rng.gauss(0, 1)) for user in range(900) for item in (0, 1, 2) if rng.random() < 0.9]
-    rows += [(1, 10 + user % 300, user, rng.gauss(0, 1)) for user in range(900)]
-    frame = spark.createDataFrame(rows, "cityid int, item long, u long, w double")
+    """Two items that nearly everybody rates: under a tenth of their pair rows are made, for the result of
+    all pairs."""
+    n, rng = 2000, np.random.default_rng(5)
+    weights = np.where(rng.random((n, 2)) < 0.9, rng.normal(size=(n, 2)), 0)
+    rows = [(1, item, user, float(weights[user, item])) for user in range(n) for item in (0, 1) if weights[user, item]]
     made, plain = [], pairs_module._totals
 
     def totals(joined, pair):
@@ -110,12 +111,17 @@ def test_few_pairs_of_crowded_items_are_made(spark, monkeypatch):
         return plain(joined, pair)
 
     monkeypatch.setattr(pairs_module, "_totals", totals)
-    got = {(r.cityid, r.sid1, r.sid2): round(r.score, 6) for r in bounded(frame, 100, depth=8).collect()}
-    per_item = defaultdict(int)
-    for _, item, _, _ in rows:
-        per_item[item] += 1
-    assert sum(made) < sum(n * (n - 1) for n in per_item.values()) / 10
-    assert got == brute(rows)
+    got = {(r.sid1, r.sid2): r.score for r in bounded(spark.createDataFrame(rows, "cityid int, item long, u long, w double"), 100).collect()}
+    rated = (weights != 0).astype(int)
+    assert sum(made) < (rated.sum(0) * (rated.sum(0) - 1)).sum() / 10
+    shared = rated @ rated.T
+    scores = np.where(shared > 0, (weights @ weights.T) * np.log(np.maximum(shared, 1)), -np.inf)
+    np.fill_diagonal(scores, -np.inf)
+    for user in np.flatnonzero(rated.any(1)):
+        keys = np.floor(scores[user] * 1e6 + 0.5)
+        best = sorted(np.flatnonzero(scores[user] > -np.inf), key=lambda v: (-keys[v], v))[:K]
+        assert [got.get((user, v)) for v in best] == pytest.approx([scores[user][v] for v in best], abs=1e-6)
+    assert len(got) == K * rated.any(1).sum()
 
 
 def test_text_members_and_two_group_columns(spark):
