@@ -98,7 +98,7 @@ def coordinates(docs: DataFrame, size: Column, bits: int = GRID_BITS) -> list[Co
 
     def cell(name: str) -> Column:
         above = F.array(*[F.lit(q).cast("long") for q in cuts[name] or ()]).cast("array<bigint>")
-        return F.size(F.filter(above, lambda q: q < numbers[name])).cast("int")
+        return let(numbers[name], lambda x: F.size(F.filter(above, lambda q: q < x))).cast("int")
 
     return [cell("source"), cell("lang"), cell("size"), inside]
 

@@ -120,9 +120,9 @@ def brute_words(rows):
     for text, toxic in rows:
         w = re.findall(r"[^\W\d_]+", text.lower())
         for i, x in enumerate(w):
-            contexts[x, w[i - 1] if i else None, w[i + 1] if i + 1 < len(w) else None].append(toxic)
+            contexts[x, tuple(w[max(0, i - 1):i] + w[i + 1:i + 2])].append(toxic)
     n, t = Counter(), Counter()
-    for (x, _, _), seen in contexts.items():
+    for (x, _), seen in contexts.items():
         n[x] += 1
         t[x] += min(seen)
     return {x: (n[x], t[x]) for x in n}
@@ -167,11 +167,15 @@ def test_rare_strong_entries_are_not_cut_and_ties_are_kept(spark):
     """Many entries with the same counts: all of them join."""
     words = [f"grr{chr(97 + a)}{chr(97 + b)}{chr(97 + c)}" for a in range(6) for b in range(6) for c in range(6)]
     rows, labels = [], []
-    for k, word in enumerate(words * 8):
-        rows.append((k, f"aa{k % 97} {word} bb{k % 89} cc{k % 83}"))
+
+    def name(k):
+        return f"n{chr(97 + k % 26)}{chr(97 + k // 26)}"
+
+    for k, word in enumerate(words * 12):
+        rows.append((k, f"{name(k % 97)} {word} {name(k % 89)} {name(k % 83)}"))
         labels.append((k, 1, 1))
-    for k in range(6000):
-        rows.append((10_000 + k, f"aa{k % 97} dd{k % 101} bb{k % 89} cc{k % 83}"))
+    for k in range(12_000):
+        rows.append((10_000 + k, f"{name(k % 97)} {name(k % 101)} {name(k % 89)} {name(k % 83)}"))
         labels.append((10_000 + k, 1, 0))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
@@ -183,5 +187,6 @@ def test_a_long_text_of_several_languages(spark):
     text = ("das ist kein trottel. he said that they are morons; ella es estúpida " * 20_000) + "tu es un connard"
     docs = spark.createDataFrame([(1, text), (2, text[:-20])], "doc_id bigint, text string")
     out = {r.doc_id: r.matches for r in toxicity.score_documents(docs, toxicity.seed_model()).collect()}
-    assert len(out[1]) == 60_001 and len(out[2]) <= 60_000
+    # a clause has one match: estúpida and the next trottel are in one
+    assert len(out[1]) == 40_001 and len(out[2]) == 40_000
     assert Counter(m.context for m in out[1])["reported"] == 20_000
