@@ -85,8 +85,9 @@ def random_rows(rng, weight):
     return rows
 
 
-@pytest.mark.parametrize("crowd, depth", [(20, 1), (20, 4), (5, 2), (1, 1)])
-@pytest.mark.parametrize("kind", ["signed", "few values", "zero", "same", "negative"])
+@pytest.mark.parametrize("crowd, depth, kind", [
+    (20, 1, "signed"), (20, 1, "few values"), (20, 4, "zero"), (5, 2, "same"), (5, 2, "negative"), (1, 1, "signed"),
+])
 def test_bounds_lose_nothing(spark, kind, crowd, depth):
     weight = {
         "signed": lambda r: r.gauss(0, 1), "few values": lambda r: r.choice([-0.5, 0.25, 0.75]), "zero": lambda r: 0.0,
