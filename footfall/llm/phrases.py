@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from footfall.llm.common import UPPER, arrow_batches, ship_by_value
 from footfall.operators.joins import join_per_key
 from footfall.operators.ranking import first_k
-from footfall.session import new_path
+from footfall.session import new_path, release
 from footfall.sources.storage import materialise
 
 ship_by_value(__name__)
@@ -257,18 +257,19 @@ def frequent_phrases(
 ) -> DataFrame:
     """(lang, phrase, n) of all phrases of 1 to 5 words with n >= min_count, from stored shards.
 
-    Counts of phrases whose cycle is not over are carried from scan to scan; the others are left where
-    they were written."""
+    Counts of phrases whose cycle is not over are carried from scan to scan, and the table of the scan before
+    is deleted when the next one stands; of the others those with enough are kept."""
+    spark = stored.sparkSession
     filters: list[np.ndarray | None] = []
     now = np.zeros(filter_bits // 8, np.uint8)
-    live, found = None, []
+    live, folder, found = None, None, []
     for t in count():
         filters.append(now)
         old = filters[t - shards] if t >= shards else None
         if old is not None and np.array_equal(now, old):
             break  # nothing is active, now or later
         packed = [None if x is None else zlib.compress(x, 1) for x in (now, old)]
-        shared = stored.sparkSession.sparkContext.broadcast(packed)  # filter_bits / 8 bytes each at most
+        shared = spark.sparkContext.broadcast(packed)  # filter_bits / 8 bytes each at most
         counts = scan(stored.filter(F.col("shard") == t % shards), shared, t < shards, at_once)
         counts = counts.withColumn("since", F.lit(t))
         if live is not None:
@@ -276,10 +277,14 @@ def frequent_phrases(
         # tasks have combined what they counted: rows are added up after the shuffle only
         counts = counts.repartition("lang", "phrase").groupBy("lang", "phrase")
         counts = counts.agg(F.sum("n").alias("n"), F.min("since").alias("since"))
-        with arrow_batches(stored.sparkSession, 2):  # chunks
-            state = materialise(counts, f"phrase-counts-{t}")
+        before, folder = folder, new_path(spark, f"phrase-counts-{t}")
+        with arrow_batches(spark, 2):  # chunks
+            counts.write.parquet(folder)
         shared.destroy()
-        reached = state.filter(F.col("n") >= min_count)
+        if before is not None:
+            release(spark, before)
+        state = spark.read.schema(counts.schema).parquet(folder)
+        reached = materialise(state.filter(F.col("n") >= min_count), f"phrases-{t}")
         text = F.col("phrase").cast("string")
         words = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1
         now = filter_of(reached.filter(words < MOST_WORDS), filter_bits, now)  # of which longer ones are made
