@@ -248,7 +248,7 @@ def store_shards(docs: DataFrame, shards: int, chunk: int = CHUNK) -> DataFrame:
     path = new_path(docs.sparkSession, "phrase-shards")
     coded = encode_shards(docs, shards, chunk)
     with arrow_batches(docs.sparkSession, 512):
-        coded.write.partitionBy("shard").parquet(path)
+        coded.write.option("compression", "zstd").partitionBy("shard").parquet(path)
     return docs.sparkSession.read.schema(coded.schema).parquet(path)
 
 
@@ -279,7 +279,7 @@ def frequent_phrases(
         counts = counts.agg(F.sum("n").alias("n"), F.min("since").alias("since"))
         before, folder = folder, new_path(spark, f"phrase-counts-{t}")
         with arrow_batches(spark, 2):  # chunks
-            counts.write.parquet(folder)
+            counts.write.option("compression", "zstd").parquet(folder)
         shared.destroy()
         if before is not None:
             release(spark, before)
