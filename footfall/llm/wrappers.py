@@ -9,8 +9,9 @@ folds its own pages into one wrapper per host, and only those are shuffled and f
 Pages with an article element and pages without one are told apart first: a host that has both has one
 expression for each.
 
-A wrapper tells what one page cannot: which texts are the same on every page and which groups hold links
-only. It is then matched with each page to say which of the page's texts are the article.
+A wrapper tells what one page cannot: which texts may be the same on every page and which groups hold links
+only. It is matched with each page twice: to count the different pages that have each such text, over all pages of
+the host, and to say which of the page's texts are the article.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import re
 from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
+from itertools import count
 from zlib import crc32
 
 import pyarrow as pa
@@ -75,9 +77,13 @@ OUT, LINKS = "OUT", "LINKS"
 #: Such a word too: the element would be left out, but the page's article is in it.
 AROUND = "AROUND"
 LONGEST_GROUP = 4
-#: Pages of a host, those of the smallest hashes, by which a text is judged to be on all or nearly all of them.
+#: Hashes of pages that an element of a wrapper keeps. ``extract`` counts all pages instead; they order the children
+#: of an element that has too many, and judge where there is no more than the wrapper.
 SAMPLE = 64
+#: A text on so large a part of the different pages is the template's.
 NEARLY_ALL = 0.9
+#: Stands for a page itself among the places of its texts.
+PAGE = -1
 #: Texts of elements nested deeper belong to the element at this depth, as browsers have it at some depth too;
 #: an article there, and what is left out, has its own texts.
 DEEPEST = 120
@@ -188,7 +194,7 @@ def _encloses(node: list, tags: set) -> bool:
 
 def wrapper_of(page: list) -> list:
     """The expression of one page: texts as hashes, equal neighbours as repeated groups."""
-    pages = [] if page[0] == NAMED else [int.from_bytes(blake2b(_content(page).encode(), digest_size=6).digest())]
+    pages = [] if page[0] == NAMED else [_page_hash(page)]
 
     def walk(node: list) -> list:
         text = _own_text(node)
@@ -208,6 +214,10 @@ def _content(node: list) -> str:
     return "\n".join(t for t in (_own_text(node), *below) if t)
 
 
+def _page_hash(page: list) -> int:
+    return int.from_bytes(blake2b(_content(page).encode(), digest_size=6).digest())
+
+
 def _union(a: list, b: list) -> list:
     return a if a == b else sorted({*a, *b})[:SAMPLE]
 
@@ -354,6 +364,59 @@ def _only_links_here(node: list) -> bool:
     return bool(node[1]) and not _own_text(node) and all(_only_links_here(c) for c in node[1] if not isinstance(c, str))
 
 
+def _grouped(same: list, numbers: Iterator[int]) -> list:
+    """Elements of one key below elements of one key are decided together: [number, elements, {key: group}]."""
+    number = next(numbers)
+    groups: dict[str, list] = {}
+    for c in (y for n in same for y in _elements(n[4])):
+        groups.setdefault(c[0], []).append(c)
+    return [number, same, {key: _grouped(group, numbers) for key, group in groups.items()}]
+
+
+def _kinds(w: list) -> list:
+    return w[4] if w[0] == KINDS else [w]
+
+
+def _constant(same: list) -> set:
+    """The texts of these elements, none if one of them varies."""
+    texts = {c[3] for c in same} - {None}
+    return set() if "*" in texts else texts
+
+
+def _place(number: int, text: int) -> int:
+    return number << 32 | text
+
+
+def constants(w: list) -> list | None:
+    """What may be the same on the pages without an article element, None if the host has no such page: per group
+    [number, texts, {key: group}]."""
+    def walk(group: list) -> list:
+        number, same, below = group
+        return [number, _constant(same), {key: walk(g) for key, g in below.items() if not _left_out(key)}]
+
+    return next((walk(_grouped([kind], count())) for kind in _kinds(w) if kind[0] == PLAIN), None)
+
+
+def places_of(page: list, groups: list) -> list[int]:
+    """Where the page has one of these texts, and PAGE."""
+    found = {PAGE}
+
+    def walk(node: list, group: list) -> None:
+        number, texts, below = group
+        text = _own_text(node)
+        if text and crc32(text.encode()) in texts:
+            found.add(_place(number, crc32(text.encode())))
+        for c in node[1]:
+            if isinstance(c, str) or _left_out(c[0]):
+                continue
+            mine = below.get(c[0]) or below.get(_sort_of(c[0], _only_links_here(c))) or below.get(c[2])
+            if mine is not None:
+                walk(c, mine)
+
+    walk(page, groups)
+    return sorted(found)
+
+
 def _same_on_pages(same: list, sample: list) -> bool:
     """All texts of these elements are the same on all or nearly all pages, of two at least."""
     pages: dict = {}
@@ -364,36 +427,44 @@ def _same_on_pages(same: list, sample: list) -> bool:
     return bool(pages) and "*" not in pages and all(len(p.intersection(sample)) >= least for p in pages.values())
 
 
-def rules(w: list) -> dict:
+def _counted_on_pages(number: int, same: list, found: dict) -> bool:
+    """The same by the number of different pages that have each text, over all pages of the host."""
+    texts = _constant(same)
+    least = max(2, NEARLY_ALL * found.get(PAGE, 0))
+    return bool(texts) and all(found.get(_place(number, t), 0) >= least for t in texts)
+
+
+def rules(w: list, found: dict | None = None) -> dict:
     """The wrapper as a tree of decisions per kind of page: [take, {key: decision}]. ``take``: the
     element's own texts belong to the article. On pages without an article element, groups of links and
-    texts that are the same on all or nearly all of several pages do not."""
-    return {kind[0]: _decisions(kind) for kind in (w[4] if w[0] == KINDS else [w])}
+    texts that are the same on all or nearly all of several pages do not. ``found`` has the different pages by
+    place; without it the pages that the wrapper keeps judge."""
+    return {kind[0]: _decisions(kind, found) for kind in _kinds(w)}
 
 
-def _decisions(w: list) -> list:
-    named, sample = w[0] == NAMED, w[6]
+def _decisions(w: list, found: dict | None) -> list:
+    named = w[0] == NAMED
 
-    def walk(nodes: list, inside: bool) -> dict:
-        """Elements of one key below elements of one key are decided together."""
-        groups: dict[str, list] = {}
-        for c in (y for n in nodes for y in _elements(n[4])):
-            groups.setdefault(c[0], []).append(c)
+    def same_text(number: int, same: list) -> bool:
+        return _same_on_pages(same, w[6]) if found is None else _counted_on_pages(number, same, found)
+
+    def walk(groups: dict, inside: bool) -> dict:
         made: dict = {}
-        for key, same in groups.items():
+        for key, (number, same, below) in groups.items():
             tag = key.split(" ")[0]
             now = inside or tag in MAIN
             if _left_out(key) or (tag == "header" and not inside and named):
                 made[key] = [0, {}]
             elif named:
-                made[key] = [int(now), walk(same, now)]
+                made[key] = [int(now), walk(below, now)]
             elif tag in ("ul", "ol", "table", "div", "section") and all(map(_only_links, same)):
                 made[key] = [0, {}]
             else:
-                made[key] = [int(tag != "header" and not _same_on_pages(same, sample)), walk(same, now)]
+                made[key] = [int(tag != "header" and not same_text(number, same)), walk(below, now)]
         return made
 
-    return [int(not named and not _same_on_pages([w], sample)), walk([w], False)]
+    number, same, below = _grouped([w], count())
+    return [int(not named and not same_text(number, same)), walk(below, False)]
 
 
 def main_text(page: list, decisions: dict) -> str:
@@ -471,12 +542,47 @@ def infer(pages: DataFrame, parts: int = 16) -> DataFrame:
     return made.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(of_wrappers, schema)
 
 
+def counted(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """(host, wrapper, found): ``found`` has the number of different pages by place as ``place:number``, for places
+    on several pages. A page counts once however often it is repeated; one row per page is shuffled, and a host's
+    places are at most the elements of its wrapper."""
+    rows = pages.select(host_of(F.col("url")).alias("host"), "html").filter("host IS NOT NULL")
+    rows = join_per_key(rows, wrappers, ["host"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list | None] = {}
+        for batch in batches:
+            out: tuple[list, list, list] = ([], [], [])
+            for host, raw, wrapper in zip(*(batch.column(n).to_pylist() for n in ("host", "html", "wrapper"))):
+                if host not in known:
+                    if len(known) > 5_000:
+                        known.clear()
+                    known[host] = constants(json.loads(wrapper))
+                page = parse(raw or "")
+                if page[0] == PLAIN:
+                    for column, x in zip(out, (host, _page_hash(page), places_of(page, known[host]))):
+                        column.append(x)
+            kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, out, kinds)), names=["host", "page", "places"])
+
+    seen = rows.select("host", "html", "wrapper").mapInArrow(run, "host string, page bigint, places array<bigint>")
+    once = seen.groupBy("host", "page").agg(F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"))
+    numbers = once.select("host", F.explode("places").alias("place")).groupBy("host", "place").agg(F.count(F.lit(1)).alias("n"))
+    pair = F.concat_ws(":", F.col("place").cast("string"), F.col("n").cast("string"))
+    found = numbers.filter("n > 1").groupBy("host").agg(F.array_join(F.collect_list(pair), ",").alias("found"))
+    return wrappers.join(found, "host", "left")
+
+
+def _numbers(found: str | None) -> dict[int, int]:
+    return {int(k): int(n) for k, n in (x.split(":") for x in (found or "").split(",") if x)}
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """Per row of pages: page_id, url, host, text, n_chars (code points of the text).
 
     A null html has an empty text; a page without a host is its own wrapper. Repeated rows are
     extracted each; no rows give no rows."""
-    wrappers = materialise(infer(pages), "wrappers")
+    wrappers = materialise(counted(pages, materialise(infer(pages), "wrappers")), "counted-wrappers")
     rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), "html")
     rows = join_per_key(rows, wrappers, ["host"], "left")
 
@@ -484,19 +590,19 @@ def extract(pages: DataFrame) -> DataFrame:
         known: dict[str, dict] = {}
         for batch in batches:
             texts = []
-            for raw, wrapper in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist()):
+            for host, raw, wrapper, found in zip(*(batch.column(n).to_pylist() for n in ("host", "html", "wrapper", "found"))):
                 page = parse(raw or "")
                 if wrapper is None:
                     decisions = rules(wrapper_of(page))
                 else:
-                    decisions = known.get(wrapper)
+                    decisions = known.get(host)
                     if decisions is None:
                         if len(known) > 5_000:
                             known.clear()
-                        decisions = known[wrapper] = rules(json.loads(wrapper))
+                        decisions = known[host] = rules(json.loads(wrapper), _numbers(found))
                 texts.append(main_text(page, decisions))
             kept = [batch.column(n) for n in ("page_id", "url", "host")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "host", "text", "n_chars"])
 
     kinds = ", ".join(f"{n} {t}" for n, t in rows.select("page_id", "url", "host").dtypes)
-    return rows.select("page_id", "url", "host", "html", "wrapper").mapInArrow(run, f"{kinds}, text string, n_chars bigint")
+    return rows.select("page_id", "url", "host", "html", "wrapper", "found").mapInArrow(run, f"{kinds}, text string, n_chars bigint")

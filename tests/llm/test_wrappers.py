@@ -215,6 +215,25 @@ def test_extract(spark):
     assert w.extract(frame.limit(0)).count() == 0
 
 
+def test_nearly_all_is_judged_by_all_pages_of_a_host(spark):
+    """A text on the 64 pages of the smallest hashes and on few others is no template's; one on nine in ten pages is.
+    Pages that differ in what is left out only, and repeated rows, are one page."""
+    def page(k, extra, footer=0):
+        return f"<body><div class=content><h2>Title {k}</h2><p>Text {k}</p></div>{extra}<footer>{footer}</footer></body>"
+
+    note = "<div class=note>Read on</div>"
+    low = sorted(range(800), key=lambda k: w._page_hash(w.parse(page(k, note))))[:70]
+    high = sorted(set(range(800)) - set(low), key=lambda k: w._page_hash(w.parse(page(k, ""))))[-300:]
+    rows = [(k, f"http://a.org/{k}", page(k, note if k in low else "")) for k in low + high]
+    rows += [(1000 + k, f"http://b.org/{k}", page(k, "<div class=legal>All rights</div>" if k % 20 else "")) for k in range(200)]
+    rows += [(2000 + k, "http://c.org/", page(0, "<div class=legal>All rights</div>", k)) for k in range(30)]
+    frame = spark.createDataFrame(rows + rows[:5], "page_id bigint, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in w.extract(frame).collect()}
+    assert {k: t for k, t in got.items() if k < 800} == {k: f"Title {k}\n\nText {k}" + "\n\nRead on" * (k in low) for k in low + high}
+    assert {k - 1000: t for k, t in got.items() if 1000 <= k < 2000} == {k: f"Title {k}\n\nText {k}" for k in range(200)}
+    assert {t for k, t in got.items() if k >= 2000} == {"Title 0\n\nText 0\n\nAll rights"}
+
+
 def test_hosts(spark):
     urls = ["https://www.A.org/x", "http://u:p@b.net:80?x", "ftp://c.de", "nothing", None, "https:///x"]
     frame = spark.createDataFrame([(u,) for u in urls], "url string")
