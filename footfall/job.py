@@ -730,7 +730,8 @@ class Job:
     @step
     def keyword_rec_hop1(self) -> DataFrame:
         return kw.expand_keywords(
-            self.search_tf_decayed, "weight", self._keyword_edges, self.p, "kw1"
+            self.search_tf_decayed, "weight", self._keyword_edges, self.p, "kw1",
+            kw.hop_tasks(self._profile, self.p),
         )
 
     @step

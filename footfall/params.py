@@ -90,6 +90,7 @@ class Params:
     edge_k: int = 100
     edge_keep: int = 20
     keyword_k: int = 80
+    hop_rows: int = 4_000_000  # of a task
     keyword_final_k: int = 25
     dominant_share: float = 0.5
     max_keyword_len: int = 9

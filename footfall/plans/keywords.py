@@ -80,9 +80,17 @@ def damped_edges(edges: DataFrame, p: Params) -> DataFrame:
     return top.select("cityid", "sid1", "sid2", "score")
 
 
+def hop_tasks(profile: DataFrame, p: Params) -> int:
+    """Tasks for the hops of these users and cities: what goes into a task is small and what a hop makes of it is
+    not, so its size does not tell how many tasks it takes."""
+    return 1 + profile.select(*USER_CITY).distinct().count() * p.keyword_k * p.edge_keep // p.hop_rows
+
+
 def expand_keywords(
-    weighted: DataFrame, weight: str, edges: DataFrame, p: Params, salt: str
+    weighted: DataFrame, weight: str, edges: DataFrame, p: Params, salt: str, tasks: int | None = None
 ) -> DataFrame:
+    """One hop to similar keywords; the best k per user and city. With ``tasks`` the users are dealt to so many."""
+    weighted = weighted if tasks is None else weighted.repartition(tasks, *USER_CITY)
     source = weighted.select(*USER_CITY, F.col("keyword").alias("sid1"), F.col(weight).alias("_w"))
     hop = expand(
         source, edges, ["cityid", "sid1"], [*USER_CITY, "sid2"], F.col("score") * F.col("_w"),

@@ -149,7 +149,7 @@ def present(df: DataFrame, out: Output) -> DataFrame:
 
 
 def run(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
-    return present(getattr(Job(tune(spark), sf_dir), key), OUTPUTS[key])
+    return present(getattr(Job(tune(spark, sf_dir), sf_dir), key), OUTPUTS[key])
 
 
 def oracle(key: str) -> str:

@@ -17,10 +17,24 @@ RUNTIME = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
+ADVISED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+#: Most bytes of a coalesced partition, and bytes of input per partition before coalescing: a task gets no more of
+#: a larger input, and shuffles of less become fewer tasks again.
+PARTITION, INPUT_PER_PARTITION = 16 * 2**20, 4 * 2**20
 
-def tune(spark: SparkSession) -> SparkSession:
+
+def tune(spark: SparkSession, sf_dir: str | None = None) -> SparkSession:
+    """Settings of a session; partitions before coalescing in proportion to the tables in ``sf_dir``."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if size(spark.conf.get(ADVISED)) > PARTITION:
+        spark.conf.set(ADVISED, str(PARTITION))
+    if sf_dir is not None:
+        at, fs = hadoop_path(spark, sf_dir)
+        wanted = fs.getContentSummary(at).getLength() // INPUT_PER_PARTITION
+        spark.conf.set(INITIAL, str(max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     return spark
 
 
