@@ -72,7 +72,7 @@ class Job:
         state_root: str | None = None,
     ):
         self.spark, self.p, self.state_root = spark, params or Params(), state_root
-        self.wh = Warehouse(spark, sf_dir, self.p.as_of)
+        self.wh = Warehouse(spark, sf_dir, self.p.as_of, self._cut)
         self.folder = new_path(spark, "job")
         self._locks: dict[str, RLock] = defaultdict(RLock)
         self._guard = Lock()
@@ -224,9 +224,17 @@ class Job:
 
     # -- device region ----------------------------------------------------------------------------
 
+    @step
+    def _app_visits(self) -> DataFrame:
+        """Visits in the windows of all device steps, from one scan of the log."""
+        return self._cut(self._events("app-visits", self._since["app-visits"]), "app-visits")
+
+    def _visits_since(self, since: str) -> DataFrame:
+        return self._app_visits.filter(F.col("dt") >= F.lit(since).cast("date"))
+
     @step
     def device_visits(self) -> DataFrame:
-        return rg.device_visits(self._events("app-visits", self.p.visit_since))
+        return rg.device_visits(self._visits_since(self.p.visit_since))
 
     @step
     def device_region_affinity(self) -> DataFrame:
@@ -275,22 +283,23 @@ class Job:
         return rt.centred(self._rated)
 
     @step
-    def _ratings(self) -> DataFrame:
-        return self._cut(self.ratings_centred, "ratings")
+    def _members(self) -> DataFrame:
+        """The centred ratings, summed per user, city and shop."""
+        return self._cut(rt.centred_members(self._rated, self.p), "members")
 
     @step
     def user_similarity(self) -> DataFrame:
-        return rt.user_similarity(self._ratings, self.p, self._cut)
+        return rt.user_similarity(self._members, self.p, self._cut)
 
     @step
     def cf_recommend(self) -> DataFrame:
-        return rt.recommend(self.user_similarity, self._ratings, self.p)
+        return rt.recommend(self.user_similarity, self._members, self.p)
 
     # -- device recommendations -------------------------------------------------------------------
 
     @step
     def visits_decayed_topk(self) -> DataFrame:
-        return dr.decayed_visits(self._events("app-visits", self.p.visit_since), self.p)
+        return dr.decayed_visits(self._visits_since(self.p.visit_since), self.p)
 
     @step
     def visits_active(self) -> DataFrame:
@@ -298,7 +307,7 @@ class Job:
 
     @step
     def _active(self) -> DataFrame:
-        return self._cut(self.visits_active, "active")
+        return self._cut(dr.active_visits(self._visits_since(self.p.active_since)), "active")
 
     @step
     def visits_of_active(self) -> DataFrame:
@@ -372,8 +381,8 @@ class Job:
     def rec_from_reviews(self) -> DataFrame:
         """Like ``cf_recommend``, for the users of the active devices only: the others are left out
         before the pairs are formed."""
-        similar = rt.user_similarity(self._ratings, self.p, self._cut, users=self._active)
-        recs = rt.recommend(similar, self._ratings, self.p)
+        similar = rt.user_similarity(self._members, self.p, self._cut, users=self._active)
+        recs = rt.recommend(similar, self._members, self.p)
         return dr.user_recs_to_device(self._active, recs)
 
     @step
@@ -384,7 +393,7 @@ class Job:
 
     @step
     def rec_merge_sum(self) -> DataFrame:
-        self._together("_active", "_item_edges", "_ratings")
+        self._together("_active", "_item_edges", "_members")
         return merging.merge_scores(self.rec_agreement_boost, dr.REC, "rank", "sum")
 
     @step
@@ -452,9 +461,13 @@ class Job:
             self.state_exclude_feedback, "rank", self.p.state_factor, self.p.state_floor
         )
 
+    @step
+    def _decayed(self) -> DataFrame:
+        return self._cut(self.state_decay, "decayed")
+
     @step
     def state_carry_over(self) -> DataFrame:
-        return dr.carry_over(self.state_decay, self._top200, self.p)
+        return dr.carry_over(self._decayed, self._top200, self.p)
 
     @step
     def rec_backfill(self) -> DataFrame:
@@ -483,7 +496,7 @@ class Job:
 
     @step
     def state_replace_groups(self) -> DataFrame:
-        return joins.replace_groups(self.state_decay, self._top50, dr.DEVICE_CITY)
+        return joins.replace_groups(self._decayed, self._top50, dr.DEVICE_CITY)
 
     # -- KPIs: of the recommendations that were on show, those of the version before today's --------
 

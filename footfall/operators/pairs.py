@@ -61,9 +61,9 @@ def _compact(df: DataFrame, keys: list[str], member: str, out: str) -> DataFrame
 
 
 def best_pairs(
-    left: DataFrame, right: DataFrame, part: str, group: Sequence[str], a: str, b: str,
+    left: DataFrame | None, right: DataFrame, part: str, group: Sequence[str], a: str, b: str,
     growth: Callable[[Column], Column], k: int, cut: Callable[[DataFrame, str], DataFrame],
-    crowd: int = 1000, depth: int = 4,
+    crowd: int = 1000, depth: int = 4, only: DataFrame | None = None,
 ) -> DataFrame:
     """``top_pairs`` for the score total * growth(rows), growth rising and not negative, without the pairs of
     crowded groups that cannot be among the k best.
@@ -74,14 +74,28 @@ def best_pairs(
     found gets its exact score over all groups. A member whose weights bound what any other partner could
     score below its k-th best is done; the others go on with lists four times as long, in the end whole. On
     ties, as where partners share one row and all score growth(1) = 0, the smallest names win, so that list
-    decides. ``cut`` stores what several steps read."""
+    decides. ``cut`` stores what several steps read.
+
+    Without ``left`` the right rows, one per group and member with ``w`` and a count ``c`` of rows, meet themselves:
+    all members, or those of the column ``a`` of ``only``. Of all members a pair is summed in one direction."""
     keys, pair = [part, *group], [part, "a", "b"]
-    rows_a, rows_b = _compact(left, keys, a, "a"), _compact(right, keys, b, "b")
+    whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in [*keys, "b"]])
+    if left is None:
+        rows_b = right.select(*keys, F.col(b).alias("b"), F.col("w").alias("wb"), F.col("c").alias("cb")).filter(whole)
+        rows_a = rows_b.withColumnsRenamed({"b": "a", "wb": "wa", "cb": "ca"})
+        rows_a = rows_a if only is None else restrict(rows_a, only.withColumnRenamed(a, "a"), ["a"])
+    else:
+        rows_a, rows_b = _compact(left, keys, a, "a"), cut(_compact(right, keys, b, "b"), "members-b")
     crowded = rows_b.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd)
     crowded = cut(crowded, "crowded")
     if crowded.isEmpty():
-        return top_pairs(left, right, part, group, a, b, lambda total, rows: total * growth(rows), k)
-    rows_a, rows_b = cut(rows_a, "members-a"), cut(rows_b, "members-b")
+        met = rows_a.join(rows_b, keys)
+        if left is None and only is None:
+            totals = _both_ways(_totals(met.filter(F.col("a") < F.col("b")), pair), part)
+        else:
+            totals = _totals(met.filter(F.col("a") != F.col("b")), pair)
+        return _best(totals.withColumn("score", F.col("total") * growth(F.col("rows"))), part, a, b, k)
+    rows_a = cut(rows_a, "members-a") if left is not None or only is not None else rows_a
     many_a, many_b = (cut(join_per_key(x, crowded, keys), name) for x, name in ((rows_a, "crowd-a"), (rows_b, "crowd-b")))
     few_a, few_b = (exclude(x, crowded, keys) for x in (rows_a, rows_b))
     few = cut(_totals(few_a.join(few_b, keys).filter(F.col("a") != F.col("b")), pair), "few-pairs")
@@ -107,8 +121,17 @@ def best_pairs(
         if left_over.isEmpty():
             break
         open_, length = left_over, 4 * length
-    best = reduce(DataFrame.unionByName, done).select(part, F.col("a").alias(a), F.col("b").alias(b), "score")
-    return top_k_per_group(best, [part, a], k, "score", [b])
+    return _best(reduce(DataFrame.unionByName, done), part, a, b, k)
+
+
+def _best(scored: DataFrame, part: str, a: str, b: str, k: int) -> DataFrame:
+    named = scored.select(part, F.col("a").alias(a), F.col("b").alias(b), "score")
+    return top_k_per_group(named, [part, a], k, "score", [b])
+
+
+def _both_ways(totals: DataFrame, part: str) -> DataFrame:
+    ways = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in (("a", "b"), ("b", "a"))])
+    return totals.select(part, F.inline(ways), "total", "rows")
 
 
 def _totals(rows: DataFrame, pair: list[str]) -> DataFrame:

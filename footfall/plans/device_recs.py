@@ -11,6 +11,7 @@ from footfall.operators.joins import exclude, expand, join_per_key, restrict
 from footfall.operators.merging import merge_scores
 from footfall.operators.ranking import first_k, top_k_per_group
 from footfall.params import Params
+from footfall.plans.region import app_visits
 
 DEVICE_CITY = ["deviceid", "cityid"]
 REC = ["deviceid", "cityid", "shopid"]
@@ -18,7 +19,10 @@ REGION_SHOP = ["cityid", "regionid", "shopid"]
 
 
 def decayed_visits(visits: DataFrame, p: Params) -> DataFrame:
-    """Repeated visits, the most recent ones per device, faded by their age to a whole number."""
+    """Repeated visits, the most recent ones per device, faded by their age to a whole number. The visits are
+    counts, or the log they are counted in."""
+    if "hp_log_type" in visits.columns:
+        visits = app_visits(visits)
     counts = (
         visits.groupBy("deviceid", "userid", "shopid")
         .agg(F.sum("n").alias("cnt"), F.max("dt").alias("dt"))

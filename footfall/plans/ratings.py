@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.functions.sampling import kept
 from footfall.operators.groups import divide_by_count, log_mean_ratio
-from footfall.operators.joins import exclude_from_totals, restrict
 from footfall.operators.pairs import best_pairs
 from footfall.operators.ranking import top_k_per_group
 from footfall.params import Params
+from footfall.sources.storage import materialise
 
 USER_CITY = ["userid", "cityid"]
+CENTRE_EPS = 0.001
 
 
 def ratings(reviews: DataFrame, p: Params) -> DataFrame:
@@ -28,35 +29,68 @@ def normalised(rated: DataFrame) -> DataFrame:
 
 
 def centred(rated: DataFrame) -> DataFrame:
-    return log_mean_ratio(rated, USER_CITY, "score", 0.001)
+    return log_mean_ratio(rated, USER_CITY, "score", CENTRE_EPS)
+
+
+def members(rated: DataFrame, p: Params) -> DataFrame:
+    """One row per user, city and shop: the sum ``w`` and number ``c`` of the scores, and the sum ``good`` of those
+    above the floor. Frames that have these columns are returned as they are."""
+    if "good" in rated.columns:
+        return rated
+    score = F.col("score")
+    return rated.groupBy("userid", "cityid", "shopid").agg(*_sums(score, p))
+
+
+def _sums(score: Column, p: Params) -> list[Column]:
+    good = F.sum(F.when(score > p.rating_floor, score))
+    return [F.sum(score).alias("w"), F.count(F.lit(1)).alias("c"), good.alias("good")]
+
+
+def centred_members(rated: DataFrame, p: Params) -> DataFrame:
+    """``members`` of the centred ratings, summed where the join to the means has brought a user's rows together."""
+    means = rated.groupBy(*USER_CITY).agg(F.avg("score").alias("_m"))
+    h = F.xxhash64(*USER_CITY)  # as in join_per_key, and a key of the sums as well: no other shuffle
+    joined = rated.withColumn("_h", h).join(means.withColumn("_h", h), [*USER_CITY, "_h"])
+    score = F.log(F.col("score") / F.col("_m") + CENTRE_EPS) + CENTRE_EPS
+    return joined.groupBy(*USER_CITY, "_h", "shopid").agg(*_sums(score, p)).drop("_h")
 
 
 def user_similarity(
-    rated: DataFrame, p: Params, cut: Callable[[DataFrame, str], DataFrame], users: DataFrame | None = None
+    rated: DataFrame, p: Params, cut: Callable[[DataFrame, str], DataFrame] = materialise,
+    users: DataFrame | None = None,
 ) -> DataFrame:
     """sum(s1 * s2) * ln(co-rated rows) per pair of users of a city; the best k per user, for all
-    users or the given ones. Of an item that very many rate only pairs that can be among them are made."""
-    rows = rated.select("cityid", F.col("shopid").alias("item"), "userid", "score")
-    wanted = rows if users is None else restrict(rows, users, ["userid"])
-    left = wanted.select("cityid", "item", F.col("userid").alias("sid1"), F.col("score").alias("w"))
-    right = rows.select("cityid", "item", F.col("userid").alias("sid2"), F.col("score").alias("w"))
+    users or the given ones. Of an item that very many rate only pairs that can be among them are made.
+    Takes ratings or their ``members``."""
+    rows = members(rated, p).select("cityid", F.col("shopid").alias("item"), F.col("userid").alias("sid2"), "w", "c")
+    only = None if users is None else users.select(F.col("userid").alias("sid1"))
     return best_pairs(
-        left, right, part="cityid", group=["item"], a="sid1", b="sid2", growth=F.log, k=p.similar_k, cut=cut,
-        crowd=p.crowded_item,
+        None, rows, part="cityid", group=["item"], a="sid1", b="sid2", growth=F.log, k=p.similar_k, cut=cut,
+        crowd=p.crowded_item, only=only,
     )
 
 
 def recommend(similar: DataFrame, rated: DataFrame, p: Params) -> DataFrame:
-    """What similar users rate well, without what the user has rated."""
-    good = rated.filter(F.col("score") > p.rating_floor)
-    liked = good.groupBy("cityid", "shopid", F.col("userid").alias("sid2")).agg(
-        F.sum("score").alias("_r")
+    """What similar users rate well, without what the user has rated.
+
+    Rows of a user lie together from one shuffle on: what the user has rated, a row without a city, is told apart,
+    summed and ranked there. Takes ratings or their ``members``. A user's rows are bounded by what ``similar_k`` others rate in each city."""
+    rated = members(rated, p)
+    liked = rated.filter(F.col("good").isNotNull()).select(
+        "cityid", "shopid", F.col("userid").alias("sid2"), F.col("good").alias("_r")
     )
     rows = similar.join(liked, ["cityid", "sid2"]).filter(
         kept(p.cf_drop, "sid1", "sid2", "cityid", "shopid", salt=f"{p.seed}-cf")
     )
-    scored = rows.groupBy(F.col("sid1").alias("userid"), "cityid", "shopid").agg(
-        F.sum(F.col("score") * F.col("_r")).alias("score")
+    found = rows.select(
+        F.col("sid1").alias("userid"), "cityid", "shopid", (F.col("score") * F.col("_r")).alias("score")
+    )
+    known = rated.filter(F.col("shopid").isNotNull()).select(
+        "userid", F.lit(None).cast(found.schema["cityid"].dataType).alias("cityid"), "shopid",
+        F.lit(None).cast("double").alias("score"),
     )
-    new = exclude_from_totals(scored, rated, ["userid", "shopid"])
+    per_user = found.unionByName(known).repartition("userid")
+    scored = per_user.groupBy("userid", "shopid", "cityid").agg(F.sum("score").alias("score"))
+    seen = F.max(F.col("cityid").isNull()).over(Window.partitionBy("userid", "shopid"))
+    new = scored.withColumn("_seen", seen).filter(~F.col("_seen")).select("userid", "cityid", "shopid", "score")
     return top_k_per_group(new, USER_CITY, p.cf_k, "score", ["shopid"])

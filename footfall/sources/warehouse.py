@@ -5,11 +5,14 @@ Every view scans only the columns it needs and joins only the tables those colum
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from footfall.sources.state import shifted
+from footfall.sources.storage import materialise
 
 _TRAFFIC_SHOP = {"shop_id", "city_id", "path", "referer"}
 _TRAFFIC_CITY = {"city_id", "path", "referer"}
@@ -18,9 +21,12 @@ _SHOP_REGION = {"district_id", "district_name"}
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str):
-        self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, as_of: str, cut: Callable[[DataFrame, str], DataFrame] = materialise
+    ):
+        self.spark, self.sf_dir, self.as_of, self._cut = spark, sf_dir, as_of, cut
         self._tables: dict[str, DataFrame] = {}
+        self._lock = Lock()
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -48,6 +54,14 @@ class Warehouse:
         return orders.filter(F.col("o_orderdate") < _midnight(shifted(end, 1)))
 
     def _shop_city(self) -> DataFrame:
+        """Stored, as Spark takes the size of a join for the product of its inputs: read from a table of its size it
+        is broadcast where it is small, before the rows that meet it are shuffled."""
+        with self._lock:
+            if "shop-city" not in self._tables:
+                self._tables["shop-city"] = self._cut(self._join_shop_city(), "shop-city")
+            return self._tables["shop-city"]
+
+    def _join_shop_city(self) -> DataFrame:
         supplier = self.table("supplier").select("s_suppkey", "s_nationkey")
         nation = self.table("nation").select("n_nationkey", "n_regionkey")
         joined = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))

@@ -2,13 +2,99 @@
 
 from __future__ import annotations
 
+import math
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
 from footfall import session
+from footfall.job import Job
 from footfall.params import Params
-from footfall.plans import keywords
+from footfall.plans import keywords, ratings
+from footfall.sources.storage import materialise
+from footfall.sources.warehouse import Warehouse
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rated(spark):
+    """Some rate an item twice or in two cities; scores on both sides of the floor; nulls."""
+    rng = random.Random(3)
+    rows = [(rng.randrange(25), rng.randrange(3), rng.randrange(12), rng.choice([-0.5, 0.05, 0.2, 0.9])) for _ in range(500)]
+    rows += [(None, 1, 2, 0.5), (1, None, 2, 0.5), (1, 1, None, 0.5), (2, 1, None, 0.5)]
+    return spark.createDataFrame(rows, "userid long, cityid int, shopid long, score double"), rows
+
+
+def test_recommendations_are_shuffled_once(spark):
+    p = Params(cf_drop=0, similar_k=4, cf_k=6)
+    frame, rows = rated(spark)
+    similar = [(c, a, b, float((a * 7 + b) % 5)) for c in range(3) for a in range(25) for b in range(25) if a != b and (a + b) % 6 == 0]
+    similar_df = spark.createDataFrame(similar, "cityid int, sid1 long, sid2 long, score double")
+    df = ratings.recommend(similar_df, materialise(ratings.members(frame, p), "members"), p)
+    got = {(r.userid, r.cityid, r.shopid): r.score for r in df.collect()}
+    liked, known, total = defaultdict(float), {(u, s) for u, _, s, _ in rows if s is not None}, defaultdict(float)
+    for u, c, s, score in rows:
+        if score > p.rating_floor:
+            liked[c, u, s] += score
+    for c, a, b, score in similar:
+        for (city, user, s), r in liked.items():
+            if city == c and user == b and (a, s) not in known:
+                total[a, c, s] += score * r
+    best = defaultdict(list)
+    for (a, c, s), x in total.items():
+        best[a, c].append((-math.floor(x * 1e6 + 0.5), s is not None, s or 0, s, x))
+    want = {(a, c, s): x for (a, c), found in best.items() for *_, s, x in sorted(found)[:p.cf_k]}
+    assert got == {k: pytest.approx(x) for k, x in want.items()}
+    exchanges = [line for line in plan_of(df).split("== Initial Plan ==")[0].split("\n") if "Exchange hashpartitioning(userid" in line]
+    assert sum("REPARTITION_BY_COL" in line for line in exchanges) == 1
+    assert not any("shopid" in line.split("hashpartitioning")[1].split(")")[0] for line in exchanges)
+
+
+@pytest.mark.parametrize("users", [None, [3, 4, 99]])
+def test_ratings_and_their_sums_give_the_same_pairs(spark, users):
+    frame, _ = rated(spark)
+    only = None if users is None else spark.createDataFrame([(u,) for u in users * 2], "userid long")
+    p = Params()
+    by_rows, by_sums = (
+        {(r.cityid, r.sid1, r.sid2): r.score for r in ratings.user_similarity(x, p, users=only).collect()}
+        for x in (frame, ratings.members(frame, p))
+    )
+    w = defaultdict(list)
+    for u, c, s, x in frame.collect():
+        if None not in (u, c, s):
+            w[c, s].append((u, x))
+    total, n = defaultdict(float), defaultdict(int)
+    for (c, _), found in w.items():
+        for a, x in found:
+            for b, y in found:
+                if a != b and (users is None or a in users):
+                    total[c, a, b] += x * y
+                    n[c, a, b] += 1
+    assert by_rows == by_sums == {k: pytest.approx(t * math.log(n[k]), abs=1e-9) for k, t in total.items()}
+
+
+def test_sums_of_centred_ratings_need_no_other_shuffle(spark):
+    frame, _ = rated(spark)
+    frame = frame.withColumn("score", F.abs("score"))
+    p = Params()
+    summed = ratings.centred_members(frame, p)
+    def key(r):
+        return str((r.userid, r.cityid, r.shopid))
+
+    plain = {key(r): (r.w, r.c, r.good) for r in ratings.members(ratings.centred(frame), p).collect()}
+    got = {key(r): (r.w, r.c, r.good) for r in summed.collect()}
+    assert got.keys() == plain.keys()
+    for k, (w, c, good) in plain.items():
+        assert got[k] == (pytest.approx(w), c, good if good is None else pytest.approx(good))
+    assert "shopid" not in " ".join(x.split(")")[0] for x in plan_of(summed).split("Exchange hashpartitioning(")[1:])
+
+
 def test_keyword_hops_are_dealt_to_tasks_by_their_size(spark):
     profile = spark.createDataFrame([(u, u % 5, f"k{u % 7}", 1.0) for u in range(400)], "userid long, cityid int, keyword string, weight double")
     edges = spark.createDataFrame([(c, f"k{a}", f"k{b}", 0.5) for c in range(5) for a in range(7) for b in range(7) if a != b], "cityid int, sid1 string, sid2 string, score double")
@@ -36,3 +122,16 @@ def test_partitions_before_coalescing_follow_the_input(spark, tmp_path):
         if before[0] is not None:
             spark.conf.set(session.INITIAL, before[0])
         spark.conf.set(session.ADVISED, before[1])
+
+
+def test_the_cities_of_shops_are_read_from_a_table_of_their_size(spark):
+    made = []
+    warehouse = Warehouse(spark, SF_DIR, "2001-08-02", lambda df, name: made.append(name) or df)
+    for log in (warehouse.traffic("city_id"), warehouse.reviews(), warehouse.feedback()):
+        assert log.columns
+    assert made == ["shop-city"]
+
+
+def test_decayed_state_is_derived_once(spark):
+    with Job(spark, SF_DIR) as job:
+        assert "lineitem.parquet" not in plan_of(job.state_replace_groups)
