@@ -227,7 +227,14 @@ class Job:
     @step
     def _app_visits(self) -> DataFrame:
         """Visits in the windows of all device steps, from one scan of the log."""
-        return self._cut(self._events("app-visits", self._since["app-visits"]), "app-visits")
+        visits = self._events("app-visits", self._since["app-visits"])
+        return visits if self.wh.stored else self._cut(visits, "app-visits")
+
+    @step
+    def _stored_log(self) -> None:
+        """For chains that read the log for visits and for ratings. Visits counted per day do not need it."""
+        if self.store is None:
+            self.wh.store_log()
 
     def _visits_since(self, since: str) -> DataFrame:
         return self._app_visits.filter(F.col("dt") >= F.lit(since).cast("date"))
@@ -257,7 +264,7 @@ class Job:
 
     @step
     def device_region_weighted(self) -> DataFrame:
-        return rg.concentration(self._affinity, self._region_stats)
+        return rg.concentration(self.device_region_affinity)
 
     @step
     def device_region_breadth(self) -> DataFrame:
@@ -271,7 +278,7 @@ class Job:
 
     @step
     def _rated(self) -> DataFrame:
-        return self._cut(self.ratings_load, "rated")
+        return self.ratings_load if self.wh.stored else self._cut(self.ratings_load, "rated")
 
     @step
     def ratings_normalised(self) -> DataFrame:
@@ -287,6 +294,11 @@ class Job:
         """The centred ratings, summed per user, city and shop."""
         return self._cut(rt.centred_members(self._rated, self.p), "members")
 
+    @step
+    def _marked_members(self) -> DataFrame:
+        """``_members`` with a mark on the users of the active devices."""
+        return self._cut(rt.centred_members(self._rated, self.p, self._active), "marked-members")
+
     @step
     def user_similarity(self) -> DataFrame:
         return rt.user_similarity(self._members, self.p, self._cut)
@@ -381,19 +393,24 @@ class Job:
     def rec_from_reviews(self) -> DataFrame:
         """Like ``cf_recommend``, for the users of the active devices only: the others are left out
         before the pairs are formed."""
-        similar = rt.user_similarity(self._members, self.p, self._cut, users=self._active)
-        recs = rt.recommend(similar, self._members, self.p)
+        return self._from_reviews()
+
+    def _from_reviews(self, wanted: DataFrame | None = None) -> DataFrame:
+        """All rows, or those of the (user, city, shop) in ``wanted``."""
+        similar = rt.user_similarity(self._marked_members, self.p, self._cut)
+        recs = rt.recommend(similar, self._marked_members, self.p, wanted)
         return dr.user_recs_to_device(self._active, recs)
 
     @step
     def rec_agreement_boost(self) -> DataFrame:
-        return dr.with_agreement_boost(
-            self.rec_promo_boost, self.rec_from_reviews, self.p.agreement_weight
-        )
+        """Only rows that both sources have are boosted: of those from reviews the others are not shuffled."""
+        self._stored_log
+        self._together("_marked_members", "_item_edges")
+        agreeing = self._from_reviews(dr.wanted_of_users(self._active, self._recs))
+        return dr.with_agreement_boost(self.rec_promo_boost, agreeing, self.p.agreement_weight)
 
     @step
     def rec_merge_sum(self) -> DataFrame:
-        self._together("_active", "_item_edges", "_members")
         return merging.merge_scores(self.rec_agreement_boost, dr.REC, "rank", "sum")
 
     @step
@@ -451,6 +468,7 @@ class Job:
 
     @step
     def rec_by_region(self) -> DataFrame:
+        self._stored_log
         return dr.region_recs(
             self._top200, self.device_region_breadth, self.region_trend, self.p
         )
@@ -463,16 +481,23 @@ class Job:
 
     @step
     def _decayed(self) -> DataFrame:
-        return self._cut(self.state_decay, "decayed")
+        """``state_decay``, where nothing is stored from the lines above the floor only."""
+        if self._before("accumulated") is not None:
+            return self._cut(self.state_decay, "decayed")
+        strong = self.wh.accumulated_recs(before=self.p.active_since, above=self.p.state_floor)
+        left = exclude(strong, self.wh.feedback(), dr.REC)
+        return self._cut(merging.decay_state(left, "rank", self.p.state_factor, self.p.state_floor), "decayed")
 
     @step
     def state_carry_over(self) -> DataFrame:
+        self._stored_log
         return dr.carry_over(self._decayed, self._top200, self.p)
 
     @step
     def rec_backfill(self) -> DataFrame:
         first_day = self._before("region-scores") is None
-        self._together("_top200", "_affinity", *["_period_hot"] * first_day)
+        self._stored_log
+        self._together("_top200", *["_period_hot"] * first_day)
         return dr.backfill(self._top200, self.state_carry_over, self.rec_by_region, self.p)
 
     @step

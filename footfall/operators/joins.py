@@ -7,16 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+def extra_key(keys: Sequence[str]) -> Column:
+    """A bit of a hash of the keys: only a join key more, whose bytes are shuffled with every row."""
+    return F.pmod(F.xxhash64(*keys), F.lit(2)).cast("tinyint")
+
+
 def join_per_key(
     df: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
     """Join detail rows, of which one key may hold a large part, to an aggregate on the keys.
 
     Spark splits skewed partitions of a join at run time only if both inputs come straight from a
-    shuffle. An aggregate on the join keys does not: the join reuses its partitioning. Joining on a
-    hash of the keys as well makes Spark shuffle the aggregate again, after it has shrunk to one row
+    shuffle. An aggregate on the join keys does not: the join reuses its partitioning. Joining on a bit
+    of a hash of the keys as well makes Spark shuffle the aggregate again, after it has shrunk to one row
     per key, and the large side can be split."""
-    h = F.xxhash64(*keys)
+    h = extra_key(keys)
     joined = df.withColumn("_h", h).join(per_key.withColumn("_h", h), [*keys, "_h"], how)
     return joined.drop("_h")
 

@@ -63,7 +63,7 @@ def _compact(df: DataFrame, keys: list[str], member: str, out: str) -> DataFrame
 def best_pairs(
     left: DataFrame | None, right: DataFrame, part: str, group: Sequence[str], a: str, b: str,
     growth: Callable[[Column], Column], k: int, cut: Callable[[DataFrame, str], DataFrame],
-    crowd: int = 1000, depth: int = 4, only: DataFrame | None = None,
+    crowd: int = 1000, depth: int = 4, only: DataFrame | None = None, many: int = 10_000,
 ) -> DataFrame:
     """``top_pairs`` for the score total * growth(rows), growth rising and not negative, without the pairs of
     crowded groups that cannot be among the k best.
@@ -77,25 +77,39 @@ def best_pairs(
     decides. ``cut`` stores what several steps read.
 
     Without ``left`` the right rows, one per group and member with ``w`` and a count ``c`` of rows, meet themselves:
-    all members, or those of the column ``a`` of ``only``. Of all members a pair is summed in one direction."""
+    all members, those of the column ``a`` of ``only``, or those marked by a column ``mine``.
+
+    Where no group is crowded, the pairs of a member of at most ``many`` groups are dealt out once, by that member:
+    sums and ranks are made there, of ``many * crowd`` rows at most. Pairs of the others are summed before each of two
+    shuffles, so that no task gets all of them."""
     keys, pair = [part, *group], [part, "a", "b"]
     whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in [*keys, "b"]])
     if left is None:
-        rows_b = right.select(*keys, F.col(b).alias("b"), F.col("w").alias("wb"), F.col("c").alias("cb")).filter(whole)
+        marked = ["mine"] if "mine" in right.columns else []
+        rows_b = right.select(*keys, F.col(b).alias("b"), F.col("w").alias("wb"), F.col("c").alias("cb"), *marked).filter(whole)
         rows_a = rows_b.withColumnsRenamed({"b": "a", "wb": "wa", "cb": "ca"})
+        rows_a, rows_b = (rows_a.filter("mine").drop("mine"), rows_b.drop("mine")) if marked else (rows_a, rows_b)
         rows_a = rows_a if only is None else restrict(rows_a, only.withColumnRenamed(a, "a"), ["a"])
     else:
         rows_a, rows_b = _compact(left, keys, a, "a"), cut(_compact(right, keys, b, "b"), "members-b")
     crowded = rows_b.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd)
     crowded = cut(crowded, "crowded")
     if crowded.isEmpty():
-        met = rows_a.join(rows_b, keys)
-        if left is None and only is None:
-            totals = _both_ways(_totals(met.filter(F.col("a") < F.col("b")), pair), part)
-        else:
-            totals = _totals(met.filter(F.col("a") != F.col("b")), pair)
-        return _best(totals.withColumn("score", F.col("total") * growth(F.col("rows"))), part, a, b, k)
-    rows_a = cut(rows_a, "members-a") if left is not None or only is not None else rows_a
+        def best(members: DataFrame, deal: Callable[[DataFrame], DataFrame]) -> DataFrame:
+            met = members.join(rows_b, keys).filter(F.col("a") != F.col("b"))
+            found = met.select(*pair, (F.col("wa") * F.col("wb")).alias("total"), (F.col("ca") * F.col("cb")).alias("rows"))
+            totals = deal(found).groupBy(*pair).agg(F.sum("total").alias("total"), F.sum("rows").alias("rows"))
+            return _best(totals.withColumn("score", F.col("total") * growth(F.col("rows"))), part, a, b, k)
+
+        busy = rows_a.groupBy(part, "a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > many)
+        busy = cut(busy.select(part, "a"), "busy")
+        by_member = lambda met: met.repartition(part, "a")
+        if busy.isEmpty():
+            return best(rows_a, by_member)
+        split = best(restrict(rows_a, busy, [part, "a"]), lambda met: met)
+        return best(exclude(rows_a, busy, [part, "a"]), by_member).unionByName(split)
+    own_side = left is not None or only is not None or "mine" in right.columns
+    rows_a = cut(rows_a, "members-a") if own_side else rows_a
     many_a, many_b = (cut(join_per_key(x, crowded, keys), name) for x, name in ((rows_a, "crowd-a"), (rows_b, "crowd-b")))
     few_a, few_b = (exclude(x, crowded, keys) for x in (rows_a, rows_b))
     few = cut(_totals(few_a.join(few_b, keys).filter(F.col("a") != F.col("b")), pair), "few-pairs")
@@ -129,11 +143,6 @@ def _best(scored: DataFrame, part: str, a: str, b: str, k: int) -> DataFrame:
     return top_k_per_group(named, [part, a], k, "score", [b])
 
 
-def _both_ways(totals: DataFrame, part: str) -> DataFrame:
-    ways = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in (("a", "b"), ("b", "a"))])
-    return totals.select(part, F.inline(ways), "total", "rows")
-
-
 def _totals(rows: DataFrame, pair: list[str]) -> DataFrame:
     return rows.groupBy(*pair).agg(
         F.sum(F.col("wa") * F.col("wb")).alias("total"), F.sum(F.col("ca") * F.col("cb")).alias("rows")

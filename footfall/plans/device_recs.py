@@ -91,6 +91,12 @@ def with_promo_boost(recs: DataFrame, promo: DataFrame) -> DataFrame:
     return recs.unionByName(boost.select(*REC, "rank"))
 
 
+def wanted_of_users(active: DataFrame, recs: DataFrame) -> DataFrame:
+    """(user, city, shop) of the recommendations of a user's devices."""
+    devices = active.select("userid", "deviceid").distinct()
+    return recs.select(*REC).join(devices, "deviceid").select("userid", "cityid", "shopid")
+
+
 def user_recs_to_device(active: DataFrame, user_recs: DataFrame) -> DataFrame:
     devices = active.select("userid", "deviceid").distinct()
     return devices.join(user_recs, "userid").select(*REC, "score")
@@ -182,4 +188,6 @@ def category_cap(recs: DataFrame, shops: DataFrame, p: Params) -> DataFrame:
 
 
 def merge_min(rows: DataFrame) -> DataFrame:
-    return merge_scores(rows, REC, "rank", "min", 3)
+    """Rows of a device and city, which today's, carried and regional rows bound, lie together from here on: the cap per
+    category and the last top-k need no other shuffle."""
+    return merge_scores(rows.repartition(*DEVICE_CITY), REC, "rank", "min", 3)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.functions.sampling import kept
 from footfall.operators.groups import divide_by_count, log_mean_ratio
+from footfall.operators.joins import extra_key
 from footfall.operators.pairs import best_pairs
 from footfall.operators.ranking import top_k_per_group
 from footfall.params import Params
@@ -46,13 +47,18 @@ def _sums(score: Column, p: Params) -> list[Column]:
     return [F.sum(score).alias("w"), F.count(F.lit(1)).alias("c"), good.alias("good")]
 
 
-def centred_members(rated: DataFrame, p: Params) -> DataFrame:
-    """``members`` of the centred ratings, summed where the join to the means has brought a user's rows together."""
+def centred_members(rated: DataFrame, p: Params, users: DataFrame | None = None) -> DataFrame:
+    """``members`` of the centred ratings, summed where the join to the means has brought a user's rows together.
+    ``users`` get a mark, ``mine``: on the means, which are fewer than the ratings."""
     means = rated.groupBy(*USER_CITY).agg(F.avg("score").alias("_m"))
-    h = F.xxhash64(*USER_CITY)  # as in join_per_key, and a key of the sums as well: no other shuffle
+    marked = [] if users is None else ["mine"]
+    if users is not None:
+        own = users.select("userid").distinct().withColumn("mine", F.lit(True))
+        means = means.join(own, "userid", "left").withColumn("mine", F.coalesce("mine", F.lit(False)))
+    h = extra_key(USER_CITY)  # as in join_per_key, and a key of the sums as well: no other shuffle
     joined = rated.withColumn("_h", h).join(means.withColumn("_h", h), [*USER_CITY, "_h"])
     score = F.log(F.col("score") / F.col("_m") + CENTRE_EPS) + CENTRE_EPS
-    return joined.groupBy(*USER_CITY, "_h", "shopid").agg(*_sums(score, p)).drop("_h")
+    return joined.groupBy(*USER_CITY, "_h", "shopid", *marked).agg(*_sums(score, p)).drop("_h")
 
 
 def user_similarity(
@@ -60,9 +66,11 @@ def user_similarity(
     users: DataFrame | None = None,
 ) -> DataFrame:
     """sum(s1 * s2) * ln(co-rated rows) per pair of users of a city; the best k per user, for all
-    users or the given ones. Of an item that very many rate only pairs that can be among them are made.
+    users, the given or the marked ones. Of an item that very many rate only pairs that can be among them are made.
     Takes ratings or their ``members``."""
-    rows = members(rated, p).select("cityid", F.col("shopid").alias("item"), F.col("userid").alias("sid2"), "w", "c")
+    rows = members(rated, p)
+    marked = ["mine"] if "mine" in rows.columns else []
+    rows = rows.select("cityid", F.col("shopid").alias("item"), F.col("userid").alias("sid2"), "w", "c", *marked)
     only = None if users is None else users.select(F.col("userid").alias("sid1"))
     return best_pairs(
         None, rows, part="cityid", group=["item"], a="sid1", b="sid2", growth=F.log, k=p.similar_k, cut=cut,
@@ -70,8 +78,11 @@ def user_similarity(
     )
 
 
-def recommend(similar: DataFrame, rated: DataFrame, p: Params) -> DataFrame:
-    """What similar users rate well, without what the user has rated.
+def recommend(
+    similar: DataFrame, rated: DataFrame, p: Params, wanted: DataFrame | None = None
+) -> DataFrame:
+    """What similar users rate well, without what the user has rated; of the rows that makes only ``wanted``
+    (userid, cityid, shopid), if given: they join the user's rows and are picked after the ranking.
 
     Rows of a user lie together from one shuffle on: what the user has rated, a row without a city, is told apart,
     summed and ranked there. Takes ratings or their ``members``. A user's rows are bounded by what ``similar_k`` others rate in each city."""
@@ -85,12 +96,27 @@ def recommend(similar: DataFrame, rated: DataFrame, p: Params) -> DataFrame:
     found = rows.select(
         F.col("sid1").alias("userid"), "cityid", "shopid", (F.col("score") * F.col("_r")).alias("score")
     )
-    known = rated.filter(F.col("shopid").isNotNull()).select(
+    own = rated.filter("mine") if "mine" in rated.columns else rated
+    known = own.filter(F.col("shopid").isNotNull()).select(
         "userid", F.lit(None).cast(found.schema["cityid"].dataType).alias("cityid"), "shopid",
         F.lit(None).cast("double").alias("score"),
     )
-    per_user = found.unionByName(known).repartition("userid")
-    scored = per_user.groupBy("userid", "shopid", "cityid").agg(F.sum("score").alias("score"))
+    sums = [F.sum("score").alias("score")]
+    if wanted is None:
+        per_user = found.unionByName(known)
+    else:
+        kind = {"found": 1, "known": 0, "wanted": 2}
+        found, known = (df.withColumn("_kind", F.lit(kind[n]).cast("tinyint")) for n, df in (("found", found), ("known", known)))
+        asked = wanted.filter(F.col("cityid").isNotNull()).select(
+            "userid", "cityid", "shopid", F.lit(None).cast("double").alias("score"),
+            F.lit(kind["wanted"]).cast("tinyint").alias("_kind"),
+        )
+        per_user = found.unionByName(known).unionByName(asked)
+        sums.append(F.bit_or("_kind").alias("_kind"))
+    scored = per_user.repartition("userid").groupBy("userid", "shopid", "cityid").agg(*sums)
     seen = F.max(F.col("cityid").isNull()).over(Window.partitionBy("userid", "shopid"))
-    new = scored.withColumn("_seen", seen).filter(~F.col("_seen")).select("userid", "cityid", "shopid", "score")
-    return top_k_per_group(new, USER_CITY, p.cf_k, "score", ["shopid"])
+    new = scored.withColumn("_seen", seen).filter(~F.col("_seen")).drop("_seen")
+    new = new if wanted is None else new.filter(F.col("_kind").bitwiseAND(1) == 1)
+    best = top_k_per_group(new, USER_CITY, p.cf_k, "score", ["shopid"])
+    best = best if wanted is None else best.filter(F.col("_kind").bitwiseAND(2) == 2)
+    return best.select("userid", "cityid", "shopid", "score")

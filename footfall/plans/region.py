@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.functions.text import ZERO_DEVICE
 from footfall.operators.groups import group_entropy
-from footfall.operators.joins import join_per_key
 
 
 def app_events() -> Column:
@@ -31,13 +32,15 @@ def device_visits(visits: DataFrame) -> DataFrame:
 
 
 def region_affinity(visits: DataFrame, shops: DataFrame) -> DataFrame:
-    """Visited shops per (device, city, region)."""
+    """Visited shops per (device, city, region). A device's rows, one per shop and version at most, lie together from
+    here on: what is counted, summed and ranked per device next needs no other shuffle."""
     placed = shops.filter(F.col("region_id") > 0).select(
         F.col("shop_id").alias("shopid"),
         F.col("city_id").alias("cityid"),
         F.col("region_id").alias("regionid"),
     )
-    counts = visits.join(placed, "shopid").groupBy("deviceid", "cityid", "regionid")
+    per_device = visits.join(placed, "shopid").select("deviceid", "cityid", "regionid").repartition("deviceid")
+    counts = per_device.groupBy("deviceid", "cityid", "regionid")
     return counts.agg(F.count(F.lit(1)).cast("double").alias("score"))
 
 
@@ -48,11 +51,19 @@ def region_stats(affinity: DataFrame) -> DataFrame:
     )
 
 
-def concentration(affinity: DataFrame, stats: DataFrame) -> DataFrame:
-    """ln(1 + score) / (entropy + 1), the number of regions kept for the next step."""
-    joined = join_per_key(affinity, stats, ["deviceid", "cityid"])
-    score = F.log(1 + F.col("score")) / (F.col("entropy") + 1)
-    return joined.withColumn("score", score).drop("entropy")
+def concentration(affinity: DataFrame) -> DataFrame:
+    """ln(1 + score) / (entropy + 1), the number of regions kept for the next step. A window holds the regions of one
+    city: what ``region_stats`` sums, without a join back."""
+    keys = ["deviceid", "cityid"]
+    group = Window.partitionBy(*keys)
+    w = F.col("score")
+    total, weighted = F.sum(w).over(group), F.sum(w * F.log(w)).over(group)
+    known = reduce(Column.__and__, [F.col(c).isNotNull() for c in keys])
+    stats = affinity.filter(known).withColumns({
+        "regions": F.count(F.lit(1)).over(group), "_total": total, "_weighted": weighted,
+    })
+    entropy = F.log("_total") - F.col("_weighted") / F.col("_total")
+    return stats.withColumn("score", F.log(1 + w) / (entropy + 1)).drop("_total", "_weighted")
 
 
 def breadth(weighted: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFram
     recomputation of what came before it."""
     spark = df.sparkSession
     path = new_path(spark, name, folder)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

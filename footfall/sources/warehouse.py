@@ -38,11 +38,10 @@ class Warehouse:
         """One number, counted once per job: as a literal it keeps the plans small."""
         return F.lit(self.table("supplier").count())
 
-    def _orders(
-        self, since: str | None, before: str | None, periods: tuple[str, str] | None = None,
+    def _within(
+        self, orders: DataFrame, since: str | None, before: str | None, periods: tuple[str, str] | None = None,
         until: str | None = None,
     ) -> DataFrame:
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         if periods is not None:
             day = F.col("o_orderdate")
             orders = orders.filter((day >= _midnight(periods[0])) | (day < _midnight(periods[1])))
@@ -67,6 +66,32 @@ class Warehouse:
         joined = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         return joined.select(F.col("s_suppkey").alias("shop_id"), "n_regionkey")
 
+    def _joined_log(self) -> DataFrame:
+        lines = self.table("lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount"
+        )
+        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+
+    def store_log(self) -> None:
+        """Store the lines joined to their orders, where several views of a job need them: the two large tables are
+        shuffled once, and the views read the stored rows."""
+        with self._lock:
+            if "log" not in self._tables:
+                self._tables["log"] = self._cut(self._joined_log(), "log")
+
+    @property
+    def stored(self) -> bool:
+        return "log" in self._tables
+
+    def _lines_of(self, orders: Callable[[DataFrame], DataFrame], *cols: str) -> DataFrame:
+        """Lines with the customer and day of their orders, those that ``orders`` keeps."""
+        if self.stored:
+            return orders(self._tables["log"]).select("l_orderkey", *cols, "o_custkey", "o_orderdate")
+        lines = self.table("lineitem").select("l_orderkey", *cols)
+        of = orders(self.table("orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+        return lines.join(of, F.col("l_orderkey") == F.col("o_orderkey"))
+
     def traffic(
         self, *cols: str, since: str | None = None, before: str | None = None,
         periods: tuple[str, str] | None = None, until: str | None = None,
@@ -74,11 +99,9 @@ class Warehouse:
         """The event log: one event per line item. The date window, from ``since`` on, before ``before``
         or up to ``until``, never beyond as_of, reaches the orders scan; ``periods`` are two windows:
         from its first day on, and before its second."""
-        lines = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"
+        log = self._lines_of(
+            lambda orders: self._within(orders, since, before, periods, until), "l_partkey", "l_suppkey", "l_linenumber"
         )
-        orders = self._orders(since, before, periods, until)
-        log = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         if _TRAFFIC_SHOP & set(cols):
             log = log.withColumn("shop_id", _visited_shop(self._n_shops))
         if _TRAFFIC_CITY & set(cols):
@@ -147,11 +170,10 @@ class Warehouse:
         return self.table("part").select(F.inline(typed)).distinct()
 
     def reviews(self) -> DataFrame:
-        lines = self.table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
-        orders = self.table("orders").select("o_orderkey", "o_custkey")
+        lines = self._lines_of(lambda orders: orders, "l_partkey", "l_suppkey", "l_quantity")
         city = self._shop_city().withColumnRenamed("shop_id", "l_suppkey")
         return (
-            lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(city, "l_suppkey")
+            lines.join(city, "l_suppkey")
             .select(
                 F.col("o_custkey").alias("userid"),
                 F.col("n_regionkey").alias("cityid"),
@@ -214,13 +236,13 @@ class Warehouse:
             (F.col("s_suppkey") % 5 + 1).cast("double").alias("score"),
         )
 
-    def accumulated_recs(self, before: str) -> DataFrame:
-        """Recommendations kept from earlier days: neighbours of the shops a device bought from."""
-        lines = self.table("lineitem").select(
-            "l_orderkey", "l_suppkey", "l_quantity", "l_discount"
-        )
-        orders = self._orders(None, before).select("o_orderkey", "o_custkey")
-        rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    def accumulated_recs(self, before: str, above: float | None = None) -> DataFrame:
+        """Recommendations kept from earlier days: neighbours of the shops a device bought from; only those whose
+        rank, the largest of some lines, is ``above`` a floor: no other line need be shuffled."""
+        lines = self._lines_of(lambda orders: self._within(orders, None, before), "l_suppkey", "l_quantity", "l_discount")
+        if above is not None:
+            lines = lines.filter(F.col("l_discount") > above)
+        rows = lines.select(
             F.col("o_custkey").cast("string").alias("deviceid"),
             _neighbour_shop(F.col("l_suppkey"), self._n_shops).alias("shop_id"),
             "l_discount",

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from footfall import session
 from footfall.job import Job
+from footfall.operators import joins
+from footfall.operators.pairs import best_pairs
 from footfall.params import Params
-from footfall.plans import keywords, ratings
+from footfall.plans import device_recs, keywords, ratings, region
 from footfall.sources.storage import materialise
 from footfall.sources.warehouse import Warehouse
 
@@ -135,3 +137,113 @@ def test_the_cities_of_shops_are_read_from_a_table_of_their_size(spark):
 def test_decayed_state_is_derived_once(spark):
     with Job(spark, SF_DIR) as job:
         assert "lineitem.parquet" not in plan_of(job.state_replace_groups)
+
+
+def test_a_chain_joins_the_log_to_its_orders_once(spark):
+    made = []
+
+    class Noting(Job):
+        def _cut(self, df, name):
+            made.append((name, plan_of(df)))
+            return super()._cut(df, name)
+
+    with Noting(spark, SF_DIR) as job:
+        job.rec_category_cap  # noqa: B018
+    names = [name for name, _ in made]
+    assert names.count("log") == 1 and not {"rated", "app-visits", "affinity"} & set(names)
+    assert [name for name, plan in made if "orders.parquet" in plan] == ["log"]
+
+
+def test_views_of_the_stored_log_are_those_of_the_tables(spark):
+    def rows(warehouse):
+        views = (
+            warehouse.traffic("deviceid", "shop_id", "hp_stat_time", since="1997-01-01"),
+            warehouse.traffic("path", periods=("1998-01-01", "1994-01-01")),
+            warehouse.reviews(), warehouse.accumulated_recs("1998-01-01"),
+        )
+        return [sorted(map(str, view.collect())) for view in views]
+
+    plain, stored = Warehouse(spark, SF_DIR, "2001-08-02"), Warehouse(spark, SF_DIR, "2001-08-02")
+    stored.store_log()
+    assert rows(plain) == rows(stored)
+
+
+def test_lines_below_the_floor_do_not_change_strong_rows(spark):
+    warehouse = Warehouse(spark, SF_DIR, "2001-08-02")
+    whole = warehouse.accumulated_recs("1998-01-01").filter("rank > 0.05")
+    strong = warehouse.accumulated_recs("1998-01-01", above=0.05)
+    assert sorted(map(str, strong.collect())) == sorted(map(str, whole.collect())) != []
+
+
+@pytest.mark.parametrize("cf_k", [3, 500])
+def test_wanted_rows_are_picked_after_the_ranking(spark, cf_k):
+    p = Params(cf_drop=0, similar_k=4, cf_k=cf_k)
+    frame, _ = rated(spark)
+    similar = spark.createDataFrame(
+        [(c, a, b, float((a * 7 + b) % 5)) for c in range(3) for a in range(25) for b in range(25) if a != b and (a + b) % 6 == 0],
+        "cityid int, sid1 long, sid2 long, score double",
+    )
+    summed = materialise(ratings.members(frame, p), "members")
+    asked = [(u, c, s) for u in range(30) for c in range(3) for s in range(12) if (u + c + s) % 2] * 2 + [(1, None, 2), (None, 1, 2), (1, 1, None)]
+    wanted = spark.createDataFrame(asked, "userid long, cityid int, shopid long")
+    whole = {tuple(r)[:3]: r.score for r in ratings.recommend(similar, summed, p).collect()}
+    got = {tuple(r)[:3]: r.score for r in ratings.recommend(similar, summed, p, wanted).collect()}
+    assert got == {k: pytest.approx(v) for k, v in whole.items() if k in set(asked)} and 0 < len(got) < len(whole)
+
+
+def test_marked_users_are_those_given(spark):
+    frame, _ = rated(spark)
+    frame = frame.withColumn("score", F.abs("score") + 1)
+    users = spark.createDataFrame([(3,), (4,), (4,), (99,), (None,)], "userid long")
+    p = Params(cf_drop=0)
+    plain, marked = ratings.centred_members(frame, p), materialise(ratings.centred_members(frame, p, users), "marked")
+    assert sorted(map(str, marked.drop("mine").collect())) == sorted(map(str, plain.select(marked.drop("mine").columns).collect()))
+    a, b = ratings.user_similarity(plain, p, users=users), ratings.user_similarity(marked, p)
+    as_rows = [{(r.cityid, r.sid1, r.sid2): pytest.approx(r.score) for r in x.collect()} for x in (a, b)]
+    assert as_rows[0] == as_rows[1] and {k[1] for k in as_rows[0]} == {3, 4}
+    x, y = (ratings.recommend(s, m, p).collect() for s, m in ((a, plain), (b, marked)))
+    assert sorted((r.userid, r.cityid, str(r.shopid), round(r.score, 6)) for r in x) == sorted((r.userid, r.cityid, str(r.shopid), round(r.score, 6)) for r in y)
+
+
+@pytest.mark.parametrize("many", [0, 6, 10_000])
+def test_pairs_are_dealt_out_once(spark, many):
+    frame, _ = rated(spark)
+    rows = ratings.members(frame, Params()).select("cityid", F.col("shopid").alias("item"), F.col("userid").alias("sid2"), "w", "c")
+    df = best_pairs(None, rows, part="cityid", group=["item"], a="sid1", b="sid2", growth=F.log, k=4, cut=materialise, many=many)
+    total, n, best = defaultdict(float), defaultdict(int), defaultdict(list)
+    found = [r for r in rows.collect() if None not in (r.cityid, r.item, r.sid2)]
+    for x in found:
+        for y in found:
+            if (x.cityid, x.item) == (y.cityid, y.item) and x.sid2 != y.sid2:
+                total[x.cityid, x.sid2, y.sid2] += x.w * y.w
+                n[x.cityid, x.sid2, y.sid2] += x.c * y.c
+    for (c, a, b), t in total.items():
+        best[c, a].append((-math.floor(t * math.log(n[c, a, b]) * 1e6 + 0.5), b, t * math.log(n[c, a, b])))
+    want = {(c, a, b): s for (c, a), x in best.items() for _, b, s in sorted(x)[:4]}
+    assert {(r.cityid, r.sid1, r.sid2): r.score for r in df.collect()} == {k: pytest.approx(v, abs=1e-9) for k, v in want.items()}
+    shuffles = [line.split("hashpartitioning(")[1] for line in plan_of(df).split("\n") if "Exchange hashpartitioning(" in line]
+    by_pair = [line for line in shuffles if ", b#" in line]
+    assert by_pair if many < 10_000 else not by_pair
+
+
+def test_regions_of_a_device_need_no_other_shuffle(spark):
+    rows = [("d1", 1, 1, 2.0), ("d1", 1, 2, 3.0), ("d1", 2, 1, 1.0), ("d2", None, 1, 1.0), (None, 1, 1, 1.0)]
+    frame = spark.createDataFrame(rows, "deviceid string, cityid int, regionid int, score double").repartition("deviceid")
+    df = region.breadth(region.concentration(frame))
+    entropy = -(0.4 * math.log(0.4) + 0.6 * math.log(0.6))
+    want = {("d1", 1, 1): math.log(3) / (entropy + 1) * math.log(3), ("d1", 1, 2): math.log(4) / (entropy + 1) * math.log(3), ("d1", 2, 1): math.log(2) ** 2}
+    assert {(r.deviceid, r.cityid, r.regionid): r.score for r in df.collect()} == {k: pytest.approx(v) for k, v in want.items()}
+    assert plan_of(df).split("== Initial Plan ==")[0].count("Exchange hashpartitioning(") == 1
+
+
+def test_the_cap_per_category_needs_no_other_shuffle(spark):
+    recs = spark.createDataFrame([("d1", 1, s, 1.0 / (s + 1)) for s in range(30)] * 2, "deviceid string, cityid int, shopid long, rank double")
+    shops = spark.createDataFrame([(s, s % 3) for s in range(30)], "shop_id long, cat1_id int")
+    df = device_recs.category_cap(device_recs.merge_min(recs), F.broadcast(shops), Params(category_cap=2))
+    assert sorted(r.shopid for r in df.collect()) == [0, 1, 2, 3, 4, 5]
+    assert plan_of(df).split("== Initial Plan ==")[0].count("Exchange hashpartitioning(") == 1
+
+
+def test_the_key_that_makes_spark_shuffle_is_small(spark):
+    keys = spark.range(100).select(joins.extra_key(["id"]).alias("h"))
+    assert {r.h for r in keys.collect()} == {0, 1} and keys.schema["h"].dataType.simpleString() == "tinyint"
