@@ -297,7 +297,12 @@ class Job:
     @step
     def _marked_members(self) -> DataFrame:
         """``_members`` with a mark on the users of the active devices."""
-        return self._cut(rt.centred_members(self._rated, self.p, self._active), "marked-members")
+        return self._cut(rt.centred_members(self._rated, self.p, self._active.select("userid")), "marked-members")
+
+    @step
+    def _asked_members(self) -> DataFrame:
+        """``_members`` with marks on the users and cities that have a recommendation to agree with."""
+        return self._cut(rt.centred_members(self._rated, self.p, self._wanted), "asked-members")
 
     @step
     def user_similarity(self) -> DataFrame:
@@ -321,9 +326,18 @@ class Job:
     def _active(self) -> DataFrame:
         return self._cut(dr.active_visits(self._visits_since(self.p.active_since)), "active")
 
+    @step
+    def _active_devices(self) -> DataFrame:
+        """Stored, as is ``Warehouse._shop_city``: where they are few, they reach the visits before these are shuffled."""
+        return self._cut(self._active.select("deviceid").distinct(), "active-devices")
+
+    def _visits_of_active(self) -> DataFrame:
+        return restrict(self._visits_since(self.p.visit_since), self._active_devices, ["deviceid"])
+
     @step
     def visits_of_active(self) -> DataFrame:
-        return restrict(self.visits_decayed_topk, self._active, ["deviceid"])
+        """``visits_decayed_topk`` of the active devices: the others are left out first, as each device stands alone."""
+        return dr.decayed_visits(self._visits_of_active(), self.p)
 
     @step
     def _visits(self) -> DataFrame:
@@ -393,20 +407,24 @@ class Job:
     def rec_from_reviews(self) -> DataFrame:
         """Like ``cf_recommend``, for the users of the active devices only: the others are left out
         before the pairs are formed."""
-        return self._from_reviews()
+        return self._from_reviews(self._marked_members)
 
-    def _from_reviews(self, wanted: DataFrame | None = None) -> DataFrame:
+    def _from_reviews(self, members: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
         """All rows, or those of the (user, city, shop) in ``wanted``."""
-        similar = rt.user_similarity(self._marked_members, self.p, self._cut)
-        recs = rt.recommend(similar, self._marked_members, self.p, wanted)
+        similar = rt.user_similarity(members, self.p, self._cut)
+        recs = rt.recommend(similar, members, self.p, wanted)
         return dr.user_recs_to_device(self._active, recs)
 
+    @step
+    def _wanted(self) -> DataFrame:
+        return self._cut(dr.wanted_of_users(self._active, self._recs).distinct(), "wanted")
+
     @step
     def rec_agreement_boost(self) -> DataFrame:
-        """Only rows that both sources have are boosted: of those from reviews the others are not shuffled."""
+        """Only rows that both sources have are boosted: users are compared in the cities where a device of theirs has a
+        recommendation, and of what reviews recommend the rows that no device has are not shuffled."""
         self._stored_log
-        self._together("_marked_members", "_item_edges")
-        agreeing = self._from_reviews(dr.wanted_of_users(self._active, self._recs))
+        agreeing = self._from_reviews(self._asked_members, self._wanted)
         return dr.with_agreement_boost(self.rec_promo_boost, agreeing, self.p.agreement_weight)
 
     @step

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from footfall.functions.sampling import kept
 from footfall.operators.groups import divide_by_count, log_mean_ratio
-from footfall.operators.joins import extra_key
 from footfall.operators.pairs import best_pairs
 from footfall.operators.ranking import top_k_per_group
 from footfall.params import Params
@@ -48,17 +47,26 @@ def _sums(score: Column, p: Params) -> list[Column]:
 
 
 def centred_members(rated: DataFrame, p: Params, users: DataFrame | None = None) -> DataFrame:
-    """``members`` of the centred ratings, summed where the join to the means has brought a user's rows together.
-    ``users`` get a mark, ``mine``: on the means, which are fewer than the ratings."""
-    means = rated.groupBy(*USER_CITY).agg(F.avg("score").alias("_m"))
-    marked = [] if users is None else ["mine"]
+    """``members`` of the centred ratings. ``users`` get a mark, ``mine``; if they name cities as well, their rows there
+    get another, ``asked``.
+
+    A user's ratings are shuffled once: means, marks and sums are made where they lie together, one after the other in
+    the order of the sort. The users to mark are rows without a score among them."""
+    kind = {f.name: f.dataType for f in rated.schema}
+    rows = rated.filter(F.col("userid").isNotNull() & F.col("cityid").isNotNull()).select(*USER_CITY, "shopid", "score")
+    by_user, by_city = Window.partitionBy("userid"), Window.partitionBy(*USER_CITY)
+    marks = {}
     if users is not None:
-        own = users.select("userid").distinct().withColumn("mine", F.lit(True))
-        means = means.join(own, "userid", "left").withColumn("mine", F.coalesce("mine", F.lit(False)))
-    h = extra_key(USER_CITY)  # as in join_per_key, and a key of the sums as well: no other shuffle
-    joined = rated.withColumn("_h", h).join(means.withColumn("_h", h), [*USER_CITY, "_h"])
+        named = [c for c in USER_CITY if c in users.columns]
+        own = users.select(*named).dropna().distinct()
+        empty = [F.lit(None).cast(kind[c]).alias(c) for c in ("cityid", "shopid", "score") if c not in named]
+        rows = rows.withColumn("_own", F.lit(False)).unionByName(own.select(*named, *empty, F.lit(True).alias("_own")))
+        marks = {"mine": F.max("_own").over(by_user)}
+        marks |= {"asked": F.max("_own").over(by_city)} if "cityid" in named else {}
+    placed = rows.repartition("userid").withColumns({"_m": F.avg("score").over(by_city), **marks})
+    placed = placed if users is None else placed.filter(~F.col("_own"))
     score = F.log(F.col("score") / F.col("_m") + CENTRE_EPS) + CENTRE_EPS
-    return joined.groupBy(*USER_CITY, "_h", "shopid", *marked).agg(*_sums(score, p)).drop("_h")
+    return placed.groupBy(*USER_CITY, "shopid", *marks).agg(*_sums(score, p))
 
 
 def user_similarity(
@@ -66,10 +74,10 @@ def user_similarity(
     users: DataFrame | None = None,
 ) -> DataFrame:
     """sum(s1 * s2) * ln(co-rated rows) per pair of users of a city; the best k per user, for all
-    users, the given or the marked ones. Of an item that very many rate only pairs that can be among them are made.
+    users, the given or the marked ones, in the cities they are asked in. Of an item that very many rate only pairs that can be among them are made.
     Takes ratings or their ``members``."""
     rows = members(rated, p)
-    marked = ["mine"] if "mine" in rows.columns else []
+    marked = [F.col(c).alias("mine") for c in ("asked", "mine") if c in rows.columns][:1]
     rows = rows.select("cityid", F.col("shopid").alias("item"), F.col("userid").alias("sid2"), "w", "c", *marked)
     only = None if users is None else users.select(F.col("userid").alias("sid1"))
     return best_pairs(

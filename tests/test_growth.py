@@ -247,3 +247,32 @@ def test_the_cap_per_category_needs_no_other_shuffle(spark):
 def test_the_key_that_makes_spark_shuffle_is_small(spark):
     keys = spark.range(100).select(joins.extra_key(["id"]).alias("h"))
     assert {r.h for r in keys.collect()} == {0, 1} and keys.schema["h"].dataType.simpleString() == "tinyint"
+
+
+def test_users_are_compared_in_the_cities_they_are_asked_in(spark):
+    frame, _ = rated(spark)
+    frame = frame.withColumn("score", F.abs("score") + 1)
+    asked = [(3, 0), (3, 2), (4, 1), (4, 1), (99, 1), (None, 1), (5, None)]
+    users = spark.createDataFrame(asked, "userid long, cityid int")
+    p = Params(cf_drop=0)
+    plain, marked = ratings.centred_members(frame, p), materialise(ratings.centred_members(frame, p, users), "asked")
+    assert sorted(map(str, marked.drop("mine", "asked").collect())) == sorted(map(str, plain.collect()))
+    assert {(r.userid, r.cityid) for r in marked.filter("asked").collect()} == {(3, 0), (3, 2), (4, 1)}
+    assert {r.userid for r in marked.filter("mine").collect()} == {3, 4}
+    whole = {(r.cityid, r.sid1, r.sid2): r.score for r in ratings.user_similarity(plain, p).collect()}
+    similar = ratings.user_similarity(marked, p)
+    got = {(r.cityid, r.sid1, r.sid2): r.score for r in similar.collect()}
+    assert got == {k: pytest.approx(v) for k, v in whole.items() if (k[1], k[0]) in asked} and got
+    wanted = spark.createDataFrame([(u, c, s) for u, c in {(3, 0), (3, 2), (4, 1)} for s in range(12)], "userid long, cityid int, shopid long")
+    all_recs = {tuple(r)[:3]: r.score for r in ratings.recommend(ratings.user_similarity(plain, p), plain, p).collect()}
+    recs = {tuple(r)[:3]: r.score for r in ratings.recommend(similar, marked, p, wanted).collect()}
+    assert recs == {k: pytest.approx(v) for k, v in all_recs.items() if k[:2] in asked and k[2] is not None}
+
+
+def test_ratings_of_a_user_are_shuffled_once(spark):
+    frame, _ = rated(spark)
+    users = spark.createDataFrame([(3, 0)], "userid long, cityid int")
+    for df in (ratings.centred_members(frame, Params()), ratings.centred_members(frame, Params(), F.broadcast(users))):
+        shuffles = [line for line in plan_of(df).split("\n") if "Exchange hashpartitioning(userid" in line and "cityid" not in line]
+        others = [line for line in plan_of(df).split("\n") if "Exchange hashpartitioning(userid" in line and "shopid" in line]
+        assert len(shuffles) == 1 and not others
