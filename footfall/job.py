@@ -243,12 +243,15 @@ class Job:
     def device_visits(self) -> DataFrame:
         return rg.device_visits(self._visits_since(self.p.visit_since))
 
-    @step
-    def device_region_affinity(self) -> DataFrame:
+    def _affinity_of(self, visits: DataFrame) -> DataFrame:
         shops = self.wh.shops("shop_id", "region_id").filter(
             F.col("hp_valid_end_dt") == self.p.current_version
         )
-        return rg.region_affinity(self.device_visits, shops)
+        return rg.region_affinity(visits, shops)
+
+    @step
+    def device_region_affinity(self) -> DataFrame:
+        return self._affinity_of(self.device_visits)
 
     @step
     def _affinity(self) -> DataFrame:
@@ -486,10 +489,11 @@ class Job:
 
     @step
     def rec_by_region(self) -> DataFrame:
+        """With ``device_region_breadth`` of the active devices: no other has recommendations."""
         self._stored_log
-        return dr.region_recs(
-            self._top200, self.device_region_breadth, self.region_trend, self.p
-        )
+        affinity = self._affinity_of(rg.device_visits(self._visits_of_active()))
+        liked = rg.breadth(rg.concentration(affinity))
+        return dr.region_recs(self._top200, liked, self.region_trend, self.p)
 
     @step
     def state_decay(self) -> DataFrame:
