@@ -506,14 +506,21 @@ class Job:
         """``state_decay``, where nothing is stored from the lines above the floor only."""
         if self._before("accumulated") is not None:
             return self._cut(self.state_decay, "decayed")
-        strong = self.wh.accumulated_recs(before=self.p.active_since, above=self.p.state_floor)
+        return self._cut(self._decayed_of(), "decayed")
+
+    def _decayed_of(self, devices: DataFrame | None = None) -> DataFrame:
+        strong = self.wh.accumulated_recs(before=self.p.active_since, above=self.p.state_floor, devices=devices)
         left = exclude(strong, self.wh.feedback(), dr.REC)
-        return self._cut(merging.decay_state(left, "rank", self.p.state_factor, self.p.state_floor), "decayed")
+        return merging.decay_state(left, "rank", self.p.state_factor, self.p.state_floor)
 
     @step
     def state_carry_over(self) -> DataFrame:
+        """Where no other step of the job has decayed the whole state, that of the active devices: no other has
+        recommendations."""
         self._stored_log
-        return dr.carry_over(self._decayed, self._top200, self.p)
+        whole = "_decayed" in self.__dict__ or self._before("accumulated") is not None
+        state = self._decayed if whole else self._decayed_of(self._active_devices)
+        return dr.carry_over(state, self._top200, self.p)
 
     @step
     def rec_backfill(self) -> DataFrame:
@@ -543,7 +550,9 @@ class Job:
 
     @step
     def state_replace_groups(self) -> DataFrame:
-        return joins.replace_groups(self._decayed, self._top50, dr.DEVICE_CITY)
+        self._stored_log
+        state = self._decayed  # before the steps that would else decay a part of it
+        return joins.replace_groups(state, self._top50, dr.DEVICE_CITY)
 
     # -- KPIs: of the recommendations that were on show, those of the version before today's --------
 

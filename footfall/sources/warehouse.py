@@ -11,6 +11,7 @@ from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from footfall.operators.joins import restrict
 from footfall.sources.state import shifted
 from footfall.sources.storage import materialise
 
@@ -236,9 +237,11 @@ class Warehouse:
             (F.col("s_suppkey") % 5 + 1).cast("double").alias("score"),
         )
 
-    def accumulated_recs(self, before: str, above: float | None = None) -> DataFrame:
+    def accumulated_recs(
+        self, before: str, above: float | None = None, devices: DataFrame | None = None
+    ) -> DataFrame:
         """Recommendations kept from earlier days: neighbours of the shops a device bought from; only those whose
-        rank, the largest of some lines, is ``above`` a floor: no other line need be shuffled."""
+        rank, the largest of some lines, is ``above`` a floor, and those of ``devices``: no other line need be shuffled."""
         lines = self._lines_of(lambda orders: self._within(orders, None, before), "l_suppkey", "l_quantity", "l_discount")
         if above is not None:
             lines = lines.filter(F.col("l_discount") > above)
@@ -247,6 +250,7 @@ class Warehouse:
             _neighbour_shop(F.col("l_suppkey"), self._n_shops).alias("shop_id"),
             "l_discount",
         )
+        rows = rows if devices is None else restrict(rows, devices, ["deviceid"])
         best = rows.groupBy("deviceid", "shop_id").agg(F.max("l_discount").alias("rank"))
         return best.join(self._shop_city(), "shop_id").select(
             "deviceid", F.col("n_regionkey").alias("cityid"), F.col("shop_id").alias("shopid"), "rank"

@@ -276,3 +276,31 @@ def test_ratings_of_a_user_are_shuffled_once(spark):
         shuffles = [line for line in plan_of(df).split("\n") if "Exchange hashpartitioning(userid" in line and "cityid" not in line]
         others = [line for line in plan_of(df).split("\n") if "Exchange hashpartitioning(userid" in line and "shopid" in line]
         assert len(shuffles) == 1 and not others
+
+
+def test_only_active_devices_are_shuffled(spark):
+    with Job(spark, SF_DIR) as job:
+        def rows(df):
+            return sorted(str([round(x, 9) if isinstance(x, float) else x for x in r]) for r in df.collect())
+
+        def semi_join_first(df):
+            lines = plan_of(df).split("== Initial Plan ==")[0].split("\n")
+            totals = [i for i, line in enumerate(lines) if "HashAggregate(keys=[deviceid" in line and "userid" in line]
+            return min(i for i, line in enumerate(lines) if "LeftSemi" in line) > max(totals)
+
+        all_visits = joins.restrict(job.visits_decayed_topk, job._active, ["deviceid"])
+        assert rows(job.visits_of_active) == rows(all_visits) != []
+        assert semi_join_first(job.visits_of_active)
+        carried, of_all = job.state_carry_over, device_recs.carry_over(job._decayed, job._top200, job.p)
+        assert rows(carried) == rows(of_all) != []
+        by_region = device_recs.region_recs(job._top200, job.device_region_breadth, job.region_trend, job.p)
+        assert rows(job.rec_by_region) == rows(by_region) != []
+
+
+def test_lines_of_other_devices_do_not_reach_the_state(spark):
+    warehouse = Warehouse(spark, SF_DIR, "2001-08-02")
+    whole = warehouse.accumulated_recs("1998-01-01", above=0.05)
+    devices = whole.select("deviceid").distinct().orderBy("deviceid").limit(9)
+    some = warehouse.accumulated_recs("1998-01-01", above=0.05, devices=materialise(devices, "devices"))
+    assert sorted(map(str, some.collect())) == sorted(map(str, joins.restrict(whole, devices, ["deviceid"]).collect())) != []
+    assert some.count() < whole.count()
